@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from claimloom.llm import packing
+from claimloom.llm import packing, quality_rules, simhash
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _ORACLES: dict[str, str] = {}
@@ -39,3 +39,16 @@ def tokenizer(name: str) -> str:
 @_query
 def op1_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
+
+
+@_query
+def op5_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.result(_table(spark, sf_dir, "documents"))
+
+
+_ORACLES["op5_rules"] = quality_rules.oracle_sql()
+
+
+@_query
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
