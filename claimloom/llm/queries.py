@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from claimloom.llm import packing, quality_rules, simhash
+from claimloom.llm import chat, packing, quality_cnn, quality_rules, simhash
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _ORACLES: dict[str, str] = {}
@@ -52,3 +53,21 @@ _ORACLES["op5_rules"] = quality_rules.oracle_sql()
 @_query
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    told = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    text = F.lit("\\### Assistant: </turn> ok")
+    own = spark.range(2).select(
+        F.lit(-7).cast("bigint").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        text.alias("text"),
+    )
+    return chat.read_back(chat.windows(told.unionByName(own)))
+
+
+@_query
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_cnn.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
