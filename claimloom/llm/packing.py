@@ -72,6 +72,18 @@ class WordIds(Memo):
         return b"".join(map(self.__getitem__, text.split()))
 
 
+_words: dict[int, WordIds] = {}
+
+
+def word_ids(tokenizer_json: str) -> WordIds:
+    """This worker's ids for a tokenizer, kept from task to task; one tokenizer at a time."""
+    key = zlib.crc32(tokenizer_json.encode())
+    if key not in _words:
+        _words.clear()
+        _words[key] = WordIds(tokenizer_json)
+    return _words[key]
+
+
 def pieces(docs: DataFrame, tokenizer_path: str, context: int = CONTEXT, end_id: int = 0) -> DataFrame:
     """One row per piece of at most ``context`` tokens; only documents longer than that are cut."""
     with open(tokenizer_path, encoding="utf-8") as file:
@@ -79,7 +91,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, context: int = CONTEXT, end_id:
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordIds(vocabulary.value)
+        words = word_ids(vocabulary.value)
         for batch in batches:
             rows: list[tuple] = []
             for doc_id, text in zip(batch.column(0).to_pylist(), utf8(batch.column(1)), strict=True):
