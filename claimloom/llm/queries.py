@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimloom.llm import chat, line_dedup, packing, quality_cnn, quality_rules, simhash
+from claimloom.llm import chat, decontamination, line_dedup, packing, quality_cnn, quality_rules, simhash
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _ORACLES: dict[str, str] = {}
@@ -76,3 +76,8 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_dedup(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
