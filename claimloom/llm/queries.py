@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimloom.llm import chat, decontamination, line_dedup, packing, quality_cnn, quality_rules, simhash
+from claimloom.llm import chat, decontamination, line_dedup, packing, quality_cnn, quality_rules, simhash, token_counts
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _ORACLES: dict[str, str] = {}
@@ -81,3 +81,8 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+@_query
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.by_line(_table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
