@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimloom.llm import chat, decontamination, line_dedup, packing, quality_cnn, quality_rules, simhash, token_counts
+from claimloom.llm import chat, decontamination, licences, line_dedup, packing, pii, quality_cnn, quality_rules, simhash, token_counts
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _ORACLES: dict[str, str] = {}
@@ -86,3 +86,13 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.by_line(_table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
+
+
+@_query
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pseudonymized(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op6_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(_table(spark, sf_dir, "documents"))
