@@ -28,35 +28,61 @@ an empty table gives no rows; further columns are kept.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from claimloom.llm.common import OWN, Memo, cut, utf8
+from claimloom.llm.common import OWN, cut, utf8
 
 LINE = 25
 WINDOW = 25
 MIN_WORDS = 50
-_WORD = re.compile(rb"[^ \t\n\x0b\x0c\r]+")
 _BASE = 0x9E3779B97F4A7C15 | 1
-_MASK = (1 << 64) - 1
 DOC, TAG, RUNS = f"{OWN}doc", f"{OWN}tag", f"{OWN}runs"
 #: A position is the document's tag above its word number, so rows under one doc_id with unlike texts stay apart.
 PLACE_BITS = 40
 
-_words: list[Memo] = []
+_SOLID = np.ones(256, bool)
+_SOLID[list(b" \t\n\x0b\x0c\r")] = False
+_powers: list[np.ndarray] = []
+
+
+def _powers_to(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse modulo 2**64."""
+    if not _powers or len(_powers[0]) < size:
+        length = max(size, 1 << 17)
+        made = []
+        for base in (_BASE, pow(_BASE, -1, 1 << 64)):
+            powers = np.full(length, base, np.uint64)
+            powers[0] = 1
+            made.append(np.cumprod(powers, dtype=np.uint64))
+        if length > 1 << 22:  # a very long text does not keep its table
+            return made[0], made[1]
+        _powers[:] = made
+    return _powers[0], _powers[1]
+
+
+def word_spans(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """First bytes and ends of the words, runs of anything but ASCII white space."""
+    solid = np.zeros(len(text) + 2, bool)
+    solid[1:-1] = _SOLID[np.frombuffer(text, np.uint8)]
+    edges = np.flatnonzero(solid[1:] != solid[:-1])
+    return edges[::2], edges[1::2]
 
 
 def word_hashes(text: bytes) -> np.ndarray:
-    if not _words:
-        _words.append(Memo(xxhash.xxh64_digest, 1_000_000))
-    return np.frombuffer(b"".join(map(_words[0].__getitem__, text.split())), "<u8")
+    """A 64-bit hash of each word: differences of one running polynomial over the text's bytes."""
+    starts, ends = word_spans(text)
+    powers, inverse = _powers_to(len(text))
+    running = np.zeros(len(text) + 1, np.uint64)
+    np.cumsum((np.frombuffer(text, np.uint8).astype(np.uint64) + np.uint64(1)) * powers[: len(text)], out=running[1:])
+    found = (running[ends] - running[starts]) * inverse[starts]
+    found = (found ^ (found >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return found ^ (found >> np.uint64(32))
 
 
 def line_hashes(words: np.ndarray, line: int = LINE) -> np.ndarray:
@@ -115,11 +141,12 @@ def _common(a: np.ndarray, b: np.ndarray) -> int:
 
 def inner_runs(words: np.ndarray, hashes: np.ndarray, places: np.ndarray) -> list[tuple[int, int]]:
     """Word ranges that repeat earlier words of the same text; seeds are selected lines seen before."""
+    found = np.sort(hashes[places])
+    if not (found[1:] == found[:-1]).any():
+        return []
     _, first, back = np.unique(hashes[places], return_index=True, return_inverse=True)
     sources = places[first[back]]
     later = places > sources
-    if not later.any():
-        return []
     seeds = sorted(zip((places - sources)[later].tolist(), places[later].tolist(), strict=True))
     covered = np.zeros(len(words), bool)
     runs = []
@@ -146,7 +173,7 @@ def merged(runs: list[tuple[int, int]], least: int = MIN_WORDS) -> list[tuple[in
 
 def without(text: bytes, runs: list[tuple[int, int]]) -> bytes:
     """The text without the words of ``runs`` and the white space that follows each."""
-    starts = [m.start() for m in _WORD.finditer(text)] + [len(text)]
+    starts = [*word_spans(text)[0].tolist(), len(text)]
     at, kept = 0, []
     for start, end in runs:
         kept.append(text[at : starts[start]])
@@ -178,8 +205,9 @@ def _select_lines(keyed: DataFrame) -> DataFrame:
                     continue
                 at = selected(lines)
                 top = tag << PLACE_BITS
-                own += [(doc, top | s, e) for s, e in inner_runs(words, lines, at)]
-                once = at[np.sort(np.unique(lines[at], return_index=True)[1])]
+                inner = inner_runs(words, lines, at)
+                own += [(doc, top | s, e) for s, e in inner]
+                once = at[np.unique(lines[at], return_index=True)[1]] if inner else at
                 hashes.append(lines[once].view(np.int64))
                 places.append(once + top)
                 docs.append(np.full(len(once), doc, np.int64))

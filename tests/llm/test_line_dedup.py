@@ -29,6 +29,20 @@ def plain(texts):
     return out
 
 
+def test_word_hashes():
+    rng = random.Random(2)
+    texts = ["".join(rng.choices(" \t\n\x0b\x0c\rab\x00\x01é\x1c\x85", k=rng.randrange(60))).encode() for _ in range(2000)]
+    seen = {}
+    for text in [*texts, b"", b"word", b" a" * 200_000]:
+        words, hashes = text.split(), q.word_hashes(text).tolist()
+        assert len(words) == len(hashes)
+        starts, ends = q.word_spans(text)
+        assert [text[a:b] for a, b in zip(starts.tolist(), ends.tolist())] == words
+        for w, h in zip(words, hashes):
+            assert seen.setdefault(w, h) == h
+    assert len(set(seen.values())) == len({h & 0xFFFFFFFF for h in seen.values()}) == len(seen) > 1000
+
+
 def test_line_hashes_and_selection():
     rng = np.random.default_rng(1)
     words = rng.integers(0, 2**63, 300).astype(np.uint64)
