@@ -19,8 +19,8 @@ def relevance_label(score: Column) -> Column:
 
 
 def expected_score(probabilities: Column) -> Column:
-    """The mean of the levels that are the keys of a distribution."""
-    return F.aggregate(F.map_entries(probabilities), F.lit(0.0), lambda a, e: a + e.key.cast("double") * e.value)
+    """The mean of the levels that are the keys of a distribution; null if a key is no number."""
+    return F.aggregate(F.map_entries(probabilities), F.lit(0.0), lambda a, e: a + e.key.try_cast("double") * e.value)
 
 
 def distribution_faults(probabilities: Column, choice: Column, score: Column, names: list[str], tolerance: float = 1e-3) -> Column:

@@ -32,3 +32,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return _ORACLES
+
+
+def _load() -> None:
+    from claimloom.plans import evidence, models, releases  # noqa: F401  they register their queries
+
+
+_load()
