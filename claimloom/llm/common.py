@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import tempfile
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from uuid import uuid4
 
 import pyarrow as pa
@@ -17,23 +17,46 @@ OWN = "__llm_"
 class Memo(dict):
     """A bounded map from a key to ``make(key)``.
 
-    It is emptied when it holds ``limit`` keys, and keys longer than ``longest``
-    are not kept, so its memory is bounded whatever the texts hold.
+    When it holds ``limit`` keys they become the older generation, which is asked before
+    ``make``, and the one before that is let go. Keys longer than ``longest`` are not kept,
+    so its memory is bounded whatever the texts hold.
     """
 
-    def __init__(self, make: Callable, limit: int = 400_000, longest: int = 64):
+    def __init__(self, make: Callable, limit: int = 250_000, longest: int = 64):
         super().__init__()
         self.make, self.limit, self.longest = make, limit, longest
+        self.older: dict = {}
 
     def __missing__(self, key):
-        value = self.make(key)
+        value = self.older.get(key)
+        if value is None:
+            value = self.make(key)
         if len(key) <= self.longest:
             if len(self) >= self.limit:
+                self.older = dict(self)
                 self.clear()
             self[key] = value
         return value
 
 
+_kept: list = []
+
+
+def kept(key: object, make: Callable):
+    """``make()``, kept in this worker from task to task until another key is asked for: one at a time."""
+    if not _kept or _kept[0] != key:
+        _kept.clear()
+        _kept[:] = [key, make()]
+    return _kept[1]
+
+
+def portions(batches: Iterable[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """The batches in slices, so that one slice's texts are Python objects at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def utf8(column: pa.ChunkedArray | pa.Array) -> list[bytes | None]:
     """UTF-8 bytes of a string column."""
     return column.cast(pa.binary()).to_pylist()

@@ -30,6 +30,7 @@ first, is given; other columns are ignored or, by ``clean``, kept.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimloom.llm.common import Memo, text_of, utf8
+from claimloom.llm.common import Memo, kept, portions, text_of, utf8
 
 ALLOWED = 0.2
 LEAST_WORDS = 5
@@ -105,6 +106,7 @@ class Matcher:
         for _, _, symbols in self.parts:
             s = np.array(symbols)
             self.pairs[self._pair(s[:-1], s[1:])] = True
+        self.mark = zlib.crc32(b"\n".join(vocabulary)), len(vocabulary)
         self.rng = np.random.default_rng(seed)
         self._group()
         self._walks()
@@ -219,8 +221,8 @@ class Matcher:
             starts.append(np.flatnonzero(before[ends] - before[:size] >= g["need"]))
         for walk in self.walks:
             for g, places, (samples, factors, tables, maps) in zip(self.groups, starts, walk["groups"], strict=True):
-                for at in range(0, len(places), 100_000):
-                    own = places[at : at + 100_000]
+                for at in range(0, len(places), 40_000):
+                    own = places[at : at + 40_000]
                     written = self._embed(walk["bits"], (padded, own), g["steps"])
                     for key, table, parts in zip(self._keys(written, samples, factors), tables, maps, strict=True):
                         for k in np.flatnonzero(table[key >> np.uint64(48)]):
@@ -294,7 +296,7 @@ class Matcher:
             word = chunk.lower().strip(_PUNCTUATION)
             return self.vocabulary.get(word, 0) if word else -1
 
-        return Memo(symbol, 1_000_000)
+        return Memo(symbol, 300_000)
 
 
 def matchers(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> list[Matcher]:
@@ -306,16 +308,6 @@ def matchers(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> list[Match
     return [Matcher([(r.item_id, r.text.encode()) for r in items.filter(block == k).collect()]) for k in range(blocks)]
 
 
-_symbols: list = []
-
-
-def _symbols_of(matcher: Matcher, key: object) -> Memo:
-    """This worker's symbols for a matcher, kept from task to task; one matcher at a time."""
-    if not _symbols or _symbols[0] != key:
-        _symbols[:] = [key, matcher.symbols()]
-    return _symbols[1]
-
-
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, item_id, distance, item_words, start_word, end_word for every document and item within the limit."""
     source = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_of().alias("text"))
@@ -326,8 +318,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         shared = docs.sparkSession.sparkContext.broadcast(matcher)
 
         def rows(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            own = _symbols_of(shared.value, shared._path)
-            for batch in batches:
+            own = kept(("symbols", shared.value.mark), shared.value.symbols)
+            for batch in portions(batches):
                 ids = batch.column(0).to_pylist()
                 found = [(ids[n], *hit) for n, *hit in shared.value.find(utf8(batch.column(1)), own)]
                 columns = list(zip(*found, strict=True)) or [()] * len(names)
@@ -347,8 +339,8 @@ def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         shared = docs.sparkSession.sparkContext.broadcast(matcher)
 
         def rows(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            own = _symbols_of(shared.value, shared._path)
-            for batch in batches:
+            own = kept(("symbols", shared.value.mark), shared.value.symbols)
+            for batch in portions(batches):
                 hit = {n for n, *_ in shared.value.find([t or b"" for t in utf8(batch.column(place))], own)}
                 yield batch.filter(pa.array([n not in hit for n in range(batch.num_rows)], pa.bool_()))
 

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from claimloom.llm.common import OWN, cut, utf8
+from claimloom.llm.common import OWN, cut, portions, utf8
 
 LINE = 25
 WINDOW = 25
@@ -196,7 +196,7 @@ def _select_lines(keyed: DataFrame) -> DataFrame:
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["hash", "doc", "at", "end"]
-        for batch in batches:
+        for batch in portions(batches):
             hashes, docs, places, own = [], [], [], []
             for doc, tag, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), utf8(batch.column(2)), strict=True):
                 words = word_hashes(text)
@@ -236,7 +236,7 @@ def _runs(lines: DataFrame) -> DataFrame:
     pairs = seeds.groupBy("doc", "tag", "sdoc", "stag").agg(F.collect_list(F.struct("place", "splace")).alias("seeds"))
 
     def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in portions(batches):
             keys = list(zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True))
             flat, ends = batch.column(4).flatten(), np.cumsum([0, *batch.column(4).value_lengths().to_pylist()])
             places, sources = (flat.field(k).to_numpy(zero_copy_only=False) for k in range(2))
@@ -264,7 +264,7 @@ def _around(dealt: DataFrame, runs: DataFrame) -> DataFrame:
     names = ["sdoc", "stag", "sstart", "send", "before", "after"]
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in portions(batches):
             out = []
             columns = (batch.column(at[DOC]).to_pylist(), batch.column(at[TAG]).to_pylist(), utf8(batch.column(at["text"])), batch.column(at[f"{OWN}asked"]).to_pylist())
             for doc, tag, text, asked in zip(*columns, strict=True):
@@ -310,7 +310,7 @@ def _removals(docs: DataFrame) -> DataFrame:
     names = removed.names
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in portions(batches):
             texts, counts = [], []
             for text, found in zip(utf8(batch.column(place)), batch.column(width).to_pylist(), strict=True):
                 gone, n = [], 0

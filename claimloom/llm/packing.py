@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimloom.llm.common import Memo, text_of, utf8
+from claimloom.llm.common import Memo, kept, portions, text_of, utf8
 
 CONTEXT = 2048
 OPEN_BINS = 32_768
@@ -51,7 +51,7 @@ class WordIds(Memo):
     chunks that might hold a special token are left whole.
     """
 
-    def __init__(self, tokenizer_json: str, limit: int = 1_000_000):
+    def __init__(self, tokenizer_json: str, limit: int = 300_000):
         from tokenizers import Tokenizer
 
         super().__init__(self.encode, limit)
@@ -72,18 +72,6 @@ class WordIds(Memo):
         return b"".join(map(self.__getitem__, text.split()))
 
 
-_words: dict[int, WordIds] = {}
-
-
-def word_ids(tokenizer_json: str) -> WordIds:
-    """This worker's ids for a tokenizer, kept from task to task; one tokenizer at a time."""
-    key = zlib.crc32(tokenizer_json.encode())
-    if key not in _words:
-        _words.clear()
-        _words[key] = WordIds(tokenizer_json)
-    return _words[key]
-
-
 def pieces(docs: DataFrame, tokenizer_path: str, context: int = CONTEXT, end_id: int = 0) -> DataFrame:
     """One row per piece of at most ``context`` tokens; only documents longer than that are cut."""
     with open(tokenizer_path, encoding="utf-8") as file:
@@ -91,8 +79,8 @@ def pieces(docs: DataFrame, tokenizer_path: str, context: int = CONTEXT, end_id:
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = word_ids(vocabulary.value)
-        for batch in batches:
+        words = kept(("words", zlib.crc32(vocabulary.value.encode())), lambda: WordIds(vocabulary.value))
+        for batch in portions(batches):
             rows: list[tuple] = []
             for doc_id, text in zip(batch.column(0).to_pylist(), utf8(batch.column(1)), strict=True):
                 ids = words.of(text) + end

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from claimloom.llm.common import OWN, text_of
+from claimloom.llm.common import OWN, portions, text_of
 
 KEY = b"change this key for each corpus"
 
@@ -318,7 +318,7 @@ def replaced(docs: DataFrame, key: bytes = KEY) -> DataFrame:
     names = schema.names
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in portions(batches):
             done = [(None, []) if t is None else surrogates(t, key) for t in batch.column(place).to_pylist()]
             columns = batch.columns
             columns[place] = pa.array([t for t, _ in done], batch.schema.types[place])
@@ -341,7 +341,7 @@ def audit(docs: DataFrame, key: bytes = KEY) -> DataFrame:
         return int.from_bytes(hmac.digest(key, f"{kind}:{_canonical(kind, text)}".encode(), "blake2b")[:8], "big", signed=True)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in portions(batches):
             pairs = {(k, digest(k, a), digest(k, b)) for t in batch.column(0).to_pylist() for k, a, b in surrogates(t, key)[1]}
             kinds, old, new = zip(*pairs, strict=True) if pairs else ((), (), ())
             yield pa.RecordBatch.from_arrays([pa.array(kinds, pa.string()), pa.array(old, pa.int64()), pa.array(new, pa.int64())], ["kind", "old", "new"])

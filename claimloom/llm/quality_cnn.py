@@ -28,14 +28,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimloom.llm.common import OWN, text_of, utf8
+from claimloom.llm.common import OWN, portions, text_of, utf8
 
 CHUNK, STEP, WIDTH = 512, 4, 8
 DIM, FILTERS, HIDDEN = 8, 32, 16
 SAMPLE, TRAIN_CHUNKS, EPOCHS, BATCH = 2400, 8, 14, 32
 THRESHOLD = 0.3
 #: Bytes scored at a time; a longer text is scored in portions that see each other's edges.
-PORTION = 1 << 20
+PORTION = 1 << 18
 _SCORES = "doc_id bigint, held_out boolean, score double, predicted int"
 
 
@@ -220,7 +220,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, chun
     )
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in portions(batches):
             parts = [_spread(t, chunks) for t in utf8(batch.column(2))]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(parts, pa.binary())], ["doc_id", "quality", "part"])
 
@@ -240,7 +240,7 @@ def score(docs: DataFrame, net: Network, threshold: float = THRESHOLD) -> DataFr
     shared = docs.sparkSession.sparkContext.broadcast(net)  # some 40 kB, whatever the input
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in portions(batches):
             found = shared.value.score(utf8(batch.column(2))).astype(np.float64)
             columns = [batch.column(0), batch.column(1), pa.array(found), pa.array((found >= threshold).astype(np.int32))]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "held_out", "score", "predicted"])
@@ -260,7 +260,7 @@ def accepted(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -
     place = docs.columns.index("text")
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in portions(batches):
             texts = [t or b"" for t in utf8(batch.column(place))]
             yield batch.filter(pa.array(shared.value.score(texts) >= threshold))
 

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimloom.llm.common import text_of, utf8
+from claimloom.llm.common import portions, text_of, utf8
 
 SYMBOLS = b"#*$%&|<>"
 CAPITALS = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -103,7 +103,7 @@ def ledger(docs: DataFrame) -> DataFrame:
     """doc_id, every measurement and failure_bits, a row per document."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in portions(batches):
             columns = zip(*map(measure, utf8(batch.column(1))), strict=True)
             found = [pa.array(c, type=pa.int64()) for c in columns] or [pa.array([], type=pa.int64())] * len(MEASURES)
             yield pa.RecordBatch.from_arrays([batch.column(0), *found], ["doc_id", *MEASURES])

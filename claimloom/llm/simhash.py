@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from claimloom.llm.common import OWN, cut, text_of, utf8
+from claimloom.llm.common import OWN, cut, portions, text_of, utf8
 from claimloom.llm.components import connected_components
 
 SHINGLE = 3
@@ -74,7 +74,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """doc_id and fp, the fingerprint as a signed long."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in portions(batches):
             found = np.array([fingerprint(t, shingle) for t in utf8(batch.column(1))], dtype=np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], ["doc_id", "fp"])
 
@@ -164,7 +164,7 @@ def _nameless(rows: DataFrame, alone: DataFrame) -> DataFrame:
     own = f"{OWN}id"
 
     def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in portions(batches):
             found = [f"{fingerprint(t or b''):016x}" for t in utf8(batch.column("text"))]
             yield batch.append_column(own, pa.array(found, pa.string()))
 

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimloom.llm.common import Memo, text_of
+from claimloom.llm.common import Memo, kept, portions, text_of
 
 RULES = ("first", "most", "share")
 #: The characters with Unicode's White_Space property.
@@ -46,7 +46,7 @@ class TokenLengths(Memo):
     def __init__(self, tokenizer_json: str):
         from tokenizers import Tokenizer
 
-        super().__init__(self.encode, 1_000_000)
+        super().__init__(self.encode, 300_000)
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
 
@@ -58,16 +58,9 @@ class TokenLengths(Memo):
         return np.frombuffer(b"".join(map(self.__getitem__, _CUT.findall(text))), "<u2").astype(np.int64)
 
 
-_kept: dict[int, TokenLengths] = {}
-
-
 def token_lengths(tokenizer_json: str) -> TokenLengths:
-    """This worker's lengths for a tokenizer, kept from task to task; one tokenizer at a time."""
-    key = zlib.crc32(tokenizer_json.encode())
-    if key not in _kept:
-        _kept.clear()
-        _kept[key] = TokenLengths(tokenizer_json)
-    return _kept[key]
+    """This worker's lengths for a tokenizer."""
+    return kept(("lengths", zlib.crc32(tokenizer_json.encode())), lambda: TokenLengths(tokenizer_json))
 
 
 def allocate(lengths: np.ndarray, starts: np.ndarray, end: int, rule: str) -> tuple[np.ndarray, np.ndarray]:
@@ -111,7 +104,7 @@ def by_line(docs: DataFrame, tokenizer_path: str, rule: str = "first") -> DataFr
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lengths = token_lengths(shared.value)
-        for batch in batches:
+        for batch in portions(batches):
             owners, found = [], []
             for n, text in enumerate(batch.column(1).to_pylist()):
                 data = np.frombuffer(text.encode(), np.uint8)
@@ -139,7 +132,7 @@ def by_field(df: DataFrame, key: str, fields: Sequence[str], tokenizer_path: str
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lengths = token_lengths(shared.value)
-        for batch in batches:
+        for batch in portions(batches):
             owners, found = [], []
             texts = zip(*(batch.column(k + 1).to_pylist() for k in range(len(fields))), strict=True)
             for n, values in enumerate(texts):
