@@ -38,7 +38,7 @@ RULES: tuple[tuple[int, str, str], ...] = (
     (0, "few_words", "n_words < 10"),
     (1, "repeated_windows", "100 * n_repeat_words > 20 * n_words"),
     (2, "symbols", "100 * n_symbols > 10 * word_chars"),
-    (3, "repeated_lines", "100 * n_dup_lines > 30 * n_lines"),
+    (3, "repeated_lines", "100 * n_dup_lines > 50 * n_lines"),
     (4, "capitals", "100 * n_capitals > 50 * (n_capitals + n_small)"),
     (5, "short_words", "word_chars < 2 * n_words"),
     (6, "long_words", "word_chars > 15 * n_words"),
