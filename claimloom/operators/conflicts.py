@@ -12,26 +12,41 @@ from claimloom.functions.vocabulary import TRUST_TIERS, rank
 def pairs(facts: DataFrame) -> DataFrame:
     """(subject, kind, a, b) for disagreeing facts a < b of different sources.
 
-    Columns: subject, fact, source, change, is_risk, value, versions, scoped. Facts of one
-    subject and source that say the same are met once, through the smallest of them, so a
-    subject that a third of the rows share grows with its distinct claims, not its rows.
+    Columns: subject, fact, source, change, is_risk, value, versions, scoped. A row per pair
+    is what is asked for; facts should be distinct claims, so that repeated ones make no pairs.
+    ``members`` gives the facts in each conflict without pairs.
     """
     a, b = facts.alias("a"), facts.alias("b")
     same = (F.col("a.subject") == F.col("b.subject")) & (F.col("a.fact") < F.col("b.fact")) & (F.col("a.source") != F.col("b.source"))
     return a.join(b, same).select(F.col("a.subject").alias("subject"), disagreement("a", "b").alias("kind"), F.col("a.fact").alias("a"), F.col("b.fact").alias("b")).filter("kind IS NOT NULL")
 
 
+def members(facts: DataFrame) -> DataFrame:
+    """(subject, kind, fact): the facts in each conflict, without a row per pair.
+
+    A fact disagrees with some other if a profile of another source does, so facts are met through
+    the distinct profiles (change, is_risk, value, versions, scoped) of their subject, each with at
+    most two of its sources: enough to tell whether one differs from the fact's own. A subject that
+    a third of all rows share then costs its facts times its profiles.
+    """
+    profile = ["subject", "change", "is_risk", "value", "versions", "scoped"]
+    profiles = facts.groupBy(*profile).agg(F.min("source").alias("s0"), F.max("source").alias("s1"))
+    a, b = facts.alias("a"), profiles.alias("b")
+    other = (F.col("a.subject") == F.col("b.subject")) & ((F.col("b.s0") != F.col("a.source")) | (F.col("b.s1") != F.col("a.source")))
+    met = a.join(b, other).select(F.col("a.subject").alias("subject"), disagreement("a", "b").alias("kind"), F.col("a.fact").alias("fact"))
+    return met.filter("kind IS NOT NULL").distinct()
+
+
 def precedence() -> list[Column]:
     """Trust, then scope, then how recent the latest version is; the fact's number breaks no tie."""
     return [rank(F.col("tier"), TRUST_TIERS), F.when(F.col("scoped"), 0).otherwise(1), -F.coalesce("latest", F.lit(-1))]
 
 
-def resolved(found: DataFrame, facts: DataFrame, by: tuple[str, ...] = ("subject", "kind")) -> DataFrame:
-    """One row per subject and kind: claims, resolution and winner (null on a tie of the first two).
+def resolved(members: DataFrame, facts: DataFrame, by: tuple[str, ...] = ("subject", "kind")) -> DataFrame:
+    """One row per subject and kind of ``members``: claims, resolution and winner (null on a tie of the first two).
 
     Facts also have tier and latest (place of their latest version, -1 for none).
     """
-    members = found.select(*by, F.explode(F.array("a", "b")).alias("fact")).distinct()
     keys = [c.alias(f"p{n}") for n, c in enumerate(precedence())]
     claims = members.join(facts.select("fact", *keys), "fact")
     order = Window.partitionBy(*by).orderBy("p0", "p1", "p2", "fact")
@@ -44,9 +59,8 @@ def resolved(found: DataFrame, facts: DataFrame, by: tuple[str, ...] = ("subject
     )
 
 
-def touching(conditions: DataFrame, found: DataFrame, outcome: DataFrame, by: tuple[str, ...] = ("subject", "kind")) -> DataFrame:
+def touching(conditions: DataFrame, members: DataFrame, outcome: DataFrame, by: tuple[str, ...] = ("subject", "kind")) -> DataFrame:
     """Per condition: conflicts it touches, lost ones and unresolved ones, over its cited facts (condition, fact)."""
-    members = found.select(*by, F.explode(F.array("a", "b")).alias("fact")).distinct()
     met = conditions.join(members, "fact").join(outcome, list(by))
     each = met.groupBy("condition", *by, "resolution").agg(F.bool_or(F.col("fact") == F.col("winner")).alias("holds_winner"))
     lost = (F.col("resolution") == "resolved") & ~F.coalesce("holds_winner", F.lit(False))

@@ -28,7 +28,7 @@ _RESOLVED_SQL = f"""SELECT subject, kind, n_claims, CASE WHEN tie THEN 'unresolv
 @query("conflict_resolve", _RESOLVED_SQL)
 def conflict_resolve(spark, sf_dir):
     facts = views.facts(spark, sf_dir)
-    return conflicts.resolved(conflicts.pairs(facts), facts)
+    return conflicts.resolved(conflicts.members(facts), facts)
 
 
 @query("conflict_touch", f"""SELECT condition, count(*) AS touching, count_if(resolution = 'resolved' AND NOT holds) AS lost, count_if(resolution = 'unresolved') AS unresolved FROM (
@@ -37,7 +37,7 @@ def conflict_resolve(spark, sf_dir):
   GROUP BY f.source, r.subject, r.kind, r.resolution) GROUP BY condition""")
 def conflict_touch(spark, sf_dir):
     facts = views.facts(spark, sf_dir)
-    found = conflicts.pairs(facts)
+    found = conflicts.members(facts)
     return conflicts.touching(facts.select(F.col("source").alias("condition"), "fact"), found, conflicts.resolved(found, facts))
 
 

@@ -173,10 +173,12 @@ def test_conflicts(spark):
     frame = spark.createDataFrame(rows, FACT)
     pairs = conflicts.pairs(frame)
     assert {(r.kind, r.a, r.b) for r in pairs.collect()} == {("severity", "f1", "f2"), ("value", "f3", "f4"), ("versions", "f6", "f7"), ("versions", "f7", "f8"), ("risk_vs_context", "f9", "g1")}
-    out = {(r.subject, r.kind): (r.n_claims, r.resolution, r.winner) for r in conflicts.resolved(pairs, frame).collect()}
+    members = conflicts.members(frame)
+    assert {tuple(r) for r in members.collect()} == {(r.subject, r.kind, f) for r in pairs.collect() for f in (r.a, r.b)}
+    out = {(r.subject, r.kind): (r.n_claims, r.resolution, r.winner) for r in conflicts.resolved(members, frame).collect()}
     assert out == {("s", "severity"): (2, "resolved", "f1"), ("t", "value"): (2, "unresolved", None), ("u", "versions"): (3, "resolved", "f8"), ("v", "risk_vs_context"): (2, "unresolved", None)}
     cited = spark.createDataFrame([("c1", "f1"), ("c2", "f2"), ("c2", "f3"), ("c3", "f5")], "condition string, fact string")
-    touched = {r.condition: (r.touching, r.lost, r.unresolved) for r in conflicts.touching(cited, pairs, conflicts.resolved(pairs, frame)).collect()}
+    touched = {r.condition: (r.touching, r.lost, r.unresolved) for r in conflicts.touching(cited, members, conflicts.resolved(members, frame)).collect()}
     assert touched == {"c1": (1, 0, 0), "c2": (2, 1, 1)}
 
 
