@@ -28,6 +28,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from claimloom.llm.common import cut
+
 STRIDE = 768
 HISTORY_TOKENS = 256
 HISTORY_TURNS = 4
@@ -110,7 +112,8 @@ def windows(
     ``loss_spans`` are starts (from 1) and lengths in code points of ``formatted``.
     A window is over its budget only through a turn that alone is too long, or a long system turn.
     """
-    turns = _turns(conversations, stride)
+    # Placed turns and spans are read by several branches; each is written once to the shared folder.
+    turns = cut(_turns(conversations, stride), "turns")
     key = ["conv_id", "stretch", "long", "part"]
     turns = turns.withColumn("part", F.when(F.col("long"), 0).otherwise(F.floor(F.col("before") / stride)).cast("bigint"))
     one = F.struct("place", escaped(F.col("role")).alias("role"), escaped(F.col("text")).alias("text"), "tokens", (F.col("role") == "assistant").alias("target"))
@@ -119,7 +122,7 @@ def windows(
     numbers = turns.groupBy(*key).agg(F.min("place").alias("first")).withColumn("window", F.row_number().over(order) - 1)
     numbers = numbers.select(*(F.col(c).alias(f"{c}_") for c in key), "first", F.col("window").cast("bigint").alias("window"))
     same = F.col("conv_id").eqNullSafe(F.col("conv_id_")) & (F.col("stretch") == F.col("stretch_")) & (F.col("long") == F.col("long_")) & (F.col("part") == F.col("part_"))
-    spans = spans.join(numbers, same).select("conv_id", "window", "first", "turns")
+    spans = cut(spans.join(numbers, same).select("conv_id", "window", "first", "turns"), "spans")
 
     system = turns.filter("role = 'system'").groupBy("conv_id").agg(F.min_by(one, "place").alias("system"))
     system = system.select(F.col("conv_id").alias("system_conv"), "system")
