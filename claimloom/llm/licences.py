@@ -230,24 +230,35 @@ def scan(docs: DataFrame, model: Model | None = None) -> DataFrame:
     words = F.regexp_extract_all(F.lower("line"), F.lit(_WORD), F.lit(0))
     pairs = F.zip_with("words", F.slice("words", F.lit(2), F.greatest(F.size("words") - 1, F.lit(0))), lambda a, b: F.concat(a, F.lit(" "), b))
     grams = F.array_distinct(F.concat("words", F.filter(pairs, lambda g: g.isNotNull())))
-    found = F.filter(F.transform("grams", lambda g: F.try_element_at(table, g)), lambda v: v.isNotNull())
-    total = F.aggregate("found", start, lambda a, v: F.zip_with(a, v, lambda x, y: x + y))
+    # A map is searched entry by entry, so only n-grams that hash sets have met are looked up in it:
+    # the anchors of the line give the n-grams with weights that it may hold, and those meet its own.
+    by_anchor = F.map_from_arrays(anchors, _literal([[g for g in model.grams if a in g.split()] for a in model.anchors], "array<array<string>>"))
+    possible = F.flatten(F.transform(F.array_intersect("words", anchors), lambda a: F.try_element_at(by_anchor, a)))
+    met = F.array_intersect("grams", "possible")
+    found = F.transform("met", lambda g: F.try_element_at(table, g))
     scaled = F.transform(F.slice("total", 1, classes), lambda z: z / F.lit(model.temperature))
     exps = F.transform("scaled", lambda z: F.exp(z - F.array_max("scaled")))
     names = _literal([*model.families, UNKNOWN], "array<string>")
     owners = _literal([f for f, _ in NOTICES], "array<string>")
     shares = F.transform(F.slice("total", classes + 1, notices), lambda s, n: F.when(F.get(owners, n) == F.col("family"), s))
-    return (
-        lines.withColumn("words", words)
-        .withColumn("grams", grams)
-        .withColumn("found", found)
-        .filter(F.size("found") > 0)
-        .withColumn("total", total)
-        .withColumn("scaled", scaled)
-        .withColumn("exps", exps)
-        .withColumn("probability", F.array_max("exps") / F.aggregate("exps", F.lit(0.0), lambda a, e: a + e))
-        .withColumn("family", F.get(names, F.array_position("exps", F.array_max("exps")).cast("int") - 1))
-        .filter((F.col("family") != UNKNOWN) & (F.col("probability") >= model.threshold))
-        .withColumn("similarity", F.array_max(shares))
-        .select("doc_id", "paragraph", "family", "probability", "similarity", (F.col("similarity") >= CONFIRMED).alias("confirmed"))
-    )
+
+    def computed(df: DataFrame, *columns: Column) -> DataFrame:
+        """Columns as a generator gives them: the optimizer does not copy what they are made of into filters above."""
+        names = [f"c{n}" for n in range(len(columns))]
+        return df.select("doc_id", "paragraph", F.stack(F.lit(1), *columns).alias(*names))
+
+    def named(df: DataFrame, *names: str) -> DataFrame:
+        return df.toDF("doc_id", "paragraph", *names)
+
+    worded = named(computed(lines, words), "words")
+    paired = named(computed(worded, grams, possible), "grams", "possible")
+    meeting = named(computed(paired, met), "met").filter(F.size("met") > 0)
+    summed = named(computed(meeting, F.aggregate(found, start, lambda a, v: F.zip_with(a, v, lambda x, y: x + y))), "total")
+    raised = named(computed(summed, F.col("total"), scaled), "total", "scaled")
+    likely = named(computed(raised, F.col("total"), exps), "total", "exps")
+    probability = F.array_max("exps") / F.aggregate("exps", F.lit(0.0), lambda a, e: a + e)
+    family = F.get(names, F.array_position("exps", F.array_max("exps")).cast("int") - 1)
+    judged = named(computed(likely, F.col("total"), probability, family), "total", "probability", "family")
+    judged = judged.filter((F.col("family") != UNKNOWN) & (F.col("probability") >= model.threshold))
+    similarity = F.array_max(shares)
+    return judged.select("doc_id", "paragraph", "family", "probability", similarity.alias("similarity")).withColumn("confirmed", F.col("similarity") >= CONFIRMED)
