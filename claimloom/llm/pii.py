@@ -42,8 +42,8 @@ KEY = b"change this key for each corpus"
 
 # Given names by script and gender.
 GIVEN_NAMES: dict[tuple[str, str], str] = {
-    ("latin", "f"): "Alice Amelia Anita Anna Barbara Beatriz Camille Carla Carmen Caroline Catherine Charlotte Clara Claudia Daniela Diana Elena Elizabeth Emily Emma Eva Fatima Fiona Francesca Gabriela Hanna Helena Ingrid Isabel Jane Jennifer Jessica Joanna Julia Karen Laura Linda Lucia Magdalena Margaret Maria Marie Marta Mary Monica Natalia Olivia Patricia Paula Rachel Rebecca Rosa Sandra Sarah Silvia Sofia Sophie Susan Teresa Ursula Valentina Victoria",
-    ("latin", "m"): "Adam Alan Albert Alexander Andrew Anthony Antonio Arthur Bernard Brian Carlos Charles Christian Daniel David Diego Dominik Edward Eric Felix Fernando Francisco Frank George Gregory Hans Henry Hugo James Javier John Jonas Joseph Juan Julian Karl Kevin Leonard Lewis Louis Luis Manuel Marco Martin Matthew Michael Miguel Nicholas Oliver Oscar Patrick Paul Peter Philip Rafael Richard Robert Samuel Sebastian Stefan Steven Thomas Victor Walter William",
+    ("latin", "f"): "Aisha Alice Amelia Anita Anna Anne Barbara Beatriz Camille Carla Carmen Caroline Catherine Charlotte Clara Claudia Daniela Diana Elena Elizabeth Emily Emma Eva Fatima Fiona Francesca Gabriela Hanna Helena Ingrid Isabel Jane Jennifer Jessica Joanna Julia Karen Laura Linda Lucia Magdalena Margaret Maria Marie Marta Mary Monica Natalia Olivia Patricia Paula Rachel Rebecca Rosa Sandra Sarah Silvia Sofia Sophie Susan Teresa Ursula Valentina Victoria",
+    ("latin", "m"): "Adam Ahmed Alan Albert Alexander Andrew Anthony Antonio Arthur Bernard Brian Carlos Charles Christian Daniel David Diego Dominik Edward Eric Felix Fernando Francisco Frank George Gregory Hans Henry Hugo James Javier John Jonas Joseph Juan Julian Karl Kevin Leonard Lewis Louis Luis Manuel Marco Mark Martin Matthew Michael Miguel Nicholas Oliver Oscar Patrick Paul Peter Philip Rafael Richard Robert Samuel Sebastian Stefan Steven Thomas Victor Walter William",
     ("cyrillic", "f"): "Анна Валентина Вера Галина Екатерина Елена Ирина Ксения Людмила Мария Надежда Наталья Ольга Полина Светлана Татьяна",
     ("cyrillic", "m"): "Алексей Андрей Борис Виктор Владимир Дмитрий Иван Константин Максим Михаил Николай Олег Павел Пётр Сергей Юрий",
     ("greek", "f"): "Αγγελική Αικατερίνη Άννα Βασιλική Γεωργία Δήμητρα Ειρήνη Ελένη Ευαγγελία Κωνσταντίνα Μαρία Σοφία",
