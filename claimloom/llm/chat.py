@@ -118,17 +118,16 @@ def windows(
     turns = turns.withColumn("part", F.when(F.col("long"), 0).otherwise(F.floor(F.col("before") / stride)).cast("bigint"))
     one = F.struct("place", escaped(F.col("role")).alias("role"), escaped(F.col("text")).alias("text"), "tokens", (F.col("role") == "assistant").alias("target"))
     spans = turns.groupBy(*key).agg(F.sort_array(F.collect_list(one)).alias("turns"))
-    order = Window.partitionBy("conv_id").orderBy("first")
-    numbers = turns.groupBy(*key).agg(F.min("place").alias("first")).withColumn("window", F.row_number().over(order) - 1)
-    numbers = numbers.select(*(F.col(c).alias(f"{c}_") for c in key), "first", F.col("window").cast("bigint").alias("window"))
+    # The system turn travels with the spans' numbers, which are few and short beside the texts.
+    numbers = turns.groupBy(*key).agg(F.min("place").alias("first"), F.min(F.when(F.col("role") == "system", one)).alias("own"))
+    whole = Window.partitionBy("conv_id")
+    numbers = numbers.withColumns({"window": F.row_number().over(whole.orderBy("first")) - 1, "system": F.min("own").over(whole)})
+    numbers = numbers.select(*(F.col(c).alias(f"{c}_") for c in key), "first", F.col("window").cast("bigint").alias("window"), "system")
     same = F.col("conv_id").eqNullSafe(F.col("conv_id_")) & (F.col("stretch") == F.col("stretch_")) & (F.col("long") == F.col("long_")) & (F.col("part") == F.col("part_"))
-    spans = cut(spans.join(numbers, same).select("conv_id", "window", "first", "turns"), "spans")
+    spans = cut(spans.join(numbers, same).select("conv_id", "window", "first", "turns", "system"), "spans")
 
-    system = turns.filter("role = 'system'").groupBy("conv_id").agg(F.min_by(one, "place").alias("system"))
-    system = system.select(F.col("conv_id").alias("system_conv"), "system")
     tails = spans.select(F.col("conv_id").alias("tail_conv"), (F.col("window") + 1).alias("tail_window"), _tail("turns", history_turns, history_tokens).alias("history"))
     joined = spans.join(tails, F.col("conv_id").eqNullSafe(F.col("tail_conv")) & (F.col("window") == F.col("tail_window")), "left")
-    joined = joined.join(system, F.col("conv_id").eqNullSafe(F.col("system_conv")), "left")
 
     as_kind = lambda turns, kind: F.transform(turns, lambda x: F.struct(F.lit(kind).alias("kind"), x.role.alias("role"), x.text.alias("text"), x.tokens.alias("tokens"), (x.target & F.lit(kind == "fresh")).alias("target")))
     none = F.filter(F.col("turns"), lambda x: F.lit(False))

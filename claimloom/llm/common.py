@@ -74,17 +74,27 @@ def map_arrow(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iter
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors share: ``spark.checkpoint.dir``, or in local tests a fresh one."""
     found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        own = spark.sparkContext.getCheckpointDir()
-        found = own or tempfile.mkdtemp(prefix="claimloom-")
+    if found:
+        return found
     if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(found)
-    return found
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="claimloom-"))
+    return spark.sparkContext.getCheckpointDir()
 
 
-def cut(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the shared folder as Parquet and read again: its lineage ends there."""
+def written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``df`` written to the shared folder as Parquet and read again, and where it lies."""
     spark = df.sparkSession
     path = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def cut(df: DataFrame, name: str) -> DataFrame:
+    """``written``, where the result may be read as long as the folder stands: its lineage ends there."""
+    return written(df, name)[0]
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Deletes what ``written`` made, once nothing reads it any more."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

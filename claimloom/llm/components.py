@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimloom.llm.common import cut
+from claimloom.llm.common import discard, written
 
 _ROUNDS = 60
 
@@ -14,14 +14,16 @@ def connected_components(links: DataFrame, name: str = "components") -> DataFram
     """(node, root) for every node of ``links`` (a, b); root is the component's smallest node.
 
     Each round moves every link once towards smaller nodes, over joins by node whose
-    hot keys Spark splits, and writes what remains to the shared folder. Nothing of
+    hot keys Spark splits, writes what remains to the shared folder and deletes the round before. Nothing of
     the graph reaches the driver but a count and a checksum per round. The number
     of rounds grows with the logarithm of a component's size.
     """
-    now = cut(_ordered(links), name)
+    now, place = written(_ordered(links), name)
     seen = _mark(now)
     for _ in range(_ROUNDS):
-        now = cut(_small_star(_large_star(now)), name)
+        before = place
+        now, place = written(_small_star(_large_star(now)), name)
+        discard(now.sparkSession, before)
         mark = _mark(now)
         if mark == seen:
             break
