@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from claimloom.functions import urls
 from claimloom.functions import versions as v
 
-#: Places of a path where a number is a version.
+# Places of a path where a number is a version, words of release notes and of guides.
 _PLACES = r"(?i)(?:releases?[-/]|/docs?/(?:[a-z]{2}/)?|/en/|version[-/])([0-9]+(?:[.-][0-9]+){0,3})(?:/|\.html|$)"
 _NOTES = r"(?i)release|changelog|changes|what.?s.?new"
 _GUIDES = "(?i)migrat|upgrad|changelog|deprecat"

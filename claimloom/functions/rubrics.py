@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from claimloom.functions.text import loose
 from claimloom.functions.vocabulary import RISK_LEVELS, rank
 
+# Thresholds, and the words that cap a severity.
 RISK_AT, CONTEXT_AT = 2.5, 1.5
 EXPERIMENTAL = r"(?i)\b(experimental|alpha|canary|unstable)\b"
 BUG_FIX = r"(?i)^\W*fix(es|ed)?\b"

@@ -63,6 +63,7 @@ def api_address(url: Column) -> Column:
 def document_kind(url: Column, title: Column) -> Column:
     """The kind of a document by its address and title; the first pattern decides."""
     hint = F.concat(url, F.lit(" "), title)
+    # The patterns and their order.
     return (
         F.when(hint.rlike("(?i)migrat|upgrad"), "upgrade_guide")
         .when(hint.rlike("(?i)deprecat"), "deprecation_notice")

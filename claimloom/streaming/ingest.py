@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from uuid import uuid4
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,16 +21,34 @@ def latest(arrivals: DataFrame) -> DataFrame:
     return arrivals.groupBy("url").agg(F.max_by(F.struct("body", "content_sha256", "arrived"), F.struct("arrived", "content_sha256")).alias("d")).select("url", "d.*")
 
 
+def versions(spark: SparkSession, folder: str) -> list[int]:
+    """Numbers of the complete versions of the table under ``folder``, ascending."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(place):
+        return []
+    names = [s.getPath().getName() for s in files.listStatus(place)]
+    done = [n for n in names if re.fullmatch(r"v\d{12}", n) and files.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{n}/_SUCCESS"))]
+    return sorted(int(n[1:]) for n in done)
+
+
+def table_at(spark: SparkSession, folder: str, number: int) -> DataFrame:
+    return spark.read.parquet(f"{folder}/v{number:012d}")
+
+
 def upserting(spark: SparkSession, folder: str):
-    """A function for foreachBatch that merges a batch into the newest version of the table under ``folder``."""
-    state: dict[str, str] = {}
+    """A function for foreachBatch: version n of the table is the newest version before n with batch n merged in.
+
+    Nothing is kept between batches but the files, so a restart goes on, and a batch that runs
+    again writes the same version.
+    """
+    folder = folder.rstrip("/")
 
     def merge(batch: DataFrame, number: int) -> None:
         new = batch.select("url", "body", "content_sha256", "arrived")
-        if "path" in state:
-            new = spark.read.parquet(state["path"]).unionByName(new)
-        path = f"{folder.rstrip('/')}/v{number}-{uuid4().hex}"
-        latest(new).write.parquet(path)
-        state["path"] = path
+        before = [n for n in versions(spark, folder) if n < number]
+        if before:
+            new = table_at(spark, folder, before[-1]).unionByName(new)
+        latest(new).write.mode("overwrite").parquet(f"{folder}/v{number:012d}")
 
-    return merge, state
+    return merge
