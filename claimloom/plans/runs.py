@@ -137,3 +137,45 @@ def path_types(spark, sf_dir):
     return summary.facets(rows.withColumn("risk_type", F.concat_ws("\t", "case_id", "risk_type")), ["risk_type"]).select(
         F.get(F.split("value", "\t"), F.lit(0)).alias("case_id"), F.get(F.split("value", "\t"), F.lit(1)).alias("risk_type"), "n"
     )
+
+
+_GRADED_JSON_SQL = f"""SELECT p.path, level, sha256(to_json(list(struct_pack(condition := condition, role := role, confidence := confidence) ORDER BY condition))::VARCHAR) AS conditions_sha256
+FROM ({views.GRADED_SQL}) p JOIN (SELECT o_orderkey AS path, {LEVEL_SQL} AS level FROM orders) o ON o.path = p.path GROUP BY p.path, level"""
+
+
+@query("final_projection", _GRADED_JSON_SQL)
+def final_projection(spark, sf_dir):
+    from claimloom.operators import contract
+
+    graded = confidence.graded(views.conditions(spark, sf_dir))
+    found = contract.final_paths(views.paths(spark, sf_dir), graded, fields=("role", "confidence")).filter("conditions IS NOT NULL")
+    return found.select("path", "level", F.sha2(F.to_json("conditions"), 256).alias("conditions_sha256"))
+
+
+@query("change_kinds", """SELECT l_orderkey AS path, array_to_string(list_sort(list_distinct(list(CASE l_returnflag WHEN 'A' THEN 'removed' WHEN 'N' THEN 'deprecated' ELSE 'renamed' END) || list(CASE WHEN l_quantity > 45 THEN 'known_issue' END))), ',') AS kinds
+FROM lineitem GROUP BY l_orderkey""")
+def change_kinds(spark, sf_dir):
+    from claimloom.operators import contract
+
+    change = F.when(F.col("l_returnflag") == "A", "removed").when(F.col("l_returnflag") == "N", "deprecated").otherwise("renamed")
+    rows = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("path"), change.alias("change"), (F.col("l_quantity") > 45).alias("known_incompatibility"))
+    return contract.change_kinds(rows).select("path", F.array_join("change_kinds", ",").alias("kinds"))
+
+
+@query("structural_warnings", """SELECT l_orderkey AS path, concat_ws(',', CASE WHEN NOT bool_or(l_linenumber = 1) THEN 'no_version_condition' END, CASE WHEN bool_and(l_linenumber = 1) THEN 'no_other_condition' END) AS warnings FROM lineitem GROUP BY l_orderkey""")
+def structural_warnings(spark, sf_dir):
+    from claimloom.operators import contract
+
+    rows = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("path"), F.when(F.col("l_linenumber") == 1, "version").otherwise("api_usage").alias("category"))
+    return contract.structural_warnings(rows).select("path", F.array_join("warnings", ",").alias("warnings"))
+
+
+@query("search_patterns", """SELECT path, array_to_string(list(pattern ORDER BY seen), ',') AS patterns FROM (SELECT l_orderkey AS path, pattern, min(l_linenumber * 10 + k) AS seen
+FROM (SELECT l_orderkey, l_linenumber, unnest([l_returnflag || l_linenumber % 2, l_linestatus]) AS pattern, unnest([1, 2]) AS k FROM (SELECT DISTINCT l_orderkey, l_linenumber, min(l_returnflag) AS l_returnflag, min(l_linestatus) AS l_linestatus FROM lineitem GROUP BY l_orderkey, l_linenumber)) GROUP BY l_orderkey, pattern) GROUP BY path""")
+def search_patterns(spark, sf_dir):
+    from claimloom.operators import contract
+
+    items = table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.min("l_returnflag").alias("f"), F.min("l_linestatus").alias("s"))
+    own = F.array(F.concat(F.col("f"), (F.col("l_linenumber") % 2).cast("string")), F.col("s"))
+    rows = items.select(F.col("l_orderkey").alias("path"), "l_linenumber", own.alias("patterns"))
+    return contract.search_patterns(rows, "path", "l_linenumber", "patterns").select("path", F.array_join("search_patterns", ",").alias("patterns"))

@@ -60,3 +60,21 @@ def test_model_settings():
     for bad in ({"url": "http://x"}, {"url": "https://x", "timeout": 0}, {"url": "https://x", "retries": 99}):
         with pytest.raises(ValueError):
             settings.Transport(**bad)
+
+
+def test_contract(spark):
+    from claimloom.operators import contract
+
+    shape = "fact string, subject string, change string, source string, source_type string, quote string, explanation string, candidate string, url string, tier string, versions array<string>, certainty string"
+    row = ("f1", "render", "context", "s", "t", "q", "why", "c", "u", "official", ["1"], "explicit")
+    entry = contract.context_entries(spark.createDataFrame([row], shape)).first()
+    assert entry.statement == "render: why" and entry.evidence.quote_or_summary == "q" and entry.why_not_a_risk == "Extracted as context."
+    state = spark.createDataFrame([(["a" * 2000, "b", "c", "d"],)], "q array<string>").select(contract.judge_state(F.col("q"))).first()[0]
+    assert [len(x) for x in state] == [1200, 1, 1]
+    counts = spark.createDataFrame([(0, 2, 0), (0, 0, 0)], "a int, b int, c int").select(contract.diagnostics(False, F.col("a"), F.col("b"), F.col("c")).alias("d")).collect()
+    assert [len(r.d) for r in counts] == [2, 1] and counts[0].d[1] == "2 calls of the judge failed."
+    small = spark.createDataFrame([("abcdef", [1, 2, 3])], "t string, l array<int>").select(contract.compact({"t": 3}, {"l": 2}).alias("x")).first().x
+    assert (small.t, small.l) == ("abc", [1, 2])
+    hints = spark.createDataFrame([("scored", "context", "x"), ("failed", None, None)], "status string, label string, risk_type string").select(contract.relevance_hint().alias("h")).collect()
+    assert hints[0].h.label == "context" and hints[1].h is None
+    assert contract.upstream_questions(spark.createDataFrame([("1.0",)], "version string"), "orbit").first()[0].startswith("Nothing was collected for orbit 1.0")
