@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import tempfile
 from collections.abc import Callable, Iterable, Iterator
 from uuid import uuid4
@@ -50,11 +52,25 @@ def kept(key: object, make: Callable):
     return _kept[1]
 
 
-def portions(batches: Iterable[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
-    """The batches in slices, so that one slice's texts are Python objects at a time."""
+def _trim() -> None:
+    """Gives freed memory back to the system, so that an idle worker does not hold what its last task used."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # where the C library has no such call
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def portions(batches: Iterable[pa.RecordBatch], rows: int = 1000, holding: bool = False) -> Iterator[pa.RecordBatch]:
+    """The batches in slices, so that one slice's texts are Python objects at a time.
+
+    Unless it is ``holding`` something ``kept``, the worker lets go of what an earlier operator kept.
+    """
+    if not holding and _kept:
+        _kept.clear()
+        _trim()
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
+    _trim()
 
 
 def utf8(column: pa.ChunkedArray | pa.Array) -> list[bytes | None]:

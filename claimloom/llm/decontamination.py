@@ -319,7 +319,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
         def rows(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             own = kept(("symbols", shared.value.mark), shared.value.symbols)
-            for batch in portions(batches):
+            for batch in portions(batches, holding=True):
                 ids = batch.column(0).to_pylist()
                 found = [(ids[n], *hit) for n, *hit in shared.value.find(utf8(batch.column(1)), own)]
                 columns = list(zip(*found, strict=True)) or [()] * len(names)
@@ -340,7 +340,7 @@ def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
         def rows(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             own = kept(("symbols", shared.value.mark), shared.value.symbols)
-            for batch in portions(batches):
+            for batch in portions(batches, holding=True):
                 hit = {n for n, *_ in shared.value.find([t or b"" for t in utf8(batch.column(place))], own)}
                 yield batch.filter(pa.array([n not in hit for n in range(batch.num_rows)], pa.bool_()))
 

@@ -80,7 +80,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, context: int = CONTEXT, end_id:
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = kept(("words", zlib.crc32(vocabulary.value.encode())), lambda: WordIds(vocabulary.value))
-        for batch in portions(batches):
+        for batch in portions(batches, holding=True):
             rows: list[tuple] = []
             for doc_id, text in zip(batch.column(0).to_pylist(), utf8(batch.column(1)), strict=True):
                 ids = words.of(text) + end

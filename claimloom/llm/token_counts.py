@@ -104,7 +104,7 @@ def by_line(docs: DataFrame, tokenizer_path: str, rule: str = "first") -> DataFr
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lengths = token_lengths(shared.value)
-        for batch in portions(batches):
+        for batch in portions(batches, holding=True):
             owners, found = [], []
             for n, text in enumerate(batch.column(1).to_pylist()):
                 data = np.frombuffer(text.encode(), np.uint8)
@@ -132,7 +132,7 @@ def by_field(df: DataFrame, key: str, fields: Sequence[str], tokenizer_path: str
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lengths = token_lengths(shared.value)
-        for batch in portions(batches):
+        for batch in portions(batches, holding=True):
             owners, found = [], []
             texts = zip(*(batch.column(k + 1).to_pylist() for k in range(len(fields))), strict=True)
             for n, values in enumerate(texts):
