@@ -93,15 +93,22 @@ def condition_confidence(low: Column, missing: Column) -> Column:
     return F.when(F.size(low) > 0, "low").when(F.size(missing) > 0, "medium").otherwise("high")
 
 
+def claim_value(value: Column) -> Column:
+    """The form in which claimed values are compared; empty for none."""
+    return F.coalesce(F.lower(loose(value)), F.lit(""))
+
+
 def disagreement(a: str, b: str, scoped: str = "scoped") -> Column:
-    """How the facts aliased ``a`` and ``b`` disagree, null if they do not; the first kind that holds."""
+    """How the facts aliased ``a`` and ``b`` disagree, null if they do not; the first kind that holds.
+
+    Their ``value`` is a ``claim_value``, made once a fact and not once a pair.
+    """
     x, y = (lambda c: F.col(f"{a}.{c}")), (lambda c: F.col(f"{b}.{c}"))
-    pair = F.array_sort(F.array(x("change"), y("change")))
-    severity = F.concat_ws("+", pair).isin("deprecated+removed", "removed+replacement_recommended")
-    value = (F.coalesce(x("value"), F.lit("")) != "") & (F.coalesce(y("value"), F.lit("")) != "") & (F.lower(loose(x("value"))) != F.lower(loose(y("value"))))
+    against = lambda p, q: (p("change") == "removed") & q("change").isin("deprecated", "replacement_recommended")
+    value = (x("value") != "") & (y("value") != "") & (x("value") != y("value"))
     apart = x(scoped) & y(scoped) & ~F.arrays_overlap(x("versions"), y("versions"))
     return (
-        F.when(severity, "severity")
+        F.when(against(x, y) | against(y, x), "severity")
         .when(x("is_risk") != y("is_risk"), "risk_vs_context")
         .when(x("change") != y("change"), F.lit(None).cast("string"))
         .when(value, "value")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from claimloom.functions.rubrics import disagreement
+from claimloom.functions.rubrics import claim_value, disagreement
 from claimloom.functions.vocabulary import TRUST_TIERS, rank
 
 
@@ -16,7 +16,8 @@ def pairs(facts: DataFrame) -> DataFrame:
     is what is asked for; facts should be distinct claims, so that repeated ones make no pairs.
     ``members`` gives the facts in each conflict without pairs.
     """
-    a, b = facts.alias("a"), facts.alias("b")
+    told = facts.withColumn("value", claim_value(F.col("value")))
+    a, b = told.alias("a"), told.alias("b")
     same = (F.col("a.subject") == F.col("b.subject")) & (F.col("a.fact") < F.col("b.fact")) & (F.col("a.source") != F.col("b.source"))
     return a.join(b, same).select(F.col("a.subject").alias("subject"), disagreement("a", "b").alias("kind"), F.col("a.fact").alias("a"), F.col("b.fact").alias("b")).filter("kind IS NOT NULL")
 
@@ -30,8 +31,9 @@ def members(facts: DataFrame) -> DataFrame:
     a third of all rows share then costs its facts times its profiles.
     """
     profile = ["subject", "change", "is_risk", "value", "versions", "scoped"]
-    profiles = facts.groupBy(*profile).agg(F.min("source").alias("s0"), F.max("source").alias("s1"))
-    a, b = facts.alias("a"), profiles.alias("b")
+    told = facts.withColumn("value", claim_value(F.col("value")))
+    profiles = told.groupBy(*profile).agg(F.min("source").alias("s0"), F.max("source").alias("s1"))
+    a, b = told.alias("a"), profiles.alias("b")
     other = (F.col("a.subject") == F.col("b.subject")) & ((F.col("b.s0") != F.col("a.source")) | (F.col("b.s1") != F.col("a.source")))
     met = a.join(b, other).select(F.col("a.subject").alias("subject"), disagreement("a", "b").alias("kind"), F.col("a.fact").alias("fact"))
     return met.filter("kind IS NOT NULL").distinct()
