@@ -15,9 +15,14 @@ white space, which is ignored in comparisons.
    share is reduced before the shuffle.
 3. Matches on one diagonal at most ``LINE`` words apart are one run. As selected lines
    of a shared run are never further apart, only the run's ends remain: each is extended
-   word by word, both ways, against the words around the first position.
-4. Runs that touch are merged; those of ``MIN_WORDS`` words or more are deleted from the
-   later document. Repeats within a document are treated alike, the first one stays.
+   word by word, both ways, against the words around the first position. Runs of
+   ``MIN_WORDS`` words or more are repeats.
+4. The first position of a line may hold a piece of a passage only, and another document
+   the whole. Windows of ``MIN_WORDS`` words whose least line is repeated and that lie in
+   no run of step 3 are therefore joined to their own first position, again by a partial
+   aggregate. The first place of a window is never in such a run, so none is missed.
+5. What is repeated is deleted from the later document. Repeats within a document are
+   treated alike, the first one stays.
 
 Defined results: a null text stays null; a text without repeats stays as it is, byte
 for byte; a document of which no word is left is dropped by ``deduplicated`` and has an
@@ -32,7 +37,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
@@ -140,35 +145,26 @@ def _common(a: np.ndarray, b: np.ndarray) -> int:
 
 
 def inner_runs(words: np.ndarray, hashes: np.ndarray, places: np.ndarray) -> list[tuple[int, int]]:
-    """Word ranges that repeat earlier words of the same text; seeds are selected lines seen before."""
+    """Word ranges whose every window of ``MIN_WORDS`` words is an earlier one of the same text."""
     found = np.sort(hashes[places])
     if not (found[1:] == found[:-1]).any():
         return []
-    _, first, back = np.unique(hashes[places], return_index=True, return_inverse=True)
-    sources = places[first[back]]
-    later = places > sources
-    seeds = sorted(zip((places - sources)[later].tolist(), places[later].tolist(), strict=True))
-    covered = np.zeros(len(words), bool)
-    runs = []
-    for gap, place in seeds:
-        if covered[place]:
-            continue
-        start = place - _common(words[gap : place][::-1], words[: place - gap][::-1])
-        end = place + _common(words[place:], words[place - gap :])
-        covered[start:end] = True
-        runs.append((start, end))
-    return runs
-
-
-def merged(runs: list[tuple[int, int]], least: int = MIN_WORDS) -> list[tuple[int, int]]:
-    """Runs that touch as one, then those of ``least`` words or more."""
+    windows = line_hashes(words, MIN_WORDS)
+    later = np.ones(len(windows), bool)
+    later[np.unique(windows, return_index=True)[1]] = False
+    edges = np.flatnonzero(np.diff(np.concatenate([[0], later, [0]])))
+    return [(s, e - 1 + MIN_WORDS) for s, e in zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True)]
+
+
+def merged(runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Runs that touch as one."""
     out: list[list[int]] = []
     for start, end in sorted(runs):
         if out and start <= out[-1][1]:
             out[-1][1] = max(out[-1][1], end)
         else:
             out.append([start, end])
-    return [(s, e) for s, e in out if e - s >= least]
+    return [(s, e) for s, e in out]
 
 
 def without(text: bytes, runs: list[tuple[int, int]]) -> bytes:
@@ -191,6 +187,14 @@ def _keyed(docs: DataFrame) -> DataFrame:
     )
 
 
+def _tag(at: str) -> Column:
+    return F.shiftright(at, PLACE_BITS)
+
+
+def _place(at: str) -> Column:
+    return F.col(at).bitwiseAND(F.lit((1 << PLACE_BITS) - 1))
+
+
 def _select_lines(keyed: DataFrame) -> DataFrame:
     """(hash, doc, at) of selected lines; (null, doc, at, end) of runs that repeat within a document."""
 
@@ -223,15 +227,14 @@ def _select_lines(keyed: DataFrame) -> DataFrame:
 
 
 def _runs(lines: DataFrame) -> DataFrame:
-    """Runs (doc, tag, start, end) with their first place (sdoc, stag, sstart, send), ends not yet extended."""
+    """Runs (doc, tag, start, end) with their first place (sdoc, stag, sstart, send), ends not yet extended.
+
+    First places of repeated lines are runs as well, with themselves as first place.
+    """
     marks = lines.filter("hash IS NOT NULL").select("hash", "doc", "at")
     first = marks.groupBy("hash").agg(F.min(F.struct("doc", "at")).alias("first"), F.count("*").alias("n")).filter("n > 1").select("hash", "first")
-    tag = lambda c: F.shiftright(c, PLACE_BITS)
-    place = lambda c: F.col(c).bitwiseAND(F.lit((1 << PLACE_BITS) - 1))
-    seeds = (
-        marks.join(first, "hash")
-        .select("doc", tag("at").alias("tag"), place("at").alias("place"), F.col("first.doc").alias("sdoc"), tag("first.at").alias("stag"), place("first.at").alias("splace"))
-        .filter("doc <> sdoc OR tag <> stag")
+    seeds = marks.join(first, "hash").select(
+        "doc", _tag("at").alias("tag"), _place("at").alias("place"), F.col("first.doc").alias("sdoc"), _tag("first.at").alias("stag"), _place("first.at").alias("splace")
     )
     pairs = seeds.groupBy("doc", "tag", "sdoc", "stag").agg(F.collect_list(F.struct("place", "splace")).alias("seeds"))
 
@@ -284,26 +287,73 @@ def extended(own: np.ndarray, start: int, end: int, before: bytes, after: bytes)
     return start - _common(own[:start][::-1], left[::-1]), end + _common(own[end:], right)
 
 
+def _windows(dealt: DataFrame, own: DataFrame) -> DataFrame:
+    """(null, doc, at, end) of runs that repeat their first place; (hash, doc, at) of windows outside that may repeat another."""
+    met = dealt.join(own, (F.col(DOC) == F.col(f"{OWN}rdoc")) & (F.col(TAG) == F.col(f"{OWN}rtag"))).select(DOC, TAG, "text", RUNS)
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["hash", "doc", "at", "end"]
+        for batch in portions(batches):
+            hashes, docs, places, proven = [], [], [], []
+            columns = (batch.column(0).to_pylist(), batch.column(1).to_pylist(), utf8(batch.column(2)), batch.column(3).to_pylist())
+            for doc, tag, text, found in zip(*columns, strict=True):
+                words = word_hashes(text)
+                if len(words) < MIN_WORDS:
+                    continue
+                short = words.astype("<u4")
+                lines, windows = line_hashes(words), line_hashes(words, MIN_WORDS)
+                repeated, asked, top = np.zeros(len(lines), bool), np.ones(len(windows), bool), tag << PLACE_BITS
+                for x in found:
+                    repeated[x["start"] : x["end"] - LINE + 1] = True
+                    if x["before"] is not None:
+                        start, end = extended(short, x["start"], x["end"], x["before"], x["after"])
+                        if end - start >= MIN_WORDS:
+                            proven.append((doc, top | start, end))
+                            asked[start : end - MIN_WORDS + 1] = False
+                least = _slide(lines, WINDOW, np.minimum)[: len(windows)]
+                at = np.flatnonzero(asked)
+                at = at[np.isin(least[at], lines[repeated])]
+                hashes.append(windows[at].view(np.int64))
+                places.append(at + top)
+                docs.append(np.full(len(at), doc, np.int64))
+            if docs:
+                found = [np.concatenate(x) for x in (hashes, docs, places)]
+                yield pa.RecordBatch.from_arrays([*map(pa.array, found), pa.nulls(len(found[0]), pa.int64())], names)
+            if proven:
+                columns = [pa.array(c, pa.int64()) for c in zip(*proven, strict=True)]
+                yield pa.RecordBatch.from_arrays([pa.nulls(len(proven), pa.int64()), *columns], names)
+
+    return met.mapInArrow(rows, "hash bigint, doc bigint, at bigint, end bigint")
+
+
+def _repeats(windows: DataFrame) -> DataFrame:
+    """(doc, at, end) of everything that an earlier place holds."""
+    asked = windows.filter("hash IS NOT NULL").select("hash", "doc", "at")
+    first = asked.groupBy("hash").agg(F.min(F.struct("doc", "at")).alias("first"), F.count("*").alias("n")).filter("n > 1").select("hash", "first")
+    later = asked.join(first, "hash").filter("doc <> first.doc OR at <> first.at").select("doc", "at", (_place("at") + MIN_WORDS).alias("end"))
+    return windows.filter("hash IS NULL").select("doc", "at", "end").unionByName(later)
+
+
 def _removals(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` with ``text`` less its repeated runs, and how many words and runs went."""
     keyed = _keyed(docs)
     lines = cut(_select_lines(keyed), "lines")
     runs = cut(_runs(lines), "runs")
-    # One shuffle of the texts serves both joins: those that hold first places, and those that lose runs.
-    dealt = keyed.repartition(DOC, TAG)
-    around = _around(dealt, runs)
-    outer = runs.join(around, ["sdoc", "stag", "sstart", "send"]).select("doc", "tag", "start", "end", "before", "after")
-    inner = lines.filter("hash IS NULL").select(
-        "doc",
-        F.shiftright("at", PLACE_BITS).alias("tag"),
-        F.col("at").bitwiseAND(F.lit((1 << PLACE_BITS) - 1)).alias("start"),
-        "end",
-        F.lit(b"").alias("before"),
-        F.lit(b"").alias("after"),
-    )
-    own = outer.unionByName(inner).groupBy(F.col("doc").alias(f"{OWN}rdoc"), F.col("tag").alias(f"{OWN}rtag"))
+    # One shuffle of the texts serves both joins: those that hold first places, and those that hold runs.
+    dealt = keyed.filter("text IS NOT NULL").select(DOC, TAG, "text").repartition(DOC, TAG)
+    itself = (F.col("doc") == F.col("sdoc")) & (F.col("tag") == F.col("stag"))
+    around = _around(dealt, runs.filter(~itself))
+    outer = runs.filter(~itself).join(around, ["sdoc", "stag", "sstart", "send"]).select("doc", "tag", "start", "end", "before", "after")
+    none = F.lit(None).cast("binary")
+    firsts = runs.filter(itself).select("doc", "tag", "start", "end", none.alias("before"), none.alias("after"))
+    empty = F.lit(b"")
+    inner = lines.filter("hash IS NULL").select("doc", _tag("at").alias("tag"), _place("at").alias("start"), "end", empty.alias("before"), empty.alias("after"))
+    own = outer.unionByName(inner).unionByName(firsts).groupBy(F.col("doc").alias(f"{OWN}rdoc"), F.col("tag").alias(f"{OWN}rtag"))
     own = own.agg(F.collect_set(F.struct("start", "end", "before", "after")).alias(RUNS))
-    met = dealt.join(own, (F.col(DOC) == F.col(f"{OWN}rdoc")) & (F.col(TAG) == F.col(f"{OWN}rtag")), "left").select(*docs.columns, RUNS)
+    windows = cut(_windows(dealt, own), "windows")
+    gone = _repeats(windows).groupBy(F.col("doc").alias(f"{OWN}rdoc"), _tag("at").alias(f"{OWN}rtag"))
+    gone = gone.agg(F.collect_set(F.struct(_place("at").alias("start"), "end")).alias(RUNS))
+    met = keyed.join(gone, (F.col(DOC) == F.col(f"{OWN}rdoc")) & (F.col(TAG) == F.col(f"{OWN}rtag")), "left").select(*docs.columns, RUNS)
     place, width = docs.columns.index("text"), len(docs.columns)
     removed = StructType([*docs.schema.fields, StructField(f"{OWN}words", LongType()), StructField(f"{OWN}cuts", LongType()), StructField(f"{OWN}left", LongType())])
 
@@ -315,9 +365,8 @@ def _removals(docs: DataFrame) -> DataFrame:
             for text, found in zip(utf8(batch.column(place)), batch.column(width).to_pylist(), strict=True):
                 gone, n = [], 0
                 if found:
-                    hashes = word_hashes(text).astype("<u4")
-                    n = len(hashes)
-                    gone = merged([extended(hashes, x["start"], x["end"], x["before"], x["after"]) for x in found])
+                    n = len(word_spans(text)[0])
+                    gone = merged([(x["start"], x["end"]) for x in found])
                 texts.append(without(text, gone) if gone else text)
                 words = sum(e - s for s, e in gone)
                 counts.append((words, len(gone), n - words if gone else -1))

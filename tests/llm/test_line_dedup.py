@@ -94,6 +94,25 @@ def test_against_brute_force(spark, corpus):
     assert found[200].text == "" and found[201].text.split() == ["tail"]
 
 
+def test_whole_passage_after_an_edited_copy(spark):
+    rng = random.Random(6)
+    docs = []
+    for n in range(60):
+        whole = phrase(rng, rng.choice([50, 55, 60, 80, 150]))
+        edited = list(whole)
+        for at in rng.sample(range(len(whole)), rng.choice([1, 1, 2])):
+            edited[at] = "other"
+        a, b = sorted(rng.sample(range(len(whole) + 1), 2))
+        for copy in (edited, whole[a:b], edited[5:] + whole[:30], whole, whole[10:] + whole, whole[:-3]):
+            docs.append((len(docs), " ".join([*phrase(rng, rng.randrange(40)), *copy, *phrase(rng, rng.randrange(40))])))
+    common = phrase(rng, 40)
+    docs += [(1000 + n, " ".join([*phrase(rng, 30), *common, *phrase(rng, 30)])) for n in range(20)]
+    docs += [(2000 + n, docs[-1][1]) for n in range(3)]
+    expected = plain(docs)
+    found = q.line_dedup(spark.createDataFrame(docs, "doc_id bigint, text string").repartition(3)).collect()
+    assert {r.doc_id: r.text.split() for r in found} == expected
+
+
 def test_stage_keeps_columns_and_repeated_rows(spark, corpus):
     long = corpus[3][1] + " " + " ".join(f"w{k}" for k in range(80))
     rows = [(9, long, 5, "x", 1), (9, long, 5, "x", 1), (9, "another text", 12, "y", 2), (10, long + " end", 5, "z", 3), (11, long, 5, "z", 3), (None, long, 1, "n", 4), (None, "short", None, None, None), (12, None, None, None, None)]
