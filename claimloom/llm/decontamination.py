@@ -9,9 +9,11 @@ writes the word it stands on and moves on if the random bit of (t, word) is 1. T
 sequences a few edits apart fall into step again, so edit distance becomes Hamming
 distance. Windows as long as the items, one at every word, are walked with the items'
 bits, several times with new bits; each walk is sampled at a few steps, several times,
-and a window whose samples equal an item's is a candidate. The number of walks is the
-least that finds ``TARGET`` of simulated copies with the full number of edits, made
-from the items themselves.
+and a window whose samples equal an item's is a candidate. Items of like length are a
+group, and each group's number of walks is the least that finds ``TARGET`` of simulated
+copies with the full number of edits, made from its own items. A group that
+``MOST_WALKS`` walks leave under the target is searched exactly instead: of one block
+more than edits are allowed, some block of a copy is whole.
 
 Before walking, a window must hold enough of the items' word pairs: an edit spoils two
 pairs at most, so this count loses nothing. Candidates are verified by Myers' bit
@@ -44,7 +46,7 @@ ALLOWED = 0.2
 LEAST_WORDS = 5
 PART_WORDS = 64
 SAMPLES, STEPS_SAMPLED = 8, 4
-TARGET, TRIALS, MOST_WALKS = 0.97, 120, 24
+TARGET, TRIALS, MOST_WALKS = 0.97, 600, 24
 BLOCK_BYTES = 8 << 20
 SEGMENT = 400_000
 _PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
@@ -134,14 +136,17 @@ class Matcher:
         self.longest = max((len(s) for s in self.coded), default=0)
 
     def _walks(self) -> None:
-        """Adds walks until the simulated copies are found; each has its bits and every group's samples and keys."""
+        """Adds walks until each group's simulated copies are found; each has its bits, and samples and keys of the groups that need it."""
         self.walks: list[dict] = []
-        trials = self._trials()
-        found = np.zeros(len(trials), bool)
-        while self.parts and len(self.walks) < MOST_WALKS and (not self.walks or found.mean() < TARGET):
+        self.blocks: dict[int, tuple[np.ndarray, dict[int, list[tuple[int, int]]]]] = {}
+        trials = [self._trials(g) for g in self.groups]
+        found = [np.zeros(TRIALS, bool) for _ in self.groups]
+        short = list(range(len(self.groups)))
+        while short and len(self.walks) < MOST_WALKS:
             bits = self.rng.integers(0, 2, (self.steps, self.size + 1), dtype=np.int8)
             walk = {"bits": bits, "groups": []}
-            for g in self.groups:
+            for n in short:
+                g = self.groups[n]
                 samples = np.array([np.sort(self.rng.choice(g["steps"], STEPS_SAMPLED, replace=False)) for _ in range(SAMPLES)])
                 factors = self.rng.integers(1, 1 << 63, (SAMPLES, STEPS_SAMPLED), dtype=np.uint64) | np.uint64(1)
                 members = self._embed(bits, self._rows([self.parts[k][2] for k in g["parts"]], g["steps"]), g["steps"])
@@ -154,29 +159,54 @@ class Matcher:
                         table[key >> 48] = True
                     tables.append(table)
                     maps.append(own)
-                walk["groups"].append((samples, factors, tables, maps))
+                walk["groups"].append((n, samples, factors, tables, maps))
+                parts, copies = trials[n]
+                keys = self._keys(self._embed(bits, self._rows(copies, g["steps"]), g["steps"]), samples, factors)
+                for own, row in zip(maps, keys, strict=True):
+                    found[n] |= [part in own.get(key, ()) for part, key in zip(parts, row.tolist(), strict=True)]
             self.walks.append(walk)
-            for n, (group, part, symbols) in enumerate(trials):
-                if not found[n]:
-                    samples, factors, _, maps = walk["groups"][group]
-                    steps = self.groups[group]["steps"]
-                    keys = self._keys(self._embed(bits, self._rows([symbols], steps), steps), samples, factors)
-                    found[n] = any(part in maps[s].get(int(keys[s][0]), ()) for s in range(SAMPLES))
-        self.simulated_recall = float(found.mean()) if len(found) else 1.0
-
-    def _trials(self) -> list[tuple[int, int, list[int]]]:
-        """Copies of parts with as many random edits as are allowed, followed by other words."""
-        out = []
-        where = {k: n for n, g in enumerate(self.groups) for k in g["parts"]}
-        for _ in range(TRIALS if self.parts else 0):
-            part = int(self.rng.integers(len(self.parts)))
+            short = [n for n in short if found[n].mean() < TARGET]
+        for walk in self.walks:
+            walk["groups"] = [x for x in walk["groups"] if x[0] not in short]
+        self._blocks(short)
+        self.recalls = [1.0 if n in short else float(f.mean()) for n, f in enumerate(found)]
+        self.simulated_recall = min(self.recalls, default=1.0)
+
+    def _trials(self, group: dict) -> tuple[list[int], list[list[int]]]:
+        """Parts of the group, and copies of them with as many random edits as are allowed, followed by other words."""
+        parts, copies = [], []
+        for _ in range(TRIALS):
+            part = group["parts"][int(self.rng.integers(len(group["parts"])))]
             symbols = list(self.parts[part][2])
             for _ in range(allowed(len(symbols))):
                 at, kind = int(self.rng.integers(len(symbols))), int(self.rng.integers(3))
                 other = int(self.rng.integers(self.size))
                 symbols[at : at + (kind < 2)] = [] if kind == 0 else [other]
-            out.append((where[part], part, symbols + self.rng.integers(0, self.size, 2 * PART_WORDS).tolist()))
-        return out
+            parts.append(part)
+            copies.append(symbols + self.rng.integers(0, self.size, 2 * PART_WORDS).tolist())
+        return parts, copies
+
+    def _blocks(self, groups: list[int]) -> None:
+        """By length: table, and map from a block's key to (part, offset), for the parts of the groups."""
+        for part in sorted(k for n in groups for k in self.groups[n]["parts"]):
+            symbols = self.parts[part][2]
+            count = allowed(len(symbols)) + 1
+            edges = [len(symbols) * k // count for k in range(count + 1)]
+            for a, b in zip(edges, edges[1:], strict=False):
+                table, own = self.blocks.setdefault(b - a, (np.zeros(1 << 16, bool), {}))
+                key = int(self._block_keys(np.array(symbols[a:b]), b - a)[0])
+                table[key >> 48] = True
+                own.setdefault(key, []).append((part, a))
+
+    @staticmethod
+    def _block_keys(symbols: np.ndarray, length: int) -> np.ndarray:
+        """A key of every run of ``length`` symbols."""
+        count = max(0, len(symbols) - length + 1)
+        key = np.zeros(count, np.uint64)
+        for k in range(length):
+            key = (key ^ symbols[k : k + count].astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+            key ^= key >> np.uint64(29)
+        return key * np.uint64(0xD6E8FEB86659FD93)
 
     def _rows(self, sequences: list[list[int]], steps: int) -> tuple[np.ndarray, np.ndarray]:
         """Sequences one after another, each followed by end symbols; and their starts."""
@@ -206,8 +236,8 @@ class Matcher:
             keys.append(key * np.uint64(0x9E3779B97F4A7C15))
         return keys
 
-    def candidates(self, symbols: np.ndarray) -> set[tuple[int, int]]:
-        """(place, part) whose sampled walks agree."""
+    def candidates(self, symbols: np.ndarray, edges: np.ndarray) -> set[tuple[int, int]]:
+        """(place, part) whose sampled walks agree, or that share a block; texts begin at ``edges``."""
         size = len(symbols)
         known = np.flatnonzero(self.pairs[self._pair(symbols[:-1], symbols[1:])] & (symbols[:-1] > 0) & (symbols[1:] > 0))
         marks = np.zeros(size, np.int32)
@@ -220,7 +250,8 @@ class Matcher:
             ends = np.minimum(np.arange(size) + g["window"], size)
             starts.append(np.flatnonzero(before[ends] - before[:size] >= g["need"]))
         for walk in self.walks:
-            for g, places, (samples, factors, tables, maps) in zip(self.groups, starts, walk["groups"], strict=True):
+            for n, samples, factors, tables, maps in walk["groups"]:
+                g, places = self.groups[n], starts[n]
                 for at in range(0, len(places), 40_000):
                     own = places[at : at + 40_000]
                     written = self._embed(walk["bits"], (padded, own), g["steps"])
@@ -228,6 +259,12 @@ class Matcher:
                         for k in np.flatnonzero(table[key >> np.uint64(48)]):
                             for part in parts.get(int(key[k]), ()):
                                 out.add((int(own[k]), part))
+        for length, (table, own) in self.blocks.items():
+            keys = self._block_keys(symbols, length)
+            for at in np.flatnonzero(table[keys >> np.uint64(48)]).tolist():
+                for part, offset in own.get(int(keys[at]), ()):
+                    first = int(edges[np.searchsorted(edges, at, side="right") - 1])
+                    out.add((max(first, at - offset), part))
         return out
 
     def find(self, texts: list[bytes], symbols_of: Memo) -> list[tuple[int, int, int, int, int, int]]:
@@ -245,7 +282,7 @@ class Matcher:
             if len(flat) < 2:
                 return
             last: dict[tuple[int, int], int] = {}
-            for place, part in sorted(self.candidates(flat)):
+            for place, part in sorted(self.candidates(flat, edges)):
                 piece = int(np.searchsorted(edges, place, side="right")) - 1
                 item, offset, _ = self.parts[part]
                 own = self.coded[item]

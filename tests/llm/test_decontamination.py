@@ -102,6 +102,35 @@ def test_blocks_and_segments(spark, case, monkeypatch):
     assert cut == whole and len(whole) > 20
 
 
+@pytest.mark.parametrize("sizes", [[8] * 490 + [62] * 10, [6, 9] * 297 + [64] * 6, [64] * 40])
+def test_rare_long_items_are_found(sizes):
+    rng = random.Random(3)
+    word = lambda: f"w{rng.randrange(2000)}"
+    items = [(n, [word() for _ in range(size)]) for n, size in enumerate(sizes)]
+    matcher = q.Matcher([(n, " ".join(w).encode()) for n, w in items])
+    own = [(n, w) for n, w in items if len(w) > 60]
+    texts, expected = [], set()
+    for k in range(400):
+        n, words = own[k % len(own)]
+        at = sorted(rng.sample(range(len(words)), q.allowed(len(words))))
+        copy = [x for i, w in enumerate(words) for x in ([w] if i not in at else rng.choice([[], ["zz"], [w, "zz"]]))]
+        texts.append(" ".join([word() for _ in range(30)] + copy + [word() for _ in range(30)]).encode())
+        expected.add((k, n))
+    found = {(k, n) for k, n, *_ in matcher.find(texts, matcher.symbols())}
+    assert len(expected & found) >= 0.96 * len(expected)
+
+
+def test_exact_search_where_walks_do_not_suffice(case, monkeypatch):
+    items, docs, _ = case
+    monkeypatch.setattr(q, "MOST_WALKS", 1)
+    matcher = q.Matcher([(i, " ".join(w).encode()) for i, w in items])
+    assert matcher.blocks and matcher.simulated_recall >= q.TARGET
+    monkeypatch.setattr(q, "MOST_WALKS", 0)
+    matcher = q.Matcher([(i, " ".join(w).encode()) for i, w in items])
+    found = {(d, i) for d, i, *_ in matcher.find([t.encode() for _, t in docs], matcher.symbols())}
+    assert found == set(brute([(i, q.words_of(" ".join(w).encode())) for i, w in items], docs))
+
+
 def test_driver_rows_against_brute_force(spark):
     at = "/root/testdata/sf0.001"
     docs = duckdb.sql(f"SELECT doc_id, text FROM '{at}/documents.parquet'").fetchall()
