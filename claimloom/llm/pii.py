@@ -13,6 +13,7 @@ Feistel permutation of the form's values and s is not zero, so nothing stays as
 * Given names are replaced by names of the same gender and script; titles stay.
 * Phone numbers that differ in punctuation alone are one entity, as are e-mail addresses
   and names that differ in case alone.
+* A name's words are replaced wherever they stand in its text, also without title or given name.
 
 Collision checks: ``surrogates`` refuses a text in which two entities would share a
 surrogate, and ``audit`` counts, for a corpus and by kind, distinct originals, distinct
@@ -27,6 +28,7 @@ from __future__ import annotations
 
 import hmac
 import re
+from bisect import bisect
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 from hashlib import blake2b
@@ -112,22 +114,25 @@ def permuted(key: bytes, tweak: str, value: int, size: int, allowed: Callable[[i
             return value
 
 
-def reshaped(key: bytes, kind: str, text: str) -> str:
-    """``text`` with each letter and digit replaced within its alphabet, as one bijection on texts of its form."""
+def reshaped(key: bytes, kind: str, text: str, allowed: Callable[[str], bool] | None = None) -> str:
+    """``text`` with each letter and digit replaced within its alphabet, as one bijection on (allowed) texts of its form."""
     value, size, form = 0, 1, []
     for c in text:
         own = _CLASS.get(c)
         form.append(own or c)
         if own:
             value, size = value * len(own) + own.index(c), size * len(own)
-    value = permuted(key, f"{kind}:{'|'.join(form)}", value, size)
-    out = []
-    for c, own in zip(reversed(text), reversed(form), strict=True):
-        if c in _CLASS:
-            value, digit = divmod(value, len(own))
-            c = own[digit]
-        out.append(c)
-    return "".join(reversed(out))
+
+    def spelled(value: int) -> str:
+        out = []
+        for c, own in zip(reversed(text), reversed(form), strict=True):
+            if c in _CLASS:
+                value, digit = divmod(value, len(own))
+                c = own[digit]
+            out.append(c)
+        return "".join(reversed(out))
+
+    return spelled(permuted(key, f"{kind}:{'|'.join(form)}", value, size, allowed and (lambda x: allowed(spelled(x)))))
 
 
 def _laid(digits: str, like: str) -> str:
@@ -162,11 +167,15 @@ def iban(key: bytes, text: str) -> str:
     return "".join(c if c == " " else next(new) for c in text)
 
 
+# Country codes of one and two digits; all others have three (ITU-T E.164).
+_COUNTRY_CODES = re.compile(r"[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[2-9]\d\d")
+
+
 def phone(key: bytes, text: str) -> str:
-    """The country code after a plus stays: the digits up to the first other sign, three at most."""
+    """The country code after a plus stays; it follows from the digits, whatever signs stand between them."""
     digits = "".join(c for c in text if c.isdigit())
-    code = re.match(r"\+(\d{1,3})(?!\d)", text)
-    kept = code[1] if code else ""
+    code = _COUNTRY_CODES.match(digits) if text.startswith("+") else None
+    kept = code[0] if code else ""
     return _laid(kept + reshaped(key, "phone" + kept, digits[len(kept) :]), text)
 
 
@@ -220,7 +229,8 @@ def person(key: bytes, text: str) -> str:
         if not word.strip() or bare in TITLES:
             out.append(word)
             continue
-        new = given_name(key, bare) if bare.title() in _names() else reshaped(key, "surname", bare.lower()).title()
+        # No surname becomes a given name, so that the two never share a surrogate.
+        new = given_name(key, bare) if bare.title() in _names() else reshaped(key, "surname", bare.lower(), lambda w: w.title() not in _names()).title()
         out.append((new.upper() if bare.isupper() and len(bare) > 1 else new) + word[len(bare) :])
     return "".join(out)
 
@@ -238,6 +248,8 @@ def secret(key: bytes, text: str) -> str:
 _NAME = r"[^\W\d_]+(?:[-'’][^\W\d_]+)*"
 _TITLED = re.compile(rf"(?<!\w)(?:{'|'.join(sorted(map(re.escape, TITLES), key=len, reverse=True))})\.?[ ]+({_NAME}(?:[ ]+{_NAME})?)")
 _GIVEN = re.compile(rf"(?<!\w)(?:{'|'.join(sorted((n for names in GIVEN_NAMES.values() for n in names.split()), key=len, reverse=True))})[ ]+({_NAME})")
+_FURTHER = re.compile(rf"[ ]+({_NAME})")
+_POSSESSIVE = re.compile(r"['’]s(?!\w)")
 #: Kind, pattern, and what turns an original into its surrogate, in order of precedence.
 PATTERNS: tuple[tuple[str, re.Pattern, Callable[[bytes, str], str]], ...] = (
     ("email", re.compile(r"[A-Za-z0-9](?:[A-Za-z0-9._%+-]*[A-Za-z0-9_%+-])?@(?:[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?\.)+[A-Za-z]{2,}"), email),
@@ -262,6 +274,32 @@ def _canonical(kind: str, text: str) -> str:
     return text.lower() if kind in ("email", "person") else text
 
 
+def _capital(word: str) -> bool:
+    return word[0].isupper() and not word.isupper()
+
+
+def _whole_name(text: str, start: int, end: int) -> int:
+    """The end of the name that begins with ``text[start:end]``: all given names and the surname, three words at least if they are there; less a possessive."""
+    words = text[start:end].split()
+    while not (owner := _POSSESSIVE.search(text, start, end)) and (words[-1].title() in _names() or len(words) < 3):
+        further = _FURTHER.match(text, end)
+        if not further or not _capital(further[1]):
+            break
+        words.append(further[1])
+        end = further.end()
+    return owner.start() if owner else end
+
+
+def _repeats(text: str, taken: list[tuple[int, int, str, Callable]]) -> list[tuple[int, int, str, Callable[[bytes, str], str]]]:
+    """Words of the names in ``taken`` that stand elsewhere in the text, capitalized or in capitals."""
+    words = {w for start, end, kind, _ in taken if kind == "person" for w in text[start:end].split() if len(w) > 1 and w not in TITLES}
+    if not words:
+        return []
+    forms = sorted({f for w in words for f in (w, w.title(), w.upper())}, key=len, reverse=True)
+    pattern = re.compile(rf"(?<!\w)(?:{'|'.join(map(re.escape, forms))})(?!\w)")
+    return [(*match.span(), "person", person) for match in pattern.finditer(text)]
+
+
 def entities(text: str) -> list[tuple[int, int, str, Callable[[bytes, str], str]]]:
     """(start, end, kind, surrogate function) of every entity, in order and without overlaps."""
     numbers = re.search(r"\d", text) is not None
@@ -277,10 +315,11 @@ def entities(text: str) -> list[tuple[int, int, str, Callable[[bytes, str], str]
                 start, end = match.span(1)
             if kind == "person":
                 words = text[start:end].split()
-                if not all(w[0].isupper() and not w.isupper() for w in words):
-                    if pattern is not _TITLED or not words[0][0].isupper() or words[0].isupper():
+                if not all(map(_capital, words)):
+                    if pattern is not _TITLED or not _capital(words[0]):
                         continue
                     end = start + len(words[0])
+                end = _whole_name(text, start, end)
             if kind == "iban" and _mod97(text[start:end].replace(" ", "")[4:] + text[start : start + 4]) != 1:
                 continue
             if kind == "phone" and not 7 <= sum(c.isdigit() for c in text[start:end]) <= 15:
@@ -291,7 +330,13 @@ def entities(text: str) -> list[tuple[int, int, str, Callable[[bytes, str], str]
     for one in found:
         if all(one[1] <= s or e <= one[0] for s, e, _, _ in taken):
             taken.append(one)
-    return sorted(taken)
+    taken.sort(key=lambda x: x[:2])
+    starts = [s for s, _, _, _ in taken]
+    for one in _repeats(text, taken):
+        at = bisect(starts, one[0])
+        if (not at or taken[at - 1][1] <= one[0]) and (at == len(starts) or one[1] <= starts[at]):
+            taken.append(one)
+    return sorted(taken, key=lambda x: x[:2])
 
 
 def surrogates(text: str, key: bytes = KEY) -> tuple[str, list[tuple[str, str, str]]]:

@@ -64,6 +64,33 @@ def test_checks_and_coreference():
     assert len(ips) == 400 and all(q._network(int.from_bytes(bytes(map(int, i.split("."))), "big")) is None for i in ips)
 
 
+def test_phones_in_any_punctuation_are_one_entity():
+    for code, forms in {
+        "1": ("+1 (555) 123-4567", "+15551234567", "+1-555-123-4567", "+1 555 1234567", "+1555 123 4567"),
+        "49": ("+49 30 5557 7713", "+493055577713", "+49 (30) 5557-7713", "+4930 5557 7713"),
+        "353": ("+353 1 555 7713", "+35315557713", "+353-1-5557713"),
+    }.items():
+        changed = [q.surrogates(f"call {f} now", KEY)[1] for f in forms]
+        assert [[(k, a) for k, a, _ in c] for c in changed] == [[("phone", f)] for f in forms]
+        digits = {re.sub(r"\D", "", c[0][2]) for c in changed}
+        assert len(digits) == 1 and digits.pop().startswith(code)
+
+
+def test_bare_repeats_of_names():
+    text = "Anna Keller came. Keller said that KELLER's plan, Keller-based, was hers. Then Dr. Hans Peter Schmidt met Anna; Schmidt's kellers and Kellerman stayed."
+    new, changed = q.surrogates(text, KEY)
+    surname = changed[0][2].split()[1]
+    assert [a for _, a, _ in changed] == ["Anna Keller", "Keller", "KELLER", "Keller", "Hans Peter Schmidt", "Anna", "Schmidt"]
+    assert [b for _, _, b in changed[1:4]] == [surname, surname.upper(), surname] and changed[5][2] == changed[0][2].split()[0] and changed[6][2] == changed[4][2].split()[2]
+    assert not re.search(r"(?i)\b(anna|keller|hans|peter|schmidt)\b", new) and "kellers and Kellerman stayed" in new
+    assert [a for _, a, _ in q.surrogates("Maria Ana García saw Carlos García Márquez. Márquez left.", KEY)[1]] == ["Maria Ana García", "Carlos García Márquez", "Márquez"]
+    assert [a for _, a, _ in q.surrogates("Dr. Keller's House and Keller", KEY)[1]] == ["Keller", "Keller"]
+    assert q.surrogates("Keller said", KEY) == ("Keller said", [])
+    words = [f"{a}{b}{c}{d}" for a in "bcdfghjklm" for b in "aeiou" for c in "lmnrst" for d in "aeiou"]
+    new = {q.person(KEY, w) for w in words if w.title() not in q._names()}
+    assert len(new) == sum(w.title() not in q._names() for w in words) and not new & set(q._names())
+
+
 def test_clean_texts_stay():
     for text in ["", "plain words, 12 of them in 2024-01-02.", "version 1.2.3 and 3.14159", "Las ciónbo os. The. And ornd", "SARAH IS HERE", "Sarah", "a@b", "1.2.3.4.5", "deadbeef", "x" * 100_000, "Licensed under the Apache License, Version 2.0."]:
         assert q.surrogates(text, KEY) == (text, [])
