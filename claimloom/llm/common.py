@@ -88,20 +88,24 @@ def map_arrow(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iter
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``, or in local tests a fresh one."""
+    """The folder all executors share: ``spark.checkpoint.dir``, or on a local master a fresh one."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if found:
         return found
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="claimloom-"))
     return spark.sparkContext.getCheckpointDir()
 
 
 def written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
-    """``df`` written to the shared folder as Parquet and read again, and where it lies."""
+    """``df`` written to the shared folder as Parquet and read again, and where it lies until the driver ends."""
     spark = df.sparkSession
     path = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid4().hex}"
     df.write.parquet(path)
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
     return spark.read.schema(df.schema).parquet(path), path
 
 

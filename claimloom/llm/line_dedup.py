@@ -4,71 +4,84 @@ Lines between line feeds are paragraphs of any length here, and shared passages
 in the middle of them, so hashes of those lines would miss most repeats. A line is
 therefore the run of ``LINE`` words that starts at a word, as if the text were wrapped
 anew from there; every word but the last few starts one. Words are split at ASCII
-white space, which is ignored in comparisons.
-
-1. Winnowing. In every window of ``WINDOW`` neighbouring line hashes the minimum is
-   selected, so any run of ``LINE + WINDOW - 1`` words that two texts share has a
-   selected line in both.
-2. Positions are joined by hash to the first position that holds it (lowest doc_id).
-   That is one row per selected line, never pairs within a group of copies; the first
-   position is found by a partial aggregate, so a passage that a third of the documents
-   share is reduced before the shuffle.
-3. Matches on one diagonal at most ``LINE`` words apart are one run. As selected lines
-   of a shared run are never further apart, only the run's ends remain: each is extended
-   word by word, both ways, against the words around the first position. Runs of
-   ``MIN_WORDS`` words or more are repeats.
-4. The first position of a line may hold a piece of a passage only, and another document
-   the whole. Windows of ``MIN_WORDS`` words whose least line is repeated and that lie in
-   no run of step 3 are therefore joined to their own first position, again by a partial
-   aggregate. The first place of a window is never in such a run, so none is missed.
-5. What is repeated is deleted from the later document. Repeats within a document are
-   treated alike, the first one stays.
+white space, which is ignored in comparisons. A window is ``MIN_WORDS`` words, that is
+``LINES`` neighbouring lines.
+
+1. Winnowing. Of every window the least line hash is selected, the leftmost on a tie, so
+   windows with the same words select the same line: a mark. The windows that select one
+   mark are neighbours; the words that they cover are the mark's span.
+2. Marks are joined by hash. A match is extended both ways by one comparison of the
+   spans' hashes: marks with equal hash and span are copies as a whole, and all but the
+   first (lowest doc_id, then place) are repeats.
+3. Where a hash has spans that differ, as at both ends of a shared passage and around an
+   edit, the match is extended word by word: the windows of the first mark of each
+   span are joined by their own hashes, and all but the first of each are repeats.
+4. Repeats are deleted, so a word goes exactly if it lies in ``MIN_WORDS`` neighbouring
+   words that stand earlier in the order of documents, or earlier in the same text.
+   A match rests on 96 bits at least, and before words are deleted their hash is compared
+   with the repeat's, so a text that only shares another's row key loses nothing.
+
+Hot groups. A batch of rows settles what it can: of equal marks it sends on the first
+alone, and marks of one hash with other spans go to step 3 without being compared
+further. So a passage, line or text that a third of the documents share is a row per
+batch where it is joined, and no task holds the group. Rows that are settled travel under
+keys of their own and spread evenly.
 
 Defined results: a null text stays null; a text without repeats stays as it is, byte
 for byte; a document of which no word is left is dropped by ``deduplicated`` and has an
 empty text in ``line_dedup``; rows that repeat doc_id and text are one document and
-change alike; rows without doc_id come last in order and are told apart by their texts;
-an empty table gives no rows; further columns are kept.
+change alike; rows under one doc_id with unlike texts are documents of their own, in the
+order of the texts' hashes; rows without doc_id come last and are told apart by their
+texts; an empty table gives no rows; further columns are kept.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from claimloom.llm.common import OWN, cut, portions, utf8
 
 LINE = 25
-WINDOW = 25
 MIN_WORDS = 50
+LINES = MIN_WORDS - LINE + 1
+#: Bits of a span for its number of windows, at most ``LINES``, above which its first word stands.
+_MORE = 5
 _BASE = 0x9E3779B97F4A7C15 | 1
+_SPAN_BASE = 0xC2B2AE3D27D4EB4F | 1
+#: Bytes of text hashed at a time, and marks or windows a batch compares at a time.
+SEGMENT, HELD = 1 << 20, 1 << 20
 DOC, TAG, RUNS = f"{OWN}doc", f"{OWN}tag", f"{OWN}runs"
-#: A position is the document's tag above its word number, so rows under one doc_id with unlike texts stay apart.
-PLACE_BITS = 40
+#: What a batch found of a mark or window: the only one of its hash, a copy of one before, one to compare by windows, or the first of several spans.
+ALONE, COPY, ASKED, SEVERAL = range(4)
 
 _SOLID = np.ones(256, bool)
 _SOLID[list(b" \t\n\x0b\x0c\r")] = False
-_powers: list[np.ndarray] = []
+_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
-def _powers_to(size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse modulo 2**64."""
-    if not _powers or len(_powers[0]) < size:
-        length = max(size, 1 << 17)
+def _powers_to(size: int, base: int = _BASE) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of a base and of its inverse modulo 2**64."""
+    if base not in _powers or len(_powers[base][0]) < size:
         made = []
-        for base in (_BASE, pow(_BASE, -1, 1 << 64)):
-            powers = np.full(length, base, np.uint64)
+        for factor in (base, pow(base, -1, 1 << 64)):
+            powers = np.full(max(size, 1 << 16), factor, np.uint64)
             powers[0] = 1
             made.append(np.cumprod(powers, dtype=np.uint64))
-        if length > 1 << 22:  # a very long text does not keep its table
+        if size > 1 << 21:  # a very long text does not keep its table
             return made[0], made[1]
-        _powers[:] = made
-    return _powers[0], _powers[1]
+        _powers[base] = (made[0], made[1])
+    return _powers[base]
+
+
+def _mixed(found: np.ndarray) -> np.ndarray:
+    found = (found ^ (found >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return found ^ (found >> np.uint64(32))
 
 
 def word_spans(text: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -79,15 +92,25 @@ def word_spans(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     return edges[::2], edges[1::2]
 
 
+def _range_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int) -> np.ndarray:
+    """A hash of ``values[start:end]`` for each start and end: differences of one running polynomial."""
+    powers, inverse = _powers_to(len(values) + 1, base)
+    running = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(values * powers[: len(values)], out=running[1:])
+    return _mixed((running[ends] - running[starts]) * inverse[starts])
+
+
 def word_hashes(text: bytes) -> np.ndarray:
-    """A 64-bit hash of each word: differences of one running polynomial over the text's bytes."""
-    starts, ends = word_spans(text)
-    powers, inverse = _powers_to(len(text))
-    running = np.zeros(len(text) + 1, np.uint64)
-    np.cumsum((np.frombuffer(text, np.uint8).astype(np.uint64) + np.uint64(1)) * powers[: len(text)], out=running[1:])
-    found = (running[ends] - running[starts]) * inverse[starts]
-    found = (found ^ (found >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    return found ^ (found >> np.uint64(32))
+    """A 64-bit hash of each word."""
+    parts, at = [], 0
+    while at < len(text):
+        end = min(len(text), at + SEGMENT)
+        while end < len(text) and _SOLID[text[end]]:  # a word that is longer stays whole
+            end += 1
+        part = text[at:end]
+        parts.append(_range_hashes(np.frombuffer(part, np.uint8).astype(np.uint64) + np.uint64(1), *word_spans(part), _BASE))
+        at = end
+    return np.concatenate(parts) if parts else np.zeros(0, np.uint64)
 
 
 def line_hashes(words: np.ndarray, line: int = LINE) -> np.ndarray:
@@ -110,50 +133,80 @@ def line_hashes(words: np.ndarray, line: int = LINE) -> np.ndarray:
     return found ^ (found >> np.uint64(29))
 
 
-def _slide(values: np.ndarray, window: int, pick) -> np.ndarray:
-    """``pick`` (minimum or maximum) over every window."""
+def span_hashes(words: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of the words of each span."""
+    return _range_hashes(words, starts, ends, _SPAN_BASE)
+
+
+def least_places(hashes: np.ndarray, window: int = LINES) -> np.ndarray:
+    """The place of the least hash of every window, the leftmost on a tie."""
+    values, places = hashes, np.arange(len(hashes))
+
+    def best(a: slice, b: slice) -> None:
+        nonlocal values, places
+        right = values[b] < values[a]
+        values, places = np.where(right, values[b], values[a]), np.where(right, places[b], places[a])
+
     size = 1
     while 2 * size <= window:
-        values = pick(values[:-size], values[size:])
+        best(slice(None, -size), slice(size, None))
         size *= 2
     rest = window - size
-    return pick(values[: len(values) - rest], values[rest:]) if rest else values
-
-
-def selected(hashes: np.ndarray, window: int = WINDOW) -> np.ndarray:
-    """Positions that hold the minimum of some window; ties are all selected."""
-    if not len(hashes):
-        return np.zeros(0, np.int64)
-    window = min(window, len(hashes))
-    least = _slide(hashes, window, np.minimum)
-    edge = np.zeros(window - 1, hashes.dtype)
-    most = _slide(np.concatenate([edge, least, edge]), window, np.maximum)
-    return np.flatnonzero(most == hashes)
-
-
-def _common(a: np.ndarray, b: np.ndarray) -> int:
-    """Length of the common start."""
-    n = min(len(a), len(b))
-    size, at = 32, 0
-    while at < n:
-        unlike = np.flatnonzero(a[at : min(n, at + size)] != b[at : min(n, at + size)])
-        if len(unlike):
-            return at + int(unlike[0])
-        at += size
-        size *= 4
-    return n
-
-
-def inner_runs(words: np.ndarray, hashes: np.ndarray, places: np.ndarray) -> list[tuple[int, int]]:
-    """Word ranges whose every window of ``MIN_WORDS`` words is an earlier one of the same text."""
-    found = np.sort(hashes[places])
-    if not (found[1:] == found[:-1]).any():
-        return []
-    windows = line_hashes(words, MIN_WORDS)
-    later = np.ones(len(windows), bool)
-    later[np.unique(windows, return_index=True)[1]] = False
-    edges = np.flatnonzero(np.diff(np.concatenate([[0], later, [0]])))
-    return [(s, e - 1 + MIN_WORDS) for s, e in zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True)]
+    if rest:
+        best(slice(None, len(values) - rest), slice(rest, None))
+    return places
+
+
+class Marked:
+    """Marks of several texts: ``text`` (number), ``first`` and ``more`` (first window, and windows beyond it), ``line`` (hash), in order."""
+
+    def __init__(self, texts: Sequence[bytes]):
+        found = [word_hashes(t) for t in texts]
+        sizes = np.array([len(w) for w in found], np.int64)
+        self.words = np.concatenate(found) if found else np.zeros(0, np.uint64)
+        self.starts = np.cumsum(sizes) - sizes
+        if len(self.words) < MIN_WORDS:
+            self.text = self.first = self.more = np.zeros(0, np.int64)
+            self.line = np.zeros(0, np.uint64)
+            return
+        lines = line_hashes(self.words)
+        places = least_places(lines)
+        owner = np.repeat(np.arange(len(sizes)), sizes)
+        inside = np.flatnonzero(owner[: len(places)] == owner[MIN_WORDS - 1 :])  # windows of one text
+        new = np.ones(len(inside), bool)
+        new[1:] = (places[inside[1:]] != places[inside[:-1]]) | (owner[inside[1:]] != owner[inside[:-1]])
+        heads = np.flatnonzero(new)
+        self.at = inside[heads]  # the first window's place among all words
+        self.more = np.diff(np.append(heads, len(inside))) - 1
+        self.text = owner[self.at]
+        self.first = self.at - self.starts[self.text]
+        self.line = lines[places[self.at]]
+
+    def spans(self) -> np.ndarray:
+        return self.first << _MORE | self.more
+
+    def hashes(self) -> np.ndarray:
+        return span_hashes(self.words, self.at, self.at + self.more + MIN_WORDS) if len(self.text) else np.zeros(0, np.uint64)
+
+    def windows(self, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Text, first word, line hash and own hash of every window of the chosen marks."""
+        counts = self.more[chosen] + 1
+        step = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+        at = np.repeat(self.at[chosen], counts) + step
+        text = np.repeat(self.text[chosen], counts)
+        return text, at - self.starts[text], np.repeat(self.line[chosen], counts), span_hashes(self.words, at, at + MIN_WORDS)
+
+
+def in_groups(texts: Sequence[bytes], size: int = SEGMENT) -> Iterator[tuple[int, Sequence[bytes]]]:
+    """Neighbouring texts of ``size`` bytes together, or one that is longer; with the first one's number."""
+    first, held = 0, 0
+    for n, text in enumerate(texts):
+        if held and held + len(text) > size:
+            yield first, texts[first:n]
+            first, held = n, 0
+        held += len(text)
+    if first < len(texts):
+        yield first, texts[first:]
 
 
 def merged(runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -167,213 +220,191 @@ def merged(runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [(s, e) for s, e in out]
 
 
-def without(text: bytes, runs: list[tuple[int, int]]) -> bytes:
-    """The text without the words of ``runs`` and the white space that follows each."""
-    starts = [*word_spans(text)[0].tolist(), len(text)]
+def without(text: bytes, spans: np.ndarray, checks: np.ndarray) -> tuple[bytes, int, int, int]:
+    """The text without the words of the spans and the white space that follows; words and runs that went, and words left.
+
+    A span counts only if the text's own words have its hash there.
+    """
+    starts, ends = spans >> _MORE, (spans >> _MORE) + (spans & ((1 << _MORE) - 1)) + MIN_WORDS
+    words = word_hashes(text)
+    held = ends <= len(words)
+    starts, ends, checks = starts[held], ends[held], checks[held]
+    same = _check(span_hashes(words, starts, ends)) == checks
+    runs = merged(list(zip(starts[same].tolist(), ends[same].tolist(), strict=True)))
+    if not runs:
+        return text, 0, 0, -1
+    edges = [*word_spans(text)[0].tolist(), len(text)]
     at, kept = 0, []
     for start, end in runs:
-        kept.append(text[at : starts[start]])
-        at = starts[end]
+        kept.append(text[at : edges[start]])
+        at = edges[end]
     kept.append(text[at:])
-    return b"".join(kept)
+    gone = sum(e - s for s, e in runs)
+    return b"".join(kept), gone, len(runs), len(words) - gone
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    return docs.withColumns(
-        {
-            DOC: F.coalesce(F.col("doc_id").cast("bigint"), F.lit((1 << 63) - 1)),
-            TAG: F.xxhash64("text").bitwiseAND(F.lit((1 << (63 - PLACE_BITS)) - 1)),
-        }
-    )
+def _check(hashes: np.ndarray) -> np.ndarray:
+    return hashes.astype(np.uint32).view(np.int32)
 
 
-def _tag(at: str) -> Column:
-    return F.shiftright(at, PLACE_BITS)
+_PLACED = "line bigint, own bigint, kind int, doc bigint, tag bigint, span bigint, check int"
 
 
-def _place(at: str) -> Column:
-    return F.col(at).bitwiseAND(F.lit((1 << PLACE_BITS) - 1))
+def settled(line: np.ndarray, own: np.ndarray, doc: np.ndarray, tag: np.ndarray, span: np.ndarray, check: np.ndarray) -> pa.RecordBatch:
+    """What one batch knows of its marks or windows, as rows of ``_PLACED``.
 
+    Of each (line, own) the first by (doc, tag, span) goes on and the others are copies; of each line one
+    goes on to be compared with other batches, and tells whether there are others.
+    """
+    kind = np.full(len(line), ALONE, np.int32)
+    order = np.argsort(line, kind="stable")
+    same = np.zeros(len(line), bool)
+    alike = line[order][1:] == line[order][:-1]
+    same[1:] |= alike
+    same[:-1] |= alike
+    group = order[same]
+    drop = np.zeros(len(line), bool)
+    if len(group):
+        group = group[np.lexsort((span[group], tag[group], doc[group], own[group], line[group]))]
+        new_line = np.append(True, line[group][1:] != line[group][:-1])
+        new_own = new_line | np.append(True, own[group][1:] != own[group][:-1])
+        first = np.maximum.accumulate(np.where(new_own, np.arange(len(group)), 0))
+        repeated = (doc[group] == doc[group[first]]) & (tag[group] == tag[group[first]]) & (span[group] == span[group[first]]) & ~new_own
+        owns = np.add.reduceat(new_own, np.flatnonzero(new_line))  # spans of each line
+        several = np.repeat(owns > 1, np.diff(np.append(np.flatnonzero(new_line), len(group))))
+        kind[group] = np.where(~new_own, COPY, np.where(~new_line, ASKED, np.where(several, SEVERAL, ALONE)))
+        drop[group] = repeated
+    alone = (kind == COPY) | (kind == ASKED)
+    # Settled rows need not meet others: a key of their own spreads them.
+    line = np.where(alone, _mixed(line ^ _mixed(doc.view(np.uint64) ^ tag.view(np.uint64)) ^ span.view(np.uint64)), line)
+    keep = ~drop
+    columns = [line.view(np.int64), own.view(np.int64), kind, doc, tag, span, check]
+    return pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in columns], [f.split()[0] for f in _PLACED.split(", ")])
+
+
+class _Batch:
+    """Rows of ``settled`` held until a batch is full."""
+
+    def __init__(self):
+        self.held: list[tuple[np.ndarray, ...]] = []
+        self.size = 0
+
+    def add(self, *columns: np.ndarray) -> None:
+        if len(columns[0]):
+            self.held.append(columns)
+            self.size += len(columns[0])
+
+    def rows(self, least: int = 1) -> Iterator[pa.RecordBatch]:
+        if self.size >= least:
+            columns = [np.concatenate(c) for c in zip(*self.held, strict=True)]
+            self.held, self.size = [], 0
+            yield settled(*columns)
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    return docs.withColumns({DOC: F.coalesce(F.col("doc_id").cast("bigint"), F.lit((1 << 63) - 1)), TAG: F.xxhash64("text")})
 
-def _select_lines(keyed: DataFrame) -> DataFrame:
-    """(hash, doc, at) of selected lines; (null, doc, at, end) of runs that repeat within a document."""
+
+def _numbers(column: pa.Array) -> np.ndarray:
+    return column.to_numpy(zero_copy_only=False)
+
+
+def _marks(docs: DataFrame) -> DataFrame:
+    """Marks of all texts, settled by batches."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["hash", "doc", "at", "end"]
+        held = _Batch()
         for batch in portions(batches):
-            hashes, docs, places, own = [], [], [], []
-            for doc, tag, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), utf8(batch.column(2)), strict=True):
-                words = word_hashes(text)
-                lines = line_hashes(words)
-                if not len(lines):
-                    continue
-                at = selected(lines)
-                top = tag << PLACE_BITS
-                inner = inner_runs(words, lines, at)
-                own += [(doc, top | s, e) for s, e in inner]
-                once = at[np.unique(lines[at], return_index=True)[1]] if inner else at
-                hashes.append(lines[once].view(np.int64))
-                places.append(once + top)
-                docs.append(np.full(len(once), doc, np.int64))
-            if docs:
-                found = [np.concatenate(x) for x in (hashes, docs, places)]
-                yield pa.RecordBatch.from_arrays([*map(pa.array, found), pa.nulls(len(found[0]), pa.int64())], names)
-            if own:
-                columns = [pa.array(c, pa.int64()) for c in zip(*own, strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.nulls(len(own), pa.int64()), *columns], names)
-
-    source = keyed.filter("text IS NOT NULL").select(DOC, TAG, "text")
-    return source.mapInArrow(rows, "hash bigint, doc bigint, at bigint, end bigint")
-
-
-def _runs(lines: DataFrame) -> DataFrame:
-    """Runs (doc, tag, start, end) with their first place (sdoc, stag, sstart, send), ends not yet extended.
-
-    First places of repeated lines are runs as well, with themselves as first place.
+            doc, tag = _numbers(batch.column(0)), _numbers(batch.column(1))
+            for first, texts in in_groups(utf8(batch.column(2))):
+                marks = Marked(texts)
+                own, at = marks.hashes(), marks.text + first
+                held.add(marks.line, own & np.uint64(0xFFFFFFFF), doc[at], tag[at], marks.spans(), _check(own))
+                yield from held.rows(HELD)
+        yield from held.rows()
+
+    return _keyed(docs).filter("text IS NOT NULL").select(DOC, TAG, "text").mapInArrow(rows, _PLACED)
+
+
+def _judged(placed: DataFrame) -> DataFrame:
+    """(kind, doc, tag, span, check) of copies (COPY) and of what has to be compared by windows (ASKED).
+
+    One shuffle and one sort by (line, own, place). A line has a row per batch at most.
     """
-    marks = lines.filter("hash IS NOT NULL").select("hash", "doc", "at")
-    first = marks.groupBy("hash").agg(F.min(F.struct("doc", "at")).alias("first"), F.count("*").alias("n")).filter("n > 1").select("hash", "first")
-    seeds = marks.join(first, "hash").select(
-        "doc", _tag("at").alias("tag"), _place("at").alias("place"), F.col("first.doc").alias("sdoc"), _tag("first.at").alias("stag"), _place("first.at").alias("splace")
-    )
-    pairs = seeds.groupBy("doc", "tag", "sdoc", "stag").agg(F.collect_list(F.struct("place", "splace")).alias("seeds"))
-
-    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in portions(batches):
-            keys = list(zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True))
-            flat, ends = batch.column(4).flatten(), np.cumsum([0, *batch.column(4).value_lengths().to_pylist()])
-            places, sources = (flat.field(k).to_numpy(zero_copy_only=False) for k in range(2))
-            out = []
-            for key, a, b in zip(keys, ends, ends[1:], strict=False):
-                own, gap = places[a:b], places[a:b] - sources[a:b]
-                order = np.lexsort((own, gap))
-                own, gap = own[order], gap[order]
-                breaks = np.flatnonzero((np.diff(gap) != 0) | (np.diff(own) > LINE)) + 1
-                for part in np.split(np.arange(len(own)), breaks):
-                    start, end, g = int(own[part[0]]), int(own[part[-1]]) + LINE, int(gap[part[0]])
-                    out.append((*key, start, end, start - g, end - g))
-            columns = list(zip(*out, strict=True)) or [()] * 8
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names)
-
-    names = ["doc", "tag", "sdoc", "stag", "start", "end", "sstart", "send"]
-    return pairs.mapInArrow(joined, ", ".join(f"{n} bigint" for n in names))
-
-
-def _around(dealt: DataFrame, runs: DataFrame) -> DataFrame:
-    """The words before and after each run's first place, from the documents that hold one."""
-    asked = runs.groupBy(F.col("sdoc").alias(f"{OWN}sdoc"), F.col("stag").alias(f"{OWN}stag")).agg(F.collect_set(F.struct("sstart", "send")).alias(f"{OWN}asked"))
-    holders = dealt.join(asked, (F.col(DOC) == F.col(f"{OWN}sdoc")) & (F.col(TAG) == F.col(f"{OWN}stag")))
-    at = {c: holders.columns.index(c) for c in (DOC, TAG, "text", f"{OWN}asked")}
-    names = ["sdoc", "stag", "sstart", "send", "before", "after"]
-
-    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in portions(batches):
-            out = []
-            columns = (batch.column(at[DOC]).to_pylist(), batch.column(at[TAG]).to_pylist(), utf8(batch.column(at["text"])), batch.column(at[f"{OWN}asked"]).to_pylist())
-            for doc, tag, text, asked in zip(*columns, strict=True):
-                own = word_hashes(text).astype("<u4")
-                out += [(doc, tag, x["sstart"], x["send"], own[max(0, x["sstart"] - WINDOW) : x["sstart"]].tobytes(), own[x["send"] : x["send"] + WINDOW].tobytes()) for x in asked]
-            found = list(zip(*out, strict=True)) or [()] * 6
-            types = [pa.int64()] * 4 + [pa.binary()] * 2
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(found, types, strict=True)], names)
+    order = ["line", "own", "doc", "tag", "span"]
+    by_line, by_own = Window.partitionBy("line"), Window.partitionBy("line", "own").orderBy(*order[2:])
+    dealt = placed.repartition("line").sortWithinPartitions(*order)
+    several = (F.min("own").over(by_line) != F.max("own").over(by_line)) | (F.max("kind").over(by_line) == SEVERAL)
+    later = F.rank().over(by_own) > 1
+    known = F.col("kind").isin(COPY, ASKED)
+    kind = F.when(known, F.col("kind")).when(F.col("later"), COPY).when(F.col("several"), ASKED)
+    found = dealt.withColumn("several", several).withColumn("later", later).withColumn("kind", kind)
+    return found.filter("kind IS NOT NULL").select("kind", "doc", "tag", "span", "check")
+
 
-    # Rows that repeat doc_id and text answer alike.
-    return holders.mapInArrow(words, "sdoc bigint, stag bigint, sstart bigint, send bigint, before binary, after binary").distinct()
+def _by_document(rows: DataFrame, value, name: str) -> DataFrame:
+    """The values of each document as an array: no more than its words, and once for repeated rows."""
+    return rows.groupBy(F.col("doc").alias(f"{OWN}rdoc"), F.col("tag").alias(f"{OWN}rtag")).agg(F.collect_set(value).alias(name))
 
 
-def extended(own: np.ndarray, start: int, end: int, before: bytes, after: bytes) -> tuple[int, int]:
-    """The run [start, end) with the words on both sides that its first place has as well."""
-    left, right = np.frombuffer(before, "<u4"), np.frombuffer(after, "<u4")
-    return start - _common(own[:start][::-1], left[::-1]), end + _common(own[end:], right)
+def _met(dealt: DataFrame, found: DataFrame, how: str) -> DataFrame:
+    """Rows of ``dealt`` with what was found of them; the small side is hashed, so that no texts are sorted."""
+    same = (F.col(DOC) == F.col(f"{OWN}rdoc")) & (F.col(TAG) == F.col(f"{OWN}rtag"))
+    return dealt.join(found.hint("shuffle_hash"), same, how).drop(f"{OWN}rdoc", f"{OWN}rtag")
 
 
-def _windows(dealt: DataFrame, own: DataFrame) -> DataFrame:
-    """(null, doc, at, end) of runs that repeat their first place; (hash, doc, at) of windows outside that may repeat another."""
-    met = dealt.join(own, (F.col(DOC) == F.col(f"{OWN}rdoc")) & (F.col(TAG) == F.col(f"{OWN}rtag"))).select(DOC, TAG, "text", RUNS)
+def _windows(dealt: DataFrame, asked: DataFrame) -> DataFrame:
+    """Windows of the marks asked for, settled by batches."""
+    met = _met(dealt, asked, "inner")
+    at = {c: met.columns.index(c) for c in (DOC, TAG, "text", RUNS)}
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["hash", "doc", "at", "end"]
+        held = _Batch()
         for batch in portions(batches):
-            hashes, docs, places, proven = [], [], [], []
-            columns = (batch.column(0).to_pylist(), batch.column(1).to_pylist(), utf8(batch.column(2)), batch.column(3).to_pylist())
-            for doc, tag, text, found in zip(*columns, strict=True):
-                words = word_hashes(text)
-                if len(words) < MIN_WORDS:
-                    continue
-                short = words.astype("<u4")
-                lines, windows = line_hashes(words), line_hashes(words, MIN_WORDS)
-                repeated, asked, top = np.zeros(len(lines), bool), np.ones(len(windows), bool), tag << PLACE_BITS
-                for x in found:
-                    repeated[x["start"] : x["end"] - LINE + 1] = True
-                    if x["before"] is not None:
-                        start, end = extended(short, x["start"], x["end"], x["before"], x["after"])
-                        if end - start >= MIN_WORDS:
-                            proven.append((doc, top | start, end))
-                            asked[start : end - MIN_WORDS + 1] = False
-                least = _slide(lines, WINDOW, np.minimum)[: len(windows)]
-                at = np.flatnonzero(asked)
-                at = at[np.isin(least[at], lines[repeated])]
-                hashes.append(windows[at].view(np.int64))
-                places.append(at + top)
-                docs.append(np.full(len(at), doc, np.int64))
-            if docs:
-                found = [np.concatenate(x) for x in (hashes, docs, places)]
-                yield pa.RecordBatch.from_arrays([*map(pa.array, found), pa.nulls(len(found[0]), pa.int64())], names)
-            if proven:
-                columns = [pa.array(c, pa.int64()) for c in zip(*proven, strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.nulls(len(proven), pa.int64()), *columns], names)
-
-    return met.mapInArrow(rows, "hash bigint, doc bigint, at bigint, end bigint")
-
-
-def _repeats(windows: DataFrame) -> DataFrame:
-    """(doc, at, end) of everything that an earlier place holds."""
-    asked = windows.filter("hash IS NOT NULL").select("hash", "doc", "at")
-    first = asked.groupBy("hash").agg(F.min(F.struct("doc", "at")).alias("first"), F.count("*").alias("n")).filter("n > 1").select("hash", "first")
-    later = asked.join(first, "hash").filter("doc <> first.doc OR at <> first.at").select("doc", "at", (_place("at") + MIN_WORDS).alias("end"))
-    return windows.filter("hash IS NULL").select("doc", "at", "end").unionByName(later)
+            doc, tag = _numbers(batch.column(at[DOC])), _numbers(batch.column(at[TAG]))
+            spans, sizes = _numbers(batch.column(at[RUNS]).flatten()), _numbers(batch.column(at[RUNS]).value_lengths())
+            edges = np.concatenate([[0], np.cumsum(sizes)])
+            for first, texts in in_groups([t or b"" for t in utf8(batch.column(at["text"]))]):
+                marks = Marked(texts)
+                a, b = edges[first], edges[first + len(texts)]
+                wanted = np.repeat(np.arange(len(texts)), sizes[first : first + len(texts)]) << 40 | spans[a:b]
+                chosen = np.flatnonzero(np.isin(marks.text << 40 | marks.spans(), wanted))
+                if len(chosen):
+                    text, place, line, own = marks.windows(chosen)
+                    # Each window is compared with its like alone, so line and own hash are one key of it.
+                    held.add(_mixed(line) ^ own, own, doc[text + first], tag[text + first], place << _MORE, _check(own))
+                yield from held.rows(HELD)
+        yield from held.rows()
+
+    return met.mapInArrow(rows, _PLACED)
 
 
 def _removals(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` with ``text`` less its repeated runs, and how many words and runs went."""
-    keyed = _keyed(docs)
-    lines = cut(_select_lines(keyed), "lines")
-    runs = cut(_runs(lines), "runs")
-    # One shuffle of the texts serves both joins: those that hold first places, and those that hold runs.
-    dealt = keyed.filter("text IS NOT NULL").select(DOC, TAG, "text").repartition(DOC, TAG)
-    itself = (F.col("doc") == F.col("sdoc")) & (F.col("tag") == F.col("stag"))
-    around = _around(dealt, runs.filter(~itself))
-    outer = runs.filter(~itself).join(around, ["sdoc", "stag", "sstart", "send"]).select("doc", "tag", "start", "end", "before", "after")
-    none = F.lit(None).cast("binary")
-    firsts = runs.filter(itself).select("doc", "tag", "start", "end", none.alias("before"), none.alias("after"))
-    empty = F.lit(b"")
-    inner = lines.filter("hash IS NULL").select("doc", _tag("at").alias("tag"), _place("at").alias("start"), "end", empty.alias("before"), empty.alias("after"))
-    own = outer.unionByName(inner).unionByName(firsts).groupBy(F.col("doc").alias(f"{OWN}rdoc"), F.col("tag").alias(f"{OWN}rtag"))
-    own = own.agg(F.collect_set(F.struct("start", "end", "before", "after")).alias(RUNS))
-    windows = cut(_windows(dealt, own), "windows")
-    gone = _repeats(windows).groupBy(F.col("doc").alias(f"{OWN}rdoc"), _tag("at").alias(f"{OWN}rtag"))
-    gone = gone.agg(F.collect_set(F.struct(_place("at").alias("start"), "end")).alias(RUNS))
-    met = keyed.join(gone, (F.col(DOC) == F.col(f"{OWN}rdoc")) & (F.col(TAG) == F.col(f"{OWN}rtag")), "left").select(*docs.columns, RUNS)
+    dealt = _keyed(docs)
+    marks = cut(_judged(_marks(docs)), "marks")
+    # Both joins read one shuffle of the rows.
+    asked = _by_document(marks.filter(F.col("kind") == ASKED), F.col("span"), RUNS)
+    copies = _judged(_windows(dealt, asked)).unionByName(marks).filter(F.col("kind") == COPY)
+    met = _met(dealt, _by_document(copies, F.struct("span", "check"), RUNS), "left").select(*docs.columns, RUNS)
     place, width = docs.columns.index("text"), len(docs.columns)
     removed = StructType([*docs.schema.fields, StructField(f"{OWN}words", LongType()), StructField(f"{OWN}cuts", LongType()), StructField(f"{OWN}left", LongType())])
-
     names = removed.names
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in portions(batches):
-            texts, counts = [], []
-            for text, found in zip(utf8(batch.column(place)), batch.column(width).to_pylist(), strict=True):
-                gone, n = [], 0
-                if found:
-                    n = len(word_spans(text)[0])
-                    gone = merged([(x["start"], x["end"]) for x in found])
-                texts.append(without(text, gone) if gone else text)
-                words = sum(e - s for s, e in gone)
-                counts.append((words, len(gone), n - words if gone else -1))
+            texts, counts = utf8(batch.column(place)), np.zeros((3, batch.num_rows), np.int64)
+            counts[2] = -1
+            runs = batch.column(width)
+            flat, edges = runs.flatten(), np.concatenate([[0], np.cumsum(_numbers(runs.value_lengths().fill_null(0)))])
+            spans, checks = _numbers(flat.field(0)), _numbers(flat.field(1))
+            for n in np.flatnonzero(np.diff(edges)).tolist():
+                if texts[n] is not None:
+                    own = slice(edges[n], edges[n + 1])
+                    texts[n], *counts[:, n] = without(texts[n], spans[own], checks[own])
             columns = batch.columns[:width]
             columns[place] = pa.array(texts, pa.binary()).cast(pa.string()).cast(batch.schema.types[place])
-            columns += [pa.array(c, pa.int64()) for c in zip(*counts, strict=True)] or [pa.array([], pa.int64())] * 3
-            yield pa.RecordBatch.from_arrays(columns, names)
+            yield pa.RecordBatch.from_arrays([*columns, *map(pa.array, counts)], names)
 
     return met.mapInArrow(rows, removed)
 

@@ -51,11 +51,23 @@ def test_line_hashes_and_selection():
         assert len(hashes) == 350 - line + 1
         n = 50 - line + 1
         assert (hashes[300 : 300 + n] == hashes[40 : 40 + n]).all() and len(set(hashes.tolist())) >= 300 - line
-    for n in (0, 1, 5, 24, 25, 26, 400):
-        hashes = rng.integers(0, 50 if n > 100 else 2**60, n).astype(np.uint64)
-        w = min(q.WINDOW, max(n, 1))
-        expected = sorted({j for i in range(n - w + 1) for j in range(i, i + w) if hashes[j] == min(hashes[i : i + w])})
-        assert q.selected(hashes).tolist() == expected
+    for n in (26, 27, 60, 400):
+        for top in (3, 50, 2**60):
+            hashes = rng.integers(0, top, n).astype(np.uint64).tolist()
+            expected = [i + hashes[i : i + q.LINES].index(min(hashes[i : i + q.LINES])) for i in range(n - q.LINES + 1)]
+            assert q.least_places(np.array(hashes, np.uint64)).tolist() == expected
+
+
+def test_marks_cover_every_window_once():
+    rng = random.Random(8)
+    texts = [" ".join(phrase(rng, n)).encode() for n in (0, 49, 50, 51, 300)] + [b"a " * 200]
+    marks = q.Marked(texts)
+    text, place, line, own = marks.windows(np.arange(len(marks.text)))
+    assert sorted(zip(text.tolist(), place.tolist())) == [(n, i) for n, t in enumerate(texts) for i in range(len(t.split()) - 49)]
+    by_words = {}
+    for n, i, a, b in zip(text.tolist(), place.tolist(), line.tolist(), own.tolist()):
+        assert by_words.setdefault(tuple(texts[n].split()[i : i + 50]), (a, b)) == (a, b)
+    assert len(set(by_words.values())) == len(by_words)
 
 
 @pytest.fixture(scope="module")
@@ -122,6 +134,47 @@ def test_stage_keeps_columns_and_repeated_rows(spark, corpus):
     assert sorted(map(str, out.collect())) == sorted(map(str, spark.createDataFrame([rows[0], rows[1], rows[2], (10, "end", 3, "z", 3), rows[6], rows[7]], FIELDS).collect()))
 
 
+def test_batches_settle_what_they_can():
+    ints = lambda *x: np.array(x, np.int64)
+    line, own = np.array([1, 2, 2, 2, 2, 3, 3], np.uint64), np.array([5, 6, 6, 7, 6, 8, 8], np.uint64)
+    rows = q.settled(line, own, ints(0, 4, 1, 9, 1, 5, 2), ints(*[0] * 7), ints(0, 0, 0, 0, 0, 0, 3), np.zeros(7, np.int32)).to_pylist()
+    # The row that stands twice is sent once; of (2, 6) document 1 goes on and 4 is a copy, (2, 7) is asked for.
+    assert sorted((r["doc"], r["own"], r["kind"]) for r in rows) == [(0, 5, q.ALONE), (1, 6, q.SEVERAL), (2, 8, q.ALONE), (4, 6, q.COPY), (5, 8, q.COPY), (9, 7, q.ASKED)]
+    assert all(r["line"] in (1, 2, 3) for r in rows if r["kind"] in (q.ALONE, q.SEVERAL))
+
+
+def test_rows_without_doc_id(spark):
+    rng = random.Random(11)
+    shared = phrase(rng, 70)
+    texts = [" ".join(phrase(rng, 8)) for _ in range(49_900)] + [" ".join([*phrase(rng, 20), *shared, *phrase(rng, 60)]) for _ in range(100)]
+    rows = [(None, t, n) for n, t in enumerate(texts)] + [(7, " ".join(shared), -1)]
+    found = {r.n: r for r in q.deduplicated(spark.createDataFrame(rows, "doc_id bigint, text string, n int").repartition(4)).collect()}
+    assert len(found) == len(rows)
+    for n, t in enumerate(texts):
+        words = t.split()
+        assert found[n].text.split() == (words if n < 49_900 else words[:20] + words[90:])
+
+
+def test_rows_that_share_a_key_lose_nothing_of_their_own(spark, monkeypatch):
+    rng = random.Random(12)
+    shared = phrase(rng, 120)
+    texts = [" ".join([*phrase(rng, rng.randrange(90)), *(shared if n % 2 else []), *phrase(rng, rng.randrange(90))]) for n in range(60)]
+    real = q._keyed
+    monkeypatch.setattr(q, "_keyed", lambda docs: real(docs).withColumn(q.TAG, q.F.lit(3).cast("bigint")))
+    found = q.deduplicated(spark.createDataFrame([(None, t, n) for n, t in enumerate(texts)], "doc_id bigint, text string, n int").repartition(3)).collect()
+    for r in found:
+        words, left = texts[r.n].split(), r.text.split()
+        assert set(words) - set(shared) <= set(left)
+
+
+def test_common_line_in_many_contexts(spark):
+    rng = random.Random(13)
+    line = phrase(rng, 40)
+    docs = [(n, " ".join([*phrase(rng, 30), *line, *rng.choice([["x"] * 9, ["x", "y"] * 9, phrase(rng, 30)]), *phrase(rng, 40)])) for n in range(300)]
+    found = q.line_dedup(spark.createDataFrame(docs, "doc_id bigint, text string").repartition(5)).collect()
+    assert {r.doc_id: r.text.split() for r in found} == plain(docs)
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], FIELDS)
     assert q.line_dedup(docs).collect() == [] and q.deduplicated(docs).collect() == []
