@@ -91,6 +91,37 @@ def test_driver_rows_against_all_pairs(spark):
         assert found[i] == (f"{v:016x}", min(j for j, w in prints.items() if w in groups[v]))
 
 
+def test_tally_tells_six_shared_bytes():
+    assert len(simhash.CHOICES) == 14
+    for places in range(256):
+        shared = {k for k in range(8) if places >> k & 1}
+        tally = sum(set(c) <= shared for c in simhash.CHOICES)
+        assert (tally >= simhash.LEAST_SHARED) == (len(shared) >= 6)
+
+
+def test_one_of_each_judges_rows_under_one_id_apart(spark):
+    texts = ["alpha beta gamma delta", "one two three four five", "six seven eight nine ten"]
+    rows = [(5, texts[0], 1), (5, texts[1], 2), (5, texts[1], 2), (5, texts[1], 3), (9, texts[0].upper(), 4), (3, texts[2], 5), (5, texts[2], 6), (None, texts[2], 7), (None, "only here now", 8), (None, "Only here now", 8)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, n int").repartition(4)
+    found = [simhash.one_of_each(docs).collect() for _ in range(2)]
+    assert sorted(map(str, found[0])) == sorted(map(str, found[1]))
+    stay = sorted((r.doc_id or 99, r.text.lower()) for r in found[0])
+    assert stay == sorted([(5, texts[0]), (5, texts[1]), (3, texts[2]), (99, "only here now")])
+
+
+def test_near_copies_are_judged_as_they_came(spark):
+    base = [f"w{k}" for k in range(400)]
+    whole = simhash.fingerprint(" ".join(base).encode())
+    copies = ([*base[:k], "other", *base[k + 1 :]] for k in range(400))
+    edited = next(c for c in copies if (whole ^ simhash.fingerprint(" ".join(c).encode())).bit_count() <= 2)
+    came = spark.createDataFrame([(1, " ".join(base)), (2, " ".join(edited)), (3, "a clean text"), (4, "x y z"), (4, "q r s"), (None, "n")], "doc_id bigint, text string")
+    left = spark.createDataFrame([(1, " ".join(base), "a"), (2, "other", "b"), (3, "a clean text", "c"), (4, "x y z", "d"), (8, "other", "e"), (None, None, "f")], "doc_id bigint, text string, doc string")
+    out = simhash.without_later_copies(left, came)
+    assert out.columns == left.columns
+    assert sorted(r.doc for r in out.collect()) == list("acdef")
+    assert simhash.without_later_copies(left.limit(0), came).collect() == []
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id bigint, text string")
     assert simhash.near_duplicates(docs).collect() == [] and simhash.one_of_each(docs).collect() == []
