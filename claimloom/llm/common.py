@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
+import re
 import tempfile
 from collections.abc import Callable, Iterable, Iterator
 from uuid import uuid4
@@ -33,12 +34,15 @@ class Memo(dict):
         value = self.older.get(key)
         if value is None:
             value = self.make(key)
+        self.keep(key, value)
+        return value
+
+    def keep(self, key, value) -> None:
         if len(key) <= self.longest:
             if len(self) >= self.limit:
                 self.older = dict(self)
                 self.clear()
             self[key] = value
-        return value
 
 
 _kept: list = []
@@ -73,6 +77,21 @@ def portions(batches: Iterable[pa.RecordBatch], rows: int = 1000, holding: bool
     _trim()
 
 
+_WHITE = re.compile(rb"[ \t-\r]")
+
+
+def segments(text: bytes, size: int = 1 << 20) -> Iterator[bytes]:
+    """The text in parts of about ``size`` bytes that end before ASCII white space, so that work on a very long one is bounded."""
+    at = 0
+    while len(text) - at > size:
+        white = _WHITE.search(text, at + size)
+        if not white:
+            break
+        yield text[at : white.start()]
+        at = white.start()
+    yield text[at:] if at else text
+
+
 def utf8(column: pa.ChunkedArray | pa.Array) -> list[bytes | None]:
     """UTF-8 bytes of a string column."""
     return column.cast(pa.binary()).to_pylist()

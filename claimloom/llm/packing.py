@@ -21,6 +21,8 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterable, Iterator
+from struct import pack as pack_numbers
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimloom.llm.common import Memo, kept, portions, text_of, utf8
+from claimloom.llm.common import Memo, kept, portions, segments, text_of, utf8
 
 CONTEXT = 2048
 OPEN_BINS = 32_768
@@ -48,7 +50,8 @@ class WordIds(Memo):
     Such a tokenizer never joins what white space separates, so a text's ids are
     those of its chunks one after another. A chunk that ends in ASCII punctuation
     after an ASCII letter splits there as well, and ASCII capitals are folded;
-    chunks that might hold a special token are left whole.
+    chunks that might hold a special token are left whole. A word of small letters
+    alone is one piece as it stands, and goes to the tokenizer's model at once.
     """
 
     def __init__(self, tokenizer_json: str, limit: int = 300_000):
@@ -56,6 +59,10 @@ class WordIds(Memo):
 
         super().__init__(self.encode, limit)
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
+        self.model = self.tokenizer.model
+        plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]  # bytes that stand for themselves
+        others = iter(range(256, 512))
+        self.signs = {b: b if b in plain else next(others) for b in range(256)}
 
     def encode(self, chunk: bytes) -> bytes:
         if b"<|" not in chunk:
@@ -65,11 +72,17 @@ class WordIds(Memo):
             low = chunk.lower()
             if low != chunk:
                 return self[low]
-        ids = self.tokenizer.encode(chunk.decode("utf-8"), add_special_tokens=False).ids
-        return np.array(ids, dtype="<u4").tobytes()
+        word = chunk.decode("utf-8")
+        if word.isalpha() and (word.isascii() or is_normalized("NFC", word) and word.lower() == word):
+            if not word.isascii():
+                word = chunk.decode("latin-1").translate(self.signs)
+            ids = [token.id for token in self.model.tokenize(word)]
+        else:
+            ids = self.tokenizer.encode(word, add_special_tokens=False).ids
+        return pack_numbers(f"<{len(ids)}I", *ids)
 
     def of(self, text: bytes) -> bytes:
-        return b"".join(map(self.__getitem__, text.split()))
+        return b"".join([b"".join(map(self.__getitem__, part.split())) for part in segments(text)])
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, context: int = CONTEXT, end_id: int = 0) -> DataFrame:
