@@ -12,9 +12,10 @@ Whatever the rule, a document's counts sum to its tokens. Sections are the lines
 text, each with its line feed, or named fields that are joined by a separator, which
 belongs to the field before it.
 
-The tokenizer is a byte-level BPE of the GPT-2 kind, whose pieces never go on from
-other characters into white space. Texts are cut there, and each distinct cut is
-encoded once per worker, which gives the tokens of the whole text.
+The tokenizer is a byte-level BPE of the GPT-2 kind: its tokens are the text's bytes one
+after another, so the running sum of the tokens' byte lengths is their offsets. Its pieces
+never go on from other characters into white space; a text of more than ``WHOLE`` characters
+is encoded in parts that end there, which gives the tokens of the whole and bounds memory.
 
 Defined results: a null text or field is empty; an empty text is one empty section
 without tokens; repeated rows give their sections once each; null ``doc_id`` rows are
@@ -23,6 +24,7 @@ kept; an empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from collections.abc import Iterator, Sequence
@@ -32,30 +34,63 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimloom.llm.common import Memo, kept, portions, text_of
+from claimloom.llm.common import kept, portions, text_of
 
 RULES = ("first", "most", "share")
 #: The characters with Unicode's White_Space property.
 WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-_CUT = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
+_CUT = re.compile(f"(?<=[^{WHITE}])(?=[{WHITE}])")
+#: Characters of a text that are encoded at once, and of the texts that are encoded together.
+WHOLE, TOGETHER = 1 << 20, 1 << 18
 
 
-class TokenLengths(Memo):
-    """Byte lengths of a cut's tokens, as little-endian 16-bit numbers."""
+class TokenLengths:
+    """Byte lengths of texts' tokens."""
 
     def __init__(self, tokenizer_json: str):
         from tokenizers import Tokenizer
 
-        super().__init__(self.encode, 300_000)
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-
-    def encode(self, cut: str) -> bytes:
-        # One character of a byte-level token stands for one byte.
-        return np.array([len(t) for t in self.tokenizer.encode(cut, add_special_tokens=False).tokens], "<u2").tobytes()
-
-    def of(self, text: str) -> np.ndarray:
-        return np.frombuffer(b"".join(map(self.__getitem__, _CUT.findall(text))), "<u2").astype(np.int64)
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.sizes = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        for token, number in vocabulary.items():
+            self.sizes[number] = len(token)  # one character of a byte-level token stands for one byte
+
+    def _parts(self, text: str) -> Iterator[str]:
+        at = 0
+        while len(text) - at > WHOLE:
+            cut = _CUT.search(text, at + WHOLE)
+            if not cut:
+                break
+            yield text[at : cut.start()]
+            at = cut.start()
+        yield text[at:]
+
+    def of(self, texts: Sequence[str]) -> Iterator[np.ndarray]:
+        """The lengths of each text's tokens, in order."""
+        held: list[tuple[str, bool]] = []  # parts, and whether a text ends with one
+        size, whole = 0, []
+
+        def encoded() -> Iterator[np.ndarray]:
+            found = self.tokenizer.encode_batch_fast([p for p, _ in held], add_special_tokens=False)
+            for one, (_, last) in zip(found, held, strict=True):
+                whole.append(self.sizes[np.array(one.ids, np.int64)])
+                if last:
+                    yield np.concatenate(whole)
+                    whole.clear()
+            held.clear()
+
+        for text in texts:
+            *parts, last = self._parts(text)
+            for part in (*((p, False) for p in parts), (last, True)):
+                held.append(part)
+                size += len(part[0])
+                if size >= TOGETHER:
+                    yield from encoded()
+                    size = 0
+        yield from encoded()
 
 
 def token_lengths(tokenizer_json: str) -> TokenLengths:
@@ -106,10 +141,11 @@ def by_line(docs: DataFrame, tokenizer_path: str, rule: str = "first") -> DataFr
         lengths = token_lengths(shared.value)
         for batch in portions(batches, holding=True):
             owners, found = [], []
-            for n, text in enumerate(batch.column(1).to_pylist()):
+            texts = batch.column(1).to_pylist()
+            for n, (text, own) in enumerate(zip(texts, lengths.of(texts), strict=True)):
                 data = np.frombuffer(text.encode(), np.uint8)
                 starts = np.concatenate([[0], np.flatnonzero(data == 10) + 1])
-                counts, crossing = allocate(lengths.of(text), starts, len(data), rule)
+                counts, crossing = allocate(own, starts, len(data), rule)
                 heads = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])  # characters before a byte
                 edges = heads[np.append(starts, len(data))]
                 owners.append(np.full(len(starts), n))
@@ -134,13 +170,13 @@ def by_field(df: DataFrame, key: str, fields: Sequence[str], tokenizer_path: str
         lengths = token_lengths(shared.value)
         for batch in portions(batches, holding=True):
             owners, found = [], []
-            texts = zip(*(batch.column(k + 1).to_pylist() for k in range(len(fields))), strict=True)
-            for n, values in enumerate(texts):
-                joined = separator.join(values)
+            rows_of = list(zip(*(batch.column(k + 1).to_pylist() for k in range(len(fields))), strict=True))
+            joined = [separator.join(values) for values in rows_of]
+            for n, (values, whole, own) in enumerate(zip(rows_of, joined, lengths.of(joined), strict=True)):
                 sizes = [len((v + separator).encode()) for v in values]
                 starts = np.cumsum([0, *sizes[:-1]])
-                end = len(joined.encode())
-                found.append(allocate(lengths.of(joined), np.minimum(starts, end), end, rule))
+                end = len(whole.encode())
+                found.append(allocate(own, np.minimum(starts, end), end, rule))
                 owners.append(np.full(len(fields), n))
             if found:
                 ids = batch.column(0).take(pa.array(np.concatenate(owners)))
