@@ -1,21 +1,22 @@
 """Quality classifier: a byte-level convolutional network in numpy.
 
-A text's UTF-8 bytes are cut into chunks of 512 bytes that cover all of it; each
-filter looks at eight bytes and moves by four, and looks past its chunk's end, so
-neighbouring chunks overlap. In each chunk a filter keeps its maximum. The document
-is the mean and the maximum of its chunks' maxima, and a small dense layer turns
-both into one probability.
+A text's UTF-8 bytes are read in chunks of 512 bytes, one at every 256, that cover all of
+it, so neighbouring chunks overlap by half; each filter looks at eight bytes and moves by
+four, and past its chunk's end. In each chunk a filter keeps its maximum. The document is
+the mean and the maximum of its chunks' maxima, and a small dense layer turns both into
+one probability.
 
-Training runs on the driver over a bounded sample: at most ``sample`` labelled
-documents (lowest hash of doc_id first) and at most ``train_chunks`` chunks of each,
-spread evenly. Scoring reads every byte of every document. Only documents whose
-crc32 of doc_id is not a multiple of five are trained on, and only their bytes.
+Training runs on the driver over a bounded sample of labelled rows, each a whole text: in
+the order of a hash of doc_id at most ``SAMPLE`` documents of at most ``SAMPLE_TEXT`` bytes
+each and ``SAMPLE_BYTES`` together. Scoring reads every byte of every document. Only documents
+whose crc32 of doc_id is not a multiple of five are trained on, and only their bytes.
 
 Defined results: a null text is an empty one; an empty text is one chunk of zeros
 and gets a score; repeated rows get a row each and equal scores; null ``doc_id``
 rows are scored and not held out; without a usable label of both kinds the model is
-untrained and every score is 0.5; an empty table gives no rows; other columns are
-ignored.
+untrained and every score is 0.5; of labels that differ for one doc_id the higher is
+taken, and of texts that differ the one with the lowest hash; an empty table gives no
+rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -25,14 +26,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from claimloom.llm.common import OWN, portions, text_of, utf8
 
-CHUNK, STEP, WIDTH = 512, 4, 8
+CHUNK, HALF, STEP, WIDTH = 512, 256, 4, 8
 DIM, FILTERS, HIDDEN = 8, 32, 16
-SAMPLE, TRAIN_CHUNKS, EPOCHS, BATCH = 2400, 8, 14, 32
+#: The bound of the training sample: documents, bytes of each, and bytes in all.
+SAMPLE, SAMPLE_TEXT, SAMPLE_BYTES = 2400, 1 << 17, 1 << 23
+EPOCHS, BATCH = 14, 32
 THRESHOLD = 0.3
 #: Bytes scored at a time; a longer text is scored in portions that see each other's edges.
 PORTION = 1 << 18
@@ -52,6 +55,13 @@ def _classes() -> np.ndarray:
     return np.stack([capital, small, digit, white, sign, b >= 128], axis=1).astype(np.float32)
 
 
+def _next(found: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """The half chunk after each one, zeros after a text's last."""
+    after = np.concatenate([found[1:], np.zeros_like(found[:1])])
+    after[starts[1:] - 1] = 0
+    return after
+
+
 @dataclass
 class Network:
     embed: np.ndarray  # 256 x DIM
@@ -78,18 +88,19 @@ class Network:
     def responses(self, data: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """Filter responses at every fourth byte of ``data``: positions x FILTERS.
 
-        ``starts`` are the chunks with which texts start; zeros follow a text's end.
+        ``starts`` are the half chunks with which texts start; zeros follow a text's end.
         """
         blocks = self.embed[data].reshape(-1, STEP * DIM)
         first, last = blocks @ self.filters[0], blocks @ self.filters[1]
-        last[starts * (CHUNK // STEP)] = 0
+        last[starts * (HALF // STEP)] = 0
         first[:-1] += last[1:]
         return first + self.bias
 
     def pooled(self, data: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        """Chunk maxima of the responses, none below zero: chunks x FILTERS."""
-        found = self.responses(data, starts).reshape(-1, CHUNK // STEP, FILTERS)
-        return np.maximum(found.max(axis=1), 0)
+        """Chunk maxima of the responses, none below zero: a chunk at each half chunk x FILTERS."""
+        found = self.responses(data, starts).reshape(-1, HALF // STEP, FILTERS)
+        found = np.maximum(found.max(axis=1), 0)
+        return np.maximum(found, _next(found, starts))
 
     def probability(self, features: np.ndarray) -> np.ndarray:
         hidden = np.maximum(((features - self.mean) / self.scale) @ self.dense + self.dense_bias, 0)
@@ -98,11 +109,11 @@ class Network:
     def score(self, texts: list[bytes]) -> np.ndarray:
         """The probabilities of whole texts, a portion of bytes at a time."""
         maxima, sums, counts, owner = [], [], [], []
-        held: list[tuple[bytes, int]] = []  # padded bytes, and how many of their chunks count
+        held: list[tuple[bytes, int]] = []  # padded bytes, and how many of their half chunks count
 
         def flush() -> None:
             if held:
-                sizes = np.array([len(h) // CHUNK for h, _ in held])
+                sizes = np.array([len(h) // HALF for h, _ in held])
                 starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
                 used = np.array([n for _, n in held])
                 ends = np.stack([starts, starts + used], axis=1).ravel()
@@ -117,8 +128,8 @@ class Network:
         for n, text in enumerate(texts):
             for at in range(0, max(1, len(text)), PORTION):
                 part = text[at : at + PORTION + CHUNK]  # the next chunk is seen, not counted
-                padded = part + bytes(-len(part) % CHUNK if part else CHUNK)
-                held.append((padded, min(len(padded), PORTION) // CHUNK))
+                padded = part + bytes(-len(part) % HALF if part else HALF)
+                held.append((padded, min(len(padded), PORTION) // HALF))
                 owner.append(n)
                 size += len(padded)
                 if size >= PORTION:
@@ -134,7 +145,7 @@ class Network:
 
 
 def train(samples: list[bytes], labels: np.ndarray, epochs: int = EPOCHS, seed: int = 7) -> Network:
-    """Adam over the logistic loss. Each sample is whole chunks."""
+    """Adam over the logistic loss. Each sample is whole half chunks."""
     net = Network.fresh(seed)
     if len(set(labels.tolist())) < 2:
         net.out[:] = 0
@@ -160,16 +171,17 @@ def train(samples: list[bytes], labels: np.ndarray, epochs: int = EPOCHS, seed:
 
 
 def _gradients(net: Network, samples: list[bytes], labels: np.ndarray, weight: np.ndarray) -> list[np.ndarray]:
-    counts = np.array([len(s) // CHUNK for s in samples])
+    counts = np.array([len(s) // HALF for s in samples])
     starts = np.concatenate([[0], np.cumsum(counts)[:-1]])
     data = np.frombuffer(b"".join(samples), np.uint8)
-    found = net.responses(data, starts).reshape(-1, CHUNK // STEP, FILTERS)
+    found = net.responses(data, starts).reshape(-1, HALF // STEP, FILTERS)
     where = found.argmax(axis=1)
     top = np.take_along_axis(found, where[:, None, :], axis=1)[:, 0]
     active = top > 0
     top = np.maximum(top, 0)
+    after = _next(top, starts)
     owner = np.repeat(np.arange(len(samples)), counts)
-    mean = np.add.reduceat(top, starts) / counts[:, None]
+    mean = np.add.reduceat(np.maximum(top, after), starts) / counts[:, None]
     most = np.maximum.reduceat(top, starts)
     z = (np.concatenate([mean, most], axis=1) - net.mean) / net.scale
     before = z @ net.dense + net.dense_bias
@@ -179,12 +191,16 @@ def _gradients(net: Network, samples: list[bytes], labels: np.ndarray, weight: n
     g_hidden = np.outer(g, net.out) * (before > 0)
     g_z = (g_hidden @ net.dense.T) / net.scale
     is_most = (top == most[owner]) & active
-    g_top = g_z[owner, :FILTERS] / counts[owner, None] * active + g_z[owner, FILTERS:] * is_most
+    g_chunk = g_z[owner, :FILTERS] / counts[owner, None]
+    from_after = g_chunk * (after > top)  # the chunk's maximum lies in its second half
+    g_top = g_chunk - from_after
+    g_top[1:] += from_after[:-1]
+    g_top = g_top * active + g_z[owner, FILTERS:] * is_most
     # Each maximum reaches back to the eight bytes of its window.
     chunk, filt = np.nonzero(g_top)
-    block = chunk * (CHUNK // STEP) + where[chunk, filt]
+    block = chunk * (HALF // STEP) + where[chunk, filt]
     at = block[:, None] * STEP + np.arange(WIDTH)
-    ends = np.isin(block + 1, np.append(starts, counts.sum()) * (CHUNK // STEP))
+    ends = np.isin(block + 1, np.append(starts, counts.sum()) * (HALF // STEP))
     inside = ~ends[:, None] | (np.arange(WIDTH) < STEP)
     seen = np.where(inside, data[np.minimum(at, len(data) - 1)], 0)
     value = g_top[chunk, filt].astype(np.float32)
@@ -200,35 +216,28 @@ def _gradients(net: Network, samples: list[bytes], labels: np.ndarray, weight: n
     return [g_embed, g_filters, g_top.sum(axis=0), z.T @ g_hidden, g_hidden.sum(axis=0), hidden.T @ g, g.sum(keepdims=True)]
 
 
-def _spread(text: bytes, most: int) -> bytes:
-    """At most ``most`` chunks of a text, spread evenly, as whole chunks."""
-    chunks = max(1, -(-len(text) // CHUNK))
-    starts = range(chunks) if chunks <= most else [chunks * k // most for k in range(most)]
-    cut = b"".join(text[s * CHUNK : (s + 1) * CHUNK] for s in starts)
-    return cut + bytes(max(-len(cut) % CHUNK, 0 if cut else CHUNK))
+def whole(text: bytes) -> bytes:
+    """The text as whole half chunks, one of zeros at least."""
+    return text + bytes(-len(text) % HALF if text else HALF)
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, chunks: int = TRAIN_CHUNKS) -> tuple[list[bytes], np.ndarray]:
-    """The bounded sample: at most ``sample`` documents, at most ``chunks`` chunks of each."""
+def training_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, text_bytes: int = SAMPLE_TEXT, total_bytes: int = SAMPLE_BYTES) -> tuple[list[bytes], np.ndarray]:
+    """The bounded sample: whole texts and their labels, in the order of a hash of doc_id."""
+    order = [F.xxhash64(f"{OWN}id"), F.col(f"{OWN}id")]
     chosen = (
         labels.select(F.col("doc_id").cast("bigint").alias(f"{OWN}id"), F.col("quality").cast("int").alias("quality"))
         .filter(f"{OWN}id IS NOT NULL AND quality IN (0, 1) AND crc32(cast({OWN}id AS string)) % 5 <> 0")
         .groupBy(f"{OWN}id")
         .agg(F.max("quality").alias("quality"))
-        .orderBy(F.xxhash64(f"{OWN}id"), f"{OWN}id")
+        .orderBy(*order)
         .limit(sample)
     )
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in portions(batches):
-            parts = [_spread(t, chunks) for t in utf8(batch.column(2))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(parts, pa.binary())], ["doc_id", "quality", "part"])
-
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_of().alias("text"))
-    joined = texts.join(F.broadcast(chosen), F.col("doc_id") == F.col(f"{OWN}id")).select("doc_id", "quality", "text")
-    rows = joined.mapInArrow(cut, "doc_id bigint, quality int, part binary").limit(2 * sample).collect()
-    rows = list({r.doc_id: r for r in sorted(rows, key=lambda r: (r.doc_id, bytes(r.part)))}.values())
-    return [bytes(r.part) for r in rows], np.array([r.quality for r in rows], dtype=np.float32)
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_of().alias("text")).filter(F.octet_length("text") <= text_bytes)
+    joined = texts.join(F.broadcast(chosen), F.col("doc_id") == F.col(f"{OWN}id"))  # ``sample`` rows at most
+    one = joined.groupBy(f"{OWN}id", "quality").agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).getField("text").alias("text"))
+    before = F.sum(F.octet_length("text")).over(Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    rows = one.withColumn("bytes", before).filter(F.col("bytes") <= total_bytes).orderBy(*order).collect()
+    return [whole(r.text.encode()) for r in rows], np.array([r.quality for r in rows], dtype=np.float32)
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Network:

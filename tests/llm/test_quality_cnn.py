@@ -56,15 +56,45 @@ def test_scores_do_not_depend_on_portions(monkeypatch):
     assert np.allclose(small, alone, atol=1e-6)
 
 
+def plain_score(net, text):
+    """The network by its definition: windows of eight bytes at every fourth, chunks of 512 bytes at every 256."""
+    size = max(256, -(-len(text) // 256) * 256)
+    bytes_ = list(text) + [0] * (size - len(text) + 8)
+    seen = np.array([bytes_[at : at + 8] if at + 8 <= size else bytes_[at : at + 4] + [-1] * 4 for at in range(0, size, 4)])
+    inputs = np.where((seen >= 0)[:, :, None], net.embed[seen], 0).reshape(len(seen), -1)
+    responses = inputs @ np.concatenate([net.filters[0], net.filters[1]]) + net.bias
+    chunks = np.array([np.maximum(responses[at // 4 : (at + 512) // 4].max(axis=0), 0) for at in range(0, size, 256)])
+    z = (np.concatenate([chunks.mean(axis=0), chunks.max(axis=0)]) - net.mean) / net.scale
+    return float(1 / (1 + np.exp(-(np.maximum(z @ net.dense + net.dense_bias, 0) @ net.out + net.out_bias[0]))))
+
+
+def test_scores_against_the_definition():
+    rng = np.random.default_rng(4)
+    net = q.Network.fresh(5)
+    texts = [rng.integers(1, 256, n, dtype=np.uint8).tobytes() for n in (0, 1, 3, 4, 7, 255, 256, 257, 511, 512, 513, 900, 5000)]
+    assert np.allclose(net.score(texts), [plain_score(net, t) for t in texts], atol=1e-5)
+
+
+def test_training_rows_are_whole_bounded_and_defined(spark):
+    rows = [(i, chr(97 + i % 26) * (300 * (i % 7)), i) for i in range(60)] + [(3, "another", 1), (3, "another", 2), (4, None, 3), (58, "long" * 400, 4)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, quality int").repartition(3)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(59)] + [(5, 0), (6, 1), (None, 1)], "doc_id bigint, quality int")
+    found = [q.training_rows(docs, labels, 40, 1500, 12_000) for _ in range(2)]
+    assert found[0][0] == found[1][0] and found[0][1].tolist() == found[1][1].tolist()
+    texts = [t.rstrip(b"\0").decode() for t in found[0][0]]
+    assert 5 < len(texts) <= 40 and sum(map(len, texts)) <= 12_000 and all(len(t) <= 1500 for t in texts)
+    assert set(texts) <= {t or "" for _, t, _ in rows}
+
+
 def test_gradients_against_differences():
     rng = np.random.default_rng(0)
     net = q.Network.fresh(1)
-    samples = [rng.integers(1, 256, 512 * k, dtype=np.uint8).tobytes() for k in (1, 2, 1)]
+    samples = [rng.integers(1, 256, 256 * k, dtype=np.uint8).tobytes() for k in (1, 3, 2)]
     labels, weight = np.array([1.0, 0.0, 1.0], np.float32), np.ones(3)
 
     def loss():
         data = np.frombuffer(b"".join(samples), np.uint8)
-        pooled = np.split(net.pooled(data, np.array([0, 1, 3])), [1, 3])
+        pooled = np.split(net.pooled(data, np.array([0, 1, 4])), [1, 4])
         p = net.probability(np.array([np.concatenate([x.mean(axis=0), x.max(axis=0)]) for x in pooled]))
         return -np.mean(np.where(labels == 1, np.log(p), np.log(1 - p)))
 
