@@ -11,7 +11,8 @@ distance. Windows as long as the items, one at every word, are walked with the i
 bits, several times with new bits; each walk is sampled at a few steps, several times,
 and a window whose samples equal an item's is a candidate. Items of like length are a
 group, and each group's number of walks is the least that finds ``TARGET`` of simulated
-copies with the full number of edits, made from its own items. A group that
+copies with the full number of edits, made from its own items, and as many of copies that
+had no part in that choice. A group that
 ``MOST_WALKS`` walks leave under the target is searched exactly instead: of one block
 more than edits are allowed, some block of a copy is whole.
 
@@ -23,8 +24,10 @@ of a copy within the limit, some part is within its own.
 No row is shuffled. The items are collected in blocks of at most ``BLOCK_BYTES`` of
 text, each searched in a pass of its own, so what is sent to executors is bounded.
 
-Defined results: null, empty or shorter items (under ``LEAST_WORDS`` words) find
-nothing; a null or empty document has no hit; repeated rows are reported once each;
+Items of fewer than ``LEAST_WORDS`` words, of which no edit is allowed and which stand in
+clean prose as well, are found only where they are a document's whole text.
+
+Defined results: null and empty items find nothing; a null or empty document has no hit; repeated rows are reported once each;
 items that are repeated under one id count once; null item ids are ignored; null
 ``doc_id`` rows are kept; of several hits of an item in a document the closest, then
 first, is given; other columns are ignored or, by ``clean``, kept.
@@ -40,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimloom.llm.common import Memo, kept, portions, text_of, utf8
+from claimloom.llm.common import Memo, kept, portions, segments, text_of, utf8
 
 ALLOWED = 0.2
 LEAST_WORDS = 5
@@ -95,6 +98,10 @@ class Matcher:
         for item_id, text in sorted(items):
             named.setdefault((item_id, tuple(words_of(text))))
         self.items = [(i, list(w)) for i, w in named if len(w) >= LEAST_WORDS]
+        self.short: dict[tuple[bytes, ...], list[int]] = {}
+        for i, w in named:
+            if 0 < len(w) < LEAST_WORDS:
+                self.short.setdefault(w, []).append(i)
         vocabulary = {w: n + 1 for n, w in enumerate(sorted({w for _, ws in self.items for w in ws}))}
         self.size = len(vocabulary) + 1
         self.coded = [[vocabulary[w] for w in ws] for _, ws in self.items]
@@ -141,7 +148,7 @@ class Matcher:
         self.blocks: dict[int, tuple[np.ndarray, dict[int, list[tuple[int, int]]]]] = {}
         trials = [self._trials(g) for g in self.groups]
         found = [np.zeros(TRIALS, bool) for _ in self.groups]
-        short = list(range(len(self.groups)))
+        short, recalls = list(range(len(self.groups))), [1.0] * len(self.groups)
         while short and len(self.walks) < MOST_WALKS:
             bits = self.rng.integers(0, 2, (self.steps, self.size + 1), dtype=np.int8)
             walk = {"bits": bits, "groups": []}
@@ -160,17 +167,34 @@ class Matcher:
                     tables.append(table)
                     maps.append(own)
                 walk["groups"].append((n, samples, factors, tables, maps))
-                parts, copies = trials[n]
-                keys = self._keys(self._embed(bits, self._rows(copies, g["steps"]), g["steps"]), samples, factors)
-                for own, row in zip(maps, keys, strict=True):
-                    found[n] |= [part in own.get(key, ()) for part, key in zip(parts, row.tolist(), strict=True)]
+                found[n] |= self._met(walk, walk["groups"][-1], trials[n])
             self.walks.append(walk)
-            short = [n for n in short if found[n].mean() < TARGET]
+            for n in [n for n in short if found[n].mean() >= TARGET]:
+                fresh, met = self._trials(self.groups[n]), np.zeros(TRIALS, bool)
+                for own in self.walks:
+                    for group in own["groups"]:
+                        if group[0] == n:
+                            met |= self._met(own, group, fresh)
+                if met.mean() >= TARGET:
+                    recalls[n] = float(met.mean())
+                    short.remove(n)
+                else:  # both kinds of copies are asked for from now on
+                    trials[n], found[n] = (trials[n][0] + fresh[0], trials[n][1] + fresh[1]), np.concatenate([found[n], met])
         for walk in self.walks:
             walk["groups"] = [x for x in walk["groups"] if x[0] not in short]
         self._blocks(short)
-        self.recalls = [1.0 if n in short else float(f.mean()) for n, f in enumerate(found)]
-        self.simulated_recall = min(self.recalls, default=1.0)
+        self.recalls = recalls
+        self.simulated_recall = min(recalls, default=1.0)
+
+    def _met(self, walk: dict, group: tuple, trials: tuple[list[int], list[list[int]]]) -> np.ndarray:
+        """Which of the copies the walk's samples find."""
+        n, samples, factors, _, maps = group
+        steps, (parts, copies) = self.groups[n]["steps"], trials
+        met = np.zeros(len(parts), bool)
+        keys = self._keys(self._embed(walk["bits"], self._rows(copies, steps), steps), samples, factors)
+        for own, row in zip(maps, keys, strict=True):
+            met |= [part in own.get(key, ()) for part, key in zip(parts, row.tolist(), strict=True)]
+        return met
 
     def _trials(self, group: dict) -> tuple[list[int], list[list[int]]]:
         """Parts of the group, and copies of them with as many random edits as are allowed, followed by other words."""
@@ -269,8 +293,7 @@ class Matcher:
 
     def find(self, texts: list[bytes], symbols_of: Memo) -> list[tuple[int, int, int, int, int, int]]:
         """(text, item id, distance, item words, start, end) of the closest copy of each item in each text."""
-        if not self.items:
-            return []
+        hits: dict[tuple[int, int], tuple] = {}
         best: dict[tuple[int, int], tuple[int, int, int]] = {}
         held: list[np.ndarray] = []
         owners: list[tuple[int, int]] = []  # text, and its first word there
@@ -304,8 +327,12 @@ class Matcher:
                     best[text, item] = min(hit, best.get((text, item), hit))
 
         for n, text in enumerate(texts):
-            found = np.fromiter(map(symbols_of.__getitem__, text.split()), np.int32)
+            found = np.concatenate([np.fromiter(map(symbols_of.__getitem__, part.split()), np.int32) for part in segments(text)])
             found = found[found >= 0]
+            if len(found) < LEAST_WORDS:
+                for item_id in self.short.get(tuple(words_of(text)), ()):
+                    hits[n, item_id] = (0, 0, len(found), len(found))
+                continue
             reach = 2 * self.longest + 2 * PART_WORDS
             for at in range(0, max(1, len(found) - reach), SEGMENT):
                 part = found[at : at + SEGMENT + reach]
@@ -319,7 +346,6 @@ class Matcher:
                     size = 0
         if held:
             search()
-        hits: dict[tuple[int, int], tuple] = {}
         for (text, item), (distance, start, end) in best.items():
             item_id = self.items[item][0]
             hit = (distance, start, end, len(self.coded[item]))
@@ -336,13 +362,14 @@ class Matcher:
         return Memo(symbol, 300_000)
 
 
-def matchers(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> list[Matcher]:
-    """Matchers for all items, in blocks of about ``block_bytes`` of text at most."""
+def matchers(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> Iterator[Matcher]:
+    """Matchers for all items, in blocks of about ``block_bytes`` of text, one after another."""
     items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), text_of().alias("text")).filter("item_id IS NOT NULL").distinct()
     total = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     blocks = 1 + total // block_bytes
     block = F.pmod(F.xxhash64("item_id"), F.lit(blocks))
-    return [Matcher([(r.item_id, r.text.encode()) for r in items.filter(block == k).collect()]) for k in range(blocks)]
+    for k in range(blocks):
+        yield Matcher([(r.item_id, r.text.encode()) for r in items.filter(block == k).collect()])
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -351,8 +378,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     names = [field.split()[0] for field in _HITS.split(", ")]
     types = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64())
     parts = []
-    for matcher in matchers(benchmark):
-        shared = docs.sparkSession.sparkContext.broadcast(matcher)
+    for shared in map(docs.sparkSession.sparkContext.broadcast, matchers(benchmark)):
 
         def rows(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             own = kept(("symbols", shared.value.mark), shared.value.symbols)
@@ -372,8 +398,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs``, unchanged, that hold no copy of a benchmark item."""
     place = docs.columns.index("text")
-    for matcher in matchers(benchmark):
-        shared = docs.sparkSession.sparkContext.broadcast(matcher)
+    for shared in map(docs.sparkSession.sparkContext.broadcast, matchers(benchmark)):
 
         def rows(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             own = kept(("symbols", shared.value.mark), shared.value.symbols)

@@ -92,8 +92,8 @@ def test_blocks_and_segments(spark, case, monkeypatch):
     items, docs, _ = case
     bench = spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id bigint, text string")
     frame = spark.createDataFrame(docs, "doc_id bigint, text string")
-    assert len(q.matchers(bench, 5000)) > 3
-    matcher = q.matchers(bench)[0]
+    assert len(list(q.matchers(bench, 5000))) > 3
+    matcher = next(q.matchers(bench))
     assert matcher.simulated_recall >= q.TARGET
     long = [" ".join(t for _, t in docs).encode()]
     whole = {(i, d) for _, i, d, *_ in matcher.find(long, matcher.symbols())}
@@ -139,6 +139,14 @@ def test_driver_rows_against_brute_force(spark):
     assert {(r.doc_id, r.item_id): r.distance for r in found} == brute(items, docs)
 
 
+def test_items_under_five_words_are_whole_texts(spark):
+    docs = spark.createDataFrame([(1, "Yes."), (2, "yes, and more"), (3, None), (4, "New  YORK\ncity"), (5, "")], "doc_id bigint, text string")
+    bench = spark.createDataFrame([(1, "yes"), (2, "new york city"), (3, ""), (4, None), (5, "YES!")], "item_id bigint, text string")
+    found = {(r.doc_id, r.item_id): (r.distance, r.item_words, r.start_word, r.end_word) for r in q.contaminated(docs, bench).collect()}
+    assert found == {(1, 1): (0, 1, 0, 1), (1, 5): (0, 1, 0, 1), (4, 2): (0, 3, 0, 3)}
+    assert sorted(r.doc_id for r in q.clean(docs, bench).collect()) == [2, 3, 5]
+
+
 def test_empty_tables(spark):
     docs, bench = (spark.createDataFrame(r, f) for r, f in (([(1, "a b c d e f")], "doc_id bigint, text string"), ([(1, "a b c d e f")], "item_id bigint, text string")))
     assert q.contaminated(docs.limit(0), bench).collect() == [] and q.contaminated(docs, bench.limit(0)).collect() == []
