@@ -5,19 +5,26 @@ distinct surrogates and one original gets one surrogate everywhere, in any docum
 without a table and without a shuffle. A bijection is P⁻¹(P(x) + s): P is a keyed
 Feistel permutation of the form's values and s is not zero, so nothing stays as it is.
 
-* Letters keep their script, case and kind (vowel or consonant), digits stay digits, and
-  every other character stays, so formats hold.
-* Card numbers keep their check digit right, or as wrong as it was; IBANs keep their
-  country and get the check digits that belong to the new number.
+* Letters keep their script, case and kind (vowel or consonant, in the scripts that have
+  an alphabet below), digits stay digits, and every other character stays, so formats hold.
+* A bare run of digits is a card number only if its check digit is right, a grouped one in
+  any case; card numbers keep their check digit right, or as wrong as it was; IBANs
+  keep their country and get the check digits that belong to the new number.
 * Addresses of private networks stay within theirs; public ones stay public.
 * Given names are replaced by names of the same gender and script; titles stay.
 * Phone numbers that differ in punctuation alone are one entity, as are e-mail addresses
   and names that differ in case alone.
 * A name's words are replaced wherever they stand in its text, also without title or given name.
 
-Collision checks: ``surrogates`` refuses a text in which two entities would share a
-surrogate, and ``audit`` counts, for a corpus and by kind, distinct originals, distinct
-surrogates, entities left unchanged, and surrogates that are also originals.
+Collision checks: families of forms never map into each other (no surname becomes a listed
+given name, no plain secret a prefixed or hexadecimal one, no domain a reserved one).
+``surrogates`` still compares all entities of a text, and one that would share another's
+surrogate takes the next under a key of its own. ``audit`` counts, for a corpus and by
+kind, distinct originals, distinct surrogates, entities left unchanged, and surrogates that
+are also originals.
+
+The key is the caller's secret: who holds it can undo the bijections, so it has no default.
+People are found by titles and listed given names; a lone given name is not.
 
 Defined results: a null text stays null; a text without entities stays as it is, byte for
 byte; repeated rows change alike; null ``doc_id`` rows are kept; an empty table gives no
@@ -28,6 +35,7 @@ from __future__ import annotations
 
 import hmac
 import re
+import unicodedata
 from bisect import bisect
 from collections.abc import Callable, Iterator
 from functools import lru_cache
@@ -40,8 +48,6 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from claimloom.llm.common import OWN, portions, text_of
 
-KEY = b"change this key for each corpus"
-
 # Given names by script and gender.
 GIVEN_NAMES: dict[tuple[str, str], str] = {
     ("latin", "f"): "Aisha Alice Amelia Anita Anna Anne Barbara Beatriz Camille Carla Carmen Caroline Catherine Charlotte Clara Claudia Daniela Diana Elena Elizabeth Emily Emma Eva Fatima Fiona Francesca Gabriela Hanna Helena Ingrid Isabel Jane Jennifer Jessica Joanna Julia Karen Laura Linda Lucia Magdalena Margaret Maria Marie Marta Mary Monica Natalia Olivia Patricia Paula Rachel Rebecca Rosa Sandra Sarah Silvia Sofia Sophie Susan Teresa Ursula Valentina Victoria",
@@ -58,11 +64,35 @@ RESERVED = ("example.com", "example.net", "example.org", "example", "invalid", "
 # Vowels and consonants by script; each letter maps to a letter of its own string.
 _ALPHABETS = (
     "aeiou", "bcdfghjklmnpqrstvwxyz", "AEIOU", "BCDFGHJKLMNPQRSTVWXYZ", "0123456789",
-    "àáâãäåèéêëìíîïòóôõöùúûü", "çñßš", "ÀÁÂÃÄÅÈÉÊËÌÍÎÏÒÓÔÕÖÙÚÛÜ", "ÇÑŠŽ",
+    "àáâãäåèéêëìíîïòóôõöùúûü", "çñšž", "ÀÁÂÃÄÅÈÉÊËÌÍÎÏÒÓÔÕÖÙÚÛÜ", "ÇÑŠŽ",
     "аеёиоуыэюя", "бвгджзйклмнпрстфхцчшщ", "АЕЁИОУЭЮЯ", "БВГДЖЗЙКЛМНПРСТФХЦЧШЩ",
     "αεηιουωάέήίόύώ", "βγδζθκλμνξπρστφχψ", "ΑΕΗΙΟΥΩΆΈΉΊΌΎΏ", "ΒΓΔΖΘΚΛΜΝΞΠΡΣΤΦΧΨ",
 )
-_CLASS = {c: a for a in _ALPHABETS for c in a}
+# First and last code points of further letters, by script: Latin, Greek, Cyrillic, Armenian, Hebrew, Arabic, Devanagari, Georgian, kana, Han, Hangul.
+_FURTHER_LETTERS = ((0xC0, 0x24F), (0x1E00, 0x1EFF), (0x370, 0x3FF), (0x400, 0x52F), (0x531, 0x587), (0x5D0, 0x5EA), (0x620, 0x64A), (0x904, 0x939), (0x10D0, 0x10FF), (0x3041, 0x3096), (0x30A1, 0x30FA), (0x4E00, 0x9FFF), (0xAC00, 0xD7A3))
+
+
+def _letter_classes() -> dict[str, str]:
+    """The alphabet of each letter: those above, and for further ones the letters of their range with their case."""
+    found = {c: a for a in _ALPHABETS for c in a}
+    for first, last in _FURTHER_LETTERS:
+        groups: dict[str, list[str]] = {}
+        for c in map(chr, range(first, last + 1)):
+            # Letters whose case does not turn back to them would not survive a name's capitals.
+            if c not in found and c.isalpha() and c.lower().upper() == c.upper() and c.upper().lower() == c.lower() and c in (c.lower(), c.upper()) and len(c.upper()) == 1:
+                groups.setdefault(unicodedata.category(c), []).append(c)
+        # Small letters and capitals in the same order, so that a name is one entity in any case.
+        for category, letters in groups.items():
+            if category == "Lu":
+                letters = [c.upper() for c in groups.get("Ll", []) if c.upper() in letters]
+            if category == "Ll" and "Lu" in groups:
+                letters = [c for c in letters if c.upper() in groups["Lu"]]
+            found |= dict.fromkeys(letters, "".join(letters))
+    return found
+
+
+_CLASS = _letter_classes()
+_PLACES: dict[str, dict[str, int]] = {a: {c: n for n, c in enumerate(a)} for a in set(_CLASS.values())}
 
 
 def _cipher(key: bytes, tweak: bytes, size: int) -> tuple[Callable[[int], int], Callable[[int], int]]:
@@ -121,7 +151,7 @@ def reshaped(key: bytes, kind: str, text: str, allowed: Callable[[str], bool] |
         own = _CLASS.get(c)
         form.append(own or c)
         if own:
-            value, size = value * len(own) + own.index(c), size * len(own)
+            value, size = value * len(own) + _PLACES[own][c], size * len(own)
 
     def spelled(value: int) -> str:
         out = []
@@ -132,7 +162,10 @@ def reshaped(key: bytes, kind: str, text: str, allowed: Callable[[str], bool] |
             out.append(c)
         return "".join(reversed(out))
 
-    return spelled(permuted(key, f"{kind}:{'|'.join(form)}", value, size, allowed and (lambda x: allowed(spelled(x)))))
+    shape = "|".join(form)
+    if len(shape) > 256:  # alphabets of large scripts
+        shape = blake2b(shape.encode(), digest_size=16).hexdigest()
+    return spelled(permuted(key, f"{kind}:{shape}", value, size, allowed and (lambda x: allowed(spelled(x)))))
 
 
 def _laid(digits: str, like: str) -> str:
@@ -205,8 +238,9 @@ def email(key: bytes, text: str) -> str:
     labels = domain.split(".")
     own = next((r for r in RESERVED if domain == r or domain.endswith("." + r)), labels[-1])
     head = domain[: len(domain) - len(own)].rstrip(".")
-    # One bijection over the local part and the labels that change.
-    new = reshaped(key, "email" + own, f"{local}@{head}")
+    # One bijection over the local part and the labels that change; no other domain becomes a reserved one.
+    free = own in RESERVED or all(not r.endswith("." + own) for r in RESERVED)
+    new = reshaped(key, "email" + own, f"{local}@{head}", None if free else lambda x: not f"{x}.{own}".replace("@", ".").endswith(tuple("." + r for r in RESERVED)))
     return new + ("." if head else "") + own
 
 
@@ -235,14 +269,19 @@ def person(key: bytes, text: str) -> str:
     return "".join(out)
 
 
+_HEXADECIMAL = re.compile(r"[0-9a-f]+|[0-9A-F]+")
+# Prefixes by which services mark their secrets.
+_PREFIX = re.compile(r"AKIA|gh[pousr]_|sk-|xox[abpr]-")
+
+
 def secret(key: bytes, text: str) -> str:
     """Hexadecimal secrets stay hexadecimal; others keep their form after a known prefix."""
-    if re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", text):
+    if _HEXADECIMAL.fullmatch(text):
         new = f"{permuted(key, f'hex{len(text)}', int(text, 16), 16 ** len(text)):0{len(text)}x}"
         return new.upper() if text != text.lower() else new
-    prefix = re.match(r"AKIA|gh[pousr]_|sk-|xox[abpr]-", text)
+    prefix = _PREFIX.match(text)
     kept = prefix[0] if prefix else ""
-    return kept + reshaped(key, "secret" + kept, text[len(kept) :])
+    return kept + reshaped(key, "secret" + kept, text[len(kept) :], None if kept else lambda x: not (_PREFIX.match(x) or _HEXADECIMAL.fullmatch(x)))
 
 
 _NAME = r"[^\W\d_]+(?:[-'’][^\W\d_]+)*"
@@ -322,6 +361,8 @@ def entities(text: str) -> list[tuple[int, int, str, Callable[[bytes, str], str]
                 end = _whole_name(text, start, end)
             if kind == "iban" and _mod97(text[start:end].replace(" ", "")[4:] + text[start : start + 4]) != 1:
                 continue
+            if kind == "card" and text[start:end].isdigit() and _luhn(text[start : end - 1]) != int(text[end - 1]):
+                continue
             if kind == "phone" and not 7 <= sum(c.isdigit() for c in text[start:end]) <= 15:
                 continue
             found.append((start, end, kind, change))
@@ -339,7 +380,7 @@ def entities(text: str) -> list[tuple[int, int, str, Callable[[bytes, str], str]
     return sorted(taken, key=lambda x: x[:2])
 
 
-def surrogates(text: str, key: bytes = KEY) -> tuple[str, list[tuple[str, str, str]]]:
+def surrogates(text: str, key: bytes) -> tuple[str, list[tuple[str, str, str]]]:
     """The text with surrogates, and (kind, original, surrogate) of each entity in order."""
     found = entities(text)
     if not found:
@@ -348,16 +389,17 @@ def surrogates(text: str, key: bytes = KEY) -> tuple[str, list[tuple[str, str, s
     owners: dict[tuple[str, str], str] = {}
     for start, end, kind, change in found:
         old = text[start:end]
-        new = change(key, old)
-        if owners.setdefault((kind, _canonical(kind, new)), _canonical(kind, old)) != _canonical(kind, old):
-            raise ValueError(f"two entities of kind {kind} share a surrogate")
+        name, new, tries = _canonical(kind, old), change(key, old), 0
+        while owners.setdefault((kind, _canonical(kind, new)), name) != name:
+            tries += 1
+            new = change(blake2b(key, person=b"retry", salt=tries.to_bytes(8, "big"), digest_size=32).digest(), old)
         parts += [text[at:start], new]
         changed.append((kind, old, new))
         at = end
     return "".join(parts) + text[at:], changed
 
 
-def replaced(docs: DataFrame, key: bytes = KEY) -> DataFrame:
+def replaced(docs: DataFrame, key: bytes) -> DataFrame:
     """The rows of ``docs`` with surrogates in ``text``, and ``__llm_entities``: how many there are."""
     place, schema = docs.columns.index("text"), StructType([*docs.schema.fields, StructField(f"{OWN}entities", LongType())])
     names = schema.names
@@ -372,14 +414,14 @@ def replaced(docs: DataFrame, key: bytes = KEY) -> DataFrame:
     return docs.mapInArrow(rows, schema)
 
 
-def pseudonymized(docs: DataFrame, key: bytes = KEY) -> DataFrame:
+def pseudonymized(docs: DataFrame, key: bytes) -> DataFrame:
     """doc_id, text with surrogates, n_entities and changed, a row per document."""
     source = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     count = F.col(f"{OWN}entities")
     return replaced(source, key).select("doc_id", "text", count.alias("n_entities"), (count > 0).alias("changed"))
 
 
-def audit(docs: DataFrame, key: bytes = KEY) -> DataFrame:
+def audit(docs: DataFrame, key: bytes) -> DataFrame:
     """kind, n_originals, n_surrogates, n_unchanged and n_reused (surrogates that are originals too), over keyed hashes."""
 
     def digest(kind: str, text: str) -> int:

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from claimloom.llm import chat, decontamination, licences, line_dedup, packing, pii, quality_cnn, quality_rules, simhash, token_counts
 
+#: For the synthetic tables alone, whose people do not exist; other data take spark.claimloom.pii.key.
+TABLES_KEY = b"the synthetic tables"
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _ORACLES: dict[str, str] = {}
 
@@ -90,7 +92,8 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii.pseudonymized(_table(spark, sf_dir, "documents"))
+    key = spark.conf.get("spark.claimloom.pii.key", None)
+    return pii.pseudonymized(_table(spark, sf_dir, "documents"), key.encode() if key else TABLES_KEY)
 
 
 @_query

@@ -91,6 +91,66 @@ def test_bare_repeats_of_names():
     assert len(new) == sum(w.title() not in q._names() for w in words) and not new & set(q._names())
 
 
+def test_letters_of_all_scripts_change_and_keep_case():
+    for name in ("Łukasz", "Őry", "Żółć", "Ђорђе", "Şükrü", "Ƒoo", "Ώμεγα", "Հայկ", "Ḿa"):
+        new = q.person(KEY, name)
+        assert len(new) == len(name) and new.istitle() and all(a != b for a, b in zip(new, name)) or sum(a == b for a, b in zip(new, name)) < len(name) / 2, (name, new)
+        assert q.person(KEY, name.upper()) == new.upper()
+    for word in ("שלום", "мир", "ありがとう", "東京都", "한국어", "नमन"):
+        new = q.reshaped(KEY, "x", word)
+        assert len(new) == len(word) and new != word and [q._CLASS.get(c) is None for c in new] == [q._CLASS.get(c) is None for c in word]
+    for c, alphabet in q._CLASS.items():
+        if c.islower() and c.upper() in q._CLASS:
+            assert len(q._CLASS[c.upper()]) == len(alphabet) or c.isascii() is False
+
+
+def test_bare_digits_need_their_check_digit():
+    assert [k for k, _, _ in q.surrogates("n 4785380592391139 x", KEY)[1]] == ["card"]
+    for text in ("n 4785380592391138 x", "id 1234567890123", "4845168114407321"):
+        assert q._luhn(text.split()[-2 if " x" in text else -1][:-1]) != int(text.split()[-2 if " x" in text else -1][-1])
+        assert q.surrogates(text, KEY) == (text, [])
+    new = q.surrogates("4785380592391139", KEY)[0]
+    assert q._luhn(new[:-1]) == int(new[-1])
+
+
+def test_distinct_entities_stay_distinct():
+    """Counts over generated entities, without the bijections' own code: as many surrogates as originals, none unchanged."""
+    rng = random.Random(21)
+    letters, digits = "abcdefghijklmnopqrstuvwxyz", "0123456789"
+    some = lambda alphabet, n: "".join(rng.choices(alphabet, k=n))
+    makers = {
+        "email": lambda: f"{some(letters, rng.randint(1, 3))}@{some('eax', rng.randint(1, 2))}{rng.choice(['', 'xample', 'est'])}.{rng.choice(['com', 'org', 'example.com', 'test'])}",
+        "secret": lambda: f"token={rng.choice(['', '', 'sk-', 'tk-', 'AKIA', 'BKOA'])}{some('abeg01', 8)}",
+        "phone": lambda: f"+{rng.choice(['1', '44', '353'])} {some(digits, 3)} {some(digits, 3)} {some(digits, 4)}",
+        "ip": lambda: ".".join(str(rng.randrange(256)) for _ in range(4)),
+        "card": lambda: f"{some(digits, 4)} {some(digits, 4)} {some('01', 4)} {some('01', 4)}",
+        "person": lambda: f"Dr. {some('abcegiklmnoprst', rng.randint(3, 6)).title()}",
+    }
+    for kind, make in makers.items():
+        pairs = {}
+        for text in {make() for _ in range(20_000)}:
+            for k, old, new in q.surrogates(text, KEY)[1]:
+                if k == kind:
+                    same = re.sub(r"[ ]", "", old.lower()) if kind != "secret" else old
+                    other = re.sub(r"[ ]", "", new.lower()) if kind != "secret" else new
+                    assert pairs.setdefault(same, other) == other
+        assert len(pairs) > 5_000 and len(set(pairs.values())) == len(pairs), kind
+        assert {a.title() for a, b in pairs.items() if a == b} <= set(q.TITLES), kind
+
+
+def test_a_shared_surrogate_is_repaired(monkeypatch):
+    real = q.person
+
+    def clash(key, text):
+        return "Same" if key == KEY else real(key, text)
+
+    monkeypatch.setattr(q, "PATTERNS", tuple((k, p, clash if k == "person" else c) for k, p, c in q.PATTERNS))
+    monkeypatch.setattr(q, "person", clash)
+    new = [b for _, _, b in q.surrogates("Mr. Gobh met Mr. Keller, and Dr. Gobh met Dr. Schmidt", KEY)[1]]
+    assert len({n.lower() for n in new}) == 3 and new[0] == new[2] == "Same"
+    assert q.surrogates("Mr. Gobh met Mr. Peter there.", b"change this key for each corpus")[1][1][1] == "Peter"
+
+
 def test_clean_texts_stay():
     for text in ["", "plain words, 12 of them in 2024-01-02.", "version 1.2.3 and 3.14159", "Las ciónbo os. The. And ornd", "SARAH IS HERE", "Sarah", "a@b", "1.2.3.4.5", "deadbeef", "x" * 100_000, "Licensed under the Apache License, Version 2.0."]:
         assert q.surrogates(text, KEY) == (text, [])
