@@ -22,8 +22,13 @@ def without_repeated_runs(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates."""
-    return simhash.one_of_each(docs)
+    """One document of each group of near-duplicates.
+
+    Line dedup has cut near copies down to what differs, so they are judged by their texts as they came
+    first, and then what is left is judged by its own.
+    """
+    came = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return simhash.one_of_each(simhash.without_later_copies(docs, came))
 
 
 def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
