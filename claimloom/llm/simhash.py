@@ -42,7 +42,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from claimloom.llm.common import OWN, cut, portions, text_of, utf8
+from claimloom.llm.common import OWN, cut, portions, segments, text_of, utf8
 from claimloom.llm.components import connected_components
 
 SHINGLE = 3
@@ -59,23 +59,25 @@ _PLACES = (np.arange(8) * 256).astype(np.int64)
 
 def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
     """The unsigned SimHash of a text: a bit is 1 if set in over half of the shingles' hashes."""
-    words = text.lower().split()
-    if not words:
-        return 0
-    joined = b" ".join(words)
-    digest = xxhash.xxh64_digest
-    if len(words) <= shingle:
-        return int.from_bytes(digest(joined, SEED), "big")
-    ends = list(accumulate(len(w) + 1 for w in words))
-    starts = [0, *ends]
-    hashes = b"".join([digest(joined[a : b - 1], SEED) for a, b in zip(starts, ends[shingle - 1 :], strict=False)])
-    table = np.frombuffer(hashes, np.uint8).reshape(-1, 8)
+    digest, words, total = xxhash.xxh64_digest, [], 0
     ones = np.zeros((8, 8), np.int64)
-    for at in range(0, len(table), 1 << 16):
-        part = table[at : at + (1 << 16)]
-        counts = np.bincount((part + _PLACES).ravel(), minlength=2048).reshape(8, 256)
-        ones += counts @ _BYTE_BITS
-    return int.from_bytes(np.packbits((2 * ones > len(table)).ravel()).tobytes(), "big")
+    for part in segments(text):
+        words += part.lower().split()
+        if len(words) < shingle:
+            continue
+        joined = b" ".join(words)
+        ends = list(accumulate(len(w) + 1 for w in words))
+        starts = [0, *ends]
+        hashes = b"".join([digest(joined[a : b - 1], SEED) for a, b in zip(starts, ends[shingle - 1 :], strict=False)])
+        table = np.frombuffer(hashes, np.uint8).reshape(-1, 8)
+        for at in range(0, len(table), 1 << 16):
+            counts = np.bincount((table[at : at + (1 << 16)] + _PLACES).ravel(), minlength=2048).reshape(8, 256)
+            ones += counts @ _BYTE_BITS
+        total += len(table)
+        words = words[len(words) - shingle + 1 :]  # the next part's first shingles begin here
+    if not total:
+        return int.from_bytes(digest(b" ".join(words), SEED), "big") if words else 0
+    return int.from_bytes(np.packbits((2 * ones > total).ravel()).tobytes(), "big")
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
