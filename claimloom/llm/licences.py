@@ -1,8 +1,10 @@
 """Licence scan: a trained paragraph classifier in DataFrame functions alone.
 
 A multinomial logistic regression over word unigrams and bigrams, sparse by its L1
-penalty, names the licence family of a paragraph (a line of text) or none. It is trained
-in numpy on the driver from the notices below, whole, shortened, misspelt and set among
+penalty, names the licence family of a paragraph or none. A paragraph ends at a blank line,
+and at a line feed after the end of a sentence; other line feeds are wraps, so a notice that
+is set over several lines is judged as a whole. The model is trained
+in numpy on the driver from the notices and names below, whole, shortened, misspelt and set among
 other words, against paragraphs that use the same words for other things. Its
 probabilities are calibrated on paragraphs that training has not seen: a temperature,
 and the least threshold at which at most ``FALSE_RATE`` of the other paragraphs would be
@@ -31,6 +33,10 @@ from pyspark.sql import functions as F
 
 FALSE_RATE = 0.002
 CONFIRMED = 0.55
+#: The bound of the generated training paragraphs, and of those that calibrate.
+TRAINING, CALIBRATION = 3000, 3000
+#: Where paragraphs end.
+BREAK = r"(?<=[.!?:;][\"')\]]{0,2}[ \t\r]{0,8})\n|\n[ \t\r]*\n\s*"
 UNKNOWN = "unknown"
 _WORD = r"[a-z]+|[0-9]+(?:[.][0-9]+)*"
 
@@ -66,7 +72,41 @@ NOTICES: tuple[tuple[str, str], ...] = (
     ("cc0", "This is free and unencumbered software released into the public domain."),
     ("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"),
     ("proprietary", "Copyright. All rights reserved. No part of this work may be reproduced without written permission."),
+    ("mit", "The MIT License (MIT)"),
+    ("mit", "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."),
+    ("apache", "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an AS IS BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND"),
+    ("apache", "The Apache 2.0 License"),
+    ("gpl", "You should have received a copy of the GNU General Public License along with this program. If not, see the address below."),
+    ("gpl", "The GNU GPL v3"),
+    ("lgpl", "You should have received a copy of the GNU Lesser General Public License along with this library; if not, write to the foundation."),
+    ("lgpl", "The GNU LGPL v2.1"),
+    ("agpl", "You should have received a copy of the GNU Affero General Public License along with this program. If not, see the address below."),
+    ("agpl", "The GNU AGPL v3"),
+    ("bsd", "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation"),
+    ("bsd", "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products"),
+    ("bsd", "This code is governed by a BSD-style license."),
+    ("mpl", "If a copy of the MPL was not distributed with this file, You can obtain one at the address below."),
+    ("mpl", "Mozilla Public License Version 2.0"),
+    ("cc-by", "Creative Commons Attribution (CC BY) license"),
+    ("cc-by-sa", "Creative Commons Attribution-ShareAlike (CC BY-SA) license"),
+    ("cc-by-nc", "Creative Commons Attribution-NonCommercial (CC BY-NC) license"),
+    ("cc0", "CC0 1.0 Universal Public Domain Dedication"),
+    ("isc", "The ISC License"),
+    ("proprietary", "Confidential and proprietary. Unauthorized copying, via any medium, is strictly prohibited."),
 )
+# Sentences that name a licence, around its short name.
+FRAMES: tuple[str, ...] = (
+    "Licensed under the {}.", "This project is licensed under the terms of the {}.", "Released under {}, see the file for details.", "Distributed under the {} by its authors.",
+    "The code is made available under the {}.", "Governed by the {} that can be found in the root.", "Published under the {} terms.", "You may use it under {} only.", "Shared as {}.",
+)
+# Short names by family, as sentences use them.
+NAMES: tuple[tuple[str, str], ...] = (
+    ("mit", "MIT license"), ("mit", "MIT-style license"), ("apache", "Apache License 2.0"), ("apache", "Apache 2.0 license"), ("apache", "Apache License, Version 2.0"),
+    ("gpl", "GNU General Public License"), ("gpl", "GPL version 3"), ("gpl", "GPLv2"), ("lgpl", "GNU Lesser General Public License"), ("lgpl", "LGPL"),
+    ("agpl", "GNU Affero General Public License"), ("agpl", "AGPL"), ("bsd", "BSD license"), ("bsd", "2-clause BSD license"), ("mpl", "Mozilla Public License 2.0"), ("mpl", "MPL"),
+    ("cc-by", "CC BY 4.0"), ("cc-by", "Creative Commons Attribution License"), ("cc-by-sa", "CC BY-SA 4.0"), ("cc-by-sa", "Creative Commons Attribution-ShareAlike License"),
+    ("cc-by-nc", "CC BY-NC 4.0"), ("cc-by-nc", "Creative Commons Attribution-NonCommercial License"), ("cc0", "CC0"), ("cc0", "public domain dedication CC0 1.0"), ("isc", "ISC license"),
+)
 # Paragraphs that are no notices, though they share words with them.
 OTHERS: tuple[str, ...] = (
     "He lost his driver's license on the road to the public library.",
@@ -87,7 +127,12 @@ OTHERS: tuple[str, ...] = (
     "Attribution of the painting to the master is disputed, international experts say.",
     "The license fee for the television was granted for 4.0 years.",
     "Mozilla and other companies distribute a browser.",
+    "Er kam mit dem Zug und mit der Familie in die Stadt.",
+    "Das Haus mit der Version 2.0 steht dort, mit Garten.",
+    "The mit on the left hand was lost.",
 )
+#: Notices of which a third of the words, in no order, names nothing.
+LONG = tuple(n for _, n in NOTICES if len(n.split()) >= 10)
 STOP_WORDS = frozenset("a all and any are as at be by for from has he his in into is it its may no not of on or part that the this to under was way we with without you can".split())
 
 
@@ -136,7 +181,11 @@ def _paragraphs(rng: np.random.Generator, count: int, families: tuple[str, ...],
         around = [str(w) for w in rng.choice(filler, int(rng.integers(0, 40)))]
         kind = rng.random()
         if kind < 0.55:
-            family, notice = NOTICES[int(rng.integers(len(NOTICES)))]
+            if rng.random() < 0.35:
+                family, name = NAMES[int(rng.integers(len(NAMES)))]
+                notice = FRAMES[int(rng.integers(len(FRAMES)))].format(name)
+            else:
+                family, notice = NOTICES[int(rng.integers(len(NOTICES)))]
             words = notice.split()
             keep = rng.random(len(words)) > rng.choice([0, 0, 0.05, 0.15])
             words = [w for w, k in zip(words, keep, strict=True) if k]
@@ -144,7 +193,7 @@ def _paragraphs(rng: np.random.Generator, count: int, families: tuple[str, ...],
                 around = []
         else:
             family = UNKNOWN
-            source = OTHERS[int(rng.integers(len(OTHERS)))] if kind < 0.8 else NOTICES[int(rng.integers(len(NOTICES)))][1] if kind < 0.9 else ""
+            source = OTHERS[int(rng.integers(len(OTHERS)))] if kind < 0.8 else LONG[int(rng.integers(len(LONG)))] if kind < 0.9 else ""
             words = source.split()
             if 0.8 <= kind < 0.9:  # the words of a notice in no order, thinned
                 words = [str(w) for w in rng.permutation(words)[: max(1, len(words) // 3)]]
@@ -159,10 +208,10 @@ def _paragraphs(rng: np.random.Generator, count: int, families: tuple[str, ...],
 
 @lru_cache(maxsize=1)
 def trained(seed: int = 5) -> Model:
-    """The model, trained anew in each driver process, in a second or two."""
+    """The model, trained anew in each driver process, in some seconds."""
     rng = np.random.default_rng(seed)
     families = tuple(dict.fromkeys(f for f, _ in NOTICES))
-    grams = [g for g in dict.fromkeys(g for _, n in NOTICES for g in grams_of(n)) if not STOP_WORDS.issuperset(g.split())]
+    grams = [g for g in dict.fromkeys(g for n in [*(n for _, n in NOTICES), *(n for _, n in NAMES)] for g in grams_of(n)) if not STOP_WORDS.issuperset(g.split())]
     at = {g: n for n, g in enumerate(grams)}
     filler = [w for o in OTHERS for w in o.split()] + [f"{a}{b}" for a in ("ta", "re", "mon", "sil") for b in ("ver", "do", "ning", "la")] * 6
 
@@ -172,13 +221,13 @@ def trained(seed: int = 5) -> Model:
             out[n, [at[g] for g in grams_of(text) if g in at]] = 1
         return out
 
-    texts, y = _paragraphs(rng, 2000, families, filler)
+    texts, y = _paragraphs(rng, TRAINING, families, filler)
     x, classes = matrix(texts), len(families) + 1
     target = np.eye(classes)[y]
-    w, b, penalty = np.zeros((len(grams), classes), np.float32), np.zeros(classes), 4e-4
+    w, b, penalty = np.zeros((len(grams), classes), np.float32), np.zeros(classes), 2e-4
     b[-1] = 1
     speed, m = 6.0, np.zeros_like(w)
-    for _ in range(160):
+    for _ in range(300):
         z = x @ w + b
         p = np.exp(z - z.max(axis=1, keepdims=True))
         p /= p.sum(axis=1, keepdims=True)
@@ -187,7 +236,7 @@ def trained(seed: int = 5) -> Model:
         b -= speed * 0.2 * (p - target).mean(axis=0)
         w = np.sign(w) * np.maximum(np.abs(w) - speed * 0.2 * penalty, 0)  # L1
     # Calibration on paragraphs of its own.
-    texts, y = _paragraphs(rng, 3000, families, filler)
+    texts, y = _paragraphs(rng, CALIBRATION, families, filler)
     z = matrix(texts) @ w + b
 
     def probabilities(temperature: float) -> np.ndarray:
@@ -211,7 +260,7 @@ def _literal(value: object, kind: str) -> Column:
 
 
 def scan(docs: DataFrame, model: Model | None = None) -> DataFrame:
-    """doc_id, paragraph (line number from 0), family, probability, similarity and confirmed, for paragraphs that name a licence."""
+    """doc_id, paragraph (number from 0), family, probability, similarity and confirmed, for paragraphs that name a licence."""
     model = model or trained()
     classes, notices = len(model.families) + 1, len(NOTICES)
     anchors = _literal(list(model.anchors), "array<string>")
@@ -224,7 +273,7 @@ def scan(docs: DataFrame, model: Model | None = None) -> DataFrame:
     lines = (
         docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
         .filter(anchored(F.col("text")))
-        .select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("paragraph", "line"))
+        .select("doc_id", F.posexplode(F.split("text", BREAK, -1)).alias("paragraph", "line"))
         .filter(anchored(F.col("line")))
     )
     words = F.regexp_extract_all(F.lower("line"), F.lit(_WORD), F.lit(0))
