@@ -1,52 +1,139 @@
-"""Crawl of a link table by priority, under budgets; a loop over depths of joins."""
+"""Crawl of a link table by priority, under budgets of its own for each kind of page; a loop of joins.
+
+Links: src, dst, position (place of the link on its page), priority (lower first) and, where
+there are kinds, kind: ``document``, ``registry``, ``index`` or ``discussion``.
+"""
 
 from __future__ import annotations
 
-from uuid import uuid4
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from claimloom.session import cut
+
+#: Guides and release notes, which keep a reserve of a fifth of the URLs.
+GUIDE = 1
+
+
+@dataclass(frozen=True)
+class Budgets:
+    """What a crawl may take. Every number bounds rows that one task orders."""
+
+    depth: int = 2
+    urls: int = 500
+    documents: int = 100
+    registry: int = 60
+    index_pages: int = 20
+    requests: int = 200
+
+    @property
+    def reserve(self) -> int:
+        return self.urls // 5
 
-def _cut(df: DataFrame) -> DataFrame:
-    """``df`` through a file all executors share where there is such a folder, else through a checkpoint of its own."""
-    spark: SparkSession = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        path = f"{folder.rstrip('/')}/frontier-{uuid4().hex}"
-        df.write.parquet(path)
-        return spark.read.schema(df.schema).parquet(path)
-    if spark.sparkContext.getCheckpointDir() is None:
-        import tempfile
+    @property
+    def discussions(self) -> int:
+        return max(1, self.urls // 5)
 
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="claimloom-"))
-    return df.checkpoint()
 
+_NODE = "url string, depth int, priority int, kind string, sequence bigint, fetched_at bigint, status string"
 
-def crawl(links: DataFrame, seeds: DataFrame, depth: int = 2, most_urls: int = 500, most_fetched: int = 200) -> DataFrame:
-    """url, depth, priority, place and status (fetched or over_budget) of everything reached.
 
-    ``links``: src, dst, priority (lower first); ``seeds``: url, priority. Each level joins what was
-    fetched with its links, leaves out what is known, and takes the best by priority and url as far
-    as the budgets of urls and fetches go. The loop runs over depths, of which there are few.
+def crawl(links: DataFrame, seeds: DataFrame, budgets: Budgets = Budgets()) -> DataFrame:
+    """url, depth, priority, kind, sequence, fetched_at and status of everything admitted.
+
+    Pages are admitted in the order in which links to them are met (the linking page's place in the
+    order of fetches, then the link's place on it), as far as the URLs go; discussions have a share
+    of their own, and guides a reserve beyond the others. The queue is fetched by priority and
+    then sequence: each round takes all pages of the best priority, and what they link to joins the queue,
+    so better pages that are found go before worse ones that wait. Status is fetched,
+    registry_budget, index_budget, or pending when documents or requests are used up.
+
+    Rounds are few, as each one empties a priority. Links are only joined with what a round fetched,
+    and only rows that budgets bound are ordered in one task.
     """
-    known = _cut(_taken(seeds.groupBy("url").agg(F.min("priority").alias("priority")), 0, most_urls, most_fetched))
-    for level in range(1, depth + 1):
-        counts = known.agg(F.count("*"), F.count_if(F.col("status") == "fetched")).first()
-        if counts[0] >= most_urls or counts[1] >= most_fetched:
-            break
-        fresh = known.filter((F.col("depth") == level - 1) & (F.col("status") == "fetched")).select(F.col("url").alias("src"))
-        reached = links.join(fresh, "src").groupBy(F.col("dst").alias("url")).agg(F.min("priority").alias("priority"))
-        new = reached.join(known.select("url"), "url", "left_anti")
-        known = _cut(known.unionByName(_taken(new, level, most_urls - counts[0], most_fetched - counts[1])))
-    return known
+    for name, value in (("kind", F.lit("document")), ("position", F.lit(0))):
+        links = links if name in links.columns else links.withColumn(name, value)
+        seeds = seeds if name in seeds.columns else seeds.withColumn(name, value)
+    first = seeds.withColumns({"parent": F.lit(0).cast("bigint"), "depth": F.lit(0)})
+    known = _admitted(_met(first, "url"), links.sparkSession.createDataFrame([], _NODE), budgets)
+    while True:
+        known, moved = _fetched(known, budgets)
+        if not moved:
+            return known
+        fresh = known.filter((F.col("fetched_at") > moved[0]) & (F.col("fetched_at") <= moved[1]) & (F.col("depth") < budgets.depth))
+        fresh = fresh.select(F.col("url").alias("src"), F.col("fetched_at").alias("parent"), (F.col("depth") + 1).alias("depth"))
+        reached = links.join(F.broadcast(fresh), "src")  # ``budgets.requests`` rows at most
+        known = _admitted(_met(reached, "dst").join(known.select("url"), "url", "left_anti"), known, budgets)
+
 
+def _met(rows: DataFrame, url: str) -> DataFrame:
+    """Each page once, as it was met first."""
+    node = F.struct("parent", "position", "priority", "kind", "depth")
+    return rows.groupBy(F.col(url).alias("url")).agg(F.min(node).alias("n")).select("url", "n.*")
 
-def _taken(new: DataFrame, level: int, urls: int, fetches: int) -> DataFrame:
-    # The level's best by a top-k, so only ``urls`` rows are numbered in one task.
-    best = new.orderBy("priority", "url").limit(urls)
-    place = F.row_number().over(Window.orderBy("priority", "url")).cast("bigint")
-    return best.select("url", F.lit(level).alias("depth"), "priority", place.alias("place")).withColumn("status", F.when(F.col("place") <= fetches, "fetched").otherwise("over_budget"))
+
+def _admitted(new: DataFrame, known: DataFrame, budgets: Budgets) -> DataFrame:
+    counts = known.agg(F.count("*").alias("n"), F.count_if(F.col("kind") == "discussion").alias("d")).first()
+    order = ["parent", "position", "url"]
+    room, extra = max(0, budgets.urls - counts.n), budgets.urls + budgets.reserve - max(counts.n, budgets.urls)
+    talks = new.filter(F.col("kind") == "discussion").orderBy(*order).limit(max(0, budgets.discussions - counts.d))
+    open_to = new.filter(F.col("kind") != "discussion").unionByName(talks)
+    # Of these all but ``room`` are guides, so their place tells which are admitted.
+    best = open_to.orderBy(*order).limit(room).union(open_to.filter(F.col("priority") <= GUIDE).orderBy(*order).limit(room + max(0, extra))).distinct()
+    placed = best.withColumn("place", F.row_number().over(Window.orderBy(*order)).cast("bigint")).filter(F.col("place") <= room + max(0, extra))
+    columns = [F.col("depth").cast("int"), F.col("priority").cast("int"), "kind", (F.lit(counts.n) + F.col("place")).alias("sequence"), F.lit(None).cast("bigint").alias("fetched_at"), F.lit(None).cast("string").alias("status")]
+    return cut(known.unionByName(placed.select("url", *columns)), "frontier")
+
+
+def _fetched(known: DataFrame, budgets: Budgets) -> tuple[DataFrame, tuple[int, int] | None]:
+    """The queue's best priority fetched as far as the budgets go, and between which fetches that was; none when nothing is left to do."""
+    kinds = [F.count_if((F.col("kind") == k) & (F.col("status") == "fetched")) for k in ("registry", "index")]
+    done = known.filter("status IS NOT NULL")
+    others = F.count_if(~F.col("kind").isin("registry", "index") & (F.col("status") == "fetched"))
+    asked = F.count_if(F.col("status") != "registry_budget")
+    registry, index, documents, requests, last = done.agg(*kinds, others, asked, F.coalesce(F.max("fetched_at"), F.lit(0))).first()
+    best = known.filter("status IS NULL").agg(F.min("priority")).first()[0]
+    if best is None:
+        return known, None
+    if documents >= budgets.documents or requests >= budgets.requests:
+        return known.fillna("pending", ["status"]), None
+    queue, rest = (known.filter("status IS NULL").filter(F.col("priority") == best), known.filter(F.col("status").isNotNull() | (F.col("priority") != best)))
+    place = Window.orderBy("sequence")
+    before = place.rowsBetween(Window.unboundedPreceding, -1)
+    count = lambda condition, window: F.coalesce(F.sum(F.when(condition, 1).otherwise(0)).over(window), F.lit(0))
+    is_registry, is_index = F.col("kind") == "registry", F.col("kind") == "index"
+    # A registry record beyond its budget is not asked for; an index page beyond its own is, and left.
+    queue = queue.withColumn("over", F.when(is_registry & (count(is_registry, before) >= budgets.registry - registry), "registry_budget"))
+    over = F.coalesce("over", F.when(is_index & (count(is_index, before) >= budgets.index_pages - index), "index_budget"))
+    spent = count(F.col("over").isNull(), before) >= budgets.requests - requests
+    full = count(~is_registry & ~is_index, before) >= budgets.documents - documents
+    status = F.when(spent | full, "pending").otherwise(F.coalesce("chosen", F.lit("fetched")))
+    queue = queue.withColumn("chosen", over).withColumn("status", status)
+    number = F.when(F.col("status") == "fetched", F.lit(last) + count(F.col("status") == "fetched", place.rowsBetween(Window.unboundedPreceding, 0)))
+    queue = queue.withColumn("fetched_at", number.cast("bigint")).select(*known.columns)
+    now = cut(rest.unionByName(queue), "frontier")
+    return now, (last, now.agg(F.max(F.coalesce("fetched_at", F.lit(0)))).first()[0])
+
+
+def left_out(known: DataFrame, links: DataFrame, budgets: Budgets = Budgets()) -> DataFrame:
+    """url and reason of pages that fetched ones link to and that were not admitted."""
+    fetched = known.filter("status = 'fetched'").select(F.col("url").alias("src"), "depth")
+    reached = links.join(F.broadcast(fetched), "src").groupBy(F.col("dst").alias("url")).agg(F.min("depth").alias("depth"), F.max("kind").alias("kind"))
+    missed = reached.join(known.select("url"), "url", "left_anti")
+    reason = F.when(F.col("depth") >= budgets.depth, "depth").when(F.col("kind") == "discussion", "discussion_budget").otherwise("url_budget")
+    return missed.select("url", reason.alias("reason"))
+
+
+def reachable(links: DataFrame, seeds: DataFrame, depth: int = 2) -> DataFrame:
+    """url and the least number of links to it, without budgets: a join, an aggregate and an anti-join for each level."""
+    known = cut(seeds.select("url").distinct().withColumn("depth", F.lit(0)), "reachable")
+    for level in range(1, depth + 1):
+        edge = known.filter(F.col("depth") == level - 1).select(F.col("url").alias("src"))
+        new = links.join(edge, "src").select(F.col("dst").alias("url")).distinct().join(known.select("url"), "url", "left_anti")
+        known = cut(known.unionByName(new.withColumn("depth", F.lit(level))), "reachable")
+    return known
 
 
 def with_provenance(reached: DataFrame, links: DataFrame) -> DataFrame:
@@ -59,3 +146,8 @@ def propagated(documents: DataFrame, edges: DataFrame) -> DataFrame:
     """(url, version, basis): a document's own associations, and those that its incoming edges bring."""
     brought = edges.select(F.col("dst").alias("url"), F.explode("versions").alias("version"), F.col("relation").alias("basis"))
     return documents.select("url", "version", "basis").unionByName(brought.join(documents.select("url").distinct(), "url", "left_semi")).distinct()
+
+
+def by_version(documents: DataFrame, versions: DataFrame) -> DataFrame:
+    """(version, url) for every resolved version that a document is associated with (J12): an equi-join, no product."""
+    return documents.select("url", "version").distinct().join(versions.select("version").distinct(), "version").select("version", "url")

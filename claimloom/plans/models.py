@@ -285,12 +285,68 @@ _EDGE_SQL = r"""SELECT DISTINCT 'page ' || page_id AS page, href FROM (SELECT pa
 r AS (SELECT 'page 0' AS url, 0 AS depth UNION SELECT e.dst, r.depth + 1 FROM r JOIN e ON e.src = r.url WHERE r.depth < 3)
 SELECT url, CAST(min(depth) AS BIGINT) AS depth FROM r GROUP BY url""")
 def frontier_crawl(spark, sf_dir):
-    """Pages that share a link are three steps apart at most; budgets are wide here, tests set narrow ones."""
-    pages = sections.links(table(spark, sf_dir, "pages")).select(F.concat(F.lit("page "), F.col("page_id").cast("string")).alias("page"), "href").distinct()
-    there = pages.select(F.col("page").alias("src"), F.col("href").alias("dst"))
-    links = there.unionByName(pages.select(F.col("href").alias("src"), F.col("page").alias("dst"))).withColumn("priority", F.length("dst") % 3)
-    seeds = spark.range(1).select(F.lit("page 0").alias("url"), F.lit(0).alias("priority"))
-    return frontier.crawl(links, seeds, 3, 10_000_000, 10_000_000).select("url", F.col("depth").cast("bigint").alias("depth"))
+    """Pages that share a link are three steps apart at most."""
+    seeds = spark.range(1).select(F.lit("page 0").alias("url"))
+    return frontier.reachable(_links(spark, sf_dir), seeds, 3).select("url", F.col("depth").cast("bigint").alias("depth"))
+
+
+def _links(spark, sf_dir):
+    """From pages to their links, and back; addresses are documents, indexes, registry records or discussions."""
+    pages = sections.links(table(spark, sf_dir, "pages")).select(F.concat(F.lit("page "), F.col("page_id").cast("string")).alias("page"), "page_id", "href", "place")
+    pages = pages.groupBy("page", "page_id", "href").agg(F.min("place").alias("place"))
+    size = F.length("href")
+    kind = F.when(size % 5 == 0, "registry").when(size % 5 == 1, "index").when(size % 5 == 2, "discussion").otherwise("document")
+    there = pages.select(F.col("page").alias("src"), F.col("href").alias("dst"), F.col("place").alias("position"), F.when(size % 7 == 0, 1).otherwise(3).alias("priority"), kind.alias("kind"))
+    back = pages.select(F.col("href").alias("src"), F.col("page").alias("dst"), F.col("page_id").cast("int").alias("position"), F.lit(5).alias("priority"), F.lit("document").alias("kind"))
+    return there.unionByName(back)
+
+
+_BUDGETS = frontier.Budgets(depth=2, urls=20, documents=9, registry=1, index_pages=1, requests=14)
+_KINDS_SQL = "CASE length(href) % 5 WHEN 0 THEN 'registry' WHEN 1 THEN 'index' WHEN 2 THEN 'discussion' ELSE 'document' END"
+_SEED_PAGES = 6
+
+
+def _admission(new: str, known: str) -> str:
+    """Twin of one round of admissions: new(url, parent, position, priority, kind, depth), known(n, talks)."""
+    return f"""SELECT url, depth, priority, kind, n + p AS sequence FROM (
+      SELECT *, row_number() OVER (ORDER BY parent, position, url) AS p FROM (
+        SELECT *, row_number() OVER (ORDER BY parent, position, url) AS q, count_if(priority <= 1) OVER (ORDER BY parent, position, url) AS g FROM (
+          SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY kind = 'discussion' ORDER BY parent, position, url) AS t FROM ({new}) CROSS JOIN ({known}))
+          WHERE kind <> 'discussion' OR t <= {_BUDGETS.discussions} - talks))
+      WHERE q <= greatest(0, {_BUDGETS.urls} - n) OR priority <= 1)
+    WHERE p <= greatest(0, {_BUDGETS.urls} - n) + greatest(0, {_BUDGETS.urls + _BUDGETS.reserve} - greatest(n, {_BUDGETS.urls}))"""
+
+
+def _round(queue: str, done: str) -> str:
+    """Twin of one round of fetches over a queue of one priority; done(last, documents, registry, indexes, requests)."""
+    before = "ORDER BY sequence ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+    return f"""SELECT *, CASE WHEN status = 'fetched' THEN last + count_if(status = 'fetched') OVER (ORDER BY sequence) END AS fetched_at FROM (
+      SELECT *, CASE WHEN coalesce(count_if(NOT beyond) OVER ({before}), 0) >= {_BUDGETS.requests} - requests
+          OR coalesce(count_if(kind NOT IN ('registry', 'index')) OVER ({before}), 0) >= {_BUDGETS.documents} - documents THEN 'pending'
+        WHEN beyond THEN 'registry_budget' WHEN kind = 'index' AND coalesce(count_if(kind = 'index') OVER ({before}), 0) >= {_BUDGETS.index_pages} - indexes THEN 'index_budget' ELSE 'fetched' END AS status FROM (
+        SELECT *, kind = 'registry' AND coalesce(count_if(kind = 'registry') OVER ({before}), 0) >= {_BUDGETS.registry} - registry AS beyond FROM ({queue}) CROSS JOIN ({done})))"""
+
+
+_DONE = "SELECT coalesce(max(fetched_at), 0) AS last, count_if(status = 'fetched' AND kind NOT IN ('registry', 'index')) AS documents, count_if(status = 'fetched' AND kind = 'registry') AS registry, count_if(status = 'fetched' AND kind = 'index') AS indexes, count_if(status <> 'registry_budget') AS requests FROM"
+_BUDGET_SQL = f"""WITH e AS MATERIALIZED (SELECT 'page ' || page_id AS page, page_id, href, min(place) AS place FROM (
+    SELECT page_id, unnest(range(len(h))) AS place, unnest(h) AS href FROM (SELECT page_id, regexp_extract_all(html, '<a[ ]+[^>]*?href="([^"]*)"', 1) AS h FROM pages)) GROUP BY page_id, href),
+f0 AS MATERIALIZED ({_round(f"SELECT 'page ' || n AS url, 0 AS depth, 0 AS priority, 'document' AS kind, n + 1 AS sequence FROM range({_SEED_PAGES}) t(n)", "SELECT 0 AS last, 0 AS documents, 0 AS registry, 0 AS indexes, 0 AS requests")}),
+a1 AS MATERIALIZED ({_admission(f"SELECT href AS url, arg_min(fetched_at, (fetched_at, place)) AS parent, arg_min(place, (fetched_at, place)) AS position, CASE WHEN length(href) % 7 = 0 THEN 1 ELSE 3 END AS priority, {_KINDS_SQL} AS kind, 1 AS depth FROM e JOIN f0 ON f0.url = e.page GROUP BY href", f"SELECT {_SEED_PAGES} AS n, 0 AS talks")}),
+f1 AS MATERIALIZED ({_round("SELECT * FROM a1 WHERE priority = 1", f"{_DONE} f0")}),
+a2 AS MATERIALIZED ({_admission("SELECT page AS url, arg_min(fetched_at, (fetched_at, page_id)) AS parent, arg_min(page_id, (fetched_at, page_id)) AS position, 5 AS priority, 'document' AS kind, 2 AS depth FROM e JOIN f1 ON f1.url = e.href WHERE f1.status = 'fetched' AND page NOT IN (SELECT url FROM f0) GROUP BY page", "SELECT (SELECT count(*) FROM f0) + (SELECT count(*) FROM a1) AS n, (SELECT count_if(kind = 'discussion') FROM a1) AS talks")}),
+d1 AS (SELECT url, kind, status, fetched_at FROM f0 UNION ALL SELECT url, kind, status, fetched_at FROM f1),
+f2 AS MATERIALIZED ({_round("SELECT * FROM a1 WHERE priority = 3", f"{_DONE} d1")}),
+a3 AS MATERIALIZED ({_admission("SELECT page AS url, arg_min(fetched_at, (fetched_at, page_id)) AS parent, arg_min(page_id, (fetched_at, page_id)) AS position, 5 AS priority, 'document' AS kind, 2 AS depth FROM e JOIN f2 ON f2.url = e.href WHERE f2.status = 'fetched' AND page NOT IN (SELECT url FROM f0 UNION ALL SELECT url FROM a2) GROUP BY page", "SELECT (SELECT count(*) FROM f0) + (SELECT count(*) FROM a1) + (SELECT count(*) FROM a2) AS n, (SELECT count_if(kind = 'discussion') FROM a1) AS talks")}),
+d2 AS (SELECT * FROM d1 UNION ALL SELECT url, kind, status, fetched_at FROM f2),
+f3 AS ({_round("SELECT * FROM a2 UNION ALL SELECT * FROM a3", f"{_DONE} d2")})
+SELECT url, kind, sequence, status, fetched_at FROM (SELECT url, kind, sequence, status, fetched_at FROM f0 UNION ALL SELECT url, kind, sequence, status, fetched_at FROM f1
+  UNION ALL SELECT url, kind, sequence, status, fetched_at FROM f2 UNION ALL SELECT url, kind, sequence, status, fetched_at FROM f3)"""
+
+
+@query("frontier_budgets", _BUDGET_SQL)
+def frontier_budgets(spark, sf_dir):
+    seeds = spark.range(_SEED_PAGES).select(F.concat(F.lit("page "), F.col("id").cast("string")).alias("url"), F.lit(0).alias("priority"), F.col("id").cast("int").alias("position"), F.lit("document").alias("kind"))
+    return frontier.crawl(_links(spark, sf_dir), seeds, _BUDGETS).select("url", "kind", "sequence", "status", "fetched_at")
 
 
 @query("severity_order", "SELECT o_orderkey AS path, list_position(['critical', 'high', 'medium', 'low', 'unknown'], level) - 1 AS place FROM (SELECT o_orderkey, " + LEVEL_SQL + " AS level FROM orders)")

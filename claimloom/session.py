@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+from uuid import uuid4
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -27,3 +30,25 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, **conf: str
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A driver table; Catalyst prunes its columns and pushes filters into the scan."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the driver and all executors share: ``spark.checkpoint.dir``; on a local master a fresh one where that is unset."""
+    found = spark.conf.get("spark.checkpoint.dir", None)
+    if found:
+        return found.rstrip("/")
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    found = tempfile.mkdtemp(prefix="claimloom-")
+    spark.conf.set("spark.checkpoint.dir", found)
+    return found
+
+
+def cut(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder as Parquet and read again: its lineage ends there. The file goes when the driver ends."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/{name}-{uuid4().hex}"
+    df.write.parquet(path)
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
+    return spark.read.schema(df.schema).parquet(path)

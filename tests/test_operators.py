@@ -227,16 +227,68 @@ def test_gold_checks_pass_vacuously_where_nothing_matches(spark):
     assert evaluation.scores(found).first().score == "1/2"
 
 
-def test_crawl_budgets(spark):
-    links = [("s", f"d{k}", 9) for k in range(50)] + [("s", "guide", 0), ("guide", "deep", 1), ("d0", "other", 0)]
-    frame = spark.createDataFrame(links, "src string, dst string, priority int")
-    seeds = spark.createDataFrame([("s", 0)], "url string, priority int")
-    found = {r.url: (r.depth, r.status) for r in frontier.crawl(frame, seeds, 2, 20, 6).collect()}
-    assert len(found) == 20 and found["guide"] == (1, "fetched") and sum(s == "fetched" for _, s in found.values()) == 6
-    wide = {r.url: r.depth for r in frontier.crawl(frame, seeds, 2, 500, 500).collect()}
-    assert wide["deep"] == 2 and wide["other"] == 2 and len(wide) == 54
-    reached = frontier.crawl(frame, seeds, 1, 500, 500)
-    assert frontier.with_provenance(reached, frame).count() == 51
+def plain_crawl(links, seeds, b):
+    """The crawl by a loop over pages: rounds of one priority, budgets counted as they are spent."""
+    nodes, fetched = {}, 0
+
+    def admit(url, priority, kind, depth):
+        if url in nodes or depth > b.depth:
+            return
+        if kind == "discussion" and sum(n["kind"] == "discussion" for n in nodes.values()) >= b.discussions:
+            return
+        if len(nodes) >= b.urls + (b.reserve if priority <= frontier.GUIDE else 0):
+            return
+        nodes[url] = {"priority": priority, "kind": kind, "depth": depth, "sequence": len(nodes) + 1, "status": None, "at": None}
+
+    for url, priority, position, kind in sorted(seeds, key=lambda s: (s[2], s[0])):
+        admit(url, priority, kind, 0)
+    while waiting := [u for u, n in nodes.items() if n["status"] is None]:
+        best = min(nodes[u]["priority"] for u in waiting)
+        got = []
+        for url in sorted((u for u in waiting if nodes[u]["priority"] == best), key=lambda u: nodes[u]["sequence"]):
+            n = nodes[url]
+            have = lambda *k: sum(x["status"] == "fetched" and x["kind"] in k for x in nodes.values())
+            if have("document", "discussion") >= b.documents or sum(x["status"] not in (None, "pending", "registry_budget") for x in nodes.values()) >= b.requests:
+                n["status"] = "pending"
+            elif n["kind"] == "registry" and have("registry") >= b.registry:
+                n["status"] = "registry_budget"
+            elif n["kind"] == "index" and have("index") >= b.index_pages:
+                n["status"] = "index_budget"
+            else:
+                fetched += 1
+                n["status"], n["at"] = "fetched", fetched
+                got.append(url)
+        for url in got:
+            for src, dst, position, priority, kind in sorted((x for x in links if x[0] == url), key=lambda x: (x[2], x[1])):
+                admit(dst, priority, kind, nodes[url]["depth"] + 1)
+    return {u: (n["sequence"], n["status"], n["at"]) for u, n in nodes.items()}
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_crawl_against_a_loop(spark, seed):
+    rng = random.Random(seed)
+    kinds = {f"p{k}": rng.choice(["document", "document", "registry", "index", "discussion"]) for k in range(60)}
+    ranks = {u: rng.choice([0, 1, 3, 7, 9]) for u in kinds}
+    pairs = {(rng.choice([*kinds]), u) for u in kinds for _ in range(4)}
+    links = [(a, u, n, ranks[u], kinds[u]) for n, (a, u) in enumerate(sorted(pairs))]
+    seeds = [(u, ranks[u], n, kinds[u]) for n, u in enumerate(["p1", "p2", "p3"])]
+    b = frontier.Budgets(depth=rng.choice([1, 2, 4]), urls=rng.choice([10, 20, 100]), documents=rng.choice([4, 12, 100]), registry=rng.choice([1, 2]), index_pages=rng.choice([1, 3]), requests=rng.choice([8, 100]))
+    frame = spark.createDataFrame(links, "src string, dst string, position int, priority int, kind string")
+    found = frontier.crawl(frame, spark.createDataFrame(seeds, "url string, priority int, position int, kind string"), b)
+    assert {r.url: (r.sequence, r.status, r.fetched_at) for r in found.collect()} == plain_crawl(links, seeds, b)
+    missed = {r.url: r.reason for r in frontier.left_out(found, frame, b).collect()}
+    known = {r.url for r in found.collect()}
+    assert set(missed) == {d for s, d, *_ in links if s in {r.url for r in found.collect() if r.status == "fetched"}} - known
+    assert frontier.with_provenance(found, frame).count() == len({(s, d) for s, d, *_ in links if d in known and s in {r.url for r in found.collect() if r.status == "fetched"}})
+
+
+def test_propagated_versions(spark):
+    documents = spark.createDataFrame([("a", "1.0", "text_mention"), ("b", "2.0", "text_mention")], "url string, version string, basis string")
+    edges = spark.createDataFrame([("x", "a", ["1.0", "1.1"], "linked_context"), ("x", "z", ["9"], "linked_context"), ("y", "a", ["1.1"], "linked_context")], "src string, dst string, versions array<string>, relation string")
+    found = frontier.propagated(documents, edges)
+    assert {tuple(r) for r in found.collect()} == {("a", "1.0", "text_mention"), ("b", "2.0", "text_mention"), ("a", "1.0", "linked_context"), ("a", "1.1", "linked_context")} and found.count() == 4
+    versions = spark.createDataFrame([("1.1",), ("2.0",), ("3.0",)], "version string")
+    assert {tuple(r) for r in frontier.by_version(found, versions).collect()} == {("1.1", "a"), ("2.0", "b")}
 
 
 def test_model_calls(spark):
