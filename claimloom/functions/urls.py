@@ -60,6 +60,12 @@ def api_address(url: Column) -> Column:
     return F.regexp_replace(out, base + r"pull/([0-9]+).*$", "https://api.github.com/repos/$1/$2/pulls/$3")
 
 
+def retrieval_address(url: Column) -> Column:
+    """The address to fetch; null for a tree of sources, which is no text of a release."""
+    tree = (host(url) == "github.com") & (F.get(F.filter(F.split(path(url), "/"), lambda p: p != ""), F.lit(2)) == "tree")
+    return F.when(~F.coalesce(tree, F.lit(False)), api_address(url))
+
+
 def document_kind(url: Column, title: Column) -> Column:
     """The kind of a document by its address and title; the first pattern decides."""
     hint = F.concat(url, F.lit(" "), title)

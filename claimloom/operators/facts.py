@@ -99,3 +99,23 @@ def partitioned(assigned: DataFrame, clusters: DataFrame, cluster: str, group: s
     first = assigned.groupBy(cluster).agg(F.min(group).alias(group))
     joined = clusters.select(cluster).join(first, cluster, "left")
     return joined.withColumn("method", F.when(F.col(group).isNull(), "unassigned").otherwise("grouped"))
+
+
+def cluster_versions(facts: DataFrame, subject: str, versions: str) -> DataFrame:
+    """cluster_key and the versions that its facts name, each once, in order."""
+    own = facts.select(subject_key(F.col(subject)).alias("cluster_key"), F.explode(versions).alias("version")).distinct()
+    return own.groupBy("cluster_key").agg(F.sort_array(F.collect_list("version")).alias("versions"))
+
+
+def with_scope(facts: DataFrame, sections: DataFrame, section: str, *columns: str) -> DataFrame:
+    """Facts with columns of the section that they were read in; null where it is not known."""
+    return facts.join(sections.select(section, *columns), section, "left")
+
+
+def contextual(*stages: DataFrame) -> DataFrame:
+    """The contextual facts of several stages, each once: the first stage that tells a fact keeps its reason."""
+    rows = [s.withColumn("__stage", F.lit(n)) for n, s in enumerate(stages)]
+    both = rows[0]
+    for other in rows[1:]:
+        both = both.unionByName(other)
+    return both.groupBy("fact").agg(F.min_by("reason", "__stage").alias("reason"))

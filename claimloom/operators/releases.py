@@ -83,3 +83,63 @@ def catalog_order() -> list[Column]:
 def with_fallback(first: DataFrame, second: DataFrame, key: str) -> DataFrame:
     """All of ``first``, and what ``second`` has under keys that ``first`` lacks."""
     return first.unionByName(second.join(first.select(key).distinct(), key, "left_anti"))
+
+
+def dispatched(registry: DataFrame, final: DataFrame, tags: DataFrame, pages: DataFrame, current: str, target: str, mode: str = "family") -> DataFrame:
+    """Releases of each catalog by its kind, with the reader they come from.
+
+    Columns: catalog, kind, version, position; ``final`` (a repository's releases) also complete. Registries are read as they are.
+    Tags of a repository are taken as well where its releases are incomplete or lack an endpoint, and pages where nothing else lists any.
+    """
+    own = lambda df, reader: df.select("catalog", "version", "position", F.lit(reader).alias("reader"))
+    whole = final.groupBy("catalog").agg(F.bool_and("complete").alias("complete"))
+    ends = endpoint_checks(final, current, target, mode)
+    enough = whole.join(ends, "catalog").filter("complete AND current_found AND target_found").select("catalog")
+    more = tags.join(enough, "catalog", "left_anti")
+    first = own(registry, "registry").unionByName(own(final, "releases")).unionByName(own(more, "tags"))
+    return first.unionByName(own(pages.join(first.select("catalog").distinct(), "catalog", "left_anti"), "pages"))
+
+
+def indexed(links: DataFrame, current: str, target: str, mode: str = "family") -> DataFrame:
+    """Links of release index pages: label (a release they name), relevance to the interval, and whether they are followed.
+
+    Links: page, href, text. Links to other hosts go; one that names a release outside of the interval is not followed.
+    """
+    from claimloom.functions import urls
+
+    href, text = urls.without_fragment(F.col("href")), F.col("text")
+    near = links.withColumn("href", href).filter(urls.host(F.col("href")) == urls.host(F.col("page")))
+    early = text.rlike(r"(?i)alpha|beta|\brc\b|preview|candidate")
+    inner = F.regexp_extract(text, r"(?i)(?:^|[^\w.])(v?[0-9]+(?:\.[0-9]+){0,3})(?:$|[^\w.-])", 1)
+    named = F.when(text.rlike("(?i)release|version|changelog") & ~early, F.nullif(inner, F.lit("")))
+    label = F.when(v.numeric_label(text).isNotNull(), text).otherwise(named)
+    placed = F.nullif(F.regexp_extract(urls.path(F.col("href")), r"(?:release[-/]|/)([0-9]+(?:[.-][0-9]+){0,3})(?:/|\.html|$)", 1), F.lit(""))
+    key = F.coalesce(v.version_key(F.col("label")), v.version_key(F.translate(placed, "-", ".")))
+    both = F.concat(text, F.lit(" "), F.col("href"))
+    base = F.when(both.rlike("(?i)release|changelog|upgrade"), 4).when(text.rlike("(?i)documentation|download"), 1).otherwise(0)
+    inside = F.coalesce(v.in_scope(F.col("key"), current, target, mode), F.lit(True))
+    points = base + F.when(F.col("key").isNotNull() & inside, 5).otherwise(0)
+    found = near.withColumn("label", label).withColumn("key", key).withColumn("relevance", points.cast("bigint"))
+    followed = inside & (F.col("relevance") > 0) & ~urls.path(F.col("href")).rlike(r"\.(?:zip|gz|xz|exe|pdf)$")
+    return found.select("page", "href", "label", "relevance", followed.alias("followed"))
+
+
+def index_crawl(links: DataFrame, root: str, current: str, target: str, mode: str = "family", most_pages: int = 8) -> DataFrame:
+    """catalog (the root), version and page of the releases that a site's index pages name, best pages first, ``most_pages`` at most."""
+    from claimloom.operators import frontier
+
+    marked = indexed(links, current, target, mode)
+    edges = marked.filter("followed").groupBy(F.col("page").alias("src"), F.col("href").alias("dst")).agg((F.lit(9) - F.max("relevance")).cast("int").alias("priority"))
+    seeds = links.sparkSession.createDataFrame([(root, 9)], "url string, priority int")
+    found = frontier.crawl(edges, seeds, frontier.Budgets(depth=most_pages, urls=200 * most_pages, documents=most_pages, requests=most_pages))
+    read = found.filter("status = 'fetched'").select(F.col("url").alias("page"))
+    return marked.join(read, "page").filter("label IS NOT NULL").select(F.lit(root).alias("catalog"), F.col("label").alias("version"), "page").distinct()
+
+
+def tag_matches(tags: DataFrame, records: DataFrame, tag: str = "tag", version: str = "version") -> DataFrame:
+    """(tag, version) of records that a tag names by its very label or by equal numbers: two equi-joins, no condition with OR."""
+    raw = tags.join(records, F.col(tag) == F.col("raw_version")).select(tag, version)
+    keyed_tags = tags.withColumn("__k", v.version_key(F.col(tag))).filter("__k IS NOT NULL")
+    keyed_records = records.withColumn("__v", v.version_key(F.col(version))).filter("__v IS NOT NULL")
+    numeric = keyed_tags.join(keyed_records, F.col("__k") == F.col("__v")).select(tag, version)
+    return raw.unionByName(numeric).distinct()

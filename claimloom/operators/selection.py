@@ -66,3 +66,9 @@ def unique_slugs(rows: DataFrame, by: str, position: str, base: str) -> DataFram
     folded = grouped.withColumn("slugs", F.aggregate("items", start, step, lambda a: a.used))
     each = F.explode(F.arrays_zip(F.col("items.position").alias("position"), F.col("items.base").alias("base"), F.col("slugs").alias("slug")))
     return folded.select(by, each.alias("x")).select(by, F.col("x.position").alias(position), F.col("x.base").alias(base), "x.slug")
+
+
+def in_text_order(rows: DataFrame, source: str, key: str) -> DataFrame:
+    """Adds ``place`` of each source's sections by the string of their id, so that s10 comes before s2."""
+    order = Window.partitionBy(source).orderBy(F.col(key).cast("string"))
+    return rows.withColumn("place", F.row_number().over(order).cast("bigint"))

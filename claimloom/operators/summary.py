@@ -26,9 +26,10 @@ def overall(paths: DataFrame, judged: bool, failures: bool, unresolved: Column,
 
 
 def distinct_in_order(notes: DataFrame, note: str, *order: str) -> DataFrame:
-    """Each note once, where it was first seen."""
-    first = Window.partitionBy(note).orderBy(*order)
-    return notes.withColumn("__n", F.row_number().over(first)).filter("__n = 1").drop("__n")
+    """Each note once, where it was first seen: an aggregate with a partial step, as a note may stand in all rows."""
+    rest = [c for c in notes.columns if c != note]
+    first = notes.groupBy(note).agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("__first"))
+    return first.select(*(F.col(c) if c == note else F.col(f"__first.{c}") for c in notes.columns))
 
 
 def missing(expected: DataFrame, have: DataFrame, key: str) -> DataFrame:
@@ -63,9 +64,16 @@ def filtered(rows: DataFrame, chosen: dict[str, Sequence[str]], needle: str = ""
     return rows.filter(F.contains(F.lower(text), F.lit(needle.lower()))) if needle and text is not None else rows
 
 
-def final_order(name: Column = None) -> list[Column]:
-    """Severity, confidence, name."""
-    return [rank(F.col("level"), RISK_LEVELS), rank(F.col("confidence"), CONFIDENCE), F.lower(F.col("name") if name is None else name)]
+def final_order(name: Column = None, mode: str = "severity") -> list[Column]:
+    """Severity, confidence and name, beginning with what the mode names."""
+    keys = {"severity": rank(F.col("level"), RISK_LEVELS), "confidence": rank(F.col("confidence"), CONFIDENCE), "name": F.lower(F.col("name") if name is None else name)}
+    return [keys[mode], *(k for m, k in keys.items() if m != mode)]
+
+
+def verification_counts(flags: DataFrame) -> DataFrame:
+    """Paths with a disagreement, with a single source though severe, and without a required condition."""
+    count = lambda c: F.count_if(F.coalesce(F.col(c), F.lit(False))).alias(c)
+    return flags.agg(count("source_disagreement"), count("single_source_severe"), count("no_required_condition"))
 
 
 def single_source_question(paths: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:

@@ -35,7 +35,7 @@ def oracle_sql() -> dict[str, str]:
 
 
 def _load() -> None:
-    from claimloom.plans import evidence, models, releases, runs  # noqa: F401  they register their queries
+    from claimloom.plans import collection, evidence, models, releases, runs  # noqa: F401  they register their queries
 
 
 _load()
