@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimloom.functions.rubrics import claim_value, disagreement
@@ -51,14 +51,12 @@ def resolved(members: DataFrame, facts: DataFrame, by: tuple[str, ...] = ("subje
     """
     keys = [c.alias(f"p{n}") for n, c in enumerate(precedence())]
     claims = members.join(facts.select("fact", *keys), "fact")
-    order = Window.partitionBy(*by).orderBy("p0", "p1", "p2", "fact")
-    led = claims.withColumns({"n": F.row_number().over(order), "next": F.lead(F.struct("p0", "p1", "p2")).over(order)})
-    tie = F.coalesce(F.struct("p0", "p1", "p2") == F.col("next"), F.lit(False))
-    first = led.withColumn("tie", tie).filter("n = 1")
-    counts = members.groupBy(*by).agg(F.count("*").alias("n_claims"))
-    return first.join(counts, list(by)).select(
-        *by, "n_claims", F.when(F.col("tie"), "unresolved").otherwise("resolved").alias("resolution"), F.when(~F.col("tie"), F.col("fact")).alias("winner")
-    )
+    # Claims of equal standing first, then the best standing of each conflict: two aggregates with partial steps.
+    standing = claims.groupBy(*by, "p0", "p1", "p2").agg(F.count("*").alias("n"), F.min("fact").alias("fact"))
+    best = F.min(F.struct("p0", "p1", "p2", "n", "fact")).alias("best")
+    outcome = standing.groupBy(*by).agg(best, F.sum("n").alias("n_claims"))
+    tie = F.col("best.n") > 1
+    return outcome.select(*by, "n_claims", F.when(tie, "unresolved").otherwise("resolved").alias("resolution"), F.when(~tie, F.col("best.fact")).alias("winner"))
 
 
 def touching(conditions: DataFrame, members: DataFrame, outcome: DataFrame, by: tuple[str, ...] = ("subject", "kind")) -> DataFrame:

@@ -8,6 +8,10 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from claimloom.operators import numbering
+
+#: Characters of a section that a model is shown.
+MOST_CHARS = 4000
 #: A backend takes a batch of states and returns an answer or an exception for each.
 Backend = Callable[[list[dict]], list["dict | Exception"]]
 
@@ -29,7 +33,7 @@ def keyword_backend(keyword: str, fail_on: str | None = None) -> Backend:
     return answer
 
 
-def decided(sections: DataFrame, backend: Callable[[], Backend], key: str = "candidate_id", text: str = "text", most_chars: int = 4000) -> DataFrame:
+def decided(sections: DataFrame, backend: Callable[[], Backend], key: str = "candidate_id", text: str = "text", most_chars: int = MOST_CHARS) -> DataFrame:
     """key, score, confidence, choice, probabilities and error; ``backend`` is opened once per task and a failing call aborts nothing."""
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -50,12 +54,9 @@ def decided(sections: DataFrame, backend: Callable[[], Backend], key: str = "can
 
 def judged(conditions: DataFrame, verdict: Callable[[], Callable[[list[dict]], list[str]]] | None, budget: int, *order: str) -> DataFrame:
     """Adds ``verdict``: not_checked without a judge and past the budget, else what the judge says of statement and quotes."""
-    from pyspark.sql import Window
-
-    place = F.row_number().over(Window.orderBy(*order))
-    placed = conditions.withColumn("__n", place)
     if verdict is None:
-        return placed.withColumn("verdict", F.lit("not_checked")).drop("__n")
+        return conditions.withColumn("verdict", F.lit("not_checked"))
+    placed = numbering.within(conditions, budget, order)
     columns = conditions.columns
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -65,8 +66,21 @@ def judged(conditions: DataFrame, verdict: Callable[[], Callable[[list[dict]], l
             yield batch[[*columns, "verdict"]]
 
     schema = ", ".join(f"`{c}` {t}" for c, t in conditions.dtypes) + ", verdict string"
-    asked = placed.filter(F.col("__n") <= budget).drop("__n").mapInPandas(rows, schema)
-    return asked.unionByName(placed.filter(F.col("__n") > budget).drop("__n").withColumn("verdict", F.lit("not_checked")))
+    asked = placed.filter("within").drop("within").mapInPandas(rows, schema)
+    return asked.unionByName(placed.filter("NOT within").drop("within").withColumn("verdict", F.lit("not_checked")))
+
+
+def portions(documents: DataFrame, key: str, text: str, size: int = MOST_CHARS) -> DataFrame:
+    """key, portion (from 0) and text of whole documents in portions of ``size`` characters, as a model is asked."""
+    starts = F.sequence(F.lit(0), F.greatest(F.length(text) - 1, F.lit(0)), F.lit(size))
+    each = documents.select(key, text, F.posexplode(starts).alias("portion", "__at"))
+    return each.select(key, "portion", F.substring(F.col(text), F.col("__at") + 1, F.lit(size)).alias(text))
+
+
+def combined(answers: DataFrame, key: str) -> DataFrame:
+    """One row per document from its portions: an error if any call failed, else the highest score."""
+    grouped = answers.groupBy(key).agg(F.max("score").alias("score"), F.min("error").alias("error"))
+    return grouped.select(key, F.when(F.col("error").isNull(), F.col("score")).alias("score"), "error")
 
 
 def claims(drafts: DataFrame, observed: DataFrame) -> DataFrame:

@@ -2,13 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimloom.functions.text import loose, subject_key
+from claimloom.operators import numbering
 
 ANCHOR_WORDS = 4
-MOST_SHORT = 1000
+#: Characters by which quotes too short for words meet texts.
+ANCHOR_CHARS = 4
+_QUOTE, _TEXT, _PARTS, _ANCHOR, _SIZE = "__quote", "__text", "__parts", "__anchor", "__size"
+
+
+def _word_runs(texts: DataFrame, document: str, n: int) -> DataFrame:
+    parts = texts.select(document, F.split(_TEXT, " ").alias(_PARTS)).filter(F.size(_PARTS) >= n)
+    runs = F.transform(F.sequence(F.lit(1), F.size(_PARTS) - (n - 1)), lambda i: F.array_join(F.slice(_PARTS, i, F.lit(n)), " "))
+    return parts.select(document, F.explode(F.array_distinct(runs)).alias(_ANCHOR))
+
+
+def _character_runs(texts: DataFrame, document: str, n: int) -> DataFrame:
+    long = texts.filter(F.length(_TEXT) >= n)
+    runs = F.transform(F.sequence(F.lit(1), F.length(_TEXT) - (n - 1)), lambda i: F.substring(F.col(_TEXT), i, F.lit(n)))
+    return long.select(document, F.explode(F.array_distinct(runs)).alias(_ANCHOR))
 
 
 def grounded_pairs(quotes: DataFrame, documents: DataFrame, quote: str, quote_text: str, document: str, text: str, words: int = ANCHOR_WORDS) -> DataFrame:
@@ -16,25 +31,28 @@ def grounded_pairs(quotes: DataFrame, documents: DataFrame, quote: str, quote_te
 
     A contains-join has no equi key, so the sides meet by one: a quote's second to
     ``words + 1``-th words (its edge words may be parts of a document's words), and every
-    run of that many words of a document. That is linear in the texts, and what meets is
-    compared in full. Quotes too short for an anchor are compared with every document;
-    they must be few, and a thousand or more are refused.
+    run of that many words of a document. A quote with fewer words meets by all of its inner
+    words, and one of one or two words by its first ``ANCHOR_CHARS`` characters; a document gives the
+    runs of a length only if some quote asks for it. All that is linear in the texts, and
+    what meets is compared in full.
     """
-    q = quotes.select(quote, loose(F.col(quote_text)).alias("q")).filter("q <> ''").withColumn("parts", F.split("q", " "))
-    long = q.filter(F.size("parts") >= words + 2).withColumn("anchor", F.array_join(F.slice("parts", 2, words), " "))
-    short = q.filter(F.size("parts") < words + 2)
-    few = short.agg(F.count("*")).first()[0]
-    if few >= MOST_SHORT:
-        raise ValueError(f"{few} quotes are shorter than {words + 2} words")
-    d = documents.select(document, loose(F.col(text)).alias("d")).filter("d <> ''").withColumn("parts", F.split("d", " "))
-    runs = F.transform(F.sequence(F.lit(1), F.size("parts") - (words - 1)), lambda i: F.array_join(F.slice("parts", i, F.lit(words)), " "))
-    anchors = d.filter(F.size("parts") >= words).select(document, F.explode(F.array_distinct(runs)).alias("anchor"))
-    met = anchors.join(long.select(quote, "anchor"), "anchor").select(quote, document).distinct()
-    found = met.join(long.select(quote, "q"), quote).join(d.select(document, "d"), document).filter(F.contains("d", F.col("q"))).select(quote, document)
-    if not few:
-        return found
-    each = d.select(document, "d").join(F.broadcast(short.select(quote, "q")), F.contains("d", F.col("q"))).select(quote, document)
-    return found.unionByName(each)
+    q = quotes.select(quote, loose(F.col(quote_text)).alias(_QUOTE)).filter(F.col(_QUOTE) != "").withColumn(_PARTS, F.split(_QUOTE, " "))
+    inner = F.least(F.size(_PARTS) - 2, F.lit(words))
+    by_words = F.size(_PARTS) > 2
+    size = F.when(by_words, inner).otherwise(-F.least(F.length(_QUOTE), F.lit(ANCHOR_CHARS)))
+    anchor = F.when(by_words, F.array_join(F.slice(_PARTS, F.lit(2), F.greatest(inner, F.lit(1))), " ")).otherwise(F.substring(_QUOTE, 1, ANCHOR_CHARS))
+    q = q.select(quote, _QUOTE, size.alias(_SIZE), anchor.alias(_ANCHOR))
+    sizes = sorted(r[0] for r in q.select(_SIZE).distinct().collect())  # as many as ``words`` and ``ANCHOR_CHARS`` allow
+    d = documents.select(document, loose(F.col(text)).alias(_TEXT)).filter(F.col(_TEXT) != "")
+    found = None
+    for n in sizes:
+        anchors = _word_runs(d, document, n) if n > 0 else _character_runs(d, document, -n)
+        met = anchors.join(q.filter(F.col(_SIZE) == n).select(quote, _ANCHOR), _ANCHOR).select(quote, document)
+        found = met if found is None else found.unionByName(met)
+    if found is None:
+        return q.select(quote).join(d.select(document), F.lit(False))
+    met = found.distinct().join(q.select(quote, _QUOTE), quote).join(d, document)
+    return met.filter(F.contains(_TEXT, F.col(_QUOTE))).select(quote, document)
 
 
 def quoted(quote: Column, text: Column) -> Column:
@@ -85,8 +103,7 @@ def clusters(facts: DataFrame, subject: str, fact: str, change: str) -> DataFram
         F.array_sort(F.collect_set(change)).alias("changes"),
         F.count("*").alias("n_facts"),
     )
-    # Cluster numbers are a running number over clusters, not facts.
-    return grouped.withColumn("cluster", F.row_number().over(Window.orderBy("first_fact")).cast("bigint"))
+    return numbering.numbered(grouped, "cluster", "first_fact")
 
 
 def chunked(numbered: DataFrame, number: str, size: int = 150) -> DataFrame:

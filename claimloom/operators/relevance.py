@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from claimloom.functions.rubrics import relevance_label
+from claimloom.operators import numbering
 
 
 def budgeted(rows: DataFrame, most: int, *order: str, by: tuple[str, ...] = ()) -> DataFrame:
     """Adds ``attempted``: whether a row that is no duplicate is among the first ``most`` in ``order``."""
-    counts = Window.partitionBy(*by, F.col("duplicate_of").isNull()).orderBy(*order)
-    return rows.withColumn("attempted", F.col("duplicate_of").isNull() & (F.row_number().over(counts) <= most))
+    return numbering.within(rows, most, order, by, F.col("duplicate_of").isNull()).withColumnRenamed("within", "attempted")
 
 
 def assessed(rows: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from claimloom.functions import urls
 from claimloom.functions.text import TOPICS, topics
 from claimloom.functions.vocabulary import RELEASE_KINDS
+from claimloom.operators import numbering
 
 PAGE_CHARS, PAGE_LINKS, OUTLINE, OUTLINE_CHARS = 12_000, 40, 40, 120
 LONGEST_WAIT, REFUSALS_TO_QUARANTINE = 10, 3
@@ -50,14 +51,10 @@ def annotated(sections: DataFrame, url: str = "url") -> DataFrame:
 
 
 def within_documents(rows: DataFrame, most: int, *order: str, by: tuple[str, ...] = (), kind: str = "kind") -> DataFrame:
-    """Adds ``within``: whether fewer than ``most`` documents that are no registry records come before a row."""
-    first = rows.filter(F.col(kind) != "registry_metadata")
-    edge = F.struct(*order)
-    # Only the best ``most`` of each ``by`` are numbered; every other row is compared with the last of them.
-    place = F.row_number().over(Window.partitionBy(*by).orderBy(*order))
-    last = first.withColumn("__n", place).filter(F.col("__n") <= most).groupBy(*by).agg(F.max(F.when(F.col("__n") == most, edge)).alias("__last"))
-    joined = rows.join(F.broadcast(last) if not by else last, list(by), "left") if by else rows.crossJoin(F.broadcast(last))  # one row
-    return joined.withColumn("within", F.coalesce(edge <= F.col("__last"), F.lit(True))).drop("__last")
+    """Adds ``within``: whether a document is one of the first ``most`` that are no registry records; those have a budget of their own."""
+    document = F.col(kind) != "registry_metadata"
+    counted = numbering.within(rows.filter(document), most, order, by)
+    return counted.unionByName(rows.filter(~document).withColumn("within", F.lit(True)))
 
 
 def note_versions(claims: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:

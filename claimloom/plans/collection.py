@@ -75,8 +75,8 @@ def _notes(spark, sf_dir):
     return table(spark, sf_dir, "part").select("p_partkey", "p_size", F.concat(first, F.lit(". "), second, F.lit(" in "), F.col("p_name")).alias("body"))
 
 
-@query("production_topics", f"SELECT p_partkey, array_to_string({_PRODUCTION_SQL}, ',') AS topics FROM ({_NOTE_SQL})")
-def production_topics(spark, sf_dir):
+@query("section_topics", f"SELECT p_partkey, array_to_string({_PRODUCTION_SQL}, ',') AS topics FROM ({_NOTE_SQL})")
+def section_topics(spark, sf_dir):
     return _notes(spark, sf_dir).select("p_partkey", F.array_join(t.topics(F.col("body")), ",").alias("topics"))
 
 
@@ -110,6 +110,45 @@ def section_sources(spark, sf_dir):
     return facts.with_scope(docs, known, "source", "title", "tier").select("doc_id", "title", "tier")
 
 
+#: Sources with the tier that each branch of the cascade gives; the project has one repository.
+_TIERS = (
+    ("https://github.com/orbit/engine/issues/4", "github_issue", None, "official_repository_discussion"), ("https://github.com/Orbit/Engine/blob/main/NEWS", "release_notes", None, "official"),
+    ("https://raw.githubusercontent.com/orbit/engine/main/x.md", "supporting_document", None, "official"), ("https://api.github.com/repos/orbit/engine/pulls/9", "github_pull_request", None, "official_repository_discussion"),
+    ("https://github.com/fork/engine/releases", "release_notes", None, "probable_official"), ("https://docs.orbit.io/v2", "api_documentation", None, "official"), ("https://blog.example.com/", "blog_post", None, "third_party"),
+    ("https://other.net/", "blog_post", "associated_repository", "official"), ("https://other.net/r", "registry_metadata", None, "official"), ("https://other.net/g", "blog_post", "linked_context", "third_party"),
+)
+
+
+@query("trust_cascade", "SELECT p_partkey, ['" + "', '".join(x[3] for x in _TIERS) + "'][p_partkey % 10 + 1] AS tier FROM part")
+def trust_cascade(spark, sf_dir):
+    n = F.col("p_partkey")
+    rows = table(spark, sf_dir, "part").select("p_partkey", *(_case(n, *(F.lit(x[k]) for x in _TIERS)).alias(name) for k, name in enumerate(("url", "kind", "relation"))))
+    addresses = spark.range(1).select(F.explode(F.array(F.lit("git+https://github.com/Orbit/Engine.git"), F.lit("https://www.orbit.io/"), F.lit("https://github.com/"))).alias("address"))
+    identity = sources.project_identity(addresses).withColumn("catalog", F.lit("https://pypi.org/pypi/orbit/json"))
+    return sources.with_trust(rows, identity).select("p_partkey", "tier")
+
+
+@query("source_relations", """SELECT p_partkey, CASE p_partkey % 5 WHEN 0 THEN 'Catalog record of 1.0, 2.0.' WHEN 1 THEN 'Document of the project''s repository: ' || substr(p_name, 1, 80) || '.' WHEN 2 THEN 'The project''s home page.' WHEN 3 THEN 'Linked from h.org.' ELSE 'Supporting context.' END
+  || CASE WHEN p_size % 2 = 0 THEN ' Names 1.0, 2.0.' ELSE '' END || CASE WHEN p_size % 3 = 0 THEN ' Topics: security, removal.' ELSE '' END AS note FROM part""")
+def source_relations(spark, sf_dir):
+    n, none = F.col("p_partkey"), F.array().cast("array<string>")
+    array = lambda *x: F.array(*map(F.lit, x))
+    found = (array("linked_context", "resolver_release_record"), array("linked_context", "repository_document"), array("resolver_homepage"), array("linked_context"), none)
+    note = sources.why_relevant(
+        sources.first_relation(_case(n, *found)), F.col("p_name"), array("1.0", "2.0"), F.lit("h.org"),
+        F.when(F.col("p_size") % 2 == 0, array("2.0", "1.0")).otherwise(none), F.when(F.col("p_size") % 3 == 0, array("security", "removal")).otherwise(none),
+    )
+    return table(spark, sf_dir, "part").select("p_partkey", note.alias("note"))
+
+
+@query("github_completeness", "SELECT p_brand AS catalog, max(p_partkey % 4 + 3 * CAST(right(p_brand, 1) AS INTEGER)) < 12 AND bool_and(p_partkey % 499 > 0) AS complete FROM part GROUP BY p_brand")
+def github_completeness(spark, sf_dir):
+    n = F.col("p_partkey")
+    body = F.when(n % 499 == 0, '{"message": "rate limit"}').otherwise('[{"tag_name": "v1"}]')
+    pages = table(spark, sf_dir, "part").select(F.col("p_brand").alias("catalog"), (n % 4 + 3 * F.substring("p_brand", -1, 1).cast("int")).alias("page"), body.alias("body"))
+    return catalogs.github(pages, most_pages=12)[1]
+
+
 @query("source_filter", f"SELECT page_id, tier, title FROM (SELECT page_id, title, {TIER_SQL} AS tier FROM ({SOURCE_SQL})) WHERE tier = 'official' AND contains(lower(title), 'er')")
 def source_filter(spark, sf_dir):
     from claimloom.plans.releases import _trusted
@@ -483,8 +522,7 @@ def version_outline(spark, sf_dir):
     return found.select("doc_id", "heading", F.col("offset").cast("bigint").alias("offset"))
 
 
-@query("document_budget", """SELECT page_id, coalesce(page_id <= last, true) AS within FROM pages CROSS JOIN (SELECT max(page_id) AS last FROM (
-  SELECT page_id, row_number() OVER (ORDER BY page_id) AS n FROM (""" + SOURCE_SQL + ") WHERE kind <> 'registry_metadata') WHERE n = 50)")
+@query("document_budget", f"SELECT page_id, kind = 'registry_metadata' OR row_number() OVER (PARTITION BY kind = 'registry_metadata' ORDER BY page_id) <= 50 AS within FROM ({SOURCE_SQL})")
 def document_budget(spark, sf_dir):
     return retrieval.within_documents(views.sources(spark, sf_dir), 50, "page_id").select("page_id", "within")
 
@@ -530,12 +568,12 @@ def verification_counts(spark, sf_dir):
     return summary.verification_counts(_flags(spark, sf_dir))
 
 
-@query("preliminary_overall", f"""SELECT path % 40 AS model, CASE WHEN 10 * count_if(confidence = 'high') >= 6 * count(*) AND path % 40 % 2 = 0 THEN 'high' WHEN 2 * count_if(confidence = 'low') > count(*) THEN 'low' ELSE 'medium' END AS overall FROM ({PATH_CONFIDENCE_SQL}) GROUP BY path % 40""")
+@query("preliminary_overall", f"""SELECT path // 3 AS model, CASE WHEN 10 * count_if(confidence = 'high') >= 6 * count(*) AND path // 3 % 2 = 0 THEN 'high' WHEN 2 * count_if(confidence = 'low') > count(*) THEN 'low' ELSE 'medium' END AS overall FROM ({PATH_CONFIDENCE_SQL}) GROUP BY path // 3""")
 def preliminary_overall(spark, sf_dir):
     from claimloom.operators import confidence
     from claimloom.plans.models import _graded
 
-    rows = confidence.path_confidence(_graded(spark, sf_dir)).groupBy((F.col("path") % 40).alias("model"))
+    rows = confidence.path_confidence(_graded(spark, sf_dir)).groupBy(F.floor(F.col("path") / 3).alias("model"))
     counted = rows.agg(F.count("*").alias("n"), F.count_if(F.col("confidence") == "high").alias("high"), F.count_if(F.col("confidence") == "low").alias("low"))
     return counted.select("model", rubrics.preliminary_overall(F.col("n"), F.col("high"), F.col("low"), F.col("model") % 2 == 0).alias("overall"))
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from claimloom.functions import rubrics
 from claimloom.functions import text as t
 from claimloom.functions import versions as v
-from claimloom.operators import candidates, decisions, facts, relevance, sections, selection
+from claimloom.operators import candidates, decisions, facts, numbering, relevance, sections, selection
 from claimloom.plans import views
 from claimloom.plans.catalogue import query
 from claimloom.plans.views import ASSESSED_SQL, DUPLICATE_SQL, FINGERPRINT_SQL, INHERITED_SQL, LOOSE_SQL, TITLE_SQL
@@ -108,13 +108,6 @@ def topic_top(spark, sf_dir):
     return candidates.top_topics(docs, "source", "doc_id", 2)
 
 
-@query("section_topics", "SELECT doc_id, '' AS topics FROM documents WHERE regexp_matches(text, '(?i)deprecat')")
-def section_topics(spark, sf_dir):
-    """The production patterns; the driver's texts hold none of their words, so this finds nothing there."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", t.topics(F.col("text")).alias("topics"))
-    return docs.filter(F.size("topics") > 0).select("doc_id", F.array_join("topics", ",").alias("topics"))
-
-
 @query("fingerprint_dedup", f"SELECT doc_id, duplicate_of FROM ({DUPLICATE_SQL}) WHERE duplicate_of IS NOT NULL")
 def fingerprint_dedup(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -231,13 +224,16 @@ def quote_grounding(spark, sf_dir):
 
 
 _DRAFT_SQL = f"""SELECT d.doc_id, {LOOSE_SQL.format('d.text')} AS body, CASE WHEN d.doc_id % 2 = 0 THEN {LOOSE_SQL.format('b.text')} ELSE {LOOSE_SQL.format('substr(d.text, 3, 40)')} END AS quote,
-  [[], ['1.0'], ['1.0', '9.0']][d.doc_id % 3 + 1] AS versions, d.doc_id % 5 < 3 AS scoped FROM documents d JOIN benchmark b ON b.item_id = d.doc_id % 40"""
+  [[], ['1.0'], ['1.0', '9.0']][d.doc_id % 3 + 1] AS versions, d.doc_id % 5 < 3 AS scoped FROM documents d
+  JOIN (SELECT text, row_number() OVER (ORDER BY item_id) - 1 AS place, count(*) OVER () AS n FROM benchmark) b ON b.place = d.doc_id % b.n"""
 
 
 def _drafts(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    items = table(spark, sf_dir, "benchmark").select(F.col("item_id"), F.col("text").alias("item"))
-    joined = docs.join(items, F.col("doc_id") % 40 == F.col("item_id"))
+    items = numbering.numbered(table(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("item")), "place", "item_id")
+    count = items.agg(F.count("*").alias("n_items"))
+    # Every document meets one item, and every item takes part, whatever the sizes.
+    joined = docs.crossJoin(F.broadcast(count)).join(items, F.col("doc_id") % F.col("n_items") == F.col("place") - 1)  # one row
     k = F.col("doc_id") % 3
     none = F.array().cast("array<string>")
     return joined.select(
@@ -324,17 +320,20 @@ def loose_text(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", t.content_hash(t.loose(F.col("text"))).alias("loose_sha256"), F.length(t.fingerprint(F.col("text"))).cast("bigint").alias("fingerprint_chars"))
 
 
-@query("quote_divergence", """SELECT item_id, max(CASE WHEN contains(d.text, substr(b.text, 1, n)) THEN n ELSE 0 END) AS length FROM (SELECT item_id, text, unnest(range(0, length(text) + 1)) AS n FROM benchmark) b
-JOIN documents d ON d.doc_id = (SELECT min(doc_id) FROM documents) + b.item_id * 0 GROUP BY item_id""")
+_CHANGED_SQL = "substr(text, 4, 10 + doc_id % 50) || 'Q' || substr(text, 14 + doc_id % 50, 20)"
+
+
+@query("quote_divergence", f"""SELECT doc_id, max(CASE WHEN contains(text, substr(quote, 1, n)) THEN n ELSE 0 END) AS length FROM (SELECT doc_id, text, quote, unnest(range(0, length(quote) + 1)) AS n FROM (SELECT doc_id, text, {_CHANGED_SQL} AS quote FROM documents)) GROUP BY doc_id""")
 def quote_divergence(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
-    first = docs.orderBy("doc_id").limit(1).select(F.col("text").alias("body"))
-    items = table(spark, sf_dir, "benchmark").crossJoin(F.broadcast(first))  # one row
-    return items.select("item_id", t.divergence(F.col("text"), F.col("body")).cast("bigint").alias("length"))
+    """Each document with a quote that leaves its text at some place."""
+    n = (F.col("doc_id") % 50).cast("int")
+    quote = F.concat(F.substring(F.col("text"), F.lit(4), n + 10), F.lit("Q"), F.substring(F.col("text"), n + 14, F.lit(20)))
+    return table(spark, sf_dir, "documents").select("doc_id", t.divergence(quote, F.col("text")).cast("bigint").alias("length"))
 
 
-@query("keyword_decisions", """SELECT doc_id, CASE WHEN contains(lower(substr(text, 1, 4000)), 'token =') THEN NULL WHEN contains(lower(substr(text, 1, 4000)), 'license') THEN 4.0 ELSE 1.0 END AS score,
-  CASE WHEN contains(lower(substr(text, 1, 4000)), 'token =') THEN 'refused' END AS error FROM documents""")
+@query("keyword_decisions", """SELECT doc_id, CASE WHEN NOT bool_or(contains(part, 'token =')) THEN max(CASE WHEN contains(part, 'license') THEN 4.0 ELSE 1.0 END) END AS score,
+  CASE WHEN bool_or(contains(part, 'token =')) THEN 'refused' END AS error FROM (SELECT doc_id, lower(substr(text, o + 1, 4000)) AS part FROM (SELECT doc_id, text, unnest(range(0, greatest(length(text), 1), 4000)) AS o FROM documents)) GROUP BY doc_id""")
 def keyword_decisions(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
-    return decisions.decided(docs, lambda: decisions.keyword_backend("license", "token ="), "doc_id").select("doc_id", "score", "error")
+    """Whole documents, a portion at a time."""
+    docs = decisions.portions(table(spark, sf_dir, "documents"), "doc_id", "text")
+    return decisions.combined(decisions.decided(docs, lambda: decisions.keyword_backend("license", "token ="), "doc_id"), "doc_id")

@@ -33,7 +33,8 @@ def npm(answers: DataFrame, key: str = "catalog", body: str = "body") -> DataFra
 def github(answers: DataFrame, key: str = "catalog", page: str = "page", body: str = "body", most_pages: int = 10) -> tuple[DataFrame, DataFrame]:
     """(key, version, published) of final releases on all pages, and (key, complete) by the pages read and their errors."""
     shape = "array<struct<tag_name:string,name:string,draft:boolean,prerelease:boolean,published_at:string>>"
-    parsed = answers.withColumn("items", F.from_json(body, shape))
+    # An object, as errors are answered with, is no page of releases, though it would parse as a list of one.
+    parsed = answers.withColumn("items", F.when(F.ltrim(F.col(body)).startswith("["), F.from_json(body, shape)))
     each = parsed.select(key, F.explode("items").alias("r")).filter(~F.coalesce("r.draft", F.lit(False)) & ~F.coalesce("r.prerelease", F.lit(False)))
     complete = parsed.groupBy(key).agg((F.bool_and(F.col("items").isNotNull()) & (F.max(page) < most_pages)).alias("complete"))
     return each.select(key, F.coalesce("r.tag_name", "r.name").alias("version"), F.col("r.published_at").alias("published")), complete

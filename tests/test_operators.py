@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from claimloom.operators import candidates, confidence, conflicts, decisions, evaluation, facts, frontier, identity, relevance, releases, sections, selection, sources, summary
+from claimloom.operators import candidates, confidence, conflicts, decisions, discovery, evaluation, facts, frontier, generation, identity, manifest, numbering, relevance, releases, sections, selection, sources, summary
 
 
 def test_first_catalog_record_wins(spark):
@@ -227,6 +227,28 @@ def test_gold_checks_pass_vacuously_where_nothing_matches(spark):
     assert evaluation.scores(found).first().score == "1/2"
 
 
+def test_short_quotes_are_grounded_exactly(spark):
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choices("ab", k=rng.randint(1, 4)))
+    docs = [(n, " ".join(word() for _ in range(rng.choice([0, 1, 3, 12])))) for n in range(60)]
+    quotes = [(n, " ".join(word() for _ in range(1 + n % 7))) for n in range(1500)] + [(9000, " "), (9001, None), (9002, docs[7][1])]
+    found = facts.grounded_pairs(spark.createDataFrame(quotes, "q int, quote string"), spark.createDataFrame(docs, "d int, body string"), "q", "quote", "d", "body")
+    expected = {(q, d) for q, quote in quotes for d, body in docs if (quote or "").strip() and quote in body}
+    assert {(r.q, r.d) for r in found.collect()} == expected and len(expected) > 100
+    none = facts.grounded_pairs(spark.createDataFrame([], "q int, quote string"), spark.createDataFrame(docs, "d int, body string"), "q", "quote", "d", "body")
+    assert none.columns == ["q", "d"] and none.collect() == []
+
+
+def test_numbers_and_budgets_over_ranges(spark):
+    rows = [(k * 7 % 101, k % 3, k % 5 == 0) for k in range(101)]
+    frame = spark.createDataFrame(rows, "n int, g int, marked boolean").repartition(5)
+    assert {r.n: r.place for r in numbering.numbered(frame, "place", "n").collect()} == {n: n + 1 for n in range(101)}
+    for most in (0, 1, 7, 500):
+        assert {r.n for r in numbering.within(frame, most, ["n"]).filter("within").collect()} == set(range(min(most, 101)))
+        got = {(r.g, r.n) for r in numbering.within(frame, most, ["n"], ["g"], F.col("marked")).filter("within").collect()}
+        assert got == {(g, n) for g in range(3) for n in sorted(n for n, h, m in rows if h == g and m)[:most]}
+
+
 def plain_crawl(links, seeds, b):
     """The crawl by a loop over pages: rounds of one priority, budgets counted as they are spent."""
     nodes, fetched = {}, 0
@@ -308,3 +330,57 @@ def test_model_calls(spark):
 def test_fallback(spark, first, second, expected):
     frames = [spark.createDataFrame(rows, "k string, v int") for rows in (first, second)]
     assert {tuple(r) for r in releases.with_fallback(*frames, "k").collect()} == expected
+
+
+def test_discovery(spark):
+    links = [("https://h.org/", n, f"https://h.org/r{n}", "Release notes") for n in range(5)] + [("https://h.org/", 9, "https://h.org/x", "Releases 2"), ("https://h.org/", 8, "https://pypi.org/project/a", "a"), ("https://h.org/", 7, "https://y.org/releases", "releases")]
+    found = discovery.followed(spark.createDataFrame(links, "page string, position int, href string, label string"))
+    assert {(r.href, r.relation) for r in found.collect()} == {*((f"https://h.org/r{n}", "project_release_link") for n in range(3)), ("https://pypi.org/project/a", "package_link")}
+    assert discovery.public(spark.createDataFrame([(1, "b", "m")], "url int, body string, metadata string")).columns == ["url"]
+
+
+def test_generators_and_clients(spark):
+    fields = {"subject": str, "n": int}
+    answers = {"good": '{"items": [{"subject": "a", "n": 1}, {"subject": "b", "n": 9}]}', "extra": '{"items": [{"subject": "a", "n": 1, "x": 2}]}', "kind": '{"items": [{"subject": 3, "n": 1}]}', "none": "[]", "twice": '{"items": [], "items": []}'}
+    rows = [(n, k) for n, k in enumerate([*answers, " "])]
+    frame = spark.createDataFrame(rows, "batch int, body string")
+    made = generation.generated(frame, "batch", "body", lambda: lambda request: answers[request["text"]], fields)
+    found = made.collect()
+    assert {(r.batch, r.subject, r.n) for r in found if r.error is None} == {(0, "a", 1), (0, "b", 9)} and {r.batch for r in found if r.error} == {1, 2, 3, 4, 5}
+    kept = generation.only_known(made, spark.createDataFrame([(1,)], "n bigint"), "n").collect()
+    assert {r.subject for r in kept if r.error is None} == {"a"} and sum(r.error is not None for r in kept) == 5
+    for bad in ({"type": "x", "text": "a"}, {"type": "score", "text": " "}, {"type": "score", "text": "a", "n": [float("nan")]}):
+        with pytest.raises(ValueError):
+            generation.prepared(bad)
+    for config, client in ((None, None), ({"url": "u"}, len)):
+        with pytest.raises(ValueError):
+            generation.opened(config, client)
+    with pytest.raises(ValueError, match="did not answer"):
+        generation.remote({"url": "http://127.0.0.1:9/", "key": "secret", "timeout": "1"}, attempts=2, wait=0)({"text": "a"})
+    assert generation.action_schema({"fetch": ["s2", "s1"], "finish": []})["properties"]["target"]["enum"] == ["s1", "s2"]
+
+
+def test_research_loop():
+    def step(trace):
+        return [{"action": "search", "target": "a"}, {"action": "fetch", "target": "bad"}, {"action": "finish", "target": ""}, {"action": "fetch", "target": "ok"}, {"action": "finish", "target": ""}][min(len(trace), 4)]
+
+    def act(action, target):
+        if target == "bad":
+            raise ValueError("not found")
+        return target
+
+    trace = generation.research(step, act, 10, lambda t: any(x.get("result") == "ok" for x in t))
+    assert [x["status"] for x in trace] == ["done", "failed", "not_covered", "done", "finished"]
+    assert generation.research(lambda t: {"action": "search", "target": "a"}, act, 3, lambda t: False)[-1] == {"action": "finish", "status": "budget"}
+
+
+def test_runs_and_their_manifest(spark, tmp_path):
+    def broken(spark, results):
+        raise ValueError("no answer")
+
+    stages = [("first", lambda s, r: s.range(4)), ("side", broken), ("second", lambda s, r: r["first"].filter("id > 1")), ("third", broken), ("fourth", lambda s, r: s.range(1))]
+    results, rows = manifest.run(spark, stages, str(tmp_path / "run"), optional=("side",))
+    told = {r.stage: (r.status, r.rows, r.error) for r in rows.collect()}
+    assert told == {"first": ("done", 4, None), "side": ("failed", None, "ValueError: no answer"), "second": ("done", 2, None), "third": ("failed", None, "ValueError: no answer"), "fourth": ("not_run", None, None)}
+    assert set(results) == {"first", "second"}
+    assert [manifest.tenths(d, t) for d, t in ((0, 9), (4, 9), (9, 9), (3, 0))] == [0, 4, 10, 10]
