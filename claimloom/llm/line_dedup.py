@@ -423,3 +423,16 @@ def deduplicated(docs: DataFrame) -> DataFrame:
         changed = F.when(F.col(f"{OWN}cuts") > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars"))
         found = found.withColumn("n_chars", changed)
     return found.select(*docs.columns)
+
+
+def oracle_sql(min_words: int = MIN_WORDS) -> str:
+    """DuckDB SQL for ``line_dedup`` over ``documents`` with one row per doc_id: by all windows of words, without marks or hashes."""
+    white = "\\x20\\x09-\\x0D"
+    return f"""WITH t AS MATERIALIZED (SELECT doc_id, text, regexp_extract(text, '^[{white}]*') AS head, regexp_extract_all(text, '[^{white}]+[{white}]*') AS tokens, regexp_extract_all(text, '[^{white}]+') AS words FROM documents),
+w AS MATERIALIZED (SELECT doc_id, i, array_to_string(words[i : i + {min_words - 1}], ' ') AS gram FROM (SELECT doc_id, words, unnest(range(1, len(words) - {min_words - 2})) AS i FROM t WHERE len(words) >= {min_words})),
+later AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY gram ORDER BY doc_id, i) AS n FROM w) WHERE n > 1),
+gone AS MATERIALIZED (SELECT DISTINCT doc_id, unnest(range(i, i + {min_words})) AS place FROM later),
+runs AS (SELECT doc_id, count(*) AS words, count_if(coalesce(before, -1) <> place - 1) AS runs FROM (SELECT *, lag(place) OVER (PARTITION BY doc_id ORDER BY place) AS before FROM gone) GROUP BY doc_id),
+kept AS (SELECT doc_id, string_agg(token, '' ORDER BY place) AS body FROM (SELECT doc_id, unnest(range(1, len(tokens) + 1)) AS place, unnest(tokens) AS token FROM t WHERE doc_id IN (SELECT doc_id FROM runs)) ANTI JOIN gone USING (doc_id, place) GROUP BY doc_id)
+SELECT t.doc_id, CASE WHEN r.doc_id IS NULL THEN t.text ELSE t.head || coalesce(k.body, '') END AS text, coalesce(r.words, 0) AS removed_words, coalesce(r.runs, 0) AS removed_runs
+FROM t LEFT JOIN runs r ON r.doc_id = t.doc_id LEFT JOIN kept k ON k.doc_id = t.doc_id"""

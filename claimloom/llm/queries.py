@@ -80,6 +80,9 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_dedup(_table(spark, sf_dir, "documents"))
 
 
+_ORACLES["op3_line_dedup"] = line_dedup.oracle_sql()
+
+
 @_query
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
