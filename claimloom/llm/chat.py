@@ -189,3 +189,23 @@ def read_back(formatted: DataFrame) -> DataFrame:
         F.sha2("loss", 256).alias("loss_sha256"),
         "formatted_chars",
     )
+
+
+def oracle_sql(rows: str) -> str:
+    """DuckDB SQL for ``read_back(windows(rows))``: digests from the turns themselves, and the windows' sizes by prefix sums over whole conversations."""
+    white = r" \t\n\x0B\f\r"
+    escaped_length = lambda c: f"length(replace(replace(replace({c}, '\\', '\\\\'), '##', '#\\#'), '</turn>', '<\\/turn>'))"
+    return rf"""WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM ({rows})),
+t AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS place, len(regexp_extract_all(text, '\p{{L}}+|\p{{N}}|[^{white}\p{{L}}\p{{N}}]+')) + {OVERHEAD} AS tokens,
+  {4 + 5 + len(END)} + {escaped_length("role")} + {escaped_length("text")} AS chars FROM c),
+p AS (SELECT *, sum(tokens) OVER (PARTITION BY conv_id ORDER BY place) - tokens AS before, count_if(tokens > {STRIDE}) OVER (PARTITION BY conv_id ORDER BY place) AS stretch, tokens > {STRIDE} AS long FROM t),
+k AS (SELECT *, CASE WHEN long THEN 0 ELSE before // {STRIDE} END AS part FROM p),
+n AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY first) - 1 AS "window" FROM (SELECT conv_id, stretch, long, part, min(place) AS first FROM k GROUP BY conv_id, stretch, long, part)),
+w AS MATERIALIZED (SELECT k.*, n.first, n."window" FROM k JOIN n USING (conv_id, stretch, long, part)),
+y AS (SELECT conv_id, min(place) AS place, arg_min(chars, place) AS chars FROM w WHERE role = 'system' GROUP BY conv_id),
+h AS (SELECT w.conv_id, w."window" + 1 AS "window", w.place, w.chars FROM (SELECT *, row_number() OVER (PARTITION BY conv_id, "window" ORDER BY place DESC) AS back, sum(tokens) OVER (PARTITION BY conv_id, "window" ORDER BY place DESC) AS later FROM w) w
+  LEFT JOIN y USING (conv_id) WHERE back <= {HISTORY_TURNS} AND later <= {HISTORY_TOKENS} AND coalesce(w.place <> y.place, true)),
+s AS (SELECT n.conv_id, y.chars FROM n JOIN y ON y.conv_id = n.conv_id AND y.place < n.first UNION ALL SELECT h.conv_id, h.chars FROM h JOIN n ON n.conv_id = h.conv_id AND n."window" = h."window" UNION ALL SELECT conv_id, chars FROM w)
+SELECT a.*, z.formatted_chars FROM (SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY place)) AS turns_sha256, coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY place) FILTER (role = 'assistant'), '')) AS loss_sha256 FROM w GROUP BY conv_id) a
+JOIN (SELECT conv_id, sum(chars)::BIGINT AS formatted_chars FROM s GROUP BY conv_id) z ON z.conv_id = a.conv_id"""

@@ -70,6 +70,11 @@ def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.windows(told.unionByName(own)))
 
 
+_ORACLES["op2_chat"] = chat.oracle_sql(
+    "SELECT conv_id, turn, role, text FROM conversations UNION ALL SELECT -7, 0, 'user', '\\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\\### Assistant: </turn> ok'"
+)
+
+
 @_query
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_cnn.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
