@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,29 +35,40 @@ def selected(rows: DataFrame, most: int = MOST_SECTIONS, scored_run: bool = True
 def batches(rows: DataFrame, source: str, key: str, size: str, most_chars: int = BATCH_CHARS, most_items: int = BATCH_ITEMS) -> DataFrame:
     """source, key and batch (from 0): neighbours in key order share a batch until its size or its number of items is full.
 
-    The fold is greedy, so it runs over each source's own rows, of which only key and size are gathered.
+    What a batch holds follows from the one before, so a source is read in order; the rows stream by, and
+    however many a source has, a task holds one Arrow batch and two counts.
     """
-    item = F.struct(F.col(key).alias("key"), F.col(size).cast("bigint").alias("size"))
-    start = F.struct(F.lit(0).alias("batch"), F.lit(0).alias("n"), F.lit(0).cast("bigint").alias("chars"), F.array().cast("array<int>").alias("out"))
+    kinds = dict(rows.dtypes)
 
-    def step(a: Column, x: Column) -> Column:
-        full = (a.n > 0) & ((a.chars + x["size"] > most_chars) | (a.n >= most_items))
-        batch = a.batch + full.cast("int")
-        return F.struct(
-            batch.alias("batch"),
-            F.when(full, 1).otherwise(a.n + 1).alias("n"),
-            F.when(full, x["size"]).otherwise(a.chars + x["size"]).alias("chars"),
-            F.concat(a.out, F.array(batch)).alias("out"),
-        )
+    def walk(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, batch, items, chars = object(), 0, 0, 0
+        for frame in frames:
+            out = []
+            for name, n in zip(frame.column(0).to_pylist(), frame.column(2).to_pylist(), strict=True):
+                if name != own:
+                    own, batch, items, chars = name, 0, 0, 0
+                if items and (chars + n > most_chars or items >= most_items):
+                    batch, items, chars = batch + 1, 0, 0
+                items, chars = items + 1, chars + n
+                out.append(batch)
+            yield pa.RecordBatch.from_arrays([frame.column(0), frame.column(1), pa.array(out, pa.int64())], [source, key, "batch"])
 
-    grouped = rows.groupBy(source).agg(F.sort_array(F.collect_list(item)).alias("items"))
-    folded = grouped.withColumn("batches", F.aggregate("items", start, step, lambda a: a.out))
-    each = F.explode(F.arrays_zip(F.col("items.key").alias("key"), F.col("batches").alias("batch")))
-    return folded.select(source, each.alias("x")).select(source, F.col("x.key").alias(key), F.col("x.batch").cast("bigint").alias("batch"))
+    ordered = rows.select(source, key, F.coalesce(F.col(size).cast("bigint"), F.lit(0)).alias("__size")).repartition(source).sortWithinPartitions(source, key)
+    return ordered.mapInArrow(walk, f"`{source}` {kinds[source]}, `{key}` {kinds[key]}, batch bigint")
 
 
 def unique_slugs(rows: DataFrame, by: str, position: str, base: str) -> DataFrame:
-    """Adds ``slug``: the base, or base_2, base_3, ... where it is taken, in the order of ``position``; a fold within ``by``."""
+    """Adds ``slug``: the base, or base_2, base_3, ... where it is taken, in the order of ``position``.
+
+    Slugs meet only where their bases are alike but for numbers at the end, so these are a group.
+    One that has a single base is numbered; the others, which are rare, are folded.
+    """
+    own = rows.withColumn("__root", F.regexp_replace(base, "(?:_[0-9]+)+$", ""))
+    groups = own.groupBy(by, "__root").agg(F.min(base).alias("__low"), F.max(base).alias("__high"))
+    single = groups.filter("__low = __high").select(by, "__root")
+    place = F.row_number().over(Window.partitionBy(by, base).orderBy(position))
+    numbered = own.join(single, [by, "__root"]).withColumn("__n", place)
+    plain = numbered.select(by, position, base, F.when(F.col("__n") == 1, F.col(base)).otherwise(F.concat(F.col(base), F.lit("_"), F.col("__n").cast("string"))).alias("slug"))
     start = F.struct(F.array().cast("array<string>").alias("used"))
 
     def step(a: Column, x: Column) -> Column:
@@ -62,10 +76,10 @@ def unique_slugs(rows: DataFrame, by: str, position: str, base: str) -> DataFram
         return F.struct(F.concat(a.used, F.slice(F.array_except(tries, a.used), 1, 1)).alias("used"))
 
     item = F.struct(F.col(position).alias("position"), F.col(base).alias("base"))
-    grouped = rows.groupBy(by).agg(F.sort_array(F.collect_list(item)).alias("items"))
-    folded = grouped.withColumn("slugs", F.aggregate("items", start, step, lambda a: a.used))
+    mixed = own.join(groups.filter("__low <> __high").select(by, "__root"), [by, "__root"]).groupBy(by, "__root").agg(F.sort_array(F.collect_list(item)).alias("items"))
+    folded = mixed.withColumn("slugs", F.aggregate("items", start, step, lambda a: a.used))
     each = F.explode(F.arrays_zip(F.col("items.position").alias("position"), F.col("items.base").alias("base"), F.col("slugs").alias("slug")))
-    return folded.select(by, each.alias("x")).select(by, F.col("x.position").alias(position), F.col("x.base").alias(base), "x.slug")
+    return plain.unionByName(folded.select(by, each.alias("x")).select(by, F.col("x.position").alias(position), F.col("x.base").alias(base), "x.slug"))
 
 
 def in_text_order(rows: DataFrame, source: str, key: str) -> DataFrame:
