@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from uuid import uuid4
-
 from pyspark.sql import DataFrame, SparkSession
 
 from claimloom.llm import decontamination, line_dedup, packing, quality_cnn, simhash
-from claimloom.llm.common import shared_folder
+from claimloom.llm.common import discard, written
 from claimloom.llm.queries import tokenizer
 
 
@@ -54,11 +52,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages over ``documents``, one after another, each through Parquet in the shared folder."""
-    folder = f"{shared_folder(spark).rstrip('/')}/pipeline-{uuid4().hex}"
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """The stages over ``documents``, one after another, each through Parquet in the shared folder.
+
+    What a stage wrote is deleted once the next one has been written, the last when the driver ends.
+    """
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for n, (name, stage) in enumerate(STAGES):
-        path = f"{folder}/{n}-{name}"
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        docs, path = written(stage(spark, docs, sf_dir), f"pipeline-{n}-{name}")
+        if before:
+            discard(spark, before)
+        before = path
     return docs
