@@ -12,6 +12,15 @@ SCHEMA = "url string, accept string, status int, headers map<string,string>, bod
 REFUSALS = r"(?i)captcha|are you a robot|verify you are human|checking your browser|sign in to continue|log ?in to continue|enable javascript and cookies"
 
 
+def scan(spark: SparkSession, path: str) -> DataFrame:
+    """Landed answers under ``path`` (JSON lines or Parquet), one row per url and accept: the latest retrieved that is sound."""
+    rows = spark.read.parquet(path) if path.rstrip("/").endswith(".parquet") else spark.read.schema(SCHEMA).json(path)
+    kept = sound(rows)
+    rest = [c for c in kept.columns if c not in ("url", "accept")]
+    last = kept.groupBy("url", "accept").agg(F.max_by(F.struct(*rest), F.struct("retrieved_at", "content_sha256")).alias("s"))
+    return last.select("url", "accept", "s.*")
+
+
 def cache_key(url: Column, accept: Column) -> Column:
     return F.sha2(F.concat(url, F.lit("\n"), accept), 256)
 

@@ -90,6 +90,18 @@ def test_upserts_equal_the_batch_and_can_run_again(spark, tmp_path):
     assert ingest._numbers(spark, folder, "base") == [5] and len(ingest._numbers(spark, folder, "changes")) <= 4
 
 
+def test_scan_of_landed_answers(spark, tmp_path):
+    import hashlib
+
+    def row(url, body, at, status=200, good=True):
+        return {"url": url, "accept": "html", "status": status, "headers": {"a": "b"}, "body": body, "final_url": url, "retrieved_at": at, "content_sha256": hashlib.sha256(body.encode()).hexdigest() if good else "0"}
+
+    rows = [row("a", "old", "2024-01"), row("a", "new", "2024-02"), row("a", "broken", "2024-03", good=False), row("b", "Please verify you are human", "2024"), row("c", "gone", "2024", 404), row("d", "down", "2024", 503)]
+    (tmp_path / "x.json").write_text("\n".join(map(json.dumps, rows)))
+    found = snapshots.scan(spark, str(tmp_path / "x.json"))
+    assert {(r.url, r.body, r.status) for r in found.collect()} == {("a", "new", 200), ("c", "gone", 404)}
+
+
 @pytest.mark.parametrize("value", ["<script>", "a & b", " "])
 def test_script_safe(value):
     made = artifacts.script_safe([value])
