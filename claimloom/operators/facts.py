@@ -15,9 +15,9 @@ _QUOTE, _TEXT, _PARTS, _ANCHOR, _SIZE = "__quote", "__text", "__parts", "__ancho
 
 
 def _word_runs(texts: DataFrame, document: str, n: int) -> DataFrame:
-    parts = texts.select(document, F.split(_TEXT, " ").alias(_PARTS)).filter(F.size(_PARTS) >= n)
-    runs = F.transform(F.sequence(F.lit(1), F.size(_PARTS) - (n - 1)), lambda i: F.array_join(F.slice(_PARTS, i, F.lit(n)), " "))
-    return parts.select(document, F.explode(F.array_distinct(runs)).alias(_ANCHOR))
+    # One pass of a pattern: it looks ahead over a run of words and takes its first.
+    runs = F.regexp_extract_all(F.col(_TEXT), F.lit(f"(?=([^ ]+(?: [^ ]+){{{n - 1}}}))[^ ]+"), F.lit(1))
+    return texts.select(document, F.explode(F.array_distinct(runs)).alias(_ANCHOR))
 
 
 def _character_runs(texts: DataFrame, document: str, n: int) -> DataFrame:
@@ -51,8 +51,9 @@ def grounded_pairs(quotes: DataFrame, documents: DataFrame, quote: str, quote_te
         found = met if found is None else found.unionByName(met)
     if found is None:
         return q.select(quote).join(d.select(document), F.lit(False))
-    met = found.distinct().join(q.select(quote, _QUOTE), quote).join(d, document)
-    return met.filter(F.contains(_TEXT, F.col(_QUOTE))).select(quote, document)
+    # Texts are made loose again for what met alone.
+    met = found.distinct().join(q.select(quote, _QUOTE), quote).join(documents.select(document, F.col(text).alias(_TEXT)), document)
+    return met.filter(F.contains(loose(F.col(_TEXT)), F.col(_QUOTE))).select(quote, document)
 
 
 def quoted(quote: Column, text: Column) -> Column:
