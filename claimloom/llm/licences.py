@@ -35,8 +35,8 @@ FALSE_RATE = 0.002
 CONFIRMED = 0.55
 #: The bound of the generated training paragraphs, and of those that calibrate.
 TRAINING, CALIBRATION = 3000, 3000
-#: Where paragraphs end.
-BREAK = r"(?<=[.!?:;][\"')\]]{0,2}[ \t\r]{0,8})\n|\n[ \t\r]*\n\s*"
+#: Where paragraphs end; the line feed stands first, so that nothing is looked back over elsewhere.
+BREAK = r"\n(?<=[.!?:;][\"')\]]{0,2}[ \t\r]{0,8}\n)|\n[ \t\r]*\n\s*"
 UNKNOWN = "unknown"
 _WORD = r"[a-z]+|[0-9]+(?:[.][0-9]+)*"
 
@@ -133,7 +133,7 @@ OTHERS: tuple[str, ...] = (
 )
 #: Notices of which a third of the words, in no order, names nothing.
 LONG = tuple(n for _, n in NOTICES if len(n.split()) >= 10)
-STOP_WORDS = frozenset("a all and any are as at be by for from has he his in into is it its may no not of on or part that the this to under was way we with without you can".split())
+STOP_WORDS = frozenset("a all an and any are as at be by for from has he his in into is it its may no not of on only or part that the this to under was way we with without you can".split())
 
 
 def words_of(text: str) -> list[str]:
