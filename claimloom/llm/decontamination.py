@@ -332,7 +332,6 @@ class Matcher:
             if len(found) < LEAST_WORDS:
                 for item_id in self.short.get(tuple(words_of(text)), ()):
                     hits[n, item_id] = (0, 0, len(found), len(found))
-                continue
             reach = 2 * self.longest + 2 * PART_WORDS
             for at in range(0, max(1, len(found) - reach), SEGMENT):
                 part = found[at : at + SEGMENT + reach]

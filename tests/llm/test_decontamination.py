@@ -147,6 +147,13 @@ def test_items_under_five_words_are_whole_texts(spark):
     assert sorted(r.doc_id for r in q.clean(docs, bench).collect()) == [2, 3, 5]
 
 
+def test_texts_shorter_than_an_item_within_its_edits(spark):
+    docs = spark.createDataFrame([(1, "one two three four"), (2, "one two three"), (3, "one two four five"), (4, "three four")], "doc_id bigint, text string")
+    bench = spark.createDataFrame([(1, "one two three four five"), (2, "three four")], "item_id bigint, text string")
+    found = {(r.doc_id, r.item_id): r.distance for r in q.contaminated(docs, bench).collect()}
+    assert found == {(1, 1): 1, (3, 1): 1, (4, 2): 0}
+
+
 def test_empty_tables(spark):
     docs, bench = (spark.createDataFrame(r, f) for r, f in (([(1, "a b c d e f")], "doc_id bigint, text string"), ([(1, "a b c d e f")], "item_id bigint, text string")))
     assert q.contaminated(docs.limit(0), bench).collect() == [] and q.contaminated(docs, bench.limit(0)).collect() == []
