@@ -44,7 +44,9 @@ def with_duplicates(rows: DataFrame, candidate: str, *order: str, text: str = "t
     """
     marked = rows.withColumn("__fp", fingerprint(F.col(text))).withColumn("__key", F.when(F.length("__fp") >= least, F.sha2("__fp", 256))).drop("__fp")
     long = marked.filter("__key IS NOT NULL")
-    first = long.groupBy("__key").agg(F.min_by(candidate, F.struct(*order, candidate)).alias("__first"), F.count("*").alias("__n")).filter("__n > 1").drop("__n")
+    # Ordered by itself alone, a plain minimum is the first.
+    least = F.min(candidate) if set(order) <= {candidate} else F.min_by(candidate, F.struct(*order, candidate))
+    first = long.groupBy("__key").agg(least.alias("__first"), F.count("*").alias("__n")).filter("__n > 1").drop("__n")
     joined = marked.join(first, "__key", "left")
     return joined.withColumn("duplicate_of", F.when(F.col("__first") != F.col(candidate), F.col("__first"))).drop("__key", "__first")
 
