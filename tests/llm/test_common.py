@@ -1,6 +1,8 @@
 from pathlib import Path
 from types import SimpleNamespace
 
+import pytest
+
 from claimloom.llm import common
 
 
@@ -33,3 +35,18 @@ def test_written_and_discarded(spark):
 def test_the_cluster_names_the_folder():
     named = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: {"spark.checkpoint.dir": "hdfs://x/y"}.get(key, default)))
     assert common.shared_folder(named) == "hdfs://x/y"
+
+
+def test_no_machine_local_folder_on_a_cluster():
+    cluster = SimpleNamespace(conf=SimpleNamespace(get=lambda name, default: default), sparkContext=SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        common.shared_folder(cluster)
+    cluster.conf.get = lambda name, default: "hdfs:///shared"
+    assert common.shared_folder(cluster) == "hdfs:///shared"
+
+
+def test_segments_end_before_white_space():
+    for text in (b"", b"word", b"ab cd  ef\ngh " * 50, b"x" * 200, b" " * 200):
+        for size in (1, 7, 64, 10_000):
+            parts = list(common.segments(text, size))
+            assert b"".join(parts) == text and [w for p in parts for w in p.split()] == text.split()

@@ -37,6 +37,7 @@ def test_word_ids_equal_the_plain_tokenizer():
     words = packing.WordIds(open(PATH, encoding="utf-8").read())
     random.seed(3)
     texts = [t or "" for t in TEXTS] + ["".join(random.choices("ab é'.,!<|>s t\ńΣ1", k=60)) for _ in range(400)]
+    texts += ["".join(random.choices("ßçñÉİſǆ日本ά\u0301\u0327aeZ ـक्ि١", k=40)) for _ in range(400)]
     tokenizer = Tokenizer.from_file(PATH)
     for text in texts:
         assert np.frombuffer(words.of(text.encode()), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)

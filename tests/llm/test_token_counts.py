@@ -54,6 +54,19 @@ def test_lines_against_a_plain_loop(spark, rule):
         assert [(text or "")[r.start_char : r.end_char] for r in rows] == [x + "\n" for x in (text or "").split("\n")[:-1]] + [(text or "").split("\n")[-1]]
 
 
+def test_parts_of_long_texts_give_the_tokens_of_the_whole(monkeypatch):
+    random.seed(9)
+    white = ["\t", "\n", "\x0b", "\x0c", "\r", " ", "  ", "\x85", "\xa0", "\u1680", "\u2003", "\u2028", "\u202f", "\u3000", "\x1c", "\x1f", "\u200b", "\ufeff"]
+    texts = ["".join(random.choices([*white, "a", "Bc", "é", "1", "23", "!", "'s", "'", "-", "日本", "🙂"], k=80)) for _ in range(400)] + [t or "" for t in TEXTS]
+    lengths = q.TokenLengths(open(PATH, encoding="utf-8").read())
+    whole = [x.tolist() for x in lengths.of(texts)]
+    for size, together in ((1, 1), (7, 50), (30, 1 << 18)):
+        monkeypatch.setattr(q, "WHOLE", size)
+        monkeypatch.setattr(q, "TOGETHER", together)
+        assert [x.tolist() for x in lengths.of(texts)] == whole
+    assert list(lengths.of([])) == [] and sum(map(len, whole)) > 10_000
+
+
 def test_fields(spark):
     rows = [(1, "A title", "A body\nof text", None), (2, None, None, None), (3, "x ", " y", "z")]
     df = spark.createDataFrame(rows, "page bigint, title string, body string, field string")
