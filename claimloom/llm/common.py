@@ -80,11 +80,11 @@ def portions(batches: Iterable[pa.RecordBatch], rows: int = 1000, holding: bool
 _WHITE = re.compile(rb"[ \t-\r]")
 
 
-def segments(text: bytes, size: int = 1 << 20) -> Iterator[bytes]:
-    """The text in parts of about ``size`` bytes that end before ASCII white space, so that work on a very long one is bounded."""
+def segments(text: bytes, size: int = 1 << 20, ends: re.Pattern = _WHITE) -> Iterator[bytes]:
+    """The text in parts of about ``size`` bytes that end before ASCII white space (or ``ends``), so that work on a very long one is bounded."""
     at = 0
     while len(text) - at > size:
-        white = _WHITE.search(text, at + size)
+        white = ends.search(text, at + size)
         if not white:
             break
         yield text[at : white.start()]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimloom.llm import chat, decontamination, licences, line_dedup, packing, pii, quality_cnn, quality_rules, simhash, token_counts
+from claimloom.llm import chat, decontamination, licences, line_dedup, minhash, packing, phrases, pii, quality_cnn, quality_rules, simhash, spelling, token_counts
 
 #: For the synthetic tables alone, whose people do not exist; other data take spark.claimloom.pii.key.
 TABLES_KEY = b"the synthetic tables"
@@ -107,3 +107,24 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op6_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(_table(spark, sf_dir, "documents"))
+
+
+_ORACLES["op11_phrases"] = phrases.oracle_sql()
+
+
+@_query
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op13_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+_ORACLES["op13_minhash"] = minhash.oracle_sql()
