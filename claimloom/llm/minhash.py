@@ -203,7 +203,7 @@ def oracle_sql(percent: int = PERCENT) -> str:
     WITH RECURSIVE worded AS (
       SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents
     ), shingled AS (
-      SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) < 2 THEN w ELSE list_transform(range(1, len(w)), i -> w[i] || ' ' || w[i + 1]) END) AS shingle FROM worded
+      SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) < 2 THEN w ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END) AS shingle FROM worded
     ), sizes AS (
       SELECT doc_id, count(*) AS n FROM shingled GROUP BY doc_id
     ), pairs AS (
