@@ -125,15 +125,16 @@ def indexed(links: DataFrame, current: str, target: str, mode: str = "family") -
 
 
 def index_crawl(links: DataFrame, root: str, current: str, target: str, mode: str = "family", most_pages: int = 8) -> DataFrame:
-    """catalog (the root), version and page of the releases that a site's index pages name, best pages first, ``most_pages`` at most."""
+    """catalog (the root), version and page of the releases that a site's index pages name, best pages first, ``most_pages`` at most.
+
+    Pages are read by relevance, then address; what a page links to goes before worse pages that wait.
+    """
     from claimloom.operators import frontier
 
     marked = indexed(links, current, target, mode)
-    edges = marked.filter("followed").groupBy(F.col("page").alias("src"), F.col("href").alias("dst")).agg((F.lit(9) - F.max("relevance")).cast("int").alias("priority"))
-    seeds = links.sparkSession.createDataFrame([(root, 9)], "url string, priority int")
-    found = frontier.crawl(edges, seeds, frontier.Budgets(depth=most_pages, urls=200 * most_pages, documents=most_pages, requests=most_pages))
-    read = found.filter("status = 'fetched'").select(F.col("url").alias("page"))
-    return marked.join(read, "page").filter("label IS NOT NULL").select(F.lit(root).alias("catalog"), F.col("label").alias("version"), "page").distinct()
+    edges = marked.filter("followed").select(F.col("page").alias("src"), F.col("href").alias("dst"), "relevance").distinct()
+    read = frontier.best_first(edges, root, most_pages).select(F.col("url").alias("page"))
+    return marked.join(F.broadcast(read), "page").filter("label IS NOT NULL").select(F.lit(root).alias("catalog"), F.col("label").alias("version"), "page").distinct()
 
 
 def tag_matches(tags: DataFrame, records: DataFrame, tag: str = "tag", version: str = "version") -> DataFrame:

@@ -377,11 +377,15 @@ def release_index(spark, sf_dir):
     return releases.indexed(_index_links(spark, sf_dir), "10", "20").distinct()
 
 
-@query("index_crawl", f"""WITH l AS MATERIALIZED ({_INDEXED_SQL}), e AS (SELECT page AS src, href AS dst, 9 - max(relevance) AS p FROM l WHERE followed GROUP BY page, href),
-a AS (SELECT 'https://x.org/i0' AS url), b AS (SELECT dst AS url FROM e WHERE src = 'https://x.org/i0' ORDER BY p, dst LIMIT 2), r AS (SELECT url FROM a UNION SELECT url FROM b)
-SELECT DISTINCT 'https://x.org/i0' AS catalog, label AS version, page FROM l JOIN r ON r.url = l.page WHERE label IS NOT NULL""")
+_INDEX_PAGES = 6
+_POP = """SELECT dst FROM e WHERE src IN (SELECT url FROM s{0}) AND dst NOT IN (SELECT url FROM s{0}) GROUP BY dst ORDER BY max(relevance) DESC, dst LIMIT 1"""
+
+
+@query("index_crawl", f"""WITH l AS MATERIALIZED ({_INDEXED_SQL}), e AS MATERIALIZED (SELECT page AS src, href AS dst, relevance FROM l WHERE followed), s1 AS (SELECT 'https://x.org/i0' AS url),
+{", ".join(f"s{k + 1} AS MATERIALIZED (SELECT url FROM s{k} UNION ALL SELECT * FROM ({_POP.format(k)}))" for k in range(1, _INDEX_PAGES))}
+SELECT DISTINCT 'https://x.org/i0' AS catalog, label AS version, page FROM l JOIN s{_INDEX_PAGES} r ON r.url = l.page WHERE label IS NOT NULL""")
 def index_crawl(spark, sf_dir):
-    return releases.index_crawl(_index_links(spark, sf_dir), "https://x.org/i0", "10", "20", most_pages=3)
+    return releases.index_crawl(_index_links(spark, sf_dir), "https://x.org/i0", "10", "20", most_pages=_INDEX_PAGES)
 
 
 _TAG_SQL = "SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN 'v' || p_size || '.0' WHEN 1 THEN 'build-' || p_size ELSE 'release-' || p_size END AS tag FROM part"

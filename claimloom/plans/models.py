@@ -306,46 +306,38 @@ _KINDS_SQL = "CASE length(href) % 5 WHEN 0 THEN 'registry' WHEN 1 THEN 'index' W
 _SEED_PAGES = 6
 
 
-def _admission(new: str, known: str) -> str:
-    """Twin of one round of admissions: new(url, parent, position, priority, kind, depth), known(n, talks)."""
-    return f"""SELECT url, depth, priority, kind, n + p AS sequence FROM (
-      SELECT *, row_number() OVER (ORDER BY parent, position, url) AS p FROM (
-        SELECT *, row_number() OVER (ORDER BY parent, position, url) AS q, count_if(priority <= 1) OVER (ORDER BY parent, position, url) AS g FROM (
-          SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY kind = 'discussion' ORDER BY parent, position, url) AS t FROM ({new}) CROSS JOIN ({known}))
-          WHERE kind <> 'discussion' OR t <= {_BUDGETS.discussions} - talks))
-      WHERE q <= greatest(0, {_BUDGETS.urls} - n) OR priority <= 1)
-    WHERE p <= greatest(0, {_BUDGETS.urls} - n) + greatest(0, {_BUDGETS.urls + _BUDGETS.reserve} - greatest(n, {_BUDGETS.urls}))"""
-
-
-def _round(queue: str, done: str) -> str:
-    """Twin of one round of fetches over a queue of one priority; done(last, documents, registry, indexes, requests)."""
-    before = "ORDER BY sequence ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
-    return f"""SELECT *, CASE WHEN status = 'fetched' THEN last + count_if(status = 'fetched') OVER (ORDER BY sequence) END AS fetched_at FROM (
-      SELECT *, CASE WHEN coalesce(count_if(NOT beyond) OVER ({before}), 0) >= {_BUDGETS.requests} - requests
-          OR coalesce(count_if(kind NOT IN ('registry', 'index')) OVER ({before}), 0) >= {_BUDGETS.documents} - documents THEN 'pending'
-        WHEN beyond THEN 'registry_budget' WHEN kind = 'index' AND coalesce(count_if(kind = 'index') OVER ({before}), 0) >= {_BUDGETS.index_pages} - indexes THEN 'index_budget' ELSE 'fetched' END AS status FROM (
-        SELECT *, kind = 'registry' AND coalesce(count_if(kind = 'registry') OVER ({before}), 0) >= {_BUDGETS.registry} - registry AS beyond FROM ({queue}) CROSS JOIN ({done})))"""
-
-
-_DONE = "SELECT coalesce(max(fetched_at), 0) AS last, count_if(status = 'fetched' AND kind NOT IN ('registry', 'index')) AS documents, count_if(status = 'fetched' AND kind = 'registry') AS registry, count_if(status = 'fetched' AND kind = 'index') AS indexes, count_if(status <> 'registry_budget') AS requests FROM"
+_MOST_NODES = _BUDGETS.urls + _BUDGETS.reserve
+
+
+def _pop(k: int) -> str:
+    """Twin of one page taken from the heap s{k}: counts c, the page p, its links l, those admitted while there is room r, guides beyond it g, and the heap after it."""
+    b = _BUDGETS
+    return f"""c{k} AS MATERIALIZED (SELECT count(*) AS n, count(*) FILTER (WHERE kind = 'discussion') AS talks, coalesce(max(fetched_at), 0) AS last, count(*) FILTER (WHERE status = 'fetched' AND kind = 'registry') AS registry,
+  count(*) FILTER (WHERE status = 'fetched' AND kind = 'index') AS indexes, count(*) FILTER (WHERE status = 'fetched' AND kind NOT IN ('registry', 'index')) AS documents, count(*) FILTER (WHERE status IN ('fetched', 'index_budget')) AS requests FROM s{k}),
+p{k} AS MATERIALIZED (SELECT url, depth, last, CASE WHEN kind = 'registry' AND registry >= {b.registry} THEN 'registry_budget' WHEN kind = 'index' AND indexes >= {b.index_pages} THEN 'index_budget' ELSE 'fetched' END AS now
+  FROM s{k}, c{k} WHERE status IS NULL AND documents < {b.documents} AND requests < {b.requests} ORDER BY priority, sequence LIMIT 1),
+l{k} AS MATERIALIZED (SELECT dst AS url, p.depth + 1 AS depth, priority, kind, position, row_number() OVER (PARTITION BY kind = 'discussion' ORDER BY position, dst) AS t
+  FROM links JOIN p{k} p ON links.src = p.url WHERE p.now = 'fetched' AND p.depth < {b.depth} AND dst NOT IN (SELECT url FROM s{k})),
+r{k} AS MATERIALIZED (SELECT * FROM (SELECT l.*, n, row_number() OVER (ORDER BY position, url) AS place FROM l{k} l, c{k} WHERE kind <> 'discussion' OR t <= {b.discussions} - talks) WHERE place <= {b.urls} - n),
+g{k} AS MATERIALIZED (SELECT * FROM (SELECT *, row_number() OVER (ORDER BY position, url) AS place FROM (
+    SELECT url, depth, priority, kind, position, c.*, row_number() OVER (PARTITION BY kind = 'discussion' ORDER BY position, url) AS t FROM l{k} l, c{k} c WHERE priority <= 1 AND url NOT IN (SELECT url FROM r{k}))
+  WHERE kind <> 'discussion' OR t <= {b.discussions} - talks - (SELECT count(*) FILTER (WHERE kind = 'discussion') FROM r{k}))
+  WHERE n + (SELECT count(*) FROM r{k}) >= {b.urls} AND place <= {_MOST_NODES} - n - (SELECT count(*) FROM r{k})),
+s{k + 1} AS MATERIALIZED (SELECT s.url, s.depth, s.priority, s.kind, s.sequence, coalesce(p.now, s.status) AS status, CASE WHEN p.now = 'fetched' THEN p.last + 1 ELSE s.fetched_at END AS fetched_at FROM s{k} s LEFT JOIN p{k} p ON p.url = s.url
+  UNION ALL SELECT url, depth, priority, kind, n + row_number() OVER (ORDER BY position, url), NULL, NULL FROM (SELECT url, depth, priority, kind, position, n FROM r{k} UNION ALL SELECT url, depth, priority, kind, position, n FROM g{k}))"""
+
+
 _BUDGET_SQL = f"""WITH e AS MATERIALIZED (SELECT 'page ' || page_id AS page, page_id, href, min(place) AS place FROM (
     SELECT page_id, unnest(range(len(h))) AS place, unnest(h) AS href FROM (SELECT page_id, regexp_extract_all(html, '<a[ ]+[^>]*?href="([^"]*)"', 1) AS h FROM pages)) GROUP BY page_id, href),
-f0 AS MATERIALIZED ({_round(f"SELECT 'page ' || n AS url, 0 AS depth, 0 AS priority, 'document' AS kind, n + 1 AS sequence FROM range({_SEED_PAGES}) t(n)", "SELECT 0 AS last, 0 AS documents, 0 AS registry, 0 AS indexes, 0 AS requests")}),
-a1 AS MATERIALIZED ({_admission(f"SELECT href AS url, arg_min(fetched_at, (fetched_at, place)) AS parent, arg_min(place, (fetched_at, place)) AS position, CASE WHEN length(href) % 7 = 0 THEN 1 ELSE 3 END AS priority, {_KINDS_SQL} AS kind, 1 AS depth FROM e JOIN f0 ON f0.url = e.page GROUP BY href", f"SELECT {_SEED_PAGES} AS n, 0 AS talks")}),
-f1 AS MATERIALIZED ({_round("SELECT * FROM a1 WHERE priority = 1", f"{_DONE} f0")}),
-a2 AS MATERIALIZED ({_admission("SELECT page AS url, arg_min(fetched_at, (fetched_at, page_id)) AS parent, arg_min(page_id, (fetched_at, page_id)) AS position, 5 AS priority, 'document' AS kind, 2 AS depth FROM e JOIN f1 ON f1.url = e.href WHERE f1.status = 'fetched' AND page NOT IN (SELECT url FROM f0) GROUP BY page", "SELECT (SELECT count(*) FROM f0) + (SELECT count(*) FROM a1) AS n, (SELECT count_if(kind = 'discussion') FROM a1) AS talks")}),
-d1 AS (SELECT url, kind, status, fetched_at FROM f0 UNION ALL SELECT url, kind, status, fetched_at FROM f1),
-f2 AS MATERIALIZED ({_round("SELECT * FROM a1 WHERE priority = 3", f"{_DONE} d1")}),
-a3 AS MATERIALIZED ({_admission("SELECT page AS url, arg_min(fetched_at, (fetched_at, page_id)) AS parent, arg_min(page_id, (fetched_at, page_id)) AS position, 5 AS priority, 'document' AS kind, 2 AS depth FROM e JOIN f2 ON f2.url = e.href WHERE f2.status = 'fetched' AND page NOT IN (SELECT url FROM f0 UNION ALL SELECT url FROM a2) GROUP BY page", "SELECT (SELECT count(*) FROM f0) + (SELECT count(*) FROM a1) + (SELECT count(*) FROM a2) AS n, (SELECT count_if(kind = 'discussion') FROM a1) AS talks")}),
-d2 AS (SELECT * FROM d1 UNION ALL SELECT url, kind, status, fetched_at FROM f2),
-f3 AS ({_round("SELECT * FROM a2 UNION ALL SELECT * FROM a3", f"{_DONE} d2")})
-SELECT url, kind, sequence, status, fetched_at FROM (SELECT url, kind, sequence, status, fetched_at FROM f0 UNION ALL SELECT url, kind, sequence, status, fetched_at FROM f1
-  UNION ALL SELECT url, kind, sequence, status, fetched_at FROM f2 UNION ALL SELECT url, kind, sequence, status, fetched_at FROM f3)"""
+links AS MATERIALIZED (SELECT page AS src, href AS dst, place AS position, CASE WHEN length(href) % 7 = 0 THEN 1 ELSE 3 END AS priority, {_KINDS_SQL} AS kind FROM e UNION ALL SELECT href, page, page_id, 5, 'document' FROM e),
+s0 AS MATERIALIZED (SELECT 'page ' || n AS url, 0 AS depth, CASE n WHEN 0 THEN 3 ELSE 4 END AS priority, 'document' AS kind, n + 1 AS sequence, CAST(NULL AS VARCHAR) AS status, CAST(NULL AS BIGINT) AS fetched_at FROM range({_SEED_PAGES}) t(n)),
+{", ".join(_pop(k) for k in range(_MOST_NODES))}
+SELECT url, kind, sequence, coalesce(status, 'pending') AS status, fetched_at FROM s{_MOST_NODES}"""
 
 
 @query("frontier_budgets", _BUDGET_SQL)
 def frontier_budgets(spark, sf_dir):
-    seeds = spark.range(_SEED_PAGES).select(F.concat(F.lit("page "), F.col("id").cast("string")).alias("url"), F.lit(0).alias("priority"), F.col("id").cast("int").alias("position"), F.lit("document").alias("kind"))
+    seeds = spark.range(_SEED_PAGES).select(F.concat(F.lit("page "), F.col("id").cast("string")).alias("url"), F.when(F.col("id") == 0, 3).otherwise(4).alias("priority"), F.col("id").cast("int").alias("position"), F.lit("document").alias("kind"))
     return frontier.crawl(_links(spark, sf_dir), seeds, _BUDGETS).select("url", "kind", "sequence", "status", "fetched_at")
 
 

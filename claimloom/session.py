@@ -44,11 +44,23 @@ def shared_folder(spark: SparkSession) -> str:
     return found
 
 
-def cut(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the shared folder as Parquet and read again: its lineage ends there. The file goes when the driver ends."""
+def written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``df`` written to the shared folder as Parquet and read again, and where it lies until the driver ends or it is discarded."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid4().hex}"
     df.write.parquet(path)
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def cut(df: DataFrame, name: str) -> DataFrame:
+    """``written``, where the result may be read as long as the folder stands: its lineage ends there."""
+    return written(df, name)[0]
+
+
+def discard(spark: SparkSession, *paths: str) -> None:
+    """Deletes what ``written`` made, once nothing reads it any more."""
+    for path in paths:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

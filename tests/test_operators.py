@@ -1,3 +1,4 @@
+import heapq
 import random
 
 import pytest
@@ -249,59 +250,106 @@ def test_numbers_and_budgets_over_ranges(spark):
         assert got == {(g, n) for g in range(3) for n in sorted(n for n, h, m in rows if h == g and m)[:most]}
 
 
-def plain_crawl(links, seeds, b):
-    """The crawl by a loop over pages: rounds of one priority, budgets counted as they are spent."""
-    nodes, fetched = {}, 0
+def plain_crawl(links, seeds, b, closed=()):
+    """The crawl by a heap: one page at a time, its links admitted before the next, budgets counted as they are spent."""
+    heap, nodes, proofs, spent, out = [], {}, set(), dict.fromkeys(("registry", "index", "document", "discussion"), 0), {}
 
-    def admit(url, priority, kind, depth):
-        if url in nodes or depth > b.depth:
+    def admit(url, parent, priority, kind, depth):
+        if url in nodes:
+            proofs.add((parent, url))
             return
-        if kind == "discussion" and sum(n["kind"] == "discussion" for n in nodes.values()) >= b.discussions:
+        if kind == "discussion" and sum(k == "discussion" for _, k, _ in nodes.values()) >= b.discussions:
             return
-        if len(nodes) >= b.urls + (b.reserve if priority <= frontier.GUIDE else 0):
+        if depth > b.depth or len(nodes) >= b.urls + (b.reserve if priority <= frontier.GUIDE else 0):
             return
-        nodes[url] = {"priority": priority, "kind": kind, "depth": depth, "sequence": len(nodes) + 1, "status": None, "at": None}
+        nodes[url] = (priority, kind, depth)
+        proofs.add((parent, url))
+        heapq.heappush(heap, (priority, len(nodes), url))
 
     for url, priority, position, kind in sorted(seeds, key=lambda s: (s[2], s[0])):
-        admit(url, priority, kind, 0)
-    while waiting := [u for u, n in nodes.items() if n["status"] is None]:
-        best = min(nodes[u]["priority"] for u in waiting)
-        got = []
-        for url in sorted((u for u in waiting if nodes[u]["priority"] == best), key=lambda u: nodes[u]["sequence"]):
-            n = nodes[url]
-            have = lambda *k: sum(x["status"] == "fetched" and x["kind"] in k for x in nodes.values())
-            if have("document", "discussion") >= b.documents or sum(x["status"] not in (None, "pending", "registry_budget") for x in nodes.values()) >= b.requests:
-                n["status"] = "pending"
-            elif n["kind"] == "registry" and have("registry") >= b.registry:
-                n["status"] = "registry_budget"
-            elif n["kind"] == "index" and have("index") >= b.index_pages:
-                n["status"] = "index_budget"
-            else:
-                fetched += 1
-                n["status"], n["at"] = "fetched", fetched
-                got.append(url)
-        for url in got:
-            for src, dst, position, priority, kind in sorted((x for x in links if x[0] == url), key=lambda x: (x[2], x[1])):
-                admit(dst, priority, kind, nodes[url]["depth"] + 1)
-    return {u: (n["sequence"], n["status"], n["at"]) for u, n in nodes.items()}
+        admit(url, None, priority, kind, 0)
+    requests = fetched = 0
+    while heap and spent["document"] + spent["discussion"] < b.documents and requests < b.requests:
+        _, sequence, url = heapq.heappop(heap)
+        _, kind, depth = nodes[url]
+        if kind == "registry" and spent["registry"] >= b.registry:
+            out[url] = (sequence, "registry_budget", None)
+            continue
+        if url in closed:
+            out[url] = (sequence, "disallowed", None)
+            continue
+        requests += 1
+        if kind == "index" and spent["index"] >= b.index_pages:
+            out[url] = (sequence, "index_budget", None)
+            continue
+        spent[kind] += 1
+        fetched += 1
+        out[url] = (sequence, "fetched", fetched)
+        for _, dst, _, priority, kind in sorted((x for x in links if x[0] == url), key=lambda x: (x[2], x[1])):
+            admit(dst, url, priority, kind, depth + 1)
+    return out | {url: (sequence, "pending", None) for _, sequence, url in heap}, {(a, u) for a, u in proofs if a}
 
 
 @pytest.mark.parametrize("seed", range(6))
-def test_crawl_against_a_loop(spark, seed):
+def test_crawl_against_a_heap(spark, seed, monkeypatch):
     rng = random.Random(seed)
     kinds = {f"p{k}": rng.choice(["document", "document", "registry", "index", "discussion"]) for k in range(60)}
-    ranks = {u: rng.choice([0, 1, 3, 7, 9]) for u in kinds}
+    closed = {u for u in kinds if rng.random() < 0.1}
     pairs = {(rng.choice([*kinds]), u) for u in kinds for _ in range(4)}
-    links = [(a, u, n, ranks[u], kinds[u]) for n, (a, u) in enumerate(sorted(pairs))]
-    seeds = [(u, ranks[u], n, kinds[u]) for n, u in enumerate(["p1", "p2", "p3"])]
+    # The priority is the link's: a page may be left out under one and admitted under another.
+    links = [(a, u, n, rng.choice([0, 1, 3, 7, 9]), kinds[u], u not in closed) for n, (a, u) in enumerate(sorted(pairs))]
+    seeds = [(u, rng.choice([0, 3, 9]), n, kinds[u], u not in closed) for n, u in enumerate(["p1", "p2", "p3"])]
     b = frontier.Budgets(depth=rng.choice([1, 2, 4]), urls=rng.choice([10, 20, 100]), documents=rng.choice([4, 12, 100]), registry=rng.choice([1, 2]), index_pages=rng.choice([1, 3]), requests=rng.choice([8, 100]))
-    frame = spark.createDataFrame(links, "src string, dst string, position int, priority int, kind string")
-    found = frontier.crawl(frame, spark.createDataFrame(seeds, "url string, priority int, position int, kind string"), b)
-    assert {r.url: (r.sequence, r.status, r.fetched_at) for r in found.collect()} == plain_crawl(links, seeds, b)
+    rounds = []
+    monkeypatch.setattr(frontier, "committed", lambda *x, f=frontier.committed: rounds.append(f(*x)) or rounds[-1])
+    frame = spark.createDataFrame(links, "src string, dst string, position int, priority int, kind string, allowed boolean")
+    found = frontier.crawl(frame, spark.createDataFrame(seeds, "url string, priority int, position int, kind string, allowed boolean"), b)
+    expected, proofs = plain_crawl([x[:5] for x in links], [s[:4] for s in seeds], b, closed)
+    assert {r.url: (r.sequence, r.status, r.fetched_at) for r in found.collect()} == expected
+    taken = sum(status != "pending" for _, status, _ in expected.values())
+    assert sum(rounds) == taken and (taken < 8 or len(rounds) < taken)
     missed = {r.url: r.reason for r in frontier.left_out(found, frame, b).collect()}
-    known = {r.url for r in found.collect()}
-    assert set(missed) == {d for s, d, *_ in links if s in {r.url for r in found.collect() if r.status == "fetched"}} - known
-    assert frontier.with_provenance(found, frame).count() == len({(s, d) for s, d, *_ in links if d in known and s in {r.url for r in found.collect() if r.status == "fetched"}})
+    fetched = {u for u, (_, status, _) in expected.items() if status == "fetched"}
+    assert set(missed) == {d for s, d, *_ in links if s in fetched} - set(expected)
+    assert {tuple(r) for r in frontier.with_provenance(found, frame).collect()} == proofs
+
+
+def test_a_better_link_goes_first(spark):
+    """Of two seeds the first names a page that is better than the second: with room for two documents it is fetched."""
+    links = spark.createDataFrame([("A", "B", 0, 1)], "src string, dst string, position int, priority int")
+    seeds = spark.createDataFrame([("A", 3), ("C", 3)], "url string, priority int")
+    found = frontier.crawl(links, seeds, frontier.Budgets(documents=2))
+    assert {r.url: (r.status, r.fetched_at) for r in found.collect()} == {"A": ("fetched", 1), "B": ("fetched", 2), "C": ("pending", None)}
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_best_first_against_a_queue(spark, seed):
+    rng = random.Random(seed)
+    edges = sorted({(f"p{rng.randrange(25)}", f"p{rng.randrange(25)}", rng.choice([1, 4, 5, 9])) for _ in range(90)})
+    queue, seen = [(0, "p0")], []
+    while queue and len(seen) < 12:
+        queue.sort()
+        _, url = queue.pop(0)
+        if url not in seen:
+            seen.append(url)
+            queue += [(-r, dst) for src, dst, r in edges if src == url and dst not in seen]
+    found = frontier.best_first(spark.createDataFrame(edges, "src string, dst string, relevance bigint"), "p0", 12)
+    assert [r.url for r in found.orderBy("fetched_at").collect()] == seen and len(seen) > 5
+
+
+def test_crowded_crawls(spark):
+    """Fifty discussions do not keep a guide out of twenty addresses, nor ten documents out of six."""
+    talks = [("root", f"issues/{k}", k, 9, "discussion") for k in range(50)]
+    frame = lambda rows: spark.createDataFrame(rows, "src string, dst string, position int, priority int, kind string")
+    seed = spark.createDataFrame([("root", 1)], "url string, priority int")
+    found = {r.url: r for r in frontier.crawl(frame([*talks, ("root", "guide", 50, 1, "document")]), seed, frontier.Budgets(urls=20)).collect()}
+    assert found["guide"].fetched_at == 2 and sum(r.kind == "discussion" for r in found.values()) == 4
+    pages = [("root", f"doc/{k}", k, 3, "document") for k in range(10)]
+    found = {r.url: r for r in frontier.crawl(frame([*pages, ("root", "guide", 50, 1, "document")]), seed, frontier.Budgets(urls=6)).collect()}
+    assert len(found) == 7 and found["guide"].fetched_at == 2
+    records = [("root", f"record/{k}", k, 1, "registry") for k in range(5)]
+    found = frontier.crawl(frame(records), seed, frontier.Budgets(registry=2, documents=2)).collect()
+    assert sorted(r.status for r in found) == ["fetched"] * 3 + ["registry_budget"] * 3
 
 
 def test_propagated_versions(spark):
