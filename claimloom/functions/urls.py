@@ -10,7 +10,7 @@ from claimloom.functions.vocabulary import SHARED_HOSTS
 # First path parts of GitHub that are no owners.
 NO_OWNERS = ("search", "topics", "collections", "features", "orgs", "settings")
 # Ends of files that are not texts.
-BINARY_ENDS = ("pdf", "zip", "gz", "tgz", "tar", "exe", "dmg", "png", "jpg", "jpeg", "gif", "svg", "webp", "mp4", "whl", "jar", "ico", "woff", "woff2")
+BINARY_ENDS = ("zip", "gz", "xz", "tar", "exe", "whl", "png", "jpg", "svg", "pdf")
 
 
 def host(url: Column) -> Column:
@@ -90,7 +90,8 @@ def public(url: Column) -> Column:
 
 
 def binary(url: Column) -> Column:
-    return path(url).rlike(rf"(?i)\.(?:{'|'.join(BINARY_ENDS)})$")
+    """Whether an address names a file that is no text: such an end before a query, or at the end of the whole address, its query included."""
+    return without_fragment(url).rlike(rf"(?i)\.(?:{'|'.join(BINARY_ENDS)})(?:$|\?)")
 
 
 def discussion(url: Column) -> Column:

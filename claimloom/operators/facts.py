@@ -2,58 +2,92 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+from uuid import uuid4
+
+import ahocorasick
+import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from claimloom.functions.text import loose, subject_key
 from claimloom.operators import numbering
-
-ANCHOR_WORDS = 4
-#: Characters by which quotes too short for words meet texts.
-ANCHOR_CHARS = 4
-_QUOTE, _TEXT, _PARTS, _ANCHOR, _SIZE = "__quote", "__text", "__parts", "__anchor", "__size"
-
-
-def _word_runs(texts: DataFrame, document: str, n: int) -> DataFrame:
-    # One pass of a pattern: it looks ahead over a run of words and takes its first.
-    runs = F.regexp_extract_all(F.col(_TEXT), F.lit(f"(?=([^ ]+(?: [^ ]+){{{n - 1}}}))[^ ]+"), F.lit(1))
-    return texts.select(document, F.explode(F.array_distinct(runs)).alias(_ANCHOR))
-
-
-def _character_runs(texts: DataFrame, document: str, n: int) -> DataFrame:
-    long = texts.filter(F.length(_TEXT) >= n)
-    runs = F.transform(F.sequence(F.lit(1), F.length(_TEXT) - (n - 1)), lambda i: F.substring(F.col(_TEXT), i, F.lit(n)))
-    return long.select(document, F.explode(F.array_distinct(runs)).alias(_ANCHOR))
-
-
-def grounded_pairs(quotes: DataFrame, documents: DataFrame, quote: str, quote_text: str, document: str, text: str, words: int = ANCHOR_WORDS) -> DataFrame:
-    """(quote, document) where the loose quote is a contiguous passage of the loose document.
-
-    A contains-join has no equi key, so the sides meet by one: a quote's second to
-    ``words + 1``-th words (its edge words may be parts of a document's words), and every
-    run of that many words of a document. A quote with fewer words meets by all of its inner
-    words, and one of one or two words by its first ``ANCHOR_CHARS`` characters; a document gives the
-    runs of a length only if some quote asks for it. All that is linear in the texts, and
-    what meets is compared in full.
+from claimloom.session import cut
+
+#: Characters of the quotes that are matched in one pass over the texts.
+BLOCK_CHARS = 2_000_000
+_QUOTE, _TEXT = "__quote", "__text"
+_built: list = []
+
+
+def _automaton(name: str, shared: Broadcast) -> tuple[pa.Array, list[list[int]], ahocorasick.Automaton]:
+    """Ids, their numbers by pattern, and the automaton of a block of quotes; a worker keeps one from task to task."""
+    if not _built or _built[0] != name:
+        _built.clear()
+        table = pa.ipc.open_stream(shared.value).read_all()
+        numbers: dict[str, list[int]] = {}
+        for n, quote in enumerate(table.column(1).to_pylist()):
+            numbers.setdefault(quote, []).append(n)
+        found = ahocorasick.Automaton(ahocorasick.STORE_INTS)
+        for n, quote in enumerate(numbers):
+            found.add_word(quote, n)
+        found.make_automaton()
+        _built[:] = [name, (table.column(0).combine_chunks(), list(numbers.values()), found)]
+    return _built[1]
+
+
+def _holding(name: str, shared: Broadcast) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """(id of a quote, id of a text) of what each text (id, text) holds."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, numbers, automaton = _automaton(name, shared)
+
+        def rows(batch: pa.RecordBatch, held: list[int], holder: list[int]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([ids.take(pa.array(held)), batch.column(0).take(pa.array(holder))], ["quote", "document"])
+
+        for batch in batches:
+            held: list[int] = []
+            holder: list[int] = []
+            for row, text in enumerate(batch.column(1).to_pylist()):
+                for pattern in {n for _, n in automaton.iter(text)}:
+                    held += numbers[pattern]
+                    holder += [row] * len(numbers[pattern])
+                if len(held) >= 100_000:
+                    yield rows(batch, held, holder)
+                    held, holder = [], []
+            if held:
+                yield rows(batch, held, holder)
+
+    return run
+
+
+def grounded_pairs(quotes: DataFrame, documents: DataFrame, quote: str, quote_text: str, document: str, text: str, block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """(quote, document) where the loose quote is a contiguous passage of the loose document; empty quotes are in none.
+
+    A contains-join has no equi key. Quotes are compiled into automata, in blocks of about ``block_chars``
+    characters that are dealt by hash, and one scan of a text finds all quotes of a block in it, of
+    whatever length. A block is collected, broadcast and kept by a worker while its pass lasts, some 50 bytes a character; texts
+    are not shuffled, and no key is hot.
     """
-    q = quotes.select(quote, loose(F.col(quote_text)).alias(_QUOTE)).filter(F.col(_QUOTE) != "").withColumn(_PARTS, F.split(_QUOTE, " "))
-    inner = F.least(F.size(_PARTS) - 2, F.lit(words))
-    by_words = F.size(_PARTS) > 2
-    size = F.when(by_words, inner).otherwise(-F.least(F.length(_QUOTE), F.lit(ANCHOR_CHARS)))
-    anchor = F.when(by_words, F.array_join(F.slice(_PARTS, F.lit(2), F.greatest(inner, F.lit(1))), " ")).otherwise(F.substring(_QUOTE, 1, ANCHOR_CHARS))
-    q = q.select(quote, _QUOTE, size.alias(_SIZE), anchor.alias(_ANCHOR))
-    sizes = sorted(r[0] for r in q.select(_SIZE).distinct().collect())  # as many as ``words`` and ``ANCHOR_CHARS`` allow
+    q = quotes.select(quote, loose(F.col(quote_text)).alias(_QUOTE)).filter(F.col(_QUOTE) != "")
     d = documents.select(document, loose(F.col(text)).alias(_TEXT)).filter(F.col(_TEXT) != "")
-    found = None
-    for n in sizes:
-        anchors = _word_runs(d, document, n) if n > 0 else _character_runs(d, document, -n)
-        met = anchors.join(q.filter(F.col(_SIZE) == n).select(quote, _ANCHOR), _ANCHOR).select(quote, document)
-        found = met if found is None else found.unionByName(met)
-    if found is None:
-        return q.select(quote).join(d.select(document), F.lit(False))
-    # Texts are made loose again for what met alone.
-    met = found.distinct().join(q.select(quote, _QUOTE), quote).join(documents.select(document, F.col(text).alias(_TEXT)), document)
-    return met.filter(F.contains(loose(F.col(_TEXT)), F.col(_QUOTE))).select(quote, document)
+    kind = lambda df, name: df.select(F.col(name)).schema[0].dataType
+    schema = StructType([StructField("quote", kind(q, quote)), StructField("document", kind(d, document))])
+    chars = q.agg(F.sum(F.length(_QUOTE))).first()[0] or 0
+    blocks = -(-chars // block_chars)
+    if blocks > 1:
+        q = cut(q, "quotes")
+    found = documents.sparkSession.createDataFrame([], schema)
+    for n in range(blocks):
+        rows = q.filter(F.pmod(F.xxhash64(_QUOTE), F.lit(blocks)) == n).toArrow()
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, rows.schema) as stream:
+            stream.write_table(rows)
+        shared = documents.sparkSession.sparkContext.broadcast(sink.getvalue().to_pybytes())
+        found = found.unionByName(d.mapInArrow(_holding(uuid4().hex, shared), schema))
+    return found.select(F.col("quote").alias(quote), F.col("document").alias(document))
 
 
 def quoted(quote: Column, text: Column) -> Column:

@@ -224,11 +224,17 @@ def retrieval_address(spark, sf_dir):
     return table(spark, sf_dir, "part").select("p_partkey", urls.retrieval_address(_case(F.col("p_partkey"), *(F.lit(a) for a, _ in _PAGES))).alias("address"))
 
 
-@query("binary_urls", f"SELECT page_id, regexp_matches(regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*([^?#]*)', 1), '(?i)\\.({'|'.join(urls.BINARY_ENDS)})$') AS is_binary FROM (SELECT page_id, CASE page_id % 3 WHEN 0 THEN 'http://x.org/a.PDF?x=1' WHEN 1 THEN 'http://x.org/a.pdf/b' ELSE url END AS url FROM pages)")
+#: Ends that pages get, and whether the address is then that of a file.
+_ENDS = (
+    ("", False), (".PDF?x=1", True), (".pdf/b", False), ("/a.tar.xz", True), ("?f=b.pdf", True), (".gif", False), ("/x.tgz", False), ("/x-1.0.whl#sha256=0", True), (".svg?raw", True),
+    (".jpeg", False), ("/pdf", False), ("#a.zip", False), (".Zip", True), ("?f=a.tar&b=1", False), (".png", True), (".exe?", True), (".webp", False), (".jpg", True), (".json.gz", True),
+)
+
+
+@query("binary_urls", f"SELECT page_id, list_value({', '.join(str(found).lower() for _, found in _ENDS)})[page_id % {len(_ENDS)} + 1] AS is_binary FROM pages")
 def binary_urls(spark, sf_dir):
-    n = F.col("page_id") % 3
-    url = F.when(n == 0, "http://x.org/a.PDF?x=1").when(n == 1, "http://x.org/a.pdf/b").otherwise(F.col("url"))
-    return table(spark, sf_dir, "pages").select("page_id", urls.binary(url).alias("is_binary"))
+    end = _case(F.col("page_id"), *(F.lit(e) for e, _ in _ENDS))
+    return table(spark, sf_dir, "pages").select("page_id", urls.binary(F.concat(F.regexp_replace("url", "[?#].*$", ""), end)).alias("is_binary"))
 
 
 @query("issue_references", r"SELECT doc_id, array_to_string(regexp_extract_all(text || ' see #' || doc_id || ', a#5 and &#7; (#8)', '(?:^|[^\w&])#([0-9]+)', 1), ',') AS issues FROM documents")

@@ -228,18 +228,30 @@ def test_gold_checks_pass_vacuously_where_nothing_matches(spark):
     assert evaluation.scores(found).first().score == "1/2"
 
 
-def test_short_quotes_are_grounded_exactly(spark):
+@pytest.mark.parametrize("block", [60, 1_000_000])
+def test_quotes_of_any_length_are_grounded_exactly(spark, block):
     rng = random.Random(5)
     word = lambda: "".join(rng.choices("ab", k=rng.randint(1, 4)))
-    docs = [(n, " ".join(word() for _ in range(rng.choice([0, 1, 3, 12])))) for n in range(60)]
-    quotes = [(n, " ".join(word() for _ in range(1 + n % 7))) for n in range(1500)] + [(9000, " "), (9001, None), (9002, docs[7][1])]
-    found = facts.grounded_pairs(spark.createDataFrame(quotes, "q int, quote string"), spark.createDataFrame(docs, "d int, body string"), "q", "quote", "d", "body")
-    expected = {(q, d) for q, quote in quotes for d, body in docs if (quote or "").strip() and quote in body}
-    assert {(r.q, r.d) for r in found.collect()} == expected and len(expected) > 100
-    none = facts.grounded_pairs(spark.createDataFrame([], "q int, quote string"), spark.createDataFrame(docs, "d int, body string"), "q", "quote", "d", "body")
+    docs = [(f"d{n}", " ".join(word() for _ in range(rng.choice([0, 1, 3, 12])))) for n in range(60)] + [("none", None)]
+    most = 60 if block < 100 else 1500
+    quotes = [(n, " ".join(word() for _ in range(1 + n % 7))) for n in range(most)] + [(9000, " "), (9001, None), (9002, docs[7][1]), (9003, "a"), (9004, "a"), (9005, "é😀")]
+    docs.append(("odd", "x é😀 y"))
+    frame = spark.createDataFrame(docs, "d string, body string").repartition(3)
+    found = facts.grounded_pairs(spark.createDataFrame(quotes, "q int, quote string"), frame, "q", "quote", "d", "body", block)
+    assert found.dtypes == [("q", "int"), ("d", "string")]
+    expected = sorted((q, d) for q, quote in quotes for d, body in docs if (quote or "").strip() and quote in (body or ""))
+    assert sorted((r.q, r.d) for r in found.collect()) == expected and len(expected) > 100
+    none = facts.grounded_pairs(spark.createDataFrame([], "q int, quote string"), frame, "q", "quote", "d", "body")
     assert none.columns == ["q", "d"] and none.collect() == []
 
 
+def test_no_text_is_shuffled_to_ground_quotes(spark):
+    quotes = spark.createDataFrame([(1, "b c")], "q int, quote string")
+    frame = spark.createDataFrame([(1, "a b c d")], "d int, body string")
+    plan = facts.grounded_pairs(quotes, frame, "q", "quote", "d", "body")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "MapInArrow" in plan
+
+
 def test_numbers_and_budgets_over_ranges(spark):
     rows = [(k * 7 % 101, k % 3, k % 5 == 0) for k in range(101)]
     frame = spark.createDataFrame(rows, "n int, g int, marked boolean").repartition(5)
