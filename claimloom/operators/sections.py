@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import re
+from collections.abc import Callable, Iterator
 from html.parser import HTMLParser
+from urllib.parse import urldefrag, urljoin
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -68,92 +70,218 @@ def heading_versions(heading: Column, path: Column, resolved: Column) -> Column:
     return F.when(F.size(named) > 0, F.sort_array(F.array_distinct(inside)))
 
 
-class _Sections(HTMLParser):
-    """Headings and the text of paragraphs, lists, tables and code below them, without the page's frame."""
+# Fixed values of the markup language: elements without content, and those whose start ends an open paragraph.
+_EMPTY = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+_ENDS_PARAGRAPH = frozenset("address article aside blockquote div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr li main nav ol p pre section table ul".split())
+_HEADINGS = frozenset(f"h{n}" for n in range(1, 7))
+_FRAME = frozenset("script style nav footer header aside form".split())
+_WHOLE = frozenset(("li", "pre", "table"))
+_GUIDES, _FEEDS = re.compile("upgrad|migrat|changelog", re.I), ("application/rss+xml", "application/atom+xml")
 
-    FRAME = {"script", "style", "nav", "footer", "header", "aside", "form"}
-    BLOCKS = {"p", "pre", "li", "table", "h1", "h2", "h3", "h4", "h5", "h6"}
-    WHOLE = {"pre", "li", "table"}
 
-    def __init__(self) -> None:
+class _Tree(HTMLParser):
+    """A page as its nodes in order: tag (or none and a text), attributes, parent, and the number behind its last descendant.
+
+    Paragraphs are flat, as the language has them: one that the page does not close ends where the next block
+    starts; items and headings likewise. End tags without an open element are left out.
+    """
+
+    def __init__(self, page: str):
         super().__init__(convert_charrefs=True)
-        self.skip = 0
-        self.block, self.depth, self.words = "", 0, []
-        self.title, self.in_title = "", False
-        self.stack = [""] * _LEVELS
-        self.anchor = None
-        self.sections: list[dict] = [{"heading": None, "anchor": None, "path": [], "text": []}]
+        self.tags: list[str | None] = ["document"]
+        self.values: list = [{}]
+        self.parents, self.ends, self.open = [-1], [0], [0]
+        self.joint = False  # whether more text belongs to the last node
+        self.feed(page)
+        super().close()
+        for node in self.open:
+            self.ends[node] = len(self.tags)
+
+    def _end(self, tags: frozenset, within: frozenset = frozenset()) -> None:
+        """Ends the innermost open element of ``tags`` and what is open in it, unless one of ``within`` is met before."""
+        self.joint = False
+        for place in range(len(self.open) - 1, 0, -1):
+            tag = self.tags[self.open[place]]
+            if tag in tags:
+                while len(self.open) > place:
+                    self.ends[self.open.pop()] = len(self.tags)
+                return
+            if tag in within:
+                return
 
     def handle_starttag(self, tag: str, attributes: list) -> None:
-        if tag in self.FRAME:
-            self.skip += 1
-        elif tag == "title":
-            self.in_title = True
-        elif tag in self.BLOCKS and not self.skip:
-            if self.block in self.WHOLE and self.block:
-                self.depth += tag == self.block
-                return
-            self.close()
-            self.block, self.depth = tag, 1
-            self.anchor = dict(attributes).get("id")
-        elif self.block and self.anchor is None and tag == "a":
-            self.anchor = dict(attributes).get("id") or dict(attributes).get("name")
+        if tag in _ENDS_PARAGRAPH:
+            self._end(frozenset(("p",)), _WHOLE | {"blockquote", "td", "th"})
+        if tag == "li":
+            self._end(frozenset(("li",)), frozenset(("ul", "ol", "menu")))
+        if tag in _HEADINGS and self.tags[self.open[-1]] in _HEADINGS:
+            self._end(_HEADINGS)
+        own, self.joint = len(self.tags), False
+        self.tags.append(tag)
+        self.values.append({name: value or "" for name, value in reversed(attributes)})
+        self.parents.append(self.open[-1])
+        self.ends.append(own + 1)
+        if tag not in _EMPTY:
+            self.open.append(own)
+
+    def handle_startendtag(self, tag: str, attributes: list) -> None:
+        self.handle_starttag(tag, attributes)
+        if tag not in _EMPTY:
+            self._end(frozenset((tag,)))
 
     def handle_endtag(self, tag: str) -> None:
-        if tag in self.FRAME:
-            self.skip = max(0, self.skip - 1)
-        elif tag == "title":
-            self.in_title = False
-        elif tag == self.block:
-            self.depth -= 1
-            if self.depth == 0:
-                self.close()
+        self._end(frozenset((tag,)))
 
     def handle_data(self, data: str) -> None:
-        if self.in_title:
-            self.title += data
-        elif self.block and not self.skip and data.strip():
-            self.words.append(data.strip())
-
-    def close(self) -> None:  # also at the end of the page
-        text, block = " ".join(self.words), self.block
-        self.block, self.words = "", []
-        if not text or not block:
+        if self.joint:
+            self.values[-1] += data
             return
-        if block[0] == "h" and block[1:].isdigit():
-            level = int(block[1])
-            path = [h for h in self.stack[: level - 1] if h]
-            self.stack[level - 1 :] = [text] + [""] * (_LEVELS - level)
-            self.sections.append({"heading": text, "anchor": self.anchor, "path": path, "text": []})
-        else:
-            self.sections[-1]["text"].append(text)
+        self.joint = True
+        self.tags.append(None)
+        self.values.append(data)
+        self.parents.append(self.open[-1])
+        self.ends.append(len(self.tags))
+
+    def handle_comment(self, data: str) -> None:
+        self.joint = False
+
+    handle_decl = handle_pi = unknown_decl = handle_comment
+
+    def below(self, node: int, hidden: bool = False) -> Iterator[int]:
+        """The nodes inside of an element in order, without the page's frame unless that is asked for."""
+        at = node + 1
+        while at < self.ends[node]:
+            if not hidden and self.tags[at] in _FRAME:
+                at = self.ends[at]
+            else:
+                yield at
+                at += 1
+
+    def text(self, node: int, hidden: bool = False) -> str:
+        return " ".join(text for n in self.below(node, hidden) if self.tags[n] is None and (text := self.values[n].strip()))
+
+    def above(self, node: int) -> Iterator[int]:
+        while node > 0:
+            node = self.parents[node]
+            yield node
+
+    def first(self, wanted: Callable[[str, dict], bool], node: int = 0, hidden: bool = False) -> int | None:
+        return next((n for n in self.below(node, hidden) if self.tags[n] and wanted(self.tags[n], self.values[n])), None)
+
+
+def _is_main(tag: str, has: dict) -> bool:
+    return tag in ("main", "article") or has.get("role") == "main" or not {"chapter", "sect1"}.isdisjoint(has.get("class", "").split())
+
+
+class _Page:
+    """A page's title, its main part, sections, links and feeds."""
+
+    def __init__(self, page: str, url: str):
+        tree = self.tree = _Tree(page)
+        title = tree.first(lambda tag, _: tag == "title", hidden=True)
+        self.title = " ".join(tree.text(title, True).split()) if title else url
+        base = tree.first(lambda tag, has: tag == "base" and "href" in has, hidden=True)
+        self.base = _joined(url, tree.values[base]["href"]) if base else url
+        found = tree.first(_is_main)
+        self.main = found if found is not None else tree.first(lambda tag, _: tag == "body") or 0
+
+    def _anchor(self, node: int) -> str | None:
+        """Of a heading: its id, else that or the name of a link in it, else the id of what it stands in."""
+        tree = self.tree
+        if tree.values[node].get("id"):
+            return tree.values[node]["id"]
+        inner = tree.first(lambda tag, has: tag == "a" and "id" in has, node) or tree.first(lambda tag, has: tag == "a" and "name" in has, node)
+        if inner:
+            return tree.values[inner].get("id", tree.values[inner].get("name"))
+        return next((tree.values[n]["id"] for n in tree.above(node) if "id" in tree.values[n]), None)
+
+    def sections(self) -> list[tuple]:
+        """(heading, anchor, path, text) of each section with a text; one of the whole main part for a page without any."""
+        tree, out, stack, whole = self.tree, [], [""] * _LEVELS, 0
+        heading, anchor, path, texts = self.title, None, [], []
+        for node in tree.below(self.main):
+            tag = tree.tags[node]
+            if node < whole or not (tag in _HEADINGS or tag in _WHOLE or tag == "p"):
+                continue
+            if tag in _WHOLE:
+                whole = tree.ends[node]
+            text = tree.text(node)
+            if not text:
+                continue
+            if tag in _HEADINGS:
+                if texts:
+                    out.append((heading, anchor, path, "\n".join(texts)))
+                level = int(tag[1])
+                heading, anchor, path, texts = text, self._anchor(node), [h for h in stack[: level - 1] if h], []
+                stack[level - 1 :] = [text] + [""] * (_LEVELS - level)
+            else:
+                texts.append(text)
+        if texts:
+            out.append((heading, anchor, path, "\n".join(texts)))
+        rest = tree.text(self.main) if not out else ""
+        return out or ([(self.title, None, [], rest)] if rest else [])
+
+    def links(self) -> list[tuple]:
+        """(kind, address, label): navigation to guides, then what the main part links to, then feeds; addresses are whole."""
+        tree = self.tree
+        frames = [n for n in tree.below(0, True) if tree.tags[n] == "nav"]
+        told = [(n, tree.text(n, True)) for frame in frames if not any(tree.tags[n] == "nav" for n in tree.above(frame)) for n in tree.below(frame, True) if tree.tags[n] == "a" and "href" in tree.values[n]]
+        out = [("navigation", n, label) for n, label in told if _GUIDES.search(label)]
+        out += [("link", n, f"{tree.text(n)} {tree.values[n].get('title', '')}".strip()) for n in tree.below(self.main) if tree.tags[n] == "a" and "href" in tree.values[n]]
+        out += [("feed", n, "") for n in tree.below(0, True) if tree.tags[n] == "link" and "href" in tree.values[n] and tree.values[n].get("type") in _FEEDS]
+        return [(kind, _joined(self.base, tree.values[n]["href"]), label) for kind, n, label in out]
+
+
+def _joined(base: str, href: str) -> str:
+    try:
+        return urljoin(base, href.strip())
+    except ValueError:  # an address that is none
+        return href
+
+
+def _of_pages(pages: DataFrame, key: str, html: str, url: str | None, columns: str, rows_of: Callable[[_Page, str], list[tuple]]) -> DataFrame:
+    kind = pages.select(F.col(key)).schema[0].dataType.simpleString()
+    schema = f"`{key}` {kind}, {columns}"
+    names = [key, *(c.split()[0] for c in columns.split(", "))]
+
+    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = []
+            for own, body, address in zip(batch["key"], batch["html"], batch["url"], strict=True):
+                out += [(own, n, *row) for n, row in enumerate(rows_of(_Page(body, address), address))]
+            yield pd.DataFrame(out, columns=names)
+
+    given = pages.select(F.col(key).alias("key"), F.coalesce(F.col(html), F.lit("")).alias("html"), F.coalesce(F.col(url), F.lit("")).alias("url") if url else F.lit("").alias("url"))
+    return given.mapInPandas(rows, schema)
 
 
-def html_sections(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
-    """key, section, heading, anchor, path and text of each section with a body; the first heading is the page's title.
+def html_sections(pages: DataFrame, key: str = "page_id", html: str = "html", url: str | None = None) -> DataFrame:
+    """key, section, heading, anchor, path, text and address of each section with a text.
 
-    Paragraphs are flat: one that the page does not close ends where the next block starts.
+    The main part alone is read (``main``, ``article``, a chapter, else the body), without the frame; the first heading is the
+    page's title, its address where it has none. The address is the page's with the anchor: a heading's own, that of a link in it, or the nearest above it.
+    A page without headings and paragraphs is one section. Null pages have none.
     """
 
-    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = []
-            for own, body in zip(batch[key], batch[html], strict=True):
-                parser = _Sections()
-                parser.feed(body or "")
-                parser.close()
-                title = " ".join(parser.title.split())
-                kept = [s for s in parser.sections if s["text"]]
-                out += [(own, n, title if s["heading"] is None else s["heading"], s["anchor"], s["path"], "\n".join(s["text"])) for n, s in enumerate(kept)]
-            yield pd.DataFrame(out, columns=[key, "section", "heading", "anchor", "path", "text"])
+    def rows(page: _Page, address: str) -> list[tuple]:
+        whole = urldefrag(address)[0]
+        return [(*s, f"{whole}#{s[1]}" if s[1] else whole) for s in page.sections()]
 
-    return pages.select(key, html).mapInPandas(rows, f"{key} bigint, section int, heading string, anchor string, path array<string>, text string")
+    return _of_pages(pages, key, html, url, "section int, heading string, anchor string, path array<string>, text string, address string", rows)
+
+
+def html_links(pages: DataFrame, key: str = "page_id", html: str = "html", url: str | None = None) -> DataFrame:
+    """key, place, kind (``navigation``, ``link``, ``feed``), address and label of what a page leads to.
+
+    Addresses are resolved against the page's base; of the navigation only links to guides count, a label has the link's title.
+    """
+    return _of_pages(pages, key, html, url, "place int, kind string, address string, label string", lambda page, _: page.links())
 
 
 def links(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
-    """key, place and href of every link of a page, by pattern."""
-    found = F.regexp_extract_all(F.col(html), F.lit(r'<a\s[^>]*?href="([^"]*)"'), F.lit(1))
-    return pages.select(key, F.posexplode(found).alias("place", "href"))
+    """key, place and href of every link of a page, by pattern: as it is written, in quotes of either kind or none."""
+    found = F.regexp_extract_all(F.col(html), F.lit("(?i)<a\\s(?:[^>]*?\\s)?href\\s*=\\s*(\"[^\"]*\"|'[^']*'|[^\\s>\"']+)"), F.lit(1))
+    return pages.select(key, F.posexplode(found).alias("place", "href")).withColumn("href", F.regexp_replace("href", "^[\"']|[\"']$", ""))
 
 
 def page_title(html: Column) -> Column:

