@@ -6,7 +6,8 @@ without a table and without a shuffle. A bijection is P⁻¹(P(x) + s): P is a k
 Feistel permutation of the form's values and s is not zero, so nothing stays as it is.
 
 * Letters keep their script, case and kind (vowel or consonant, in the scripts that have
-  an alphabet below), digits stay digits, and every other character stays, so formats hold.
+  an alphabet below), digits stay digits of their script, and every other character stays, so formats hold. Numbers
+  are the same entity in digits of any script. Signs of a secret with fewer than eight letters and digits change as well.
 * A bare run of digits is a card number only if its check digit is right, a grouped one in
   any case; card numbers keep their check digit right, or as wrong as it was; IBANs
   keep their country and get the check digits that belong to the new number.
@@ -19,7 +20,8 @@ Feistel permutation of the form's values and s is not zero, so nothing stays as
 Collision checks: families of forms never map into each other (no surname becomes a listed
 given name, no plain secret a prefixed or hexadecimal one, no domain a reserved one).
 ``surrogates`` still compares all entities of a text, and one that would share another's
-surrogate takes the next under a key of its own. ``audit`` counts, for a corpus and by
+surrogate takes the next under a key of its own. What no alphabet can change (a name in a script without one) becomes its kind
+and a keyed hash, so nothing that is found stays. ``audit`` counts, for a corpus and by
 kind, distinct originals, distinct surrogates, entities left unchanged, and surrogates that
 are also originals.
 
@@ -88,6 +90,10 @@ def _letter_classes() -> dict[str, str]:
             if category == "Ll" and "Lu" in groups:
                 letters = [c for c in letters if c.upper() in groups["Lu"]]
             found |= dict.fromkeys(letters, "".join(letters))
+    for zero in (c for c in map(chr, range(0x80, 0x110000)) if unicodedata.decimal(c, None) == 0):
+        digits = "".join(chr(ord(zero) + n) for n in range(10))
+        if all(unicodedata.decimal(c, None) == n for n, c in enumerate(digits)):
+            found |= dict.fromkeys(digits, digits)
     return found
 
 
@@ -144,19 +150,19 @@ def permuted(key: bytes, tweak: str, value: int, size: int, allowed: Callable[[i
             return value
 
 
-def reshaped(key: bytes, kind: str, text: str, allowed: Callable[[str], bool] | None = None) -> str:
-    """``text`` with each letter and digit replaced within its alphabet, as one bijection on (allowed) texts of its form."""
+def reshaped(key: bytes, kind: str, text: str, allowed: Callable[[str], bool] | None = None, signs: str = "") -> str:
+    """``text`` with each letter, digit and sign of ``signs`` replaced within its alphabet, as one bijection on (allowed) texts of its form."""
     value, size, form = 0, 1, []
     for c in text:
-        own = _CLASS.get(c)
+        own = _CLASS.get(c) or (signs if c in signs else None)
         form.append(own or c)
         if own:
-            value, size = value * len(own) + _PLACES[own][c], size * len(own)
+            value, size = value * len(own) + (own.index(c) if own is signs else _PLACES[own][c]), size * len(own)
 
     def spelled(value: int) -> str:
         out = []
         for c, own in zip(reversed(text), reversed(form), strict=True):
-            if c in _CLASS:
+            if c in _CLASS or c in signs:
                 value, digit = divmod(value, len(own))
                 c = own[digit]
             out.append(c)
@@ -168,10 +174,15 @@ def reshaped(key: bytes, kind: str, text: str, allowed: Callable[[str], bool] |
     return spelled(permuted(key, f"{kind}:{shape}", value, size, allowed and (lambda x: allowed(spelled(x)))))
 
 
+def _plain(text: str) -> str:
+    """The digits of ``text``, in whatever script, as ASCII digits."""
+    return "".join(str(unicodedata.decimal(c)) for c in text if c.isdecimal())
+
+
 def _laid(digits: str, like: str) -> str:
-    """``digits`` put where ``like`` has digits."""
+    """ASCII ``digits`` put where ``like`` has digits, in their scripts."""
     rest = iter(digits)
-    return "".join(next(rest) if c.isdigit() else c for c in like)
+    return "".join(chr(ord(c) - unicodedata.decimal(c) + int(next(rest))) if c.isdecimal() else c for c in like)
 
 
 def _luhn(digits: str) -> int:
@@ -181,7 +192,7 @@ def _luhn(digits: str) -> int:
 
 
 def card(key: bytes, text: str) -> str:
-    digits = "".join(c for c in text if c.isdigit())
+    digits = _plain(text)
     wrong = (int(digits[-1]) - _luhn(digits[:-1])) % 10
     head = reshaped(key, "card", digits[:-1])
     return _laid(head + str((_luhn(head) + wrong) % 10), text)
@@ -206,12 +217,16 @@ _COUNTRY_CODES = re.compile(r"[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]
 
 def phone(key: bytes, text: str) -> str:
     """The country code after a plus stays; it follows from the digits, whatever signs stand between them."""
-    digits = "".join(c for c in text if c.isdigit())
+    digits = _plain(text)
     code = _COUNTRY_CODES.match(digits) if text.startswith("+") else None
     kept = code[0] if code else ""
     return _laid(kept + reshaped(key, "phone" + kept, digits[len(kept) :]), text)
 
 
+def ssn(key: bytes, text: str) -> str:
+    return _laid(_plain(reshaped(key, "ssn", re.sub(r"\d", lambda d: str(unicodedata.decimal(d[0])), text))), text)
+
+
 #: Networks with their length: addresses in one stay there, all others stay outside of all.
 _NETWORKS = ((0x0A000000, 8), (0x7F000000, 8), (0xAC100000, 12), (0xC0A80000, 16), (0xA9FE0000, 16), (0x00000000, 8), (0xE0000000, 3))
 
@@ -230,7 +245,8 @@ def ipv4(key: bytes, text: str) -> str:
         new = own[0] | permuted(key, f"ip{own[0]}", address & (size - 1), size)
     else:
         new = permuted(key, "ip", address, 1 << 32, lambda x: _network(x) is None)
-    return ".".join(str(new >> s & 255) for s in (24, 16, 8, 0))
+    zero = ord(text[0]) - unicodedata.decimal(text[0])  # of the script that the address begins in
+    return ".".join(str(new >> s & 255) for s in (24, 16, 8, 0)).translate({48 + n: zero + n for n in range(10)})
 
 
 def email(key: bytes, text: str) -> str:
@@ -269,6 +285,8 @@ def person(key: bytes, text: str) -> str:
     return "".join(out)
 
 
+# Signs that secrets may have.
+_SIGNS = "_-+/"
 _HEXADECIMAL = re.compile(r"[0-9a-f]+|[0-9A-F]+")
 # Prefixes by which services mark their secrets.
 _PREFIX = re.compile(r"AKIA|gh[pousr]_|sk-|xox[abpr]-")
@@ -281,7 +299,9 @@ def secret(key: bytes, text: str) -> str:
         return new.upper() if text != text.lower() else new
     prefix = _PREFIX.match(text)
     kept = prefix[0] if prefix else ""
-    return kept + reshaped(key, "secret" + kept, text[len(kept) :], None if kept else lambda x: not (_PREFIX.match(x) or _HEXADECIMAL.fullmatch(x)))
+    rest = text[len(kept) :]
+    signs = _SIGNS if sum(c not in _SIGNS for c in rest) < 8 else ""
+    return kept + reshaped(key, "secret" + kept, rest, None if kept else lambda x: not (_PREFIX.match(x) or _HEXADECIMAL.fullmatch(x)), signs)
 
 
 _NAME = r"[^\W\d_]+(?:[-'’][^\W\d_]+)*"
@@ -294,10 +314,10 @@ PATTERNS: tuple[tuple[str, re.Pattern, Callable[[bytes, str], str]], ...] = (
     ("email", re.compile(r"[A-Za-z0-9](?:[A-Za-z0-9._%+-]*[A-Za-z0-9_%+-])?@(?:[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?\.)+[A-Za-z]{2,}"), email),
     ("secret", re.compile(r"(?<![A-Za-z0-9])(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{20,}|sk-[A-Za-z0-9-]{16,}|xox[abpr]-[A-Za-z0-9-]{10,}|(?=[0-9a-f]*[a-f])(?=[0-9a-f]*\d)[0-9a-f]{32,}|(?=[0-9A-F]*[A-F])(?=[0-9A-F]*\d)[0-9A-F]{32,})(?![A-Za-z0-9])"), secret),
     ("secret", re.compile(r"(?i:\b(?:password|passwd|secret|token|api[_-]?key)\b\s*[=:]\s*[\"']?)([A-Za-z0-9_\-+/]{8,})"), secret),
-    ("iban", re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"), iban),
-    ("ip", re.compile(r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)\.){3}(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)(?![\d]|\.\d)"), ipv4),
+    ("iban", re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"), iban),
+    ("ip", re.compile(r"(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?![\d]|\.\d)"), ipv4),
     ("card", re.compile(r"(?<!\d)(?:\d{4}[ -]\d{4}[ -]\d{4}[ -]\d{1,7}|\d{13,19})(?!\d)"), card),
-    ("ssn", re.compile(r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"), lambda key, text: reshaped(key, "ssn", text)),
+    ("ssn", re.compile(r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"), ssn),
     ("phone", re.compile(r"(?<![\w+])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{1,4}(?:[ .-]?\d{2,4}){1,4}|\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}|\d{3}[ .-]\d{3}[ .-]\d{4})(?!\d)"), phone),
     ("person", _TITLED, person),
     ("person", _GIVEN, person),
@@ -307,7 +327,7 @@ _TITLE_WORD = re.compile(rf"(?<!\w)(?:{'|'.join(map(re.escape, TITLES))})\.?[ ]"
 
 def _canonical(kind: str, text: str) -> str:
     if kind in ("phone", "card", "ssn"):
-        return "+" * text.startswith("+") + re.sub(r"\D", "", text)
+        return "+" * text.startswith("+") + _plain(text)
     if kind == "iban":
         return text.replace(" ", "")
     return text.lower() if kind in ("email", "person") else text
@@ -329,55 +349,73 @@ def _whole_name(text: str, start: int, end: int) -> int:
     return owner.start() if owner else end
 
 
-def _repeats(text: str, taken: list[tuple[int, int, str, Callable]]) -> list[tuple[int, int, str, Callable[[bytes, str], str]]]:
-    """Words of the names in ``taken`` that stand elsewhere in the text, capitalized or in capitals."""
+_WORD, _JOINT = re.compile(r"\w+(?:[-'’]\w+)*"), re.compile(r"[-'’]")
+
+
+def _repeats(text: str, taken: list[tuple[int, int, str, Callable]]) -> Iterator[tuple[int, int, str, Callable[[bytes, str], str]]]:
+    """Words of the names in ``taken`` that stand elsewhere in the text, capitalized or in capitals; of joined words the longest."""
     words = {w for start, end, kind, _ in taken if kind == "person" for w in text[start:end].split() if len(w) > 1 and w not in TITLES}
-    if not words:
-        return []
-    forms = sorted({f for w in words for f in (w, w.title(), w.upper())}, key=len, reverse=True)
-    pattern = re.compile(rf"(?<!\w)(?:{'|'.join(map(re.escape, forms))})(?!\w)")
-    return [(*match.span(), "person", person) for match in pattern.finditer(text)]
+    forms = {f for w in words for f in (w, w.title(), w.upper())}
+    most = max((len(_JOINT.split(f)) for f in forms), default=0)
+    for match in _WORD.finditer(text) if forms else ():
+        joints = [match.start() - 1, *(j.start() for j in _JOINT.finditer(text, *match.span())), match.end()]
+        at = 0
+        while at < len(joints) - 1:
+            start = joints[at] + 1
+            last = next((n for n in range(min(at + most, len(joints) - 1), at, -1) if text[start : joints[n]] in forms), None)
+            if last:
+                yield start, joints[last], "person", person
+            at = last or at + 1
 
 
 def entities(text: str) -> list[tuple[int, int, str, Callable[[bytes, str], str]]]:
-    """(start, end, kind, surrogate function) of every entity, in order and without overlaps."""
+    """(start, end, kind, surrogate function) of every entity, in order and without overlaps: what an earlier pattern takes, a later one leaves."""
     numbers = re.search(r"\d", text) is not None
-    found: list[tuple[int, int, str, Callable]] = []
+    taken: list[tuple[int, int, str, Callable]] = []
+
+    def take(found: Iterator[tuple[int, int, str, Callable]]) -> None:
+        starts, more, behind = [s for s, _, _, _ in taken], [], 0
+        for one in found:
+            at = bisect(starts, one[0])
+            if one[0] >= behind and (not at or taken[at - 1][1] <= one[0]) and (at == len(starts) or one[1] <= starts[at]):
+                more.append(one)
+                behind = one[1]
+        if more:
+            taken.extend(more)
+            taken.sort(key=lambda x: x[0])
+
     for kind, pattern, change in PATTERNS:
         if kind == "email" and "@" not in text or kind in ("iban", "ip", "card", "ssn", "phone") and not numbers:
             continue
         if pattern is _TITLED and not _TITLE_WORD.search(text):
             continue
-        for match in pattern.finditer(text):
-            start, end = match.span()
-            if pattern is _TITLED or pattern.groups and kind == "secret":
-                start, end = match.span(1)
-            if kind == "person":
-                words = text[start:end].split()
-                if not all(map(_capital, words)):
-                    if pattern is not _TITLED or not _capital(words[0]):
-                        continue
-                    end = start + len(words[0])
-                end = _whole_name(text, start, end)
-            if kind == "iban" and _mod97(text[start:end].replace(" ", "")[4:] + text[start : start + 4]) != 1:
-                continue
-            if kind == "card" and text[start:end].isdigit() and _luhn(text[start : end - 1]) != int(text[end - 1]):
-                continue
-            if kind == "phone" and not 7 <= sum(c.isdigit() for c in text[start:end]) <= 15:
-                continue
-            found.append((start, end, kind, change))
-    found.sort(key=lambda x: [k for k, _, _ in PATTERNS].index(x[2]))
-    taken: list[tuple[int, int, str, Callable]] = []
-    for one in found:
-        if all(one[1] <= s or e <= one[0] for s, e, _, _ in taken):
-            taken.append(one)
-    taken.sort(key=lambda x: x[:2])
-    starts = [s for s, _, _, _ in taken]
-    for one in _repeats(text, taken):
-        at = bisect(starts, one[0])
-        if (not at or taken[at - 1][1] <= one[0]) and (at == len(starts) or one[1] <= starts[at]):
-            taken.append(one)
-    return sorted(taken, key=lambda x: x[:2])
+        take(_matches(text, kind, pattern, change))
+    take(_repeats(text, list(taken)))
+    return taken
+
+
+def _matches(text: str, kind: str, pattern: re.Pattern, change: Callable[[bytes, str], str]) -> Iterator[tuple[int, int, str, Callable]]:
+    for match in pattern.finditer(text):
+        start, end = match.span()
+        if pattern is _TITLED or pattern.groups and kind == "secret":
+            start, end = match.span(1)
+        if kind == "person":
+            words = text[start:end].split()
+            if not all(map(_capital, words)):
+                if pattern is not _TITLED or not _capital(words[0]):
+                    continue
+                end = start + len(words[0])
+            end = _whole_name(text, start, end)
+        own = text[start:end]
+        if kind == "iban" and _mod97(own.replace(" ", "")[4:] + own[:4]) != 1:
+            continue
+        if kind == "ip" and not all(int(part) < 256 and len(str(int(part))) == len(part) for part in own.split(".")):
+            continue
+        if kind == "card" and own.isdecimal() and _luhn(own[:-1]) != int(own[-1]):
+            continue
+        if kind == "phone" and not 7 <= sum(map(str.isdecimal, own)) <= 15:
+            continue
+        yield start, end, kind, change
 
 
 def surrogates(text: str, key: bytes) -> tuple[str, list[tuple[str, str, str]]]:
@@ -393,6 +431,8 @@ def surrogates(text: str, key: bytes) -> tuple[str, list[tuple[str, str, str]]]:
         while owners.setdefault((kind, _canonical(kind, new)), name) != name:
             tries += 1
             new = change(blake2b(key, person=b"retry", salt=tries.to_bytes(8, "big"), digest_size=32).digest(), old)
+        if new == old:
+            new = f"{kind}-{blake2b(name.encode(), key=key, digest_size=8).hexdigest()}"
         parts += [text[at:start], new]
         changed.append((kind, old, new))
         at = end

@@ -1,5 +1,8 @@
+import itertools
 import random
 import re
+import time
+import unicodedata
 
 import pytest
 
@@ -174,3 +177,41 @@ def test_frames(spark):
     for r in audit.values():
         assert r.n_originals == r.n_surrogates > 10 and r.n_unchanged == 0
     assert q.pseudonymized(docs.limit(0), KEY).collect() == [] and q.audit(docs.limit(0), KEY).collect() == []
+
+
+def test_digits_of_all_scripts_change_in_their_script():
+    zeros = [c for c in map(chr, range(0x110000)) if unicodedata.decimal(c, None) == 0]
+    assert len(zeros) > 60
+    texts = ["+44 20 7946 0958", "123-45-6789", "4111 1111 1111 1111", "8.8.8.8", "192.168.17.9", "(030) 5557 7713"]
+    for zero in zeros:
+        for text in texts:
+            told = text.translate({48 + n: ord(zero) + n for n in range(10)})
+            new, changed = q.surrogates(f"x {told} y", KEY)
+            plain = q.surrogates(f"x {text} y", KEY)[1]
+            assert [k for k, _, _ in changed] == [k for k, _, _ in plain] != []
+            assert all(a != b for _, a, b in changed) and told not in new
+            # One number in any digits is one entity: its surrogate has the same digits, in their script.
+            assert [b for _, _, b in changed] == [b.translate({48 + n: ord(zero) + n for n in range(10)}) for _, _, b in plain], (told, new)
+    valid = q.surrogates("٤١١١ ١١١١ ١١١١ ١١١١", KEY)[1][0][2]
+    assert q._luhn(q._plain(valid)[:-1]) == int(q._plain(valid)[-1])
+
+
+def test_nothing_that_is_found_stays():
+    for text in ("token = ------------", "password: ________a", "secret=+/+/+/+/", "sk-------------------", "Dr. Ⲁⲃⲅ spoke", "Mr 𐐀𐐨𐐩 left", "api_key: AAAAAAAA"):
+        new, changed = q.surrogates(text, KEY)
+        assert changed and all(a != b for _, a, b in changed) and changed[0][1] not in new, (text, new)
+    signs = {"".join(x) for x in itertools.product(q._SIGNS, repeat=4)}
+    assert {q.secret(KEY, x) for x in signs} == signs
+
+
+def test_many_entities_in_one_text():
+    text = "".join(f"Anna Keller{chr(97 + n % 26)} a{n}@mail{n % 7}.net 10.{n % 256}.{n // 256 % 256}.7 +1 555 {n % 900 + 100} {n % 9000 + 1000}; " for n in range(50_000))
+    began = time.perf_counter()
+    found = q.entities(text)
+    assert len(found) == 200_000 and time.perf_counter() - began < 30
+    assert all(a[1] <= b[0] for a, b in itertools.pairwise(found))
+
+
+def test_joined_words_of_names():
+    text = "Anna Keller-Jung met Keller-Jung, KELLER-JUNG, Keller-Jung-Platz and Keller; Hans Jung. Jung-fer"
+    assert [a for _, a, _ in q.surrogates(text, KEY)[1]] == ["Anna Keller-Jung", "Keller-Jung", "KELLER-JUNG", "Keller-Jung", "Hans Jung", "Jung"]
