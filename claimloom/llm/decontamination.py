@@ -24,8 +24,8 @@ of a copy within the limit, some part is within its own.
 No row is shuffled. The items are collected in blocks of at most ``BLOCK_BYTES`` of
 text, each searched in a pass of its own, so what is sent to executors is bounded.
 
-Items of fewer than ``LEAST_WORDS`` words, of which no edit is allowed and which stand in
-clean prose as well, are found only where they are a document's whole text.
+Of items of fewer than ``LEAST_WORDS`` words no edit is allowed; they are searched exactly, by the hash of every run of
+their length. As such runs stand in clean prose as well, ``clean`` counts them only where they are a document's whole text, unless ``short`` is set.
 
 Defined results: null and empty items find nothing; a null or empty document has no hit; repeated rows are reported once each;
 items that are repeated under one id count once; null item ids are ignored; null
@@ -102,7 +102,13 @@ class Matcher:
         for i, w in named:
             if 0 < len(w) < LEAST_WORDS:
                 self.short.setdefault(w, []).append(i)
-        vocabulary = {w: n + 1 for n, w in enumerate(sorted({w for _, ws in self.items for w in ws}))}
+        long_words = sorted({w for _, ws in self.items for w in ws})
+        vocabulary = {w: n + 1 for n, w in enumerate([*long_words, *sorted({w for ws in self.short for w in ws}.difference(long_words))])}
+        self.runs: dict[int, tuple[np.ndarray, list[tuple[bytes, ...]]]] = {}  # by length: sorted keys of short items, and their words
+        for length in sorted({len(w) for w in self.short}):
+            own = [w for w in self.short if len(w) == length]
+            keys = np.concatenate([self._block_keys(np.array([vocabulary[x] for x in w], np.int32), length) for w in own])
+            self.runs[length] = np.sort(keys), [own[k] for k in np.argsort(keys)]
         self.size = len(vocabulary) + 1
         self.coded = [[vocabulary[w] for w in ws] for _, ws in self.items]
         self.vocabulary = vocabulary
@@ -291,8 +297,20 @@ class Matcher:
                     out.add((max(first, at - offset), part))
         return out
 
-    def find(self, texts: list[bytes], symbols_of: Memo) -> list[tuple[int, int, int, int, int, int]]:
-        """(text, item id, distance, item words, start, end) of the closest copy of each item in each text."""
+    def _exact(self, symbols: np.ndarray, inside: bool) -> Iterator[tuple[int, int, int]]:
+        """(item id, start, end) of the first run of each short item; without ``inside``, of one that is the whole text."""
+        for length, (keys, words) in self.runs.items():
+            if len(symbols) < length or not inside and len(symbols) > length:
+                continue
+            found, first = np.unique(self._block_keys(symbols, length), return_index=True)
+            at = np.searchsorted(found, keys)
+            for key, place, own in zip(keys, at, words, strict=True):
+                if place < len(found) and found[place] == key:
+                    for item_id in self.short[own]:
+                        yield item_id, int(first[place]), int(first[place]) + length
+
+    def find(self, texts: list[bytes], symbols_of: Memo, short: bool = True) -> list[tuple[int, int, int, int, int, int]]:
+        """(text, item id, distance, item words, start, end) of the closest copy of each item in each text; of short ones inside of it if ``short``."""
         hits: dict[tuple[int, int], tuple] = {}
         best: dict[tuple[int, int], tuple[int, int, int]] = {}
         held: list[np.ndarray] = []
@@ -329,9 +347,8 @@ class Matcher:
         for n, text in enumerate(texts):
             found = np.concatenate([np.fromiter(map(symbols_of.__getitem__, part.split()), np.int32) for part in segments(text)])
             found = found[found >= 0]
-            if len(found) < LEAST_WORDS:
-                for item_id in self.short.get(tuple(words_of(text)), ()):
-                    hits[n, item_id] = (0, 0, len(found), len(found))
+            for item_id, start, end in self._exact(found, short):
+                hits[n, item_id] = (0, start, end, end - start)
             reach = 2 * self.longest + 2 * PART_WORDS
             for at in range(0, max(1, len(found) - reach), SEGMENT):
                 part = found[at : at + SEGMENT + reach]
@@ -371,8 +388,8 @@ def matchers(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> Iterator[M
         yield Matcher([(r.item_id, r.text.encode()) for r in items.filter(block == k).collect()])
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """doc_id, item_id, distance, item_words, start_word, end_word for every document and item within the limit."""
+def contaminated(docs: DataFrame, benchmark: DataFrame, short: bool = True) -> DataFrame:
+    """doc_id, item_id, distance, item_words, start_word, end_word for every document and item within the limit; ``short``: short items inside of texts too."""
     source = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_of().alias("text"))
     names = [field.split()[0] for field in _HITS.split(", ")]
     types = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64())
@@ -383,7 +400,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             own = kept(("symbols", shared.value.mark), shared.value.symbols)
             for batch in portions(batches, holding=True):
                 ids = batch.column(0).to_pylist()
-                found = [(ids[n], *hit) for n, *hit in shared.value.find(utf8(batch.column(1)), own)]
+                found = [(ids[n], *hit) for n, *hit in shared.value.find(utf8(batch.column(1)), own, short)]
                 columns = list(zip(*found, strict=True)) or [()] * len(names)
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
 
@@ -394,15 +411,15 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     return found
 
 
-def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs``, unchanged, that hold no copy of a benchmark item."""
+def clean(docs: DataFrame, benchmark: DataFrame, short: bool = False) -> DataFrame:
+    """The rows of ``docs``, unchanged, that hold no copy of a benchmark item; with ``short``, none of a short one inside either."""
     place = docs.columns.index("text")
     for shared in map(docs.sparkSession.sparkContext.broadcast, matchers(benchmark)):
 
         def rows(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             own = kept(("symbols", shared.value.mark), shared.value.symbols)
             for batch in portions(batches, holding=True):
-                hit = {n for n, *_ in shared.value.find([t or b"" for t in utf8(batch.column(place))], own)}
+                hit = {n for n, *_ in shared.value.find([t or b"" for t in utf8(batch.column(place))], own, short)}
                 yield batch.filter(pa.array([n not in hit for n in range(batch.num_rows)], pa.bool_()))
 
         docs = docs.mapInArrow(rows, docs.schema)

@@ -60,17 +60,18 @@ def brute(items, docs):
         words = [code(w) for w in q.words_of((text or "").encode())]
         for i, own in items:
             best, _ = q.nearest([code(w) for w in own], words)
-            if len(own) >= q.LEAST_WORDS and best <= q.allowed(len(own)):
+            if own and best <= q.allowed(len(own)):
                 out[d, i] = best
     return out
 
 
 def test_against_brute_force(spark, case):
     items, docs, _ = case
-    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in items] + [(900, None), (901, "w1 w2"), (None, "w1 w2 w3 w4 w5 w6"), (0, " ".join(items[0][1]))], "item_id bigint, text string")
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in items] + [(900, None), (901, "w1 W2!"), (None, "w1 w2 w3 w4 w5 w6"), (0, " ".join(items[0][1]))], "item_id bigint, text string")
     rows = [(d, t, 1, "x") for d, t in docs] + [(1000, None, 1, "x"), (1001, "", 1, "x")]
     frame = spark.createDataFrame(rows, "doc_id bigint, text string, item_id int, distance string")
     found = {(r.doc_id, r.item_id): r for r in q.contaminated(frame, bench).collect()}
+    items = [*items, (901, ["w1", "w2"])]
     expected = brute([(i, q.words_of(' '.join(w).encode())) for i, w in items], docs)
     assert set(found) <= set(expected)
     texts = dict(docs)
@@ -85,7 +86,8 @@ def test_against_brute_force(spark, case):
     assert len(found) >= 0.95 * len(expected) > 100
     stay = q.clean(frame, bench)
     assert stay.columns == frame.columns
-    assert sorted(r.doc_id for r in stay.collect()) == sorted({r[0] for r in rows} - {d for d, _ in found})
+    assert sorted(r.doc_id for r in stay.collect()) == sorted({r[0] for r in rows} - {d for d, i in found if i != 901})
+    assert {r.doc_id for r in q.clean(frame, bench, short=True).collect()} == {r[0] for r in rows} - {d for d, _ in found}
 
 
 def test_blocks_and_segments(spark, case, monkeypatch):
@@ -142,8 +144,9 @@ def test_driver_rows_against_brute_force(spark):
 def test_items_under_five_words_are_whole_texts(spark):
     docs = spark.createDataFrame([(1, "Yes."), (2, "yes, and more"), (3, None), (4, "New  YORK\ncity"), (5, "")], "doc_id bigint, text string")
     bench = spark.createDataFrame([(1, "yes"), (2, "new york city"), (3, ""), (4, None), (5, "YES!")], "item_id bigint, text string")
-    found = {(r.doc_id, r.item_id): (r.distance, r.item_words, r.start_word, r.end_word) for r in q.contaminated(docs, bench).collect()}
+    found = {(r.doc_id, r.item_id): (r.distance, r.item_words, r.start_word, r.end_word) for r in q.contaminated(docs, bench, short=False).collect()}
     assert found == {(1, 1): (0, 1, 0, 1), (1, 5): (0, 1, 0, 1), (4, 2): (0, 3, 0, 3)}
+    assert {(r.doc_id, r.item_id) for r in q.contaminated(docs, bench).collect()} == {*found, (2, 1), (2, 5)}
     assert sorted(r.doc_id for r in q.clean(docs, bench).collect()) == [2, 3, 5]
 
 
@@ -151,10 +154,19 @@ def test_texts_shorter_than_an_item_within_its_edits(spark):
     docs = spark.createDataFrame([(1, "one two three four"), (2, "one two three"), (3, "one two four five"), (4, "three four")], "doc_id bigint, text string")
     bench = spark.createDataFrame([(1, "one two three four five"), (2, "three four")], "item_id bigint, text string")
     found = {(r.doc_id, r.item_id): r.distance for r in q.contaminated(docs, bench).collect()}
-    assert found == {(1, 1): 1, (3, 1): 1, (4, 2): 0}
+    assert found == {(1, 1): 1, (1, 2): 0, (3, 1): 1, (4, 2): 0}
 
 
 def test_empty_tables(spark):
     docs, bench = (spark.createDataFrame(r, f) for r, f in (([(1, "a b c d e f")], "doc_id bigint, text string"), ([(1, "a b c d e f")], "item_id bigint, text string")))
     assert q.contaminated(docs.limit(0), bench).collect() == [] and q.contaminated(docs, bench.limit(0)).collect() == []
     assert q.clean(docs, bench).collect() == [] and q.clean(docs, bench.limit(0)).count() == 1
+
+
+def test_short_items_inside_texts():
+    matcher = q.Matcher([(1, b"Alpha"), (2, b"beta gamma"), (3, b"beta, gamma"), (4, b"a b c d"), (5, b"one two three four five six"), (6, b"two three")])
+    texts = [b"x Beta - gamma alpha. alpha", b"alpha", b"a b c", b"", b"?", b"a b c D! a b c d", b"one two three four five six", b"beta x gamma", b"gamma beta"]
+    found = {(t, i): (d, n, a, b) for t, i, d, n, a, b in matcher.find(texts, matcher.symbols())}
+    assert {k: v for k, v in found.items() if k[1] != 5} == {(0, 2): (0, 2, 1, 3), (0, 3): (0, 2, 1, 3), (0, 1): (0, 1, 3, 4), (1, 1): (0, 1, 0, 1), (5, 4): (0, 4, 0, 4), (6, 6): (0, 2, 1, 3)}
+    assert found[6, 5][0] == 0
+    assert {(t, i) for t, i, *_ in matcher.find(texts, matcher.symbols(), False)} == {(1, 1), (6, 5)}
