@@ -1,11 +1,12 @@
-"""Line dedup by winnowing: later copies of repeated runs are cut out of the texts.
+"""Line dedup by winnowing: later copies of repeated lines and runs are cut out of the texts.
 
-Lines between line feeds are paragraphs of any length here, and shared passages stand
-in the middle of them, so hashes of those lines would miss most repeats. A line is
-therefore the run of ``LINE`` words that starts at a word, as if the text were wrapped
-anew from there; every word but the last few starts one. Words are split at ASCII
-white space, which is ignored in comparisons. A window is ``MIN_WORDS`` words, that is
-``LINES`` neighbouring lines.
+Lines are taken in two ways. A wrapped line is the run of ``LINE`` words that starts at
+a word, as if the text were wrapped anew from there, since shared passages stand in the
+middle of paragraphs; every word but the last few starts one. A window is ``MIN_WORDS``
+words, that is ``LINES`` neighbouring wrapped lines. A true line ends at a line feed;
+a line of ``LINE_WORDS`` words or more counts alone, shorter ones together with as many lines
+behind them, and as many before them, as make so many words: a block. Blocks of ``MIN_WORDS`` or more are windows anyway. Words are split at
+ASCII white space, which is ignored in comparisons.
 
 1. Winnowing. Of every window the least line hash is selected, the leftmost on a tie, so
    windows with the same words select the same line: a mark. The windows that select one
@@ -16,8 +17,9 @@ white space, which is ignored in comparisons. A window is ``MIN_WORDS`` words, t
 3. Where a hash has spans that differ, as at both ends of a shared passage and around an
    edit, the match is extended word by word: the windows of the first mark of each
    span are joined by their own hashes, and all but the first of each are repeats.
-4. Repeats are deleted, so a word goes exactly if it lies in ``MIN_WORDS`` neighbouring
-   words that stand earlier in the order of documents, or earlier in the same text.
+4. Blocks of true lines are joined by their hashes; all but the first of each are repeats.
+5. Repeats are deleted, so a word goes exactly if it lies in ``MIN_WORDS`` neighbouring
+   words that stand earlier in the order of documents, or earlier in the same text, or in a block whose words are those of an earlier block.
    A match rests on 96 bits at least, and before words are deleted their hash is compared
    with the repeat's, so a text that only shares another's row key loses nothing.
 
@@ -50,6 +52,10 @@ from claimloom.llm.common import OWN, cut, portions, utf8
 LINE = 25
 MIN_WORDS = 50
 LINES = MIN_WORDS - LINE + 1
+#: Words of a true line that counts alone.
+LINE_WORDS = 10
+#: Marks the span of a block; below it stand its first word and, in six bits, its words.
+_BLOCK = 1 << 62
 #: Bits of a span for its number of windows, at most ``LINES``, above which its first word stands.
 _MORE = 5
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -100,17 +106,36 @@ def _range_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base
     return _mixed((running[ends] - running[starts]) * inverse[starts])
 
 
-def word_hashes(text: bytes) -> np.ndarray:
-    """A 64-bit hash of each word."""
-    parts, at = [], 0
+def worded(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit hash of each word, and the words at which lines begin that line feeds end."""
+    parts, places, at = [], [], 0
     while at < len(text):
         end = min(len(text), at + SEGMENT)
         while end < len(text) and _SOLID[text[end]]:  # a word that is longer stays whole
             end += 1
-        part = text[at:end]
-        parts.append(_range_hashes(np.frombuffer(part, np.uint8).astype(np.uint64) + np.uint64(1), *word_spans(part), _BASE))
+        raw = np.frombuffer(text[at:end], np.uint8)
+        starts, ends = word_spans(text[at:end])
+        places.append(np.searchsorted(starts, np.flatnonzero(raw == 10)) + sum(map(len, parts)))
+        parts.append(_range_hashes(raw.astype(np.uint64) + np.uint64(1), starts, ends, _BASE))
         at = end
-    return np.concatenate(parts) if parts else np.zeros(0, np.uint64)
+    return (np.concatenate(parts), np.concatenate(places)) if parts else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+
+
+def word_hashes(text: bytes) -> np.ndarray:
+    return worded(text)[0]
+
+
+def blocks(edges: np.ndarray, owners: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the blocks of lines between ``edges``, whose texts are ``owners``: from each line on, and up to each."""
+    last = len(edges) - 1
+    ends = np.searchsorted(edges, edges[:-1] + LINE_WORDS)
+    starts = np.searchsorted(edges, edges[1:] - LINE_WORDS, side="right") - 1
+    on, up = np.flatnonzero(ends <= last), np.flatnonzero(starts >= 0)
+    pairs = np.concatenate([np.stack([on, ends[on]], 1), np.stack([starts[up], up + 1], 1)])
+    pairs = pairs[owners[pairs[:, 0]] == owners[pairs[:, 1] - 1]] if len(pairs) else pairs
+    pairs = pairs[edges[pairs[:, 1]] - edges[pairs[:, 0]] < MIN_WORDS]
+    pairs = np.unique(pairs, axis=0)
+    return edges[pairs[:, 0]], edges[pairs[:, 1]]
 
 
 def line_hashes(words: np.ndarray, line: int = LINE) -> np.ndarray:
@@ -161,10 +186,11 @@ class Marked:
     """Marks of several texts: ``text`` (number), ``first`` and ``more`` (first window, and windows beyond it), ``line`` (hash), in order."""
 
     def __init__(self, texts: Sequence[bytes]):
-        found = [word_hashes(t) for t in texts]
+        found, feeds = zip(*map(worded, texts), strict=True) if texts else ((), ())
         sizes = np.array([len(w) for w in found], np.int64)
         self.words = np.concatenate(found) if found else np.zeros(0, np.uint64)
         self.starts = np.cumsum(sizes) - sizes
+        self.edges = np.unique(np.concatenate([[0, len(self.words)], self.starts, *(f + a for f, a in zip(feeds, self.starts, strict=True))]).astype(np.int64))
         if len(self.words) < MIN_WORDS:
             self.text = self.first = self.more = np.zeros(0, np.int64)
             self.line = np.zeros(0, np.uint64)
@@ -188,6 +214,14 @@ class Marked:
     def hashes(self) -> np.ndarray:
         return span_hashes(self.words, self.at, self.at + self.more + MIN_WORDS) if len(self.text) else np.zeros(0, np.uint64)
 
+    def blocks(self) -> tuple[np.ndarray, ...]:
+        """Text, span, hash by lines and own hash of every block."""
+        text = np.searchsorted(self.starts, self.edges[:-1], side="right") - 1
+        starts, ends = blocks(self.edges, text)
+        text = np.searchsorted(self.starts, starts, side="right") - 1
+        own = span_hashes(self.words, starts, ends)
+        return text, _BLOCK | (starts - self.starts[text]) << 6 | (ends - starts), _mixed(_range_hashes(self.words, starts, ends, _BASE) + np.uint64(1)), own
+
     def windows(self, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Text, first word, line hash and own hash of every window of the chosen marks."""
         counts = self.more[chosen] + 1
@@ -225,7 +259,9 @@ def without(text: bytes, spans: np.ndarray, checks: np.ndarray) -> tuple[bytes,
 
     A span counts only if the text's own words have its hash there.
     """
-    starts, ends = spans >> _MORE, (spans >> _MORE) + (spans & ((1 << _MORE) - 1)) + MIN_WORDS
+    block, rest = spans >= _BLOCK, spans & (_BLOCK - 1)
+    starts = np.where(block, rest >> 6, spans >> _MORE)
+    ends = starts + np.where(block, rest & 63, (spans & ((1 << _MORE) - 1)) + MIN_WORDS)
     words = word_hashes(text)
     held = ends <= len(words)
     starts, ends, checks = starts[held], ends[held], checks[held]
@@ -320,6 +356,8 @@ def _marks(docs: DataFrame) -> DataFrame:
                 marks = Marked(texts)
                 own, at = marks.hashes(), marks.text + first
                 held.add(marks.line, own & np.uint64(0xFFFFFFFF), doc[at], tag[at], marks.spans(), _check(own))
+                text, spans, line, own = marks.blocks()
+                held.add(line, own, doc[text + first], tag[text + first], spans, _check(own))
                 yield from held.rows(HELD)
         yield from held.rows()
 
@@ -425,13 +463,20 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     return found.select(*docs.columns)
 
 
-def oracle_sql(min_words: int = MIN_WORDS) -> str:
-    """DuckDB SQL for ``line_dedup`` over ``documents`` with one row per doc_id: by all windows of words, without marks or hashes."""
+def oracle_sql(min_words: int = MIN_WORDS, line_words: int = LINE_WORDS) -> str:
+    """DuckDB SQL for ``line_dedup`` over ``documents`` with one row per doc_id: by all windows of words and blocks of lines, without marks or hashes."""
     white = "\\x20\\x09-\\x0D"
     return f"""WITH t AS MATERIALIZED (SELECT doc_id, text, regexp_extract(text, '^[{white}]*') AS head, regexp_extract_all(text, '[^{white}]+[{white}]*') AS tokens, regexp_extract_all(text, '[^{white}]+') AS words FROM documents),
 w AS MATERIALIZED (SELECT doc_id, i, array_to_string(words[i : i + {min_words - 1}], ' ') AS gram FROM (SELECT doc_id, words, unnest(range(1, len(words) - {min_words - 2})) AS i FROM t WHERE len(words) >= {min_words})),
-later AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY gram ORDER BY doc_id, i) AS n FROM w) WHERE n > 1),
-gone AS MATERIALIZED (SELECT DISTINCT doc_id, unnest(range(i, i + {min_words})) AS place FROM later),
+lines AS MATERIALIZED (SELECT doc_id, n, last - size + 1 AS first, last FROM (SELECT doc_id, n, size, sum(size) OVER (PARTITION BY doc_id ORDER BY n) AS last FROM (
+  SELECT doc_id, unnest(range(1, len(parts) + 1)) AS n, unnest([len(regexp_extract_all(p, '[^{white}]+')) FOR p IN parts]) AS size FROM (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents))) WHERE size > 0),
+spans AS MATERIALIZED (
+  SELECT doc_id, first AS i, (SELECT min(b.last) FROM lines b WHERE b.doc_id = a.doc_id AND b.last >= a.first + {line_words - 1}) AS j FROM lines a
+  UNION SELECT doc_id, (SELECT max(b.first) FROM lines b WHERE b.doc_id = a.doc_id AND b.first <= a.last - {line_words - 1}) AS i, last AS j FROM lines a),
+blocks AS MATERIALIZED (SELECT s.doc_id, i, j, array_to_string(words[i : j], ' ') AS gram FROM spans s JOIN t USING (doc_id) WHERE i IS NOT NULL AND j IS NOT NULL AND j - i < {min_words - 1}),
+later AS (SELECT doc_id, i, i + {min_words - 1} AS j FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY gram ORDER BY doc_id, i) AS n FROM w) WHERE n > 1
+  UNION ALL SELECT doc_id, i, j FROM (SELECT doc_id, i, j, row_number() OVER (PARTITION BY gram ORDER BY doc_id, i) AS n FROM blocks) WHERE n > 1),
+gone AS MATERIALIZED (SELECT DISTINCT doc_id, unnest(range(CAST(i AS BIGINT), CAST(j AS BIGINT) + 1)) AS place FROM later),
 runs AS (SELECT doc_id, count(*) AS words, count_if(coalesce(before, -1) <> place - 1) AS runs FROM (SELECT *, lag(place) OVER (PARTITION BY doc_id ORDER BY place) AS before FROM gone) GROUP BY doc_id),
 kept AS (SELECT doc_id, string_agg(token, '' ORDER BY place) AS body FROM (SELECT doc_id, unnest(range(1, len(tokens) + 1)) AS place, unnest(tokens) AS token FROM t WHERE doc_id IN (SELECT doc_id FROM runs)) ANTI JOIN gone USING (doc_id, place) GROUP BY doc_id)
 SELECT t.doc_id, CASE WHEN r.doc_id IS NULL THEN t.text ELSE t.head || coalesce(k.body, '') END AS text, coalesce(r.words, 0) AS removed_words, coalesce(r.runs, 0) AS removed_runs

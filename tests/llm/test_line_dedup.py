@@ -1,5 +1,7 @@
+import itertools
 import random
 
+import duckdb
 import numpy as np
 import pytest
 
@@ -12,19 +14,29 @@ def phrase(rng, n):
     return [f"{rng.choice('bcdfgh')}{rng.choice('aeiou')}{rng.randrange(4000)}" for _ in range(n)]
 
 
+def plain_blocks(text):
+    """(first word, end) of the lines from each line on, and up to each, that make ten words."""
+    sizes = [n for line in text.split("\n") if (n := len(line.split()))]
+    edges = [0, *itertools.accumulate(sizes)]
+    out = {(a, next((b for b in edges if b >= a + 10), None)) for a in edges[:-1]} | {(next((a for a in reversed(edges) if a <= b - 10), None), b) for b in edges[1:]}
+    return sorted((a, b) for a, b in out if a is not None and b is not None and b - a < 50)
+
+
 def plain(texts):
-    """{key: text} with the same promises, by brute force over all 50-word windows in document order."""
-    seen, out = set(), {}
+    """{key: text} with the same promises, by brute force over all 50-word windows and all blocks of lines in document order."""
+    seen, blocks, out = set(), set(), {}
     for key, text in texts:
         words = (text or "").split()
         drop = [False] * len(words)
-        fresh = []
         for i in range(len(words) - 49):
             gram = tuple(words[i : i + 50])
             if gram in seen:
                 drop[i : i + 50] = [True] * 50
             seen.add(gram)
-            fresh.append(gram)
+        for a, b in plain_blocks(text or ""):
+            if tuple(words[a:b]) in blocks:
+                drop[a:b] = [True] * (b - a)
+            blocks.add(tuple(words[a:b]))
         out[key] = [w for w, d in zip(words, drop) if not d]
     return out
 
@@ -178,3 +190,36 @@ def test_common_line_in_many_contexts(spark):
 def test_empty_table(spark):
     docs = spark.createDataFrame([], FIELDS)
     assert q.line_dedup(docs).collect() == [] and q.deduplicated(docs).collect() == []
+
+
+def test_lines_against_brute_force(spark):
+    """Footers, headers and runs of short lines, between lines of their own."""
+    rng = random.Random(12)
+    shared = [" ".join(phrase(rng, n)) for n in (14, 10, 9, 3, 1, 25)]
+    few = ["\n".join(" ".join(phrase(rng, n)) for n in sizes) for sizes in ((3, 4, 5), (2, 2, 2, 2, 2), (12, 1), (1, 9, 1))]
+    docs = []
+    for i in range(150):
+        lines = [" ".join(phrase(rng, rng.choice([0, 1, 4, 12, 60]))) for _ in range(rng.choice([0, 1, 3, 6]))]
+        for _ in range(rng.choice([0, 1, 2, 3])):
+            lines.insert(rng.randrange(len(lines) + 1), rng.choice(shared + few))
+        docs.append((i, rng.choice(["\n", "\n\n", "\r\n", " \n\t"]).join(lines)))
+    found = {r.doc_id: r for r in q.line_dedup(spark.createDataFrame(docs, "doc_id bigint, text string").repartition(3)).collect()}
+    expected = plain(docs)
+    assert {i: (r.text or "").split() for i, r in found.items()} == expected
+    assert sum(r.removed_words for r in found.values()) > 500
+
+
+def test_a_footer_stays_once(spark):
+    rng = random.Random(3)
+    footer = " ".join(phrase(rng, 14))
+    docs = [(i, " ".join(phrase(rng, 70)) + f"\n{footer}\n" + ("" if i % 2 else f"tail{i} x{i}")) for i in range(20)]
+    found = q.line_dedup(spark.createDataFrame(docs, "doc_id bigint, text string").repartition(4)).collect()
+    assert sorted(r.doc_id for r in found if footer in r.text) == [0] and all(r.removed_words == 14 and r.removed_runs == 1 for r in found if r.doc_id)
+
+
+def test_twin_by_lines(spark):
+    connection = duckdb.connect()
+    connection.execute("CREATE VIEW documents AS SELECT * FROM '/root/testdata/sf0.001/documents.parquet'")
+    found = q.line_dedup(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"))
+    expected = connection.execute(q.oracle_sql()).fetchall()
+    assert sorted(map(tuple, found.collect())) == sorted(expected)
