@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from claimloom.functions import urls
 from claimloom.functions.text import alphanumeric
+from claimloom.operators import numbering
 
 LEAST_SCORE, LEAST_MARGIN = 6, 3
 # Words that mark software around another.
@@ -80,15 +81,13 @@ def ranked(scored: DataFrame) -> DataFrame:
         F.min_by("preference", F.struct(-F.col("score"), F.col("preference"))).cast("bigint").alias("preference"),
         F.count("*").alias("members"),
     )
-    order = Window.orderBy(F.desc("score"), "preference", "identity")
-    # Identities of one project are a short list: the window's single partition holds the groups, not the candidates.
-    return groups.withColumn("rank", F.row_number().over(order).cast("bigint"))
+    return numbering.placed(groups, "rank", (), [-F.col("score"), "preference", "identity"])
 
 
 def chosen(groups: DataFrame) -> DataFrame:
     """The first identity if its score and its margin suffice, or preference breaks an exact tie."""
     order = Window.orderBy("rank")
-    top = groups.withColumns({"next_score": F.lead("score").over(order), "next_preference": F.lead("preference").over(order)}).filter("rank = 1")
+    top = groups.filter("rank <= 2").withColumns({"next_score": F.lead("score").over(order), "next_preference": F.lead("preference").over(order)}).filter("rank = 1")
     margin = F.col("next_score").isNull() | (F.col("score") - F.col("next_score") >= LEAST_MARGIN)
     tie = (F.col("score") == F.col("next_score")) & (F.col("preference") < F.col("next_preference"))
     return top.withColumn("status", F.when((F.col("score") >= LEAST_SCORE) & (margin | tie), "resolved").otherwise("ambiguous"))

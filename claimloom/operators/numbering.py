@@ -27,6 +27,29 @@ def numbered(rows: DataFrame, name: str, *order: str) -> DataFrame:
     return joined.withColumn(name, F.col("__before") + F.col("__at") + 1).drop("__range", "__at", "__before")
 
 
+def placed(rows: DataFrame, name: str, by: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
+    """Adds ``name``, the place from 1 of each row in its group ``by`` in ``order``, which is total.
+
+    Rows are dealt by ranges over group and order, and written, so that ranges stay what they are. A range numbers its
+    own rows; of the groups that several ranges share, which are two a range at most, the sizes in earlier ranges are added. So a
+    group that a third of all rows share is as many ranges as its size asks for.
+    """
+    own = {f"__o{n}": F.col(c) if isinstance(c, str) else c for n, c in enumerate(order)}
+    held = cut(rows.withColumns(own).repartitionByRange(*by, *own).withColumn("__range", F.spark_partition_id()), "placed")
+    counts = held.groupBy("__range", *by).agg(F.count("*").alias("__n"))
+    parts = Window.partitionBy(*by).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    split = counts.groupBy(*by).agg(F.min("__range").alias("__low"), F.max("__range").alias("__high")).filter("__low < __high").drop("__low", "__high")
+    shared = counts
+    if by:
+        split = split.select(*(F.col(c).alias(f"__s{n}") for n, c in enumerate(by)))
+        shared = counts.join(F.broadcast(split), [F.col(c).eqNullSafe(F.col(f"__s{n}")) for n, c in enumerate(by)], "left_semi")
+    shifts = shared.withColumn("__before", F.sum("__n").over(parts)).filter("__before IS NOT NULL")
+    shifts = shifts.select(F.col("__range").alias("__r"), "__before", *(F.col(c).alias(f"__s{n}") for n, c in enumerate(by)))
+    met = [F.col("__range") == F.col("__r"), *(F.col(c).eqNullSafe(F.col(f"__s{n}")) for n, c in enumerate(by))]
+    place = F.row_number().over(Window.partitionBy("__range", *by).orderBy(*own)) + F.coalesce("__before", F.lit(0))
+    return held.join(F.broadcast(shifts), met, "left").withColumn(name, place.cast("bigint")).select(*(c for c in rows.columns if c != name), name)
+
+
 def within(rows: DataFrame, most: int, order: Sequence[str | Column], by: Sequence[str] = (), among: Column | None = None) -> DataFrame:
     """Adds ``within``: whether a row (of those that ``among`` holds for) is one of the first ``most`` of its group by ``order``, which is total.
 

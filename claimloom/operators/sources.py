@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimloom.functions import urls
 from claimloom.functions.vocabulary import DISCOVERY, SOURCE_KINDS, TRUST_TIERS, rank
+from claimloom.operators import numbering
 
 
 def with_trust(documents: DataFrame, identity: DataFrame) -> DataFrame:
@@ -34,8 +35,7 @@ def exclusion(bases: Column, tier: Column) -> Column:
 
 def ranked(sources: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """Adds ``rank`` from 1: tier, kind, verified quotes downwards, url."""
-    order = Window.partitionBy(*by).orderBy(rank(F.col("tier"), TRUST_TIERS), rank(F.col("kind"), SOURCE_KINDS), F.desc("verified_quotes"), "url")
-    return sources.withColumn("rank", F.row_number().over(order).cast("bigint"))
+    return numbering.placed(sources, "rank", by, [rank(F.col("tier"), TRUST_TIERS), rank(F.col("kind"), SOURCE_KINDS), F.coalesce(-F.col("verified_quotes").cast("bigint"), F.lit(1)), "url"])
 
 
 def first_relation(relations: Column) -> Column:

@@ -345,6 +345,51 @@ def plain_crawl(links, seeds, b, closed=()):
     return out | {url: (sequence, "pending", None) for _, sequence, url in heap}, {(a, u) for a, u in proofs if a}
 
 
+def plain_batches(rows, most_chars, most_items):
+    out, own = {}, object()
+    for source, key, size in sorted(rows):
+        size = size or 0
+        if source != own:
+            own, batch, items, chars = source, 0, 0, 0
+        if items and (chars + size > most_chars or items >= most_items):
+            batch, items, chars = batch + 1, 0, 0
+        items, chars = items + 1, chars + size
+        out[source, key] = batch
+    return out
+
+
+@pytest.mark.parametrize("most_chars,most_items", [(1500, 3), (6000, 8), (100_000, 40)])
+def test_batches_of_a_hot_source_against_a_fold(spark, most_chars, most_items):
+    """A source with most of the rows, in many ranges, some of which hold less than a batch."""
+    rng = random.Random(most_chars)
+    rows = [(rng.choice([0, 0, 0, 1, 2, 3]), k, rng.choice([None, 0, 5, 300, 900, 1400, 7000])) for k in range(600)]
+    frame = spark.createDataFrame(rows, "source int, key int, size int").repartition(3)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for partitions in (1, 40):
+            spark.conf.set("spark.sql.shuffle.partitions", partitions)
+            spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+            found = selection.batches(frame, "source", "key", "size", most_chars, most_items).collect()
+            assert {(r.source, r.key): r.batch for r in found} == plain_batches(rows, most_chars, most_items) and len(found) == 600
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_places_within_hot_groups(spark):
+    rng = random.Random(2)
+    rows = [(rng.choice(["hot", "hot", "a", None]), k, rng.random()) for k in range(500)]
+    frame = spark.createDataFrame(rows, "g string, k int, place double").repartition(5)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for by in ([], ["g"]):
+            found = {r.k: r.place for r in numbering.placed(frame, "place", by, [-F.col("place"), "k"]).collect()}
+            expected = {k: 1 + sum(q > p for h, _, q in rows if not by or h == g) for g, k, p in rows}
+            assert found == expected
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
 @pytest.mark.parametrize("seed", range(6))
 def test_crawl_against_a_heap(spark, seed, monkeypatch):
     rng = random.Random(seed)
