@@ -23,20 +23,61 @@ def pairs(facts: DataFrame) -> DataFrame:
 
 
 def members(facts: DataFrame) -> DataFrame:
-    """(subject, kind, fact): the facts in each conflict, without a row per pair.
+    """(subject, kind, fact): the facts in each conflict, without a row per pair; linear in the facts of a subject.
 
-    A fact disagrees with some other if a profile of another source does, so facts are met through
-    the distinct profiles (change, is_risk, value, versions, scoped) of their subject, each with at
-    most two of its sources: enough to tell whether one differs from the fact's own. A subject that
-    a third of all rows share then costs its facts times its profiles.
+    Whether some fact of another source disagrees is told by what a group's facts come to. For severity and risk it is the first and last
+    source of the six classes of a subject. For values it is a count: of a group's distinct (value, source),
+    those with another value and another source are all, less those with the value, less those with the source, and the
+    one with both. For versions it is the distinct sets of versions of a group, of which those apart from each other are met, with
+    the first and last source of each value; these are sets, not facts.
     """
-    profile = ["subject", "change", "is_risk", "value", "versions", "scoped"]
     told = facts.withColumn("value", claim_value(F.col("value")))
-    profiles = told.groupBy(*profile).agg(F.min("source").alias("s0"), F.max("source").alias("s1"))
-    a, b = told.alias("a"), profiles.alias("b")
-    other = (F.col("a.subject") == F.col("b.subject")) & ((F.col("b.s0") != F.col("a.source")) | (F.col("b.s1") != F.col("a.source")))
-    met = a.join(b, other).select(F.col("a.subject").alias("subject"), disagreement("a", "b").alias("kind"), F.col("a.fact").alias("fact"))
-    return met.filter("kind IS NOT NULL").distinct()
+    group = ["subject", "change", "is_risk"]
+    found = [_by_class(told), _by_value(told, group), _by_versions(told, group)]
+    return found[0].unionByName(found[1]).unionByName(found[2])
+
+
+def _other(source: Column, low: Column, high: Column) -> Column:
+    """Whether sources between ``low`` and ``high``, which are some, hold another than ``source``."""
+    return (low != source) | (high != source)
+
+
+def _by_class(told: DataFrame) -> DataFrame:
+    kind = F.when(F.col("change") == "removed", "removed").when(F.col("change").isin("deprecated", "replacement_recommended"), "milder").otherwise("other")
+    classed = told.select("subject", "fact", "source", "is_risk", kind.alias("class"))
+    each = classed.groupBy("subject", "is_risk", "class").agg(F.min("source").alias("low"), F.max("source").alias("high"))
+    seen = each.groupBy("subject").agg(F.collect_list(F.struct("is_risk", "class", "low", "high")).alias("seen"))  # six at most
+    against = lambda c: ((F.col("class") == "removed") & (c["class"] == "milder")) | ((F.col("class") == "milder") & (c["class"] == "removed"))
+    other = lambda c: _other(F.col("source"), c.low, c.high)
+    severity = F.exists("seen", lambda c: against(c) & other(c))
+    risk = F.exists("seen", lambda c: ~against(c) & (c.is_risk != F.col("is_risk")) & other(c))
+    kinds = F.array_compact(F.array(F.when(severity, "severity"), F.when(risk, "risk_vs_context")))
+    return classed.join(seen, "subject").select("subject", F.explode(kinds).alias("kind"), "fact")
+
+
+def _by_value(told: DataFrame, group: list[str]) -> DataFrame:
+    claims = told.filter("value <> ''").groupBy(*group, "value", "source").agg(F.lit(1).alias("one"))
+    count = lambda name, *by: claims.groupBy(*by).agg(F.count("*").alias(name))
+    met = claims.join(count("all", *group), group).join(count("alike", *group, "value"), [*group, "value"]).join(count("own", *group, "source"), [*group, "source"])
+    differing = met.filter(F.col("all") - F.col("alike") - F.col("own") + 1 > 0).select(*group, "value", "source")
+    return told.join(differing, [*group, "value", "source"], "left_semi").select("subject", F.lit("value").alias("kind"), "fact")
+
+
+def _by_versions(told: DataFrame, group: list[str]) -> DataFrame:
+    scoped = told.filter("scoped").withColumn("versions", F.array_sort(F.array_distinct("versions")))
+    profiles = scoped.groupBy(*group, "versions", "value").agg(F.min("source").alias("low"), F.max("source").alias("high"))
+    sets = profiles.select(*group, "versions").distinct()
+    apart = sets.withColumnRenamed("versions", "set").join(sets, group).filter(~F.arrays_overlap("set", "versions"))
+    # What is apart from each set, by value and in all: first and last source.
+    met = apart.join(profiles, [*group, "versions"])
+    by_value = met.groupBy(*group, "set", "value").agg(F.min("low").alias("low"), F.max("high").alias("high"))
+    in_all = met.groupBy(*group, "set").agg(F.min("low").alias("all_low"), F.max("high").alias("all_high"))
+    without = by_value.filter("value = ''").select(*group, "set", F.col("low").alias("no_low"), F.col("high").alias("no_high"))
+    rows = scoped.select(*group, F.col("versions").alias("set"), "value", "source", "fact").join(in_all, [*group, "set"])
+    rows = rows.join(without, [*group, "set"], "left").join(by_value, [*group, "set", "value"], "left")
+    source, some = F.col("source"), lambda c: F.coalesce(c, F.lit(False))
+    fits = F.when(F.col("value") == "", _other(source, F.col("all_low"), F.col("all_high"))).otherwise(some(_other(source, F.col("no_low"), F.col("no_high"))) | some(_other(source, F.col("low"), F.col("high"))))
+    return rows.filter(fits).select("subject", F.lit("versions").alias("kind"), "fact")
 
 
 def precedence() -> list[Column]:

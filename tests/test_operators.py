@@ -345,6 +345,24 @@ def plain_crawl(links, seeds, b, closed=()):
     return out | {url: (sequence, "pending", None) for _, sequence, url in heap}, {(a, u) for a, u in proofs if a}
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_members_are_the_facts_of_all_pairs(spark, seed):
+    """A hot subject and small ones, with empty values, empty and shared versions, and facts of one source alone."""
+    rng = random.Random(seed)
+    rows = []
+    for fact in range(400):
+        subject = rng.choice(["hot"] * 6 + [f"s{k}" for k in range(60)])
+        versions = sorted(rng.sample(["1", "2", "3", "4"], rng.choice([0, 1, 1, 2, 3])))
+        rows.append((subject, fact, rng.choice("ABC" if subject == "hot" else "AB"), rng.choice(["removed", "deprecated", "replacement_recommended", "changed", "added"]), rng.random() < 0.8, rng.choice([None, "", "x", "X ", "y"]), versions, rng.random() < 0.6))
+    frame = spark.createDataFrame(rows, "subject string, fact int, source string, change string, is_risk boolean, value string, versions array<string>, scoped boolean")
+    expected = set()
+    for r in conflicts.pairs(frame).collect():
+        expected |= {(r.subject, r.kind, r.a), (r.subject, r.kind, r.b)}
+    found = [tuple(r) for r in conflicts.members(frame).select("subject", "kind", "fact").collect()]
+    assert len(found) == len(set(found)) and set(found) == expected
+    assert {k for _, k, _ in expected} == {"severity", "risk_vs_context", "value", "versions"}
+
+
 def plain_batches(rows, most_chars, most_items):
     out, own = {}, object()
     for source, key, size in sorted(rows):
