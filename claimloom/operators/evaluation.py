@@ -2,12 +2,24 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable, Iterator
+
+import ahocorasick
+import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from claimloom.functions.vocabulary import SEVERE_FOR_GOLD
 
-MOST_CHECKS = 5000
+#: Characters of the patterns that are searched in one pass over the rows.
+BLOCK_CHARS = 1_000_000
+_FOUND = "__patterns"
+_LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+_TOKEN = re.compile(r"\\(.)|\[\^?\]?(?:\\.|[^\]\\])*\]|(\()|(\))|(\|)|([?*]|\{[^}]*\}?)|(\+)|[.^$]|([^\\\[\]().^$?*+{}|])|.", re.S)
+_PLAIN = frozenset(".-+*?/()[]{}|^$#:,'\"&%@!=<>;~`_ ")
 
 
 def path_text(path: Column, *parts: Column) -> Column:
@@ -15,17 +27,82 @@ def path_text(path: Column, *parts: Column) -> Column:
     return F.concat_ws("\n", path, *parts)
 
 
-def _checks(checks: DataFrame) -> DataFrame:
-    """Checks are written by hand; a set too large to send to every task is refused."""
-    n = checks.count()
-    if n > MOST_CHECKS:
-        raise ValueError(f"{n} gold checks; at most {MOST_CHECKS}")
-    return F.broadcast(checks)
+def required(pattern: str) -> list[str]:
+    """Strings, in small ASCII letters, of which every text that ``pattern`` matches holds one; none if that is not known.
+
+    Of each branch it is the longest run of plain characters outside of groups. Where flags or quotations may give
+    characters another meaning, nothing is said.
+    """
+    if re.search(r"\(\?[a-z]*[xd]|\\[QE]", pattern):
+        return []
+    branches, runs, run, depth = [], [], "", 0
+    for token in _TOKEN.finditer(pattern):
+        escaped, opens, closes, either, again, more, plain = token.groups()
+        if depth:  # inside of a group
+            depth += bool(opens) - bool(closes)
+            continue
+        own = plain or (escaped if escaped and escaped in _PLAIN else None)
+        if again:  # the character before may be missing
+            run = run[:-1]
+        if own:
+            run += own
+            continue
+        runs.append(run)
+        run = ""
+        if opens:
+            depth = 1
+        if closes:
+            return []
+        if either:
+            branches.append(max(runs, key=len))
+            runs = []
+    branches.append(max([*runs, run], key=len))
+    return sorted({x.translate(_LOWER) for x in branches}) if depth == 0 and all(branches) else []
+
+
+def hits(checks: DataFrame, rows: DataFrame, pattern: str = "match", text: str = "text", block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """Checks with the rows that match them, letter case (ASCII) aside.
+
+    The strings that patterns require are compiled into an automaton, in blocks of about ``block_chars`` characters; one
+    scan of a row tells which patterns it is a candidate of, and the others never run. Patterns that require
+    nothing are candidates everywhere. Rows are not shuffled until they match.
+    """
+    spark = rows.sparkSession
+    asked = checks.select(F.col(pattern).alias("p")).filter("p IS NOT NULL").distinct()
+    chars = asked.agg(F.sum(F.length("p"))).first()[0] or 0
+    blocks = -(-chars // block_chars)
+    schema = StructType([*rows.schema.fields, StructField(_FOUND, ArrayType(StringType()))])
+    found = spark.createDataFrame([], schema)
+    for n in range(blocks):
+        told = sorted(r.p for r in asked.filter(F.pmod(F.xxhash64("p"), F.lit(blocks)) == n).collect())
+        found = found.unionByName(rows.mapInArrow(_candidates(spark.sparkContext.broadcast(told), rows.columns.index(text), schema.names), schema))
+    each = found.withColumn(_FOUND, F.explode(_FOUND)).filter(F.regexp_like(F.col(text), F.concat(F.lit("(?i)"), F.col(_FOUND))))
+    return each.join(checks, F.col(_FOUND) == checks[pattern]).drop(_FOUND)
+
 
+def _candidates(shared: Broadcast, place: int, names: list[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        patterns, always, by_literal = shared.value, [], {}
+        for n, pattern in enumerate(patterns):
+            literals = required(pattern)
+            if not literals:
+                always.append(n)
+            for literal in literals:
+                by_literal.setdefault(literal, []).append(n)
+        automaton = ahocorasick.Automaton()
+        for literal, numbers in by_literal.items():
+            automaton.add_word(literal, numbers)
+        automaton.make_automaton()
+        for batch in batches:
+            told = []
+            for text in batch.column(place).to_pylist():
+                met = set(always) if text is not None else set()
+                if by_literal and text:
+                    met.update(*(numbers for _, numbers in automaton.iter(text.translate(_LOWER))))
+                told.append([patterns[n] for n in sorted(met)])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(told, pa.list_(pa.string()))], names)
 
-def hits(checks: DataFrame, rows: DataFrame, pattern: str = "match", text: str = "text") -> DataFrame:
-    """Checks with the rows that match them, letter case aside."""
-    return rows.join(_checks(checks), F.regexp_like(F.col(text), F.concat(F.lit("(?i)"), F.col(pattern))))
+    return run
 
 
 def evaluated(checks: DataFrame, paths: DataFrame, contexts: DataFrame) -> DataFrame:

@@ -345,6 +345,31 @@ def plain_crawl(links, seeds, b, closed=()):
     return out | {url: (sequence, "pending", None) for _, sequence, url in heap}, {(a, u) for a, u in proofs if a}
 
 
+PATTERNS = {
+    "render": ["render"], "React\\.render\\b": ["react.render"], "alpha|beta gamma": ["alpha", "beta gamma"], "colou?r": ["colo"], "a+b": ["a"], "x*": [], "[abc]def": ["def"], "(?:foo|bar)baz": ["baz"],
+    "foo(bar)?": ["foo"], "\\d+": [], "alpha|\\d": [], "^old$": ["old"], "ab{2,3}c": ["a"], "(unclosed": [], "(?x) a b": [], "\\Qa.b\\E": [], "É|é": ["É", "é"], "v\\.next": ["v.next"], "no longer (?:works|runs)": ["no longer "], "": [],
+}
+
+
+def test_literals_that_patterns_require():
+    assert {p: evaluation.required(p) for p in PATTERNS} == {p: sorted(x) for p, x in PATTERNS.items()}
+
+
+@pytest.mark.parametrize("block", [20, 100_000])
+def test_pattern_hits_against_a_cross_join(spark, block):
+    rng = random.Random(block)
+    words = ["render", "React.render", "ReactXrender", "ALPHA", "beta gamma", "color", "COLOUR", "aab", "b", "bdef", "xdef", "barbaz", "foo", "42", "old", "abbc", "abbbbc", "a.b", "É", "v.next", "vXnext", "no longer runs", "no longer"]
+    rows = [(n, " ".join(rng.sample(words, rng.choice([0, 1, 2, 4])))) for n in range(120)] + [(900, None), (901, "old")]
+    patterns = [p for p in PATTERNS if p != "(unclosed"]
+    checks = spark.createDataFrame([*enumerate(patterns), (99, "render"), (100, None)], "check int, match string")
+    frame = spark.createDataFrame(rows, "path int, text string").repartition(3)
+    plain = frame.crossJoin(checks).filter("regexp_like(text, concat('(?i)', match))")
+    found = evaluation.hits(checks, frame, block_chars=block)
+    assert sorted(found.columns) == sorted(plain.columns)
+    told = sorted((r.path, r.check) for r in found.collect())
+    assert told == sorted((r.path, r.check) for r in plain.collect()) and len(told) > 400
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_members_are_the_facts_of_all_pairs(spark, seed):
     """A hot subject and small ones, with empty values, empty and shared versions, and facts of one source alone."""
