@@ -1,8 +1,7 @@
-"""Sinks: a Parquet table per artifact, JSON and HTML exports of one case, schema snapshots."""
+"""Sinks: a Parquet table per artifact, JSON lines, schema snapshots; pages are in ``reports``."""
 
 from __future__ import annotations
 
-import html
 import json
 from collections.abc import Iterable
 
@@ -10,9 +9,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-#: Rows of one case's export; a case is read by people, and its report is one page.
-MOST_ROWS = 20_000
-
 
 def write(df: DataFrame, folder: str, name: str, by: Iterable[str] = ()) -> None:
     writer = df.write.mode("overwrite")
@@ -33,17 +29,6 @@ def script_safe(value: object) -> str:
     return json.dumps(value, ensure_ascii=False).translate({ord("<"): "\\u003c", ord(">"): "\\u003e", ord("&"): "\\u0026", 0x2028: "\\u2028", 0x2029: "\\u2029"})
 
 
-def report(df: DataFrame, title: str) -> str:
-    """A self-contained page over one case's rows; refuses a table that is no single case."""
-    rows = [json.loads(r) for r in df.limit(MOST_ROWS + 1).toJSON().collect()]
-    if len(rows) > MOST_ROWS:
-        raise ValueError(f"more than {MOST_ROWS} rows: export one case")
-    columns = df.columns
-    head = "".join(f"<th>{html.escape(c)}</th>" for c in columns)
-    body = "".join("<tr>" + "".join(f"<td>{html.escape(str(r.get(c, '')))}</td>" for c in columns) + "</tr>" for r in rows)
-    return f"<!DOCTYPE html><html><head><meta charset='utf-8'><title>{html.escape(title)}</title></head><body><h1>{html.escape(title)}</h1><table><thead><tr>{head}</tr></thead><tbody>{body}</tbody></table><script type='application/json' id='data'>{script_safe(rows)}</script></body></html>"
-
-
 def schema_snapshot(schema: StructType) -> str:
     return json.dumps(schema.jsonValue(), indent=1, sort_keys=True)
 

@@ -5,7 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from claimloom.sources import artifacts, catalogs, snapshots
+from claimloom.sources import artifacts, catalogs, reports, snapshots
 from claimloom.streaming import ingest
 
 
@@ -55,7 +55,7 @@ def test_case_inputs_and_artifacts(spark, tmp_path):
     assert artifacts.read(spark, str(tmp_path), "cases").count() == 1
     artifacts.export_json(cases, str(tmp_path), "json")
     assert json.loads(spark.read.text(str(tmp_path / "json")).first()[0])["project"] == "orbit"
-    page = artifacts.report(spark.createDataFrame([("</script><b>",)], "x string"), "T & t")
+    page = "".join(reports.page("T & t", ["x"], [{"x": "</script><b>"}], ["x"], {}, {}))
     assert "</script><b>" not in page and "T &amp; t" in page
     snapshot = artifacts.schema_snapshot(cases.schema)
     assert artifacts.schema_drift(cases.schema, snapshot) == [] and artifacts.schema_drift(cases.drop("project").schema, snapshot) == ["project"]
