@@ -3,12 +3,12 @@
 A document's set holds its distinct shingles. Each permutation of the shingles' hashes gives two values that agree for two
 sets with the probability of their Jaccard similarity, its minimum and its maximum, so ``PERMUTATIONS``
 evaluations give twice as many rows of signature, banded in ``ROWS``: two sets at the threshold of 0.8
-share none of the 32 bands with probability 3e-6, and far fewer above it. Rows of a band are all minima or all maxima.
+share none of the 40 bands with probability 5e-6, and far fewer above it. Rows of a band are all minima or all maxima.
 
 Documents with equal sets are one entry of the index, named by the smallest doc_id and its text's hash. What shares a
-band's value is a bucket. Of a bucket only pairs of entries that no confirmed link joins yet are compared, in rounds: first those
-with the few entries that come first by hash, then with eight times as many, until every pair of every bucket is
-compared or known to be in one component. So a large group of near copies costs a few pairs an entry, no pair is
+band's value is a bucket. Of a bucket only pairs of entries that no confirmed link joins yet are compared, in rounds: those
+with the entry that meets most others in its buckets; then with some sixty-four entries, then with as many times more, until every pair of every bucket is
+compared or known to be in one component, or cannot be similar by what each shares with the bucket's first. So a large group of near copies costs a few pairs an entry, no pair is
 given up, and nothing is capped or sampled. A pair is confirmed on the shingles of both texts; sizes
 that rule out the threshold are dropped before. Texts move only for entries that a bitmap of
 fixed size (8 MB, broadcast) has among the pairs.
@@ -34,17 +34,17 @@ from claimloom.llm.components import connected_components
 
 SHINGLE = 2
 PERCENT = 80
-PERMUTATIONS = 80
-ROWS = 5
+PERMUTATIONS = 120
+ROWS = 6
 BANDS = 2 * PERMUTATIONS // ROWS
-#: Entries of a bucket, by hash, that the first round compares with the others; each round takes ``MORE`` times as many.
-FIRST, MORE = 4, 8
+#: Times as many entries of a bucket that each round compares with the others.
+MORE = 64
 _BITS = 1 << 26
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _RANDOM = np.random.default_rng(13)
-_FACTORS = _RANDOM.integers(0, 1 << 64, PERMUTATIONS, np.uint64) | np.uint64(1)
-_TERMS = _RANDOM.integers(0, 1 << 64, PERMUTATIONS, np.uint64)
-_CHUNK = 1 << 11
+_FACTORS = _RANDOM.integers(0, 1 << 32, (PERMUTATIONS, 1), np.uint32) | np.uint32(1)
+_TERMS = _RANDOM.integers(0, 1 << 32, (PERMUTATIONS, 1), np.uint32)
+_CHUNK = 512
 
 
 def _hashes(words: np.ndarray, shingle: int) -> np.ndarray:
@@ -71,14 +71,14 @@ def shingles(text: bytes, memo: Memo, shingle: int = SHINGLE) -> np.ndarray:
 
 
 def signature(found: np.ndarray) -> np.ndarray:
-    """The minima, then the maxima, of all permutations."""
-    low, high = np.full(PERMUTATIONS, (1 << 64) - 1, np.uint64), np.zeros(PERMUTATIONS, np.uint64)
-    for at in range(0, len(found), _CHUNK):
-        values = np.multiply.outer(_FACTORS, found[at : at + _CHUNK])
-        values += _TERMS[:, None]
-        np.minimum(low, values.min(1), out=low)
-        np.maximum(high, values.max(1), out=high)
-    return np.concatenate([low, high])
+    """The minima, then the maxima, of all permutations of 32 bits of the hashes."""
+    values, low, high = (found >> np.uint64(32)).astype(np.uint32), np.full(PERMUTATIONS, (1 << 32) - 1, np.uint32), np.zeros(PERMUTATIONS, np.uint32)
+    for at in range(0, len(values), _CHUNK):
+        places = _FACTORS * values[at : at + _CHUNK]
+        places += _TERMS
+        np.minimum(low, places.min(1), out=low)
+        np.maximum(high, places.max(1), out=high)
+    return np.concatenate([low, high]).astype(np.uint64)
 
 
 def bands(found: np.ndarray) -> np.ndarray:
@@ -91,7 +91,7 @@ def bands(found: np.ndarray) -> np.ndarray:
 
 
 _NONE = (1 << 63) - 1
-_NAMED = "named struct<id: bigint, text: bigint>"
+_ENTRY = "struct<id: bigint, text: bigint>"
 
 
 def _name() -> Column:
@@ -110,28 +110,29 @@ def sketches(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
             columns = [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()), pa.array(keys, pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays(columns, ["named", "n_shingles", "tag", "bands"])
 
-    return docs.select(_name().alias("named"), text_of().alias("text")).mapInArrow(rows, f"{_NAMED}, n_shingles bigint, tag binary, bands array<bigint>")
+    return docs.select(_name().alias("named"), text_of().alias("text")).mapInArrow(rows, f"named {_ENTRY}, n_shingles bigint, tag binary, bands array<bigint>")
 
 
-def confirmed(pairs: DataFrame, texts: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """The pairs (a, b) of ``texts`` (entry, text) whose sets are as similar as ``percent`` says."""
+def compared(pairs: DataFrame, texts: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """The pairs (a, b) of ``texts`` (entry, text) with the number of shingles in ``both``, and whether they are ``linked``, as similar as ``percent`` says."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo, last, own = Memo(xxhash.xxh64_intdigest), None, np.zeros(0, np.uint64)
         for batch in portions(batches, 100):
-            keep = []
+            shared, keep = [], []
             for one, other in zip(utf8(batch.column(2)), utf8(batch.column(3)), strict=True):
                 if other != last:
                     last, own = other, shingles(other, memo, shingle)
                 found = shingles(one, memo, shingle)
                 both = len(np.intersect1d(own, found, True))
+                shared.append(both)
                 keep.append(100 * both >= percent * (len(own) + len(found) - both))
-            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(shared, pa.int64()), pa.array(keep, pa.bool_())], ["a", "b", "both", "linked"])
 
     moved = _among(texts, pairs.select(F.explode(F.array("a", "b")).alias("entry"))).groupBy("entry").agg(F.first("text").alias("text"))
     one = moved.select(F.col("entry").alias("a"), F.col("text").alias("one"))
     other = moved.select(F.col("entry").alias("b"), F.col("text").alias("other"))
-    return pairs.join(one, "a").join(other, "b").select("a", "b", "one", "other").mapInArrow(rows, pairs.select("a", "b").schema)
+    return pairs.join(one, "a").join(other, "b").select("a", "b", "one", "other").mapInArrow(rows, f"a {_ENTRY}, b {_ENTRY}, both bigint, linked boolean")
 
 
 def _among(rows: DataFrame, entries: DataFrame) -> DataFrame:
@@ -144,39 +145,62 @@ def _among(rows: DataFrame, entries: DataFrame) -> DataFrame:
     return met.filter(F.call_function("shiftright", byte, (place % 8).cast("int")).bitwiseAND(F.lit(1)) == 1).select(*rows.columns)
 
 
-def _order(*columns: str) -> Column:
-    """A number from 0 to 1 by the hash of the columns."""
-    return (F.xxhash64(*columns).cast("double") / F.lit(2.0**64)) + 0.5
+def _merged(roots: DataFrame | None, links: DataFrame) -> tuple[DataFrame, str]:
+    """(node, root) of what is linked after more ``links``, and where it lies: only the components that links join are joined anew."""
+    if roots is None:
+        return written(connected_components(links, "minhash"), "roots")
+    for end in ("a", "b"):
+        links = links.join(roots.select(F.col("node").alias(end), F.col("root").alias(f"{end}_root")), end, "left").withColumn(end, F.coalesce(f"{end}_root", end))
+    joined = cut(connected_components(links.select("a", "b"), "minhash"), "joined")
+    moved = roots.join(joined.select(F.col("node").alias("root"), F.col("root").alias("further")), "root", "left").select("node", F.coalesce("further", "root").alias("root"))
+    return written(moved.unionByName(joined.join(roots.select("node"), "node", "left_anti")), "roots")
 
 
 def _components(buckets: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame | None:
-    """(node, root) of the entries that links join, from ``buckets`` (bucket, entry, n); None if nothing is linked."""
+    """(node, root) of the entries that links join, from ``buckets`` (bucket, entry, n, degree); None if nothing is linked."""
     spark = buckets.sparkSession
-    links, roots, low, high = None, None, 0, FIRST
+    roots, roots_at, known, done, most = None, None, None, 1, 1
     while True:
         if roots is None:
             now = buckets.withColumn("root", F.col("entry"))
         else:
             now = buckets.join(roots.withColumnRenamed("node", "entry"), "entry", "left").withColumn("root", F.coalesce("root", "entry"))
-        sizes = now.groupBy("bucket").agg(F.count("*").alias("size"), F.min("root").alias("least"), F.max("root").alias("most"))
-        sizes, sizes_at = written(sizes.filter((F.col("size") > max(low, 1)) & (F.col("least") < F.col("most"))).select("bucket", "size"), "sizes")
+        # A number from 0 to 1 by the entry's hash; about ``most`` of a bucket are under ``most / size``.
+        now = now.withColumn("at", F.xxhash64("entry").cast("double") / F.lit(2.0**64) + 0.5).withColumn("mark", F.xxhash64("root"))
+        sizes = now.groupBy("bucket").agg(F.count("*").alias("size"), F.min(F.struct((-F.col("degree")).alias("less"), "at", "entry")).alias("first"), F.min("mark").alias("least"), F.max("mark").alias("last"))
+        sizes, sizes_at = written(sizes.filter((F.col("size") > done) & (F.col("least") < F.col("last"))).select("bucket", "size", F.col("first.entry").alias("first")), "sizes")
         if sizes.isEmpty():  # all pairs of every bucket are compared, or in one component
             return roots
-        open_ = now.join(sizes, "bucket").withColumn("at", _order("bucket", "entry"))
-        first = open_.filter((F.col("at") * F.col("size") >= low) & ((F.col("size") <= high) | (F.col("at") * F.col("size") < high)))
-        one = first.select("bucket", F.col("entry").alias("a"), F.col("n").alias("n_a"), F.col("root").alias("root_a"), F.col("at").alias("at_a"))
-        other = open_.select("bucket", F.col("entry").alias("b"), F.col("n").alias("n_b"), F.col("root").alias("root_b"), F.col("at").alias("at_b"))
-        after = (F.col("at_b") > F.col("at_a")) | ((F.col("at_b") == F.col("at_a")) & (F.col("b") > F.col("a")))
+        open_, first = now.join(sizes, "bucket"), F.col("entry") == F.col("first")
         near = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
-        pairs = one.join(other, "bucket").filter(after & near & (F.col("root_a") != F.col("root_b"))).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        if most == 1:
+            open_, chosen = open_.withColumn("with_first", F.lit(None).cast("bigint")), first
+        else:
+            # What two entries share is at most what both share with the bucket's first, and as much of the rest as the lesser has.
+            met = known.select(F.col("a").alias("first"), F.col("b").alias("entry"), F.col("both").alias("with_first"))
+            open_, chosen = open_.join(met, ["first", "entry"], "left"), ~first & ((F.col("size") <= most) | (F.col("at") * F.col("size") < most))
+            bound = F.least("f_a", "f_b") + F.least(F.col("n_a") - F.col("f_a"), F.col("n_b") - F.col("f_b"))
+            told = F.col("f_a").isNotNull() & F.col("f_b").isNotNull()
+            near &= ~told | (100 * bound >= percent * (F.col("n_a") + F.col("n_b") - bound))
+        side = lambda rows, x: rows.select("bucket", *(F.col(c).alias(f"{name}_{x}" if name else x) for c, name in (("entry", ""), ("n", "n"), ("mark", "mark"), ("at", "at"), ("first", "first"), ("with_first", "f"))))
+        # The first has met all others already.
+        after = F.lit(True) if most == 1 else (F.col("b") != F.col("first_b")) & ((F.col("at_b") > F.col("at_a")) | ((F.col("at_b") == F.col("at_a")) & (F.col("b") > F.col("a"))))
+        pairs = side(open_.filter(chosen), "a").join(side(open_, "b"), "bucket").filter(after & near & (F.col("mark_a") != F.col("mark_b"))).select("a", "b").distinct()
         asked, asked_at = written(pairs, "pairs")
-        found = cut(confirmed(asked, texts, shingle, percent), "links")
-        for spent in (asked_at, sizes_at):
-            discard(spark, spent)
-        if not found.isEmpty():
-            links = found if links is None else links.unionByName(found)
-            roots = connected_components(links, "minhash")
-        low, high = high, high * MORE
+        found, found_at = written(compared(asked, texts, shingle, percent), "compared")
+        links = found.filter("linked").select("a", "b")
+        if not links.isEmpty():
+            before = roots_at
+            roots, roots_at = _merged(roots, links)
+            if before:
+                discard(spark, before)
+        if known is None:
+            known = found
+        else:
+            discard(spark, found_at)
+        discard(spark, asked_at)
+        discard(spark, sizes_at)
+        done, most = max(2, most), most * MORE
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -186,8 +210,11 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     members = cut(sketched.select("named", "n_shingles", "tag"), "members")
     discard(docs.sparkSession, place)
     postings = entries.select("entry", "n", F.explode("bands").alias("bucket"))
-    shared = postings.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1").select("bucket")
-    buckets = cut(postings.join(shared, "bucket"), "buckets")
+    shared = postings.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1")
+    met, met_at = written(postings.join(shared, "bucket"), "met")
+    # In a group of near copies the text that the others came from meets most of them.
+    buckets = cut(met.drop("size").join(met.groupBy("entry").agg(F.sum("size").alias("degree")), "entry"), "buckets")
+    discard(docs.sparkSession, met_at)
     roots = _components(buckets, docs.select(_name().alias("entry"), text_of().alias("text")), shingle, percent)
     named = entries.select("tag", F.col("entry").alias("root"))
     if roots is not None:

@@ -55,12 +55,11 @@ def test_groups_of_near_copies(spark):
     assert told(minhash.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3))) == plain(rows)
 
 
-@pytest.mark.parametrize("first", [1, 2])
-def test_rounds_compare_all_pairs(spark, monkeypatch, first):
+@pytest.mark.parametrize("more", [2, 5])
+def test_rounds_compare_all_pairs(spark, monkeypatch, more):
     """With few entries compared a round, what lies in a bucket with unlike texts is still found."""
-    monkeypatch.setattr(minhash, "FIRST", first)
-    monkeypatch.setattr(minhash, "MORE", 2)
-    random.seed(first)
+    monkeypatch.setattr(minhash, "MORE", more)
+    random.seed(more)
     pool = [f"p{k}" for k in range(45)]
     texts = [" ".join(pool[:30] + random.sample(pool[30:], 9)) for _ in range(70)]
     rows = list(enumerate(texts))
@@ -99,6 +98,8 @@ def test_bands_catch_the_threshold():
     for _ in range(300):
         x = rng.integers(0, 1 << 64, 500, np.uint64)
         assert (minhash.bands(x[:450]) == minhash.bands(x[50:])).any()
+    far = [rng.integers(0, 1 << 64, 500, np.uint64) for _ in range(300)]
+    assert sum((minhash.bands(x[:300]) == minhash.bands(x[200:])).any() for x in far) < 6
 
 
 def test_long_texts_in_parts():
