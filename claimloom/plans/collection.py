@@ -14,7 +14,7 @@ from claimloom.plans.catalogue import query
 from claimloom.plans.evidence import _TOPICS_SQL, TOPICS
 from claimloom.plans.views import DUPLICATE_SQL, FACT_SQL, FLAG_SQL, GRADED_SQL, HOST_SQL, LEVEL_SQL, LOOSE_SQL, PATH_CONFIDENCE_SQL, SOURCE_SQL, TIER_SQL, TITLE_SQL
 from claimloom.session import table
-from claimloom.sources import catalogs, snapshots
+from claimloom.sources import catalogs, registry, snapshots
 
 
 def _text(column):
@@ -146,7 +146,7 @@ def github_completeness(spark, sf_dir):
     n = F.col("p_partkey")
     body = F.when(n % 499 == 0, '{"message": "rate limit"}').otherwise('[{"tag_name": "v1"}]')
     pages = table(spark, sf_dir, "part").select(F.col("p_brand").alias("catalog"), (n % 4 + 3 * F.substring("p_brand", -1, 1).cast("int")).alias("page"), body.alias("body"))
-    return catalogs.github(pages, most_pages=12)[1]
+    return registry.completeness(registry.scan(spark, registry.land(pages)), most_pages=12)
 
 
 @query("source_filter", f"SELECT page_id, tier, title FROM (SELECT page_id, title, {TIER_SQL} AS tier FROM ({SOURCE_SQL})) WHERE tier = 'official' AND contains(lower(title), 'er')")

@@ -264,9 +264,9 @@ def catalog_npm(spark, sf_dir):
 
 @query("catalog_github", f"""SELECT catalog, 'v' || version AS version, '2024' AS published FROM (SELECT catalog, version, min(position) AS p FROM ({RELEASE_SQL}) GROUP BY catalog, version) WHERE p % 3 <> 0 AND p % 5 <> 0""")
 def catalog_github(spark, sf_dir):
-    from claimloom.sources import catalogs
+    from claimloom.sources import registry
 
     rows = views.releases(spark, sf_dir).groupBy("catalog", "version").agg(F.min("position").alias("p"))
     item = F.struct(F.concat(F.lit("v"), F.col("version")).alias("tag_name"), (F.col("p") % 3 == 0).alias("draft"), (F.col("p") % 5 == 0).alias("prerelease"), F.lit("2024").alias("published_at"))
     pages = rows.groupBy("catalog", (F.col("p") % 2 + 1).alias("page")).agg(F.to_json(F.collect_list(item)).alias("body"))
-    return catalogs.github(pages)[0]
+    return registry.releases(registry.scan(spark, registry.land(pages)))

@@ -5,7 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from claimloom.sources import artifacts, catalogs, reports, snapshots
+from claimloom.sources import artifacts, catalogs, registry, reports, snapshots
 from claimloom.streaming import ingest
 
 
@@ -106,3 +106,26 @@ def test_scan_of_landed_answers(spark, tmp_path):
 def test_script_safe(value):
     made = artifacts.script_safe([value])
     assert json.loads(made) == [value] and "<" not in made and " " not in made
+
+
+def test_paged_registry_scan(spark, tmp_path):
+    """Pages of several catalogs, one of which fails, one that is empty; filters choose folders and rows."""
+    release = lambda n, **more: {"tag_name": f"v{n}", "published_at": "2024", **more}
+    pages = [("a#1", 1, json.dumps([release(1), release(2, draft=True)])), ("a#1", 2, json.dumps([release(3, prerelease=True), {"name": "v4"}], indent=1)), ("b", 1, "[]"), ("c/d", 1, json.dumps([release(1)])), ("c/d", 2, '{"message": "rate limit"}'), ("e", 1, "[{"), ("f", 12, json.dumps([release(9)]))]
+    path = registry.land(spark.createDataFrame(pages, "catalog string, page int, body string"), str(tmp_path / "landed"))
+    rows = registry.scan(spark, path, 2)
+    assert rows.rdd.getNumPartitions() == 4
+    assert sorted((r.catalog, r.version) for r in registry.releases(rows).collect()) == [("a#1", "v1"), ("a#1", "v4"), ("c/d", "v1"), ("f", "v9")]
+    assert {(r.catalog, r.complete) for r in registry.completeness(rows).collect()} == {("a#1", True), ("b", True), ("c/d", False), ("e", False), ("f", False)}
+    assert {(r.catalog, r.page, r.error is not None) for r in rows.filter("version IS NULL").collect()} == {("b", 1, False), ("c/d", 2, True), ("e", 1, True)}
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    try:
+        for condition in ("catalog = 'c/d'", "catalog IN ('b', 'f') AND page > 3", "version = 'v1'", "version = 'v1' AND catalog = 'a#1'", "catalog = 'none'"):
+            found = registry.scan(spark, path).filter(condition)
+            assert sorted(map(str, found.collect())) == sorted(str(r) for r in rows.collect() if r in rows.filter(condition).collect())
+        reader = registry._FilteringReader({"path": path})
+        left = list(reader.pushFilters([registry.EqualTo(("catalog",), "c/d"), registry.In(("version",), ("v1",)), registry.EqualTo(("page",), 1)]))
+        assert [f.attribute for f in left] == [("page",)] and [f[:2] for p in reader.partitions() for f in p.files] == [("c/d", 1), ("c/d", 2)]
+    finally:
+        spark.conf.unset("spark.sql.python.filterPushdown.enabled")
+    assert registry.scan(spark, str(tmp_path / "nothing")).collect() == []
