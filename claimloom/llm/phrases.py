@@ -4,7 +4,7 @@ Two passes fill a counting sketch with hashed phrases: one with words and pairs,
 phrases of three to five words whose pairs all may be frequent. A counter is an upper bound of the counts
 of all phrases that share it, so a phrase under ``least`` there is under it in truth, and
 a phrase can only reach ``least`` if all its parts may. What is left of a sketch is one
-bit a counter, which is broadcast: 32 MB at the ``MOST_COUNTERS``. Counters grow with the texts up
+bit a counter, which is broadcast: 128 MB at the ``MOST_COUNTERS``, a quarter of it for the longer phrases. Counters grow with the texts up
 to that number; beyond it bounds get looser, which makes more work and never another result.
 
 The third pass scans shards, blocks of the texts of one language inside a task. The candidates
@@ -42,9 +42,12 @@ LONGEST = 5
 TOP = 2000
 #: Bytes of pending shards in a task; the largest is scanned when there are more.
 SHARD_BYTES = 1 << 22
-MOST_COUNTERS = 1 << 28
+#: Sums that a task holds before it passes them on.
+SUMS = 600_000
+TASK_CHARS = 1 << 28
+MOST_COUNTERS = 1 << 30
 LEAST_COUNTERS = 1 << 20
-_CHARS_A_COUNTER = 48
+_CHARS_A_COUNTER = 8
 _SLICE = 1 << 16
 _PIECE_ENDS = re.compile(rb"[.,;:!?\n-\r]")
 _BREAK = b"\xff"  # no UTF-8 text holds this byte
@@ -196,25 +199,30 @@ def _sketch(texts: DataFrame, bits: int, low: int, high: int, least: int, sketch
 
 
 def _scanned(sketches: list) -> Callable:
-    """(lang, phrase, f) of the candidates of each shard, and a row without phrase with its number of words."""
+    """(lang, phrase, f) of the candidates of a task's shards, and rows without phrase with their numbers of words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = [_bitmap(x) for x in sketches]
+        sums: Counter = Counter()
+
+        def rows() -> pa.RecordBatch:
+            langs, phrases = zip(*sums, strict=True)
+            found = pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(phrases, pa.string()), pa.array(list(sums.values()), pa.int64())], ["lang", "phrase", "f"])
+            sums.clear()
+            return found
+
         for shard in _shards(batches):
             phrases: list[str] = []
             for k, at in shard.places(known):
                 _, first = np.unique(shard.hashes[k - 1][at], return_index=True)
                 phrases += [shard.phrase(p, k) for p in at[first].tolist()]
-            counts = counted(phrases, shard.text)
-            found = np.flatnonzero(counts)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([shard.lang] * (len(found) + 1), pa.string()),
-                    pa.array([None, *(phrases[i] for i in found.tolist())], pa.string()),
-                    pa.array([len(shard.starts), *counts[found].tolist()], pa.int64()),
-                ],
-                ["lang", "phrase", "f"],
-            )
+            sums[shard.lang, None] += len(shard.starts)
+            for phrase, f in zip(phrases, counted(phrases, shard.text).tolist(), strict=True):
+                sums[shard.lang, phrase] += f
+            if len(sums) >= SUMS:
+                yield rows()
+        if sums:
+            yield rows()
 
     return run
 
@@ -235,13 +243,15 @@ def counted(phrases: list[str], text: bytes) -> np.ndarray:
 def frequent(docs: DataFrame, least: int = LEAST, counters: int | None = None) -> DataFrame:
     """(lang, phrase, f): phrases of one to five words with f of ``least`` or more; without phrase, the words of the language."""
     texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), text_of().alias("text"))
+    chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
     if counters is None:
-        chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
         counters = min(MOST_COUNTERS, max(LEAST_COUNTERS, chars // _CHARS_A_COUNTER))
     bits = max(16, (counters - 1).bit_length())
     sketches = [_sketch(texts, bits, 1, 2, least, [])]
-    sketches.append(_sketch(texts, bits, 3, LONGEST, least, sketches))
-    sums = texts.mapInArrow(_scanned(sketches), "lang string, phrase string, f bigint").groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
+    sketches.append(_sketch(texts, max(16, bits - 2), 3, LONGEST, least, sketches))
+    # A task sums over more than one split, up to ``TASK_CHARS`` or two tasks a core, so that fewer rows meet in the shuffle.
+    tasks = max(2 * docs.sparkSession.sparkContext.defaultParallelism, 1 + chars // TASK_CHARS)
+    sums = texts.coalesce(tasks).mapInArrow(_scanned(sketches), "lang string, phrase string, f bigint").groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
     return cut(sums.filter((F.col("f") >= least) | F.col("phrase").isNull()), "phrases")
 
 
