@@ -102,6 +102,15 @@ def text_of(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
+def merged(df: DataFrame) -> DataFrame:
+    """``df``, marked so that a join with it is by sort and merge.
+
+    Sizes are guessed from files, before rows are exploded, so Spark would otherwise broadcast, through the
+    driver, tables that grow with the corpus.
+    """
+    return df.hint("merge")
+
+
 def map_arrow(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     return df.mapInArrow(function, schema)
 

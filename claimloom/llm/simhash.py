@@ -19,6 +19,7 @@ lies within one bit of both. Each entry is filed under the 33 values within one
 it; at most 33 entries can share such a value, and they are linked to the smallest of
 them. A pair that meets in a long list is linked there; one that meets in short lists
 alone has its whole tally there. Nothing is capped, sampled or dropped.
+All joins are by sort and merge, so no table of fingerprints passes through the driver.
 
 Defined results: a null or empty text, or one without words, has fingerprint zero and
 links like any other; repeated rows give a row each; null ``doc_id`` rows link, but
@@ -42,7 +43,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from claimloom.llm.common import OWN, cut, portions, segments, text_of, utf8
+from claimloom.llm.common import OWN, cut, merged, portions, segments, text_of, utf8
 from claimloom.llm.components import connected_components
 
 SHINGLE = 3
@@ -109,11 +110,11 @@ def links(distinct: DataFrame, longest: int = LONGEST_LIST) -> DataFrame:
     """Links (a, b) that join exactly the fingerprints of ``distinct`` (fp) within two bits, directly or through others."""
     postings = distinct.select("fp", F.explode(F.array(*map(_posting, range(len(CHOICES))))).alias("list"))
     lengths = postings.groupBy("list").agg(F.count("*").alias("entries")).filter("entries > 1")
-    kept = postings.join(lengths, "list")
+    kept = postings.join(merged(lengths), "list")
     short = kept.filter(F.col("entries") <= longest)
     tally = (
         short.select("list", F.col("fp").alias("a"))
-        .join(short.select("list", F.col("fp").alias("b")), "list")
+        .join(merged(short.select("list", F.col("fp").alias("b"))), "list")
         .filter("a > b")
         .groupBy("a", "b")
         .agg(F.count("*").alias("shared"))
@@ -137,7 +138,7 @@ def links(distinct: DataFrame, longest: int = LONGEST_LIST) -> DataFrame:
 def _rooted(groups: DataFrame, longest: int = LONGEST_LIST) -> DataFrame:
     """The rows of ``groups``, one for each fp, with the root of their component."""
     joined = connected_components(links(groups.select("fp"), longest), "simhash")
-    return groups.join(joined.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    return groups.join(merged(joined.withColumnRenamed("node", "fp")), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, longest: int = LONGEST_LIST) -> DataFrame:
@@ -157,7 +158,7 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     rooted = _rooted(found.groupBy("fp").agg(F.min(F.struct("doc_id", "tag")).alias("first")))
     stay = rooted.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.doc_id").alias(doc), F.col("first.tag").alias(tag)).distinct()
     own = docs.select("*", last.alias(f"{doc}_own"), F.xxhash64("text").alias(f"{tag}_own"))
-    met = own.join(stay, (F.col(f"{doc}_own") == F.col(doc)) & (F.col(f"{tag}_own") == F.col(tag)), "left_semi")
+    met = own.join(merged(stay), (F.col(f"{doc}_own") == F.col(doc)) & (F.col(f"{tag}_own") == F.col(tag)), "left_semi")
     # Of rows that repeat doc_id and text one stays; each task passes one on.
     first = F.row_number().over(Window.partitionBy(f"{doc}_own", f"{tag}_own").orderBy(F.xxhash64(*docs.columns)))
     return met.withColumn(order, first).filter(F.col(order) == 1).select(*docs.columns)
@@ -172,9 +173,9 @@ def without_later_copies(docs: DataFrame, as_they_came: DataFrame) -> DataFrame:
     """
     came, present = f"{OWN}came", docs.select(F.col("doc_id").cast("bigint").alias("doc_id")).distinct()
     by_id = fingerprints(as_they_came).filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("fp").alias("fp"), F.max("fp").alias("other"))
-    found = cut(by_id.filter("fp = other").join(present, "doc_id", "left_semi").select("doc_id", "fp"), "fingerprints")
+    found = cut(by_id.filter("fp = other").join(merged(present), "doc_id", "left_semi").select("doc_id", "fp"), "fingerprints")
     rooted = _rooted(found.groupBy("fp").agg(F.min("doc_id").alias("least")))
     smallest = rooted.groupBy("root").agg(F.min("least").alias("least"))
-    named = rooted.select("fp", "root").join(smallest, "root").select("fp", "least")
-    later = found.join(named, "fp").filter("doc_id > least").select(F.col("doc_id").alias(came))
-    return docs.join(later, F.col("doc_id").cast("bigint") == F.col(came), "left_anti")
+    named = rooted.select("fp", "root").join(merged(smallest), "root").select("fp", "least")
+    later = found.join(merged(named), "fp").filter("doc_id > least").select(F.col("doc_id").alias(came))
+    return docs.join(merged(later), F.col("doc_id").cast("bigint") == F.col(came), "left_anti")
