@@ -146,8 +146,8 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, longest: int = LONG
     found = cut(fingerprints(docs, shingle).select("doc_id", "fp"), "fingerprints")
     rooted = _rooted(found.groupBy("fp").agg(F.min("doc_id").alias("least")), longest)
     smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.join(smallest, "root").select("fp", "component_id")
-    return found.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    named = rooted.join(merged(smallest), "root").select("fp", "component_id")
+    return found.join(merged(named), "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:

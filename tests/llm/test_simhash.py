@@ -132,7 +132,7 @@ def test_nothing_that_grows_is_broadcast(spark):
     docs = spark.createDataFrame([(k, f"a few words {k} of text {k % 7}") for k in range(50)], "doc_id bigint, text string")
     frame = spark.createDataFrame([(k * 7919,) for k in range(50)], "fp bigint")
     links = frame.select(frame.fp.alias("a"), (frame.fp + 1).alias("b"))
-    frames = [simhash.links(frame), components._small_star(components._large_star(links)), simhash.one_of_each(docs), simhash.without_later_copies(docs, docs)]
+    frames = [simhash.links(frame), components._small_star(components._large_star(links)), simhash.near_duplicates(docs), simhash.one_of_each(docs), simhash.without_later_copies(docs, docs)]
     for made in frames:
         plan = made._jdf.queryExecution().executedPlan().toString()
         assert "Join" in plan and "Broadcast" not in plan
