@@ -55,8 +55,8 @@ TIER_SQL = f"""CASE WHEN url = (SELECT min(url) FROM pages) OR kind = 'registry_
 TIER_RANK_SQL = "CASE tier WHEN 'official' THEN 0 WHEN 'probable_official' THEN 1 WHEN 'official_repository_discussion' THEN 2 WHEN 'third_party' THEN 3 ELSE 4 END"
 
 
-def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Distinct claims of ``lineitem``: subject = part, source = supplier."""
+def facts(spark: SparkSession, sf_dir: str, dealt: bool = False) -> DataFrame:
+    """Distinct claims of ``lineitem``: subject = part, source = supplier; if ``dealt``, a subject's all in one task, by one shuffle."""
     items = table(spark, sf_dir, "lineitem")
     change = F.when(F.col("l_returnflag") == "A", "removed").when(F.col("l_returnflag") == "N", "deprecated").otherwise("renamed")
     rows = items.select(
@@ -66,7 +66,8 @@ def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("l_linestatus") == "F").alias("is_risk"),
         F.format_string("%.2f", F.col("l_discount")).alias("value"),
         F.year("l_shipdate").alias("year"),
-    ).distinct()
+    )
+    rows = (rows.repartition("subject") if dealt else rows).distinct()
     fact = F.concat_ws("|", *(F.col(c).cast("string") for c in ("subject", "source", "change", "is_risk", "value", "year")))
     tier = F.when(F.col("source") % 4 == 0, "official").when(F.col("source") % 4 == 1, "probable_official").when(F.col("source") % 4 == 2, "official_repository_discussion").otherwise("third_party")
     return rows.select(

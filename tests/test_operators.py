@@ -386,6 +386,18 @@ def test_members_are_the_facts_of_all_pairs(spark, seed):
     found = [tuple(r) for r in conflicts.members(frame).select("subject", "kind", "fact").collect()]
     assert len(found) == len(set(found)) and set(found) == expected
     assert {k for _, k, _ in expected} == {"severity", "risk_vs_context", "value", "versions"}
+    dealt = [tuple(r) for r in conflicts.members_where_dealt(frame.repartition(3, "subject")).select("subject", "kind", "fact").collect()]
+    assert sorted(dealt) == sorted(found)
+    assert conflicts.fit_in_tasks(frame) and not conflicts.fit_in_tasks(frame, 20)
+
+
+def test_conflicts_are_told_without_meeting_facts_by_number(spark):
+    """Members keep what a resolution needs, so no fact is shuffled by its number to be joined with itself."""
+    rows = [(f"f{n}", f"s{n % 9}", "AB"[n % 2], "renamed", True, "xyz"[n % 3], [str(n % 4)], n % 3 > 0, "official", n % 4) for n in range(60)]
+    frame = spark.createDataFrame(rows, FACT).repartition(3)
+    kept = conflicts.members_where_dealt(frame.repartition(3, "subject"), ("tier", "scoped", "latest"))
+    assert "hashpartitioning(fact" not in conflicts.resolved(kept)._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, conflicts.resolved(kept).collect()), key=str) == sorted(map(tuple, conflicts.resolved(conflicts.members(frame), frame).collect()), key=str)
 
 
 def plain_batches(rows, most_chars, most_items):
