@@ -125,6 +125,19 @@ def same_identity(a: str, b: str) -> Column:
     return F.when(both, F.lower(at(a, "repository")) == F.lower(at(b, "repository"))).otherwise(hosts)
 
 
+def identified(candidates: DataFrame) -> DataFrame:
+    """Candidates with what ``same_identified`` compares, made once a row and not once a pair: their repository and site in lower case."""
+    site = urls.host(F.coalesce(F.nullif(F.col("homepage"), F.lit("")), F.col("url")))
+    return candidates.withColumn("own_repository", F.lower(F.nullif(F.col("repository"), F.lit("")))).withColumn("site", F.when(site.isin(*COMMON_HOSTS, "npmjs.com"), "").otherwise(site))
+
+
+def same_identified(a: str, b: str) -> Column:
+    """``same_identity`` of two rows of ``identified``."""
+    at = lambda side, name: F.col(f"{side}.{name}")
+    both = at(a, "own_repository").isNotNull() & at(b, "own_repository").isNotNull()
+    return F.when(both, at(a, "own_repository") == at(b, "own_repository")).otherwise((at(a, "site") != "") & (at(a, "site") == at(b, "site")))
+
+
 def public(candidates: DataFrame) -> DataFrame:
     """Candidates as they are shown: without the records they come from."""
     return candidates.drop("body", "metadata", "page_excerpt")

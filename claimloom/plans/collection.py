@@ -503,10 +503,12 @@ def renamed_repositories(spark, sf_dir):
 @query("same_identity", f"""SELECT a.url, b.url AS other, CASE WHEN a.repository <> '' AND b.repository <> '' THEN lower(a.repository) = lower(b.repository) ELSE starts_with(a.homepage, 'https://h') AND a.homepage = b.homepage END AS same
 FROM ({_CANDIDATE_SQL}) a JOIN ({_CANDIDATE_SQL}) b ON b.h = a.h AND b.url > a.url""")
 def same_identity(spark, sf_dir):
-    rows = _candidates(spark, sf_dir).withColumn("h", F.substring("url", 2, 20).cast("bigint") % 40)
-    a, b = rows.alias("a"), rows.alias("b")
-    met = a.join(b, (F.col("a.h") == F.col("b.h")) & (F.col("b.url") > F.col("a.url")))
-    return met.select(F.col("a.url").alias("url"), F.col("b.url").alias("other"), discovery.same_identity("a", "b").alias("same"))
+    rows = discovery.identified(_candidates(spark, sf_dir)).withColumn("h", F.substring("url", 2, 20).cast("bigint") % 40)
+    # The groups are few and large: each is dealt to eight tasks, of which each meets all of the group.
+    a = rows.withColumn("part", F.pmod(F.xxhash64("url"), F.lit(8)).cast("int")).alias("a")
+    b = rows.withColumn("part", F.explode(F.array(*map(F.lit, range(8))))).alias("b")
+    met = a.join(b, (F.col("a.h") == F.col("b.h")) & (F.col("a.part") == F.col("b.part")) & (F.col("b.url") > F.col("a.url")))
+    return met.select(F.col("a.url").alias("url"), F.col("b.url").alias("other"), discovery.same_identified("a", "b").alias("same"))
 
 
 @query("project_repositories", f"SELECT DISTINCT repository FROM ({_CANDIDATE_SQL}) WHERE repository <> '' AND homepage IN ('https://h7.org/', 'https://h8.org/', 'https://h9.org/', 'https://h12.org/') ORDER BY repository LIMIT 3")

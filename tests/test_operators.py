@@ -587,3 +587,12 @@ def test_runs_and_their_manifest(spark, tmp_path):
     assert told == {"first": ("done", 4, None), "side": ("failed", None, "ValueError: no answer"), "second": ("done", 2, None), "third": ("failed", None, "ValueError: no answer"), "fourth": ("not_run", None, None)}
     assert set(results) == {"first", "second"}
     assert [manifest.tenths(d, t) for d, t in ((0, 9), (4, 9), (9, 9), (3, 0))] == [0, 4, 10, 10]
+
+
+def test_identities_are_told_by_what_each_row_has_once(spark):
+    """The same as pair by pair, and no pattern is matched over pairs."""
+    told = [("u1", "https://a.org/x", "Own/R"), ("u2", "https://A.org:80/", "own/r"), ("u3", "https://a.org", ""), ("u4", "https://github.com/x", None), ("https://a.org/y", "", ""), ("u5", None, "o/s"), ("u6", "https://github.com/z", ""), (None, None, None)]
+    rows = discovery.identified(spark.createDataFrame(told, "url string, homepage string, repository string"))
+    met = rows.alias("a").crossJoin(rows.alias("b"))
+    assert met.filter(~discovery.same_identified("a", "b").eqNullSafe(discovery.same_identity("a", "b"))).count() == 0
+    assert "regexp" not in discovery.same_identified("a", "b")._jc.toString().lower()
