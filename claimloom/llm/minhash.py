@@ -8,8 +8,10 @@ share none of the 40 bands with probability 5e-6, and far fewer above it. Rows o
 Documents with equal sets are one entry of the index, named by the smallest doc_id and its text's hash. What shares a
 band's value is a bucket. Of a bucket only pairs of entries that no confirmed link joins yet are compared, in rounds: those
 with the entry that meets most others in its buckets; then with some sixty-four entries, then with as many times more, until every pair of every bucket is
-compared or known to be in one component, or cannot be similar by what each shares with the bucket's first. So a large group of near copies costs a few pairs an entry, no pair is
-given up, and nothing is capped or sampled. A pair is confirmed on the shingles of both texts; sizes
+compared or known to be in one component, or cannot be similar by what each shares with the bucket's first, or by their
+parities: each shingle turns one of ``PARITIES`` bits of its set, so two sets differ in at least as many shingles as bits. Both bounds are exact, so no pair is
+given up, and nothing is capped or sampled; texts are compared for a few pairs an entry. Parities are still met pair by pair in what is left of a bucket.
+A pair is confirmed on the shingles of both texts; sizes
 that rule out the threshold are dropped before. Texts move only for entries that a bitmap of
 fixed size (8 MB, broadcast) has among the pairs.
 
@@ -22,6 +24,8 @@ no rows; other columns are ignored. Shingles are told apart by 64-bit hashes, se
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimloom.llm.common import OWN, Memo, cut, discard, portions, segments, text_of, utf8, written
+from claimloom.llm.common import OWN, Memo, cut, discard, merged, portions, segments, text_of, utf8, written
 from claimloom.llm.components import connected_components
 
 SHINGLE = 2
@@ -39,6 +43,8 @@ ROWS = 6
 BANDS = 2 * PERMUTATIONS // ROWS
 #: Times as many entries of a bucket that each round compares with the others.
 MORE = 64
+#: Bits of a set's parities.
+PARITIES = 1024
 _BITS = 1 << 26
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _RANDOM = np.random.default_rng(13)
@@ -90,6 +96,12 @@ def bands(found: np.ndarray) -> np.ndarray:
     return value.view(np.int64)
 
 
+def parities(found: np.ndarray) -> np.ndarray:
+    """Whether an odd number of the hashes falls on each of ``PARITIES`` places, as bits of signed numbers."""
+    odd = np.bincount((found % np.uint64(PARITIES)).astype(np.int64), minlength=PARITIES) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 _NONE = (1 << 63) - 1
 _ENTRY = "struct<id: bigint, text: bigint>"
 
@@ -100,17 +112,18 @@ def _name() -> Column:
 
 
 def sketches(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """named, n_shingles, tag (equal for equal sets) and bands of every row."""
+    """named, n_shingles, tag (equal for equal sets), bands and parities of every row."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = Memo(xxhash.xxh64_intdigest)
         for batch in portions(batches):
             sets = [shingles(t, memo, shingle) for t in utf8(batch.column(1))]
             keys = [bands(s) if len(s) else None for s in sets]
-            columns = [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()), pa.array(keys, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns, ["named", "n_shingles", "tag", "bands"])
+            odd = [parities(s) if len(s) else None for s in sets]
+            columns = [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()), *(pa.array(c, pa.list_(pa.int64())) for c in (keys, odd))]
+            yield pa.RecordBatch.from_arrays(columns, ["named", "n_shingles", "tag", "bands", "parities"])
 
-    return docs.select(_name().alias("named"), text_of().alias("text")).mapInArrow(rows, f"named {_ENTRY}, n_shingles bigint, tag binary, bands array<bigint>")
+    return docs.select(_name().alias("named"), text_of().alias("text")).mapInArrow(rows, f"named {_ENTRY}, n_shingles bigint, tag binary, bands array<bigint>, parities array<bigint>")
 
 
 def compared(pairs: DataFrame, texts: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -156,10 +169,21 @@ def _merged(roots: DataFrame | None, links: DataFrame) -> tuple[DataFrame, str]:
     return written(moved.unionByName(joined.join(roots.select("node"), "node", "left_anti")), "roots")
 
 
-def _components(buckets: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame | None:
-    """(node, root) of the entries that links join, from ``buckets`` (bucket, entry, n, degree); None if nothing is linked."""
+def _unlike(a: str, b: str) -> Column:
+    """In how many bits two columns of parities differ, at most the number of shingles that are in one set alone."""
+    return reduce(add, (F.bit_count(F.col(a)[n].bitwiseXOR(F.col(b)[n])) for n in range(PARITIES // 64)))
+
+
+def _beside(one: DataFrame, other: DataFrame, columns: list[tuple[str, str]]) -> DataFrame:
+    """Pairs of rows with one bucket; ``columns`` are named anew, with the side at the end."""
+    side = lambda rows, x: rows.select("bucket", *(F.col(c).alias(f"{name}_{x}" if name else x) for c, name in columns))
+    return side(one, "a").join(merged(side(other, "b")), "bucket")
+
+
+def _components(buckets: DataFrame, odd: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame | None:
+    """(node, root) of the entries that links join, from ``buckets`` (bucket, entry, n, degree) and ``odd`` (entry, parities); None if nothing is linked."""
     spark = buckets.sparkSession
-    roots, roots_at, known, done, most = None, None, None, 1, 1
+    roots, roots_at, known, open_at, done, most = None, None, None, None, 1, 1
     while True:
         if roots is None:
             now = buckets.withColumn("root", F.col("entry"))
@@ -167,25 +191,41 @@ def _components(buckets: DataFrame, texts: DataFrame, shingle: int, percent: int
             now = buckets.join(roots.withColumnRenamed("node", "entry"), "entry", "left").withColumn("root", F.coalesce("root", "entry"))
         # A number from 0 to 1 by the entry's hash; about ``most`` of a bucket are under ``most / size``.
         now = now.withColumn("at", F.xxhash64("entry").cast("double") / F.lit(2.0**64) + 0.5).withColumn("mark", F.xxhash64("root"))
-        sizes = now.groupBy("bucket").agg(F.count("*").alias("size"), F.min(F.struct((-F.col("degree")).alias("less"), "at", "entry")).alias("first"), F.min("mark").alias("least"), F.max("mark").alias("last"))
-        sizes, sizes_at = written(sizes.filter((F.col("size") > done) & (F.col("least") < F.col("last"))).select("bucket", "size", F.col("first.entry").alias("first")), "sizes")
+        sizes = now.groupBy("bucket").agg(F.count("*").alias("size"), F.min(F.struct((-F.col("degree")).alias("less"), "at", "entry", "mark")).alias("first"), F.min("mark").alias("least"), F.max("mark").alias("last"))
+        sizes, sizes_at = written(sizes.filter((F.col("size") > done) & (F.col("least") < F.col("last"))).select("bucket", "size", F.col("first.entry").alias("first"), F.col("first.mark").alias("main")), "sizes")
         if sizes.isEmpty():  # all pairs of every bucket are compared, or in one component
+            if open_at:
+                discard(spark, open_at)
             return roots
         open_, first = now.join(sizes, "bucket"), F.col("entry") == F.col("first")
         near = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
+        carried = [("entry", ""), ("n", "n"), ("mark", "mark"), ("at", "at"), ("main", "main")]
         if most == 1:
-            open_, chosen = open_.withColumn("with_first", F.lit(None).cast("bigint")), first
+            pairs = _beside(open_.filter(first), open_, carried).filter((F.col("a") != F.col("b")) & near)
         else:
+            if open_at is None:
+                met = known.select(F.col("a").alias("first"), F.col("b").alias("entry"), F.col("both").alias("with_first"))
+                open_ = open_.join(merged(met), ["first", "entry"], "left").join(merged(odd), "entry")
+            # Later rounds read what is open now: a bucket that is done, or in one component, stays so.
+            before = open_at
+            open_, open_at = written(open_, "open")
+            if before:
+                discard(spark, before)
+            buckets = open_.select("bucket", "entry", "n", "degree", "with_first", "parities")
+            carried += [("with_first", "f"), ("parities", "odd")]
             # What two entries share is at most what both share with the bucket's first, and as much of the rest as the lesser has.
-            met = known.select(F.col("a").alias("first"), F.col("b").alias("entry"), F.col("both").alias("with_first"))
-            open_, chosen = open_.join(met, ["first", "entry"], "left"), ~first & ((F.col("size") <= most) | (F.col("at") * F.col("size") < most))
             bound = F.least("f_a", "f_b") + F.least(F.col("n_a") - F.col("f_a"), F.col("n_b") - F.col("f_b"))
             told = F.col("f_a").isNotNull() & F.col("f_b").isNotNull()
-            near &= ~told | (100 * bound >= percent * (F.col("n_a") + F.col("n_b") - bound))
-        side = lambda rows, x: rows.select("bucket", *(F.col(c).alias(f"{name}_{x}" if name else x) for c, name in (("entry", ""), ("n", "n"), ("mark", "mark"), ("at", "at"), ("first", "first"), ("with_first", "f"))))
-        # The first has met all others already.
-        after = F.lit(True) if most == 1 else (F.col("b") != F.col("first_b")) & ((F.col("at_b") > F.col("at_a")) | ((F.col("at_b") == F.col("at_a")) & (F.col("b") > F.col("a"))))
-        pairs = side(open_.filter(chosen), "a").join(side(open_, "b"), "bucket").filter(after & near & (F.col("mark_a") != F.col("mark_b"))).select("a", "b").distinct()
+            both = F.col("n_a") + F.col("n_b")
+            near &= ~told | (100 * bound >= percent * (both - bound))
+            near &= (100 + percent) * _unlike("odd_a", "odd_b") <= (100 - percent) * both
+            # Of entries in two components, one at least is not in the first's. The first has met all others already.
+            chosen, apart = (F.col("size") <= most) | (F.col("at") * F.col("size") < most), F.col("mark") != F.col("main")
+            once = (F.col("mark_b") == F.col("main_b")) | (F.col("at_b") > F.col("at_a")) | ((F.col("at_b") == F.col("at_a")) & (F.col("b") > F.col("a")))
+            pairs = _beside(open_.filter(apart & chosen), open_.filter(~first), carried).filter((F.col("mark_a") != F.col("mark_b")) & once & near)
+            others = _beside(open_.filter(apart & ~chosen), open_.filter(~first & ~apart & chosen), carried).filter(near)
+            pairs = pairs.select("a", "b").unionByName(others.select("a", "b"))
+        pairs = pairs.select("a", "b").distinct()
         asked, asked_at = written(pairs, "pairs")
         found, found_at = written(compared(asked, texts, shingle, percent), "compared")
         links = found.filter("linked").select("a", "b")
@@ -206,7 +246,7 @@ def _components(buckets: DataFrame, texts: DataFrame, shingle: int, percent: int
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id (the smallest doc_id reachable, itself included) and kept, of every row."""
     sketched, place = written(sketches(docs, shingle), "sketches")
-    entries = cut(sketched.filter("n_shingles > 0").groupBy("tag").agg(F.min("named").alias("entry"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")), "entries")
+    entries = cut(sketched.filter("n_shingles > 0").groupBy("tag").agg(F.min("named").alias("entry"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("parities").alias("parities")), "entries")
     members = cut(sketched.select("named", "n_shingles", "tag"), "members")
     discard(docs.sparkSession, place)
     postings = entries.select("entry", "n", F.explode("bands").alias("bucket"))
@@ -215,7 +255,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     # In a group of near copies the text that the others came from meets most of them.
     buckets = cut(met.drop("size").join(met.groupBy("entry").agg(F.sum("size").alias("degree")), "entry"), "buckets")
     discard(docs.sparkSession, met_at)
-    roots = _components(buckets, docs.select(_name().alias("entry"), text_of().alias("text")), shingle, percent)
+    roots = _components(buckets, entries.select("entry", "parities"), docs.select(_name().alias("entry"), text_of().alias("text")), shingle, percent)
     named = entries.select("tag", F.col("entry").alias("root"))
     if roots is not None:
         named = entries.select("tag", "entry").join(roots.withColumnRenamed("node", "entry"), "entry", "left").select("tag", F.coalesce("root", "entry").alias("root"))

@@ -66,6 +66,33 @@ def test_rounds_compare_all_pairs(spark, monkeypatch, more):
     assert told(minhash.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"))) == plain(rows)
 
 
+@pytest.mark.parametrize("more", [3, 64])
+def test_near_copies_that_do_not_link_compare_few_texts(spark, monkeypatch, more):
+    """A group of which a third is too far from all others: its texts are told apart without being compared pair by pair."""
+    monkeypatch.setattr(minhash, "MORE", more)
+    compared, asked = minhash.compared, []
+    monkeypatch.setattr(minhash, "compared", lambda pairs, *rest: asked.append(pairs.count()) or compared(pairs, *rest))
+    random.seed(11)
+    base = [f"w{k}" for k in range(150)]
+    texts = [" ".join(base)] + [" ".join(edited(base, random.choice([0.02, 0.04, 0.09]))) for _ in range(150)]
+    rows = list(enumerate(texts))
+    expected = plain(rows)
+    assert 30 < sum(kept for *_, kept in expected) < 90
+    assert told(minhash.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"))) == expected
+    assert sum(asked[1:]) < len(rows)  # besides the pairs with firsts
+
+
+def test_parities_differ_in_no_more_bits_than_sets_in_shingles():
+    rng = np.random.default_rng(3)
+    for size in (1, 20, 150, 3000):
+        pool = rng.integers(0, 1 << 64, 2 * size, np.uint64)
+        for shared in (0, size // 2, size - 1, size):
+            one, other = pool[:size], pool[size - shared : 2 * size - shared]
+            bits = sum(int(x).bit_count() for x in (minhash.parities(one) ^ minhash.parities(other)).view(np.uint64))
+            differ = 2 * (size - shared)
+            assert bits <= differ and (differ > 60 or bits >= 0.8 * differ)
+
+
 def test_defined_cases(spark):
     rows = [(4, None), (5, ""), (6, " \n"), (7, "One"), (8, "one"), (9, "one two"), (2, "One  two\nthree four five six"), (3, "one two three four five six seven")]
     rows += [(1, "other text here"), (1, "one two three four five six"), (1, "one two three four five six"), (None, "other text here"), (None, "alone"), (None, "alone"), (None, ""), (10, "É é É é"), (11, "é É É é")]
