@@ -504,10 +504,13 @@ def renamed_repositories(spark, sf_dir):
 FROM ({_CANDIDATE_SQL}) a JOIN ({_CANDIDATE_SQL}) b ON b.h = a.h AND b.url > a.url""")
 def same_identity(spark, sf_dir):
     rows = discovery.identified(_candidates(spark, sf_dir)).withColumn("h", F.substring("url", 2, 20).cast("bigint") % 40)
-    # The groups are few and large: each is dealt to eight tasks, of which each meets all of the group.
-    a = rows.withColumn("part", F.pmod(F.xxhash64("url"), F.lit(8)).cast("int")).alias("a")
-    b = rows.withColumn("part", F.explode(F.array(*map(F.lit, range(8))))).alias("b")
-    met = a.join(b, (F.col("a.h") == F.col("b.h")) & (F.col("a.part") == F.col("b.part")) & (F.col("b.url") > F.col("a.url")))
+    # The groups are few and large: each is dealt to 64 cells, in which an eighth of it meets an eighth. Few rows become many
+    # pairs, so tasks are not made fewer by their input's size, and nothing is broadcast, through the driver, by its files' size.
+    own, every = F.pmod(F.xxhash64("url"), F.lit(8)).cast("int"), F.explode(F.array(*map(F.lit, range(8))))
+    dealt = lambda df: df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "h", "line", "place")
+    a = dealt(rows.withColumn("line", own).withColumn("place", every)).alias("a")
+    b = dealt(rows.withColumn("place", own).withColumn("line", every)).hint("merge").alias("b")
+    met = a.join(b, (F.col("a.h") == F.col("b.h")) & (F.col("a.line") == F.col("b.line")) & (F.col("a.place") == F.col("b.place")) & (F.col("b.url") > F.col("a.url")))
     return met.select(F.col("a.url").alias("url"), F.col("b.url").alias("other"), discovery.same_identified("a", "b").alias("same"))
 
 

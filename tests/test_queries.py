@@ -34,3 +34,11 @@ def test_query_equals_its_twin(spark, duck, name):
 
 def test_every_query_has_a_twin():
     assert set(catalogue.queries()) == set(catalogue.oracle_sql())
+
+
+def test_pairs_of_an_identity_are_not_broadcast(spark):
+    """Few rows become many pairs: a group is met in 64 cells, in as many tasks as Spark is set to."""
+    found = catalogue.queries()["same_identity"](spark, SF)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    assert found.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
